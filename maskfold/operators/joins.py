@@ -1,0 +1,20 @@
+"""Broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows. Reads no more than ``max_rows + 1`` rows:
+    a large side stops the scan early instead of being counted in full."""
+    if max_rows <= 0:
+        return False
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` when its row count is proven within ``max_rows``; otherwise ``df`` as it
+    is, left to a shuffle join (with AQE's skew-join split for hot keys)."""
+    return F.broadcast(df) if at_most(df, max_rows) else df
