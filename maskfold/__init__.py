@@ -11,6 +11,7 @@ from maskfold.plans import (
     scrub,
     violations_frame,
 )
+from maskfold.plans.job import run_job
 from maskfold.sources import read_addresses, read_table, write_outputs
 
 __all__ = [
@@ -23,6 +24,7 @@ __all__ = [
     "preset",
     "read_addresses",
     "read_table",
+    "run_job",
     "scrub",
     "violations_frame",
     "write_outputs",

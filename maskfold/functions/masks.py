@@ -61,7 +61,7 @@ def numeric_digits(c: Column, dtype: T.DataType, start: int) -> Masked:
 
     Null, empty text, zero and ``False`` give null; so does text without digits.
     """
-    digits = python_digits(c, dtype)
+    digits = F.nullif(python_digits(c, dtype), F.lit(""))
     number = digits.try_cast("double").try_cast("bigint")
     shifted = F.try_add(number, F.lit(start).cast("bigint"))
     skip = falsy(c, dtype)
@@ -146,6 +146,21 @@ def _text(c: Column, dtype: T.DataType) -> Column:
     return c if is_string(dtype) else c.cast("string")
 
 
+def _minus(pre: Column, shift: int) -> Column:
+    """Text of ``int(pre) - shift`` for a run of ASCII digits: long arithmetic up to 18 digits
+    (cannot overflow, no exception path), decimal(38) beyond; '' -> null."""
+    n = F.length(pre)
+    return (
+        F.when(n == 0, F.lit(None).cast("string"))
+        .when(n <= 18, (pre.cast("bigint") - F.lit(shift).cast("bigint")).cast("string"))
+        .otherwise(
+            F.try_subtract(pre.try_cast("decimal(38,0)"), F.lit(shift).cast("decimal(38,0)")).cast(
+                "string"
+            )
+        )
+    )
+
+
 def regex_reverse(
     c: Column,
     dtype: T.DataType,
@@ -156,21 +171,34 @@ def regex_reverse(
     """Account rewrite: first ``(digits)-(digits)`` match; first group minus ``shift``, whose first
     character stays and the rest is reversed; then the rule value, then the second group.
 
-    Text around the match is dropped; no match gives the rule value alone.
+    Text around the match is dropped; no match gives the rule value alone. The shared parts are
+    unconditional so Spark evaluates each regex group once per row.
     """
     txt = _text(c, dtype)
     pre = F.regexp_extract(txt, pattern, 1)
     post = F.regexp_extract(txt, pattern, 2)
-    shifted = F.try_subtract(
-        F.nullif(pre, F.lit("")).try_cast("decimal(38,0)"), F.lit(shift).cast("decimal(38,0)")
-    ).cast("string")
-    head = F.when(pre == F.lit(""), F.lit("")).otherwise(
-        F.concat(F.substring(shifted, 1, 1), F.reverse(F.substring(shifted, 2, 2147483647)))
-    )
+    d = _minus(pre, shift)
+    head = F.concat(F.substring(d, 1, 1), F.reverse(F.substring(d, 2, 2147483647)))
+    # no match: pre is '' and d is null -> empty head; a match too long for decimal(38) -> null
+    head = F.coalesce(head, F.when(pre == F.lit(""), F.lit("")))
     out = F.concat(head, F.lit(value), post)
     return Masked(out, c.isNull() | (txt.isNotNull() & out.isNull()))
 
 
+# Fixed rule, not data: 0, 1, ..., 999 written out one after another; the counting part of the
+# earlier account rewrite is a prefix of it (longer runs fall back to an array expression).
+_COUNTING = "".join(str(i) for i in range(1000))
+
+
+def _counting_length(last: Column) -> Column:
+    """Characters in ``0 1 ... last`` written out without separators (0 <= last <= 999)."""
+    return (
+        F.when(last < 10, last + 1)
+        .when(last < 100, F.lit(10) + (last - 9) * 2)
+        .otherwise(F.lit(190) + (last - 99) * 3)
+    )
+
+
 def regex_index(c: Column, dtype: T.DataType, value: str, pattern: str = ACCOUNT_PATTERN) -> Masked:
     """Earlier account rewrite: first character of the first group, then ``0,1,...,n-2`` written
     out (``5678`` -> ``5012``), then the rule value, then the second group."""
@@ -178,10 +206,13 @@ def regex_index(c: Column, dtype: T.DataType, value: str, pattern: str = ACCOUNT
     pre = F.regexp_extract(txt, pattern, 1)
     post = F.regexp_extract(txt, pattern, 2)
     n = F.length(pre)
-    counting = F.when(
-        n > 1,
-        F.array_join(F.transform(F.sequence(F.lit(0), n - 2), lambda i: i.cast("string")), ""),
-    ).otherwise(F.lit(""))
+    counting = (
+        F.when(n <= 1, F.lit(""))
+        .when(n <= 1001, F.substring(F.lit(_COUNTING), F.lit(1), _counting_length(n - 2)))
+        .otherwise(
+            F.array_join(F.transform(F.sequence(F.lit(0), n - 2), lambda i: i.cast("string")), "")
+        )
+    )
     return Masked(F.concat(F.substring(pre, 1, 1), counting, F.lit(value), post))
 
 

@@ -116,13 +116,20 @@ def _double_digits(x: Column) -> Column:
         hits = F.filter(cands, lambda c: value(c) == ax)
         return F.coalesce(F.get(hits, 0), F.get(cands, 3))
 
-    shortest = _let(_java_digits(ax), pick)
+    # Fast path: 15 significant digits read back equal (any double with a short text). The
+    # fixed layout of ``%.14e`` (d.dddddddddddddde+XX) is taken apart with plain substrings.
+    r15 = F.format_string("%.14e", ax)
+    fast = F.struct(
+        F.concat(F.substring(r15, 1, 1), F.substring(r15, 3, 14)).alias("m"),
+        F.regexp_replace(F.substring(r15, 18, 8), "^[+]", "").try_cast("int").alias("e"),
+    )
     finite = ~F.isnan(x) & (ax != F.lit(float("inf")))
     return (
         F.when(x.isNull(), F.lit(None).cast("string"))
         .when(~finite, F.lit(""))
         .when(ax == F.lit(0.0), F.lit("00"))
-        .otherwise(_let(shortest, _layout))
+        .when(r15.try_cast("double") == ax, _layout(fast))
+        .otherwise(_let(_let(_java_digits(ax), pick), _layout))
     )
 
 

@@ -40,9 +40,9 @@ def reads_of(rule: Rule, o: ScrubOptions) -> set[str]:
     return {rule.column}
 
 
-def rule_expression(rule: Rule, df: DataFrame, o: ScrubOptions) -> Column:
-    """The native expression for one column rule over the current frame."""
-    types = {f.name: f.dataType for f in df.schema.fields}
+def rule_expression(rule: Rule, frame: DataFrame | dict, o: ScrubOptions) -> Column:
+    """The native expression for one column rule over the current frame (or its column types)."""
+    types = frame if isinstance(frame, dict) else {f.name: f.dataType for f in frame.schema.fields}
     c, dtype, v = F.col(rule.column), types.get(rule.column), rule.value
     t = rule.type
     if t == "fix":
@@ -101,6 +101,7 @@ def scrub(
         addresses = read_addresses(spark, addresses)
 
     batch: dict[str, Column] = {}
+    types = {f.name: f.dataType for f in df.schema.fields}
     address_done = False
     for rule in execution_order(rule_list):
         if rule.type == "address":
@@ -109,11 +110,13 @@ def scrub(
             if batch:
                 df, batch = df.withColumns(batch), {}
             df = apply_address(df, addresses, o)
+            types = {f.name: f.dataType for f in df.schema.fields}
             address_done = True
             continue
         if reads_of(rule, o) & batch.keys():
             df, batch = df.withColumns(batch), {}
-        batch[rule.column] = rule_expression(rule, df, o)
+            types = {f.name: f.dataType for f in df.schema.fields}
+        batch[rule.column] = rule_expression(rule, types, o)
     if batch:
         df = df.withColumns(batch)
     return df
