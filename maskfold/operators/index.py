@@ -55,6 +55,14 @@ def total_order(df: DataFrame, keys: Sequence[str | Column]) -> list[Column]:
     return [_col(k) for k in keys] + rest
 
 
+def range_partitions(df: DataFrame) -> int:
+    """Partitions for a range sort: at least ``spark.sql.shuffle.partitions`` and at least as many
+    as the input has splits, so partition size follows the data (file splits are bounded by
+    ``spark.sql.files.maxPartitionBytes``). Computing the split count plans the input; no job runs."""
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, df.rdd.getNumPartitions())
+
+
 def dense_index(
     df: DataFrame,
     keys: Sequence[str | Column],
@@ -64,8 +72,7 @@ def dense_index(
     """Append ``name`` = 1..n in the order of ``keys`` (ascending, nulls first), like
     ``row_number`` over an unpartitioned window. Pass a total order (see ``total_order``) when the
     result must not depend on how ties are broken."""
-    spark = df.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = num_partitions or range_partitions(df)
     order = [_col(k) for k in keys]
     tagged = (
         df.repartitionByRange(parts, *order)

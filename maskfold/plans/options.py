@@ -49,7 +49,7 @@ class ScrubOptions:
     columns: AddressColumns = field(default_factory=AddressColumns)
     # Address sides with at most this many rows are broadcast; larger ones shuffle (AQE handles
     # skewed keys). 0 disables the broadcast.
-    broadcast_rows: int = 2_000_000
+    broadcast_rows: int = 1_000_000
 
     def with_(self, **changes) -> ScrubOptions:
         return replace(self, **changes)

@@ -49,3 +49,40 @@ def test_sampled_mode_has_no_full_table_single_partition(spark):
             assert "Exchange SinglePartition" in line
     assert "rangepartitioning" in plan
     release()
+
+
+def test_hot_key_is_split_in_shuffle_join(spark):
+    """One asset id holds a third of the rows; beyond the broadcast bound the join shuffles and
+    AQE splits the hot partition across tasks (no single task gets the hot key's rows)."""
+    from pyspark.sql import functions as F
+
+    from maskfold import ScrubOptions
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        sf = "/root/testdata/sf0.01"
+        data = E.asset_orders(spark, sf).repartition(16)
+        hot = F.when(F.col("ASST_DIM_ID") % 3 == 0, F.lit(7)).otherwise(F.col("ASST_ID"))
+        data = data.withColumn("ASST_ID", hot)
+        rules = [Rule("PRPTY_ADDR_LN1", "address", "x")]
+        out = scrub(data, rules, E.address_map(spark, sf), ScrubOptions(broadcast_rows=0))
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+        small = scrub(data, rules, E.address_map(spark, sf))
+        assert sorted(map(tuple, rows)) == sorted(map(tuple, small.collect()))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
