@@ -251,7 +251,7 @@ def _dense_index(spark: SparkSession, sf: str) -> DataFrame:
 def _sample_exact(spark: SparkSession, sf: str) -> DataFrame:
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     n = _t(spark, sf, "orders").count()
-    return sample_exact(li, n, ["l_orderkey", "l_linenumber"], seed=7)
+    return sample_exact(li, n, ["l_orderkey", "l_linenumber", "l_quantity"], seed=7)
 
 
 def _orders_scrubbed(spark: SparkSession, sf: str) -> DataFrame:
@@ -512,7 +512,7 @@ def oracle_sql() -> dict[str, str]:
         "state_name": f"SELECT n_nationkey, n_name, n_regionkey, ({_CODES_SQL})[n_nationkey + 1] AS STAT, {_STATE_CASE.format(x=f'({_CODES_SQL})[n_nationkey + 1]')} AS STAT_CD_DESC FROM nation",
         "rule_order": "SELECT CASE WHEN o_orderkey = 0 THEN NULL ELSE o_orderkey + 1000 END AS o_orderkey, CASE WHEN o_orderkey = 0 THEN NULL ELSE o_orderkey + 1500 END AS o_custkey, 'X' AS o_orderstatus, CASE WHEN o_totalprice = 0 THEN NULL ELSE CAST(CAST(regexp_replace(CAST(o_totalprice AS VARCHAR), '[^0-9]', '', 'g') AS DOUBLE) AS BIGINT) END AS o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "dense_index": "SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity, row_number() OVER (ORDER BY l_shipdate NULLS FIRST, l_orderkey NULLS FIRST, l_linenumber NULLS FIRST, l_quantity NULLS FIRST) AS row_index FROM lineitem",
-        "sample_exact": "SELECT l_orderkey, l_linenumber, l_quantity FROM (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '7', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR))), l_orderkey, l_linenumber) AS rk FROM lineitem) s WHERE rk <= (SELECT count(*) FROM orders)",
+        "sample_exact": "SELECT l_orderkey, l_linenumber, l_quantity FROM (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '7', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_quantity AS VARCHAR))), l_orderkey, l_linenumber, l_quantity) AS rk FROM lineitem) s WHERE rk <= (SELECT count(*) FROM orders)",
         "read_pipe": f"SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice * CAST(2 AS DOUBLE) AS FLOAT) AS o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "read_csv": f"SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice * CAST(2 AS DOUBLE) AS FLOAT) AS o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "read_glob": _SAMPLE_PREP.replace("DISTINCT ", "").replace("'UNIT ' || UNIT", "' '").replace(" AND UNIT <> 'None'", ""),

@@ -94,7 +94,8 @@ def replace_sampled(df: DataFrame, prepared: DataFrame, options: ScrubOptions |
     chosen = dense_index(chosen, fields, _J)
     data = dense_index(df, total_order(df, [o.order_col]), _J)
     payload = chosen.select(_J, F.struct(*fields).alias(_A))
-    side = bounded_broadcast(payload, o.broadcast_rows)
+    # the sample has at most n rows (n was counted above): the size bound needs no extra job
+    side = F.broadcast(payload) if n <= o.broadcast_rows else payload
     joined = data.join(side, on=_J, how="left").withColumn(
         _A,
         F.when(

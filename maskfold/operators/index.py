@@ -25,42 +25,28 @@ _MI = "__mf_mid"
 _P = "__mf_part"
 _N = "__mf_n"
 _OFF = "__mf_off"
+_SEQ = "__mf_seq"
 _LOW_BITS = (1 << 33) - 1
 _HELD: list[DataFrame] = []
 
-ORDERABLE = (
-    T.NumericType,
-    T.StringType,
-    T.BooleanType,
-    T.DateType,
-    T.TimestampType,
-    T.TimestampNTZType,
-    T.BinaryType,
-)
-
 
 def _col(k: str | Column) -> Column:
     return F.col(k) if isinstance(k, str) else k
 
 
-def total_order(df: DataFrame, keys: Sequence[str | Column]) -> list[Column]:
-    """``keys`` followed by every other orderable column, so ties are broken the same way on every
-    run (and on every recomputation after a lost executor)."""
-    named = {k for k in keys if isinstance(k, str)}
-    rest = [
-        F.col(f.name)
-        for f in df.schema.fields
-        if f.name not in named and isinstance(f.dataType, ORDERABLE)
-    ]
-    return [_col(k) for k in keys] + rest
+def row_hash(df: DataFrame) -> Column:
+    """64-bit hash of a whole flat row (map columns cannot be hashed and are left out)."""
+    return F.xxhash64(
+        *[F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    )
 
 
-def range_partitions(df: DataFrame) -> int:
-    """Partitions for a range sort: at least ``spark.sql.shuffle.partitions`` and at least as many
-    as the input has splits, so partition size follows the data (file splits are bounded by
-    ``spark.sql.files.maxPartitionBytes``). Computing the split count plans the input; no job runs."""
-    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, df.rdd.getNumPartitions())
+def total_order(df: DataFrame, keys: Sequence[str | Column]) -> list[Column]:
+    """``keys`` then a hash of the whole row: different rows that tie on ``keys`` are ordered the
+    same way on every run. The sort key stays three columns wide however wide the table is (the
+    range partitioner samples sort keys to the driver). Identical rows still tie; ``dense_index``
+    orders those by input position, which spreads a mass of copies over many partitions."""
+    return [_col(k) for k in keys] + [row_hash(df)]
 
 
 def dense_index(
@@ -72,18 +58,27 @@ def dense_index(
     """Append ``name`` = 1..n in the order of ``keys`` (ascending, nulls first), like
     ``row_number`` over an unpartitioned window. Pass a total order (see ``total_order``) when the
     result must not depend on how ties are broken."""
-    parts = num_partitions or range_partitions(df)
-    order = [_col(k) for k in keys]
+    # last key: input position. Ties (copies) get a fixed order and spread over range partitions
+    # instead of all landing in one; a re-read input split gives the same positions again.
+    df = df.withColumn(_SEQ, F.monotonically_increasing_id())
+    order = [_col(k) for k in keys] + [F.col(_SEQ)]
+    # Without an explicit count the range shuffle starts from the session's partition count
+    # (spark.sql.shuffle.partitions / AQE initialPartitionNum, sized to the cluster) and AQE
+    # coalesces small neighbouring ranges; order across partitions is kept either way.
+    ranged = (
+        df.repartitionByRange(num_partitions, *order)
+        if num_partitions
+        else df.repartitionByRange(*order)
+    )
     tagged = (
-        df.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn(_MI, F.monotonically_increasing_id())
         .withColumn(_P, F.shiftright(F.col(_MI), 33))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     _HELD.append(tagged)
     counts = tagged.groupBy(_P).agg(F.count(F.lit(1)).alias(_N))
-    # one row per partition: the running sum runs in one task over at most `parts` rows
+    # one row per partition: the running sum runs in one task over the partition count
     offsets = counts.select(
         _P, (F.sum(_N).over(Window.orderBy(_P)) - F.col(_N)).alias(_OFF)
     )
@@ -91,7 +86,7 @@ def dense_index(
     return (
         tagged.join(F.broadcast(offsets), _P)
         .withColumn(name, F.col(_OFF) + position + F.lit(1))
-        .drop(_P, _OFF, _MI)
+        .drop(_P, _OFF, _MI, _SEQ)
     )
 
 
@@ -119,10 +114,8 @@ def sample_exact(
     smallest keys; the selection runs as a distributed range sort, never as a driver-side list."""
     cols = list(columns or df.columns)
     h = "__mf_sample"
+    ties = [F.col(c) for c in cols] if len(cols) <= 8 else [F.xxhash64(*[F.col(c) for c in cols])]
     ranked = dense_index(
-        df.withColumn(h, sample_key(seed, cols)),
-        [F.col(h)] + [F.col(c) for c in cols],
-        "__mf_rank",
-        num_partitions,
+        df.withColumn(h, sample_key(seed, cols)), [F.col(h)] + ties, "__mf_rank", num_partitions
     )
     return ranked.filter(F.col("__mf_rank") <= F.lit(n)).drop(h, "__mf_rank")

@@ -110,3 +110,17 @@ def test_sampled_pool_too_small_fails(spark):
     with pytest.raises(Exception):
         out.collect()
     release()
+
+
+def test_dense_index_spreads_copies(spark):
+    """A third of the rows are copies of one row: they still spread over several range
+    partitions (ordered by input position), and the index stays exactly 1..n."""
+    base = spark.range(2000).select((F.col("id") % 97).alias("k"), F.col("id").cast("string").alias("v"))
+    copies = spark.range(1000).select(F.lit(5).cast("bigint").alias("k"), F.lit("same").alias("v"))
+    df = base.unionByName(copies).repartition(4)
+    out = dense_index(df, ["k", "v"], "i", num_partitions=6)
+    idx = sorted(r.i for r in out.select("i").collect())
+    assert idx == list(range(1, 3001))
+    per_part = out.filter(F.col("v") == "same").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(per_part) > 1 and max(r["count"] for r in per_part) < 1000
+    release()
