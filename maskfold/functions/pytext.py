@@ -35,50 +35,13 @@ def falsy(c: Column, dtype: T.DataType) -> Column:
     return c.isNull()
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` (keeps repeated uses from copying trees)."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def _java_digits(ax: Column) -> Column:
-    """``struct(d, e)``: significant digits and decimal exponent of the JVM's text of a
-    non-negative double (``1.25E7``, ``0.00125``, ``1234.5``)."""
-    sci = r"^([0-9])[.]([0-9]+)E(-?[0-9]+)$"
-    plain = r"^([0-9]+)[.]([0-9]+)$"
-
-    def parse(s: Column) -> Column:
-        whole, frac = F.regexp_extract(s, plain, 1), F.regexp_extract(s, plain, 2)
-        plain_exp = F.when(whole != F.lit("0"), F.length(whole) - 1).otherwise(
-            -(F.length(frac) - F.length(F.regexp_replace(frac, "^0+", "")) + 1)
-        )
-        is_sci = s.rlike(sci)
-        digits = F.when(
-            is_sci, F.concat(F.regexp_extract(s, sci, 1), F.regexp_extract(s, sci, 2))
-        ).otherwise(F.regexp_replace(F.concat(whole, frac), "^0+", ""))
-        exp = F.when(is_sci, F.regexp_extract(s, sci, 3).try_cast("int")).otherwise(plain_exp)
-        return F.struct(digits.alias("m"), exp.alias("e"))
-
-    return _let(ax.cast("string"), parse)
-
-
-def _rounded(ax: Column, p: int) -> Column:
-    pat = r"^([0-9])[.]([0-9]*)e([-+][0-9]+)$"
-
-    def parse(f: Column) -> Column:
-        m = F.concat(F.regexp_extract(f, pat, 1), F.regexp_extract(f, pat, 2))
-        e = F.regexp_replace(F.regexp_extract(f, pat, 3), "^[+]", "").try_cast("int")
-        return F.struct(m.alias("m"), e.alias("e"))
-
-    return _let(F.format_string(f"%.{p - 1}e", ax), parse)
-
-
-def _layout(c: Column) -> Column:
-    """Digits of Python's text for significant digits ``m`` and decimal exponent ``e``."""
-    m = F.regexp_replace(c["m"], "0+$", "")
-    e = c["e"]
+def _layout(text: Column) -> Column:
+    """Digits of Python's text for a ``%e`` text (bound once through a one-element array)."""
+    m = F.regexp_replace(F.translate(F.substring_index(text, "e", 1), ".", ""), "0+$", "")
+    e = F.substring_index(text, "e", -1).try_cast("int")
     m_len = F.length(m)
     exp_text = F.abs(e).cast("string")
-    exp_text = F.when(F.length(exp_text) < 2, F.lpad(exp_text, 2, "0")).otherwise(exp_text)
+    exp_text = F.when(F.length(exp_text) < 2, F.concat(F.lit("0"), exp_text)).otherwise(exp_text)
     return (
         F.when((e >= 16) | (e < -4), F.concat(m, exp_text))
         .when(e < 0, F.concat(F.repeat(F.lit("0"), -e), m))
@@ -90,46 +53,30 @@ def _layout(c: Column) -> Column:
 def _double_digits(x: Column) -> Column:
     """Digits of ``repr(float)``.
 
-    Python prints the shortest decimal that reads back as the same double (the closest one when
-    two qualify). Candidates, shortest first: the value rounded to 15 significant digits (exact
-    for any decimal of up to 15 digits), then for 16 and 17 digits the rounded and the cut-off
-    JVM digits; the first that parses back equal wins. From its digits ``m`` and exponent ``e``
-    rebuild Python's layout: plain for -4 <= e < 16 (``.0`` when there is no fraction), else ``m``
-    then at least two exponent digits (``1e-05``, ``1e+16``). NaN and infinity give no digits.
-    Residue: a 16-17 digit tie the JVM's own text already rounded can pick the other neighbour,
-    and subnormal doubles (below 2.2e-308) can come out longer than Python's text.
+    Python prints the shortest decimal that reads back as the same double. Round to 15, 16, then 17
+    significant digits (``%.14e`` ... ``%.16e``) and keep the first that parses back equal (15
+    digits is exact for any decimal of up to 15 digits). From that text's digits ``m`` and exponent
+    ``e`` rebuild Python's layout: plain for -4 <= e < 16 (zeros before, or zeros and ``.0``
+    after), else ``m`` and at least two exponent digits (``1e-05``, ``1e+16``). NaN and infinity
+    give no digits.
+
+    Residue: a 16-17 digit tie that the JVM's own shortest text already rounded can pick the
+    other neighbour, and subnormal doubles (below 2.2e-308) can come out longer than Python's.
     """
     ax = F.abs(x)
-
-    def value(c: Column) -> Column:
-        m = c["m"]
-        text = F.concat(
-            F.substring(m, 1, 1), F.lit("."), F.substring(m, 2, 64), F.lit("e"), c["e"].cast("string")
-        )
-        return text.try_cast("double")
-
-    def pick(j: Column) -> Column:
-        def cut(p: int) -> Column:
-            return F.struct(F.substring(j["m"], 1, p).alias("m"), j["e"].alias("e"))
-
-        cands = F.array(_rounded(ax, 15), _rounded(ax, 16), cut(16), _rounded(ax, 17), cut(17))
-        hits = F.filter(cands, lambda c: value(c) == ax)
-        return F.coalesce(F.get(hits, 0), F.get(cands, 3))
-
-    # Fast path: 15 significant digits read back equal (any double with a short text). The
-    # fixed layout of ``%.14e`` (d.dddddddddddddde+XX) is taken apart with plain substrings.
-    r15 = F.format_string("%.14e", ax)
-    fast = F.struct(
-        F.concat(F.substring(r15, 1, 1), F.substring(r15, 3, 14)).alias("m"),
-        F.regexp_replace(F.substring(r15, 18, 8), "^[+]", "").try_cast("int").alias("e"),
+    r15, r16, r17 = (F.format_string(f"%.{p - 1}e", ax) for p in (15, 16, 17))
+    text = (
+        F.when(r15.try_cast("double") == ax, r15)
+        .when(r16.try_cast("double") == ax, r16)
+        .otherwise(r17)
     )
+    digits = F.element_at(F.transform(F.array(text), _layout), 1)
     finite = ~F.isnan(x) & (ax != F.lit(float("inf")))
     return (
         F.when(x.isNull(), F.lit(None).cast("string"))
         .when(~finite, F.lit(""))
         .when(ax == F.lit(0.0), F.lit("00"))
-        .when(r15.try_cast("double") == ax, _layout(fast))
-        .otherwise(_let(_let(_java_digits(ax), pick), _layout))
+        .otherwise(digits)
     )
 
 
