@@ -95,3 +95,17 @@ def test_rule_order_read_after_write(spark):
     assert out.collect()[0].asDict() == {"ASST_ID": 15, "X": 115}
     out = scrub(df, [Rule("X", "cross", "100"), Rule("ASST_ID", "numeric", "10")])
     assert out.collect()[0].asDict() == {"ASST_ID": 15, "X": 105}
+
+
+def test_numeric_on_id_runs_before_keyed_address(spark):
+    data = spark.createDataFrame([(1, "x"), (11, "x")], "ASST_ID long, PRPTY_ADDR_LN1 string")
+    addr = spark.createDataFrame(
+        [(1, "1", "Main", "Boston", "MA", "02134"), (11, "2", "Elm", "Austin", "TX", "73301")],
+        "ASST_ID long, NUMBER string, STREET string, CITY string, REGION string, POSTCODE string",
+    )
+    # numeric is seen first: ids are shifted by 10 before the join, so 1 -> 11 meets Austin
+    out = scrub(data, [Rule("ASST_ID", "numeric", "10"), Rule("PRPTY_ADDR_LN1", "address", "")], addr)
+    assert [(r.ASST_ID, r.CITY) for r in out.collect()] == [(11, "Austin")]
+    # address seen first: the join uses the original ids, then they are shifted
+    out = scrub(data, [Rule("PRPTY_ADDR_LN1", "address", ""), Rule("ASST_ID", "numeric", "10")], addr)
+    assert sorted((r.ASST_ID, r.CITY) for r in out.collect()) == [(11, "Boston"), (21, "Austin")]
