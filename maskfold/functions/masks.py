@@ -2,7 +2,7 @@
 
 Every function returns a plain Spark ``Column``: no Python worker, whole-stage codegen intact.
 Where one bad row would stop the reference run (null amount, missing regex input, a piece index
-out of range, no digits to keep) the expression yields null for that row; ``guard`` turns the same
+out of range, no digits to keep) the expression yields null for that row; ``Masked.resolve`` turns the same
 condition into a task failure for callers that want the strict behaviour.
 """
 

@@ -109,13 +109,35 @@ def sample_exact(
     seed: int = 42,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Exactly ``min(n, count)`` rows without replacement, chosen by a seeded hash order, so the
-    same seed gives the same rows under any partitioning. The rows are those with the ``n``
-    smallest keys; the selection runs as a distributed range sort, never as a driver-side list."""
+    """Exactly ``min(n, count)`` rows without replacement: those with the ``n`` smallest seeded
+    hash keys ``md5(seed|c1|c2|...)`` (ties by the columns, then input position), so the same seed
+    gives the same rows under any partitioning.
+
+    The table is never sorted as a whole. The hash is uniform, so its first four hex digits are
+    an order-preserving bucket (65,536 of them). A histogram of buckets (partial aggregation, at
+    most 65,536 rows) finds the bucket where the running count reaches ``n``: every row below it
+    is in the sample, rows above it are not, and only that one bucket is ranked.
+    """
     cols = list(columns or df.columns)
-    h = "__mf_sample"
-    ties = [F.col(c) for c in cols] if len(cols) <= 8 else [F.xxhash64(*[F.col(c) for c in cols])]
-    ranked = dense_index(
-        df.withColumn(h, sample_key(seed, cols)), [F.col(h)] + ties, "__mf_rank", num_partitions
+    h, b, rank = "__mf_sample", "__mf_bucket", "__mf_rank"
+    keyed = df.withColumn(h, sample_key(seed, cols)).withColumn(
+        b, F.conv(F.substring(F.col(h), 1, 4), 16, 10).cast("int")
+    )
+    hist = keyed.groupBy(b).agg(F.count(F.lit(1)).alias("rows"))
+    # running count over the (at most 65,536) buckets runs in one task
+    upto = F.sum("rows").over(Window.orderBy(b))
+    edge_row = (
+        hist.withColumn("upto", upto)
+        .filter(F.col("upto") >= F.lit(n))
+        .agg(F.min_by(F.struct(F.col(b), (F.lit(n) - F.col("upto") + F.col("rows")).alias("need")), F.col(b)))
+        .collect()[0][0]
     )
-    return ranked.filter(F.col("__mf_rank") <= F.lit(n)).drop(h, "__mf_rank")
+    if edge_row is None:  # fewer than n rows in all: the whole table
+        return df
+    edge_bucket, need = edge_row[b], edge_row["need"]
+    ties = [F.col(c) for c in cols] if len(cols) <= 8 else [F.xxhash64(*[F.col(c) for c in cols])]
+    below = keyed.filter(F.col(b) < F.lit(edge_bucket))
+    edge = dense_index(
+        keyed.filter(F.col(b) == F.lit(edge_bucket)), [F.col(h)] + ties, rank, num_partitions
+    ).filter(F.col(rank) <= F.lit(need))
+    return below.drop(h, b).unionByName(edge.drop(h, b, rank))
