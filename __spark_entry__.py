@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from maskfold import Rule, ScrubOptions, preset, read_addresses, read_table, scrub, write_outputs
 from maskfold.functions.states import STATE_NAMES
-from maskfold.operators import dense_index, prepare_addresses, sample_exact
+from maskfold.operators import dense_index, map_values_join, prepare_addresses, sample_exact
 from maskfold.sources import shared_dir
 from maskfold.sources.sinks import write_one
 
@@ -199,6 +199,20 @@ def _regex(mode: str):
     return run
 
 
+def _multiple_join(spark: SparkSession, sf: str) -> DataFrame:
+    """The dictionary as a table: nation key -> nation name for nations outside region 4 (those
+    keys pass through), nation 3 mapped to null, applied to every customer."""
+    nation = (
+        _t(spark, sf, "nation")
+        .filter(F.col("n_regionkey") != 4)
+        .select(
+            F.col("n_nationkey").alias("key"),
+            F.when(F.col("n_nationkey") == 3, F.lit(None)).otherwise(F.col("n_name")).alias("value"),
+        )
+    )
+    return map_values_join(_t(spark, sf, "customer"), "c_nationkey", nation)
+
+
 def _drop_audit(spark: SparkSession, sf: str) -> DataFrame:
     o = _t(spark, sf, "orders").withColumns(
         {
@@ -318,6 +332,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "customer",
             [Rule("c_nationkey", "multiple", "{0: 'zero', 1: 1.5, 2.0: 'two', '3': 'three'}")],
         ),
+        "scrub_multiple_join": _multiple_join,
         "scrub_choice": _one(
             "customer", [Rule("c_mktsegment", "multiple", "SEG")], ScrubOptions(multiple="choice")
         ),
@@ -508,6 +523,7 @@ def oracle_sql() -> dict[str, str]:
         "scrub_cross": "SELECT o_orderkey, o_orderkey + 500 AS o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "scrub_multiple": "SELECT o_orderkey, o_custkey, CASE o_orderstatus WHEN 'F' THEN 'Filled' WHEN 'O' THEN NULL ELSE o_orderstatus END AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "scrub_multiple_numeric": "SELECT c_custkey, c_name, CASE c_nationkey WHEN 0 THEN 'zero' WHEN 1 THEN '1.5' WHEN 2 THEN 'two' ELSE CAST(c_nationkey AS VARCHAR) END AS c_nationkey, c_acctbal, c_mktsegment FROM customer",
+        "scrub_multiple_join": "SELECT c_custkey, c_name, CASE WHEN n.n_nationkey IS NULL THEN CAST(c.c_nationkey AS VARCHAR) WHEN n.n_nationkey = 3 THEN NULL ELSE n.n_name END AS c_nationkey, c_acctbal, c_mktsegment FROM customer c LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 4) n ON c.c_nationkey = n.n_nationkey",
         "scrub_choice": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'SEG123' AS c_mktsegment FROM customer",
         "scrub_fix": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'ANYSEG' AS c_mktsegment FROM customer",
         "scrub_fix_commas": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'a b c' AS c_mktsegment FROM customer",

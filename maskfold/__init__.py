@@ -9,6 +9,7 @@ from maskfold.plans import (
     load_rules,
     preset,
     scrub,
+    validate,
     violations_frame,
 )
 from maskfold.plans.job import run_job
@@ -26,6 +27,7 @@ __all__ = [
     "read_table",
     "run_job",
     "scrub",
+    "validate",
     "violations_frame",
     "write_outputs",
 ]

@@ -9,6 +9,7 @@ from maskfold.operators.address import (
 from maskfold.operators.audit import drop_audit
 from maskfold.operators.index import dense_index, release, sample_exact, sample_key, total_order
 from maskfold.operators.joins import at_most, bounded_broadcast
+from maskfold.operators.mapping import map_values_join
 
 __all__ = [
     "ADDRESS_FIELDS",
@@ -16,6 +17,7 @@ __all__ = [
     "bounded_broadcast",
     "dense_index",
     "drop_audit",
+    "map_values_join",
     "prepare_addresses",
     "release",
     "replace_keyed",

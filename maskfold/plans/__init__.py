@@ -1,6 +1,6 @@
 """Rule planning: rule table, options and the scrub engine."""
 
-from maskfold.plans.engine import rule_expression, scrub
+from maskfold.plans.engine import rule_expression, scrub, validate
 from maskfold.plans.options import AUDIT_COLUMNS, PRESETS, AddressColumns, ScrubOptions, preset
 from maskfold.plans.rules import (
     RULE_TYPES,
@@ -28,5 +28,6 @@ __all__ = [
     "preset",
     "rule_expression",
     "scrub",
+    "validate",
     "violations_frame",
 ]

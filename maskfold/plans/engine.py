@@ -24,6 +24,7 @@ from maskfold.plans.rules import (
     parse_int,
     parse_mapping,
     parse_piece,
+    violations_frame,
 )
 
 
@@ -80,6 +81,15 @@ def apply_address(df: DataFrame, addresses: DataFrame | None, o: ScrubOptions) -
     return replace_sampled(df, prepare_addresses(addresses, o), o)
 
 
+def validate(df: DataFrame, rules, options: ScrubOptions | None = None) -> DataFrame:
+    """The run report for a rule set against ``df`` (after the audit drop) as a small DataFrame
+    ``(check, column, type, message)``; empty means the rules are valid. No data job runs."""
+    o = options or ScrubOptions()
+    spark = df.sparkSession
+    rule_list = load_rules(rules, spark)
+    return violations_frame(spark, check_rules(drop_audit(df, o.audit_cols).columns, rule_list, o))
+
+
 def scrub(
     df: DataFrame,
     rules,

@@ -154,3 +154,15 @@ def test_on_error_fail_raises(spark):
         out.collect()
     ok = scrub(df.withColumn("t", F.lit("x")), [Rule("t", "single", "s-1")])
     assert sorted(r.t or "" for r in ok.collect()) == ["", "b"]
+
+
+def test_map_values_join_matches_literal_map(spark):
+    from maskfold.operators import map_values_join
+
+    df = spark.createDataFrame([("A",), ("N",), ("Z",), (None,)], "s string")
+    mapping = spark.createDataFrame([("A", "Alpha"), ("N", None)], "key string, value string")
+    got = [r.s for r in map_values_join(df, "s", mapping).collect()]
+    want = _apply(spark, ["A", "N", "Z", None], T.StringType(), lambda c, t: masks.map_values(c, t, {"A": "Alpha", "N": None}))
+    assert sorted(got, key=str) == sorted(want, key=str)
+    big = map_values_join(df, "s", mapping, broadcast_rows=0)
+    assert sorted((r.s for r in big.collect()), key=str) == sorted(want, key=str)

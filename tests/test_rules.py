@@ -109,3 +109,12 @@ def test_numeric_on_id_runs_before_keyed_address(spark):
     # address seen first: the join uses the original ids, then they are shifted
     out = scrub(data, [Rule("PRPTY_ADDR_LN1", "address", ""), Rule("ASST_ID", "numeric", "10")], addr)
     assert sorted((r.ASST_ID, r.CITY) for r in out.collect()) == [(11, "Boston"), (21, "Austin")]
+
+
+def test_validate_returns_report_frame(spark):
+    from maskfold import validate
+
+    df = spark.createDataFrame([("x",)], "A string")
+    assert validate(df, [Rule("A", "fix", "y")]).count() == 0
+    bad = validate(df, [Rule("B", "fix", "y"), Rule("A", "Fix", "y")]).collect()
+    assert {r.check for r in bad} == {"column", "type"}
