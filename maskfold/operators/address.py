@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskfold.functions.states import state_name
-from maskfold.operators.index import dense_index, sample_exact, total_order
+from maskfold.operators.index import dense_index, row_hash, sample_exact, total_order
 from maskfold.operators.joins import bounded_broadcast
 from maskfold.plans.options import ScrubOptions
 
@@ -16,6 +16,8 @@ from maskfold.plans.options import ScrubOptions
 ADDRESS_FIELDS = ("NEW_CITY", "REGION", "POSTCODE", "ADDR_LN_1", "ADDR_LN_2")
 _A = "__mf_address"
 _J = "join_index"
+_SEQ = "__mf_row"
+_H = "__mf_hash"
 
 
 def prepare_addresses(
@@ -79,27 +81,46 @@ def replace_keyed(df: DataFrame, prepared: DataFrame, options: ScrubOptions | No
     return _overwrite(df.join(side, on=key, how=o.address_how), o)
 
 
+def _has_shuffle(df: DataFrame) -> bool:
+    """Whether the frame's physical plan already contains an exchange (its row layout can then
+    differ between two evaluations). Planning only; nothing runs."""
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def replace_sampled(df: DataFrame, prepared: DataFrame, options: ScrubOptions | None = None) -> DataFrame:
     """Give the i-th data row by the order column the i-th address, by city, of a seeded exact
     sample (without replacement) of as many pool rows as there are data rows.
 
-    Both numberings are distributed dense indexes; the pairing is an equi-join on the index. A
-    pool smaller than the data fails the job, as the reference's sampler does.
+    The data is numbered on a narrow key frame only (order column, row hash, input position), the
+    numbers are paired with the sampled addresses (n rows each side), and the pairs join the full
+    data once on input position: one shuffle of the wide table, nothing wide persisted. Input
+    position is stable when the data is files plus row-wise steps; a frame whose plan already
+    shuffles is instead numbered whole (range sort of the wide rows, persisted). A data row left
+    without an address fails the job, as the reference's sampler does when the pool is too small.
     """
     o = options or ScrubOptions()
     n = df.count()
     fields = list(ADDRESS_FIELDS)
-    pool = prepared.select(*fields)
-    chosen = sample_exact(pool, n, fields, o.seed)
-    chosen = dense_index(chosen, fields, _J)
-    data = dense_index(df, total_order(df, [o.order_col]), _J)
-    payload = chosen.select(_J, F.struct(*fields).alias(_A))
-    # the sample has at most n rows (n was counted above): the size bound needs no extra job
-    side = F.broadcast(payload) if n <= o.broadcast_rows else payload
-    joined = data.join(side, on=_J, how="left").withColumn(
+    chosen = sample_exact(prepared.select(*fields), n, fields, o.seed)
+    addresses = dense_index(chosen, fields, _J).select(_J, F.struct(*fields).alias(_A))
+    small = n <= o.broadcast_rows  # both sides have at most n rows: a proven bound
+    if _has_shuffle(df):
+        data = dense_index(df, total_order(df, [o.order_col]), _J)
+        side = F.broadcast(addresses) if small else addresses
+        joined = data.join(side, on=_J, how="left")
+        drop = [_J]
+    else:
+        data = df.withColumn(_SEQ, F.monotonically_increasing_id())
+        keys = data.select(F.col(o.order_col), row_hash(df).alias(_H), F.col(_SEQ))
+        ranks = dense_index(keys, [F.col(o.order_col), F.col(_H), F.col(_SEQ)], _J)
+        pairs = ranks.select(_SEQ, _J).join(F.broadcast(addresses) if small else addresses, _J)
+        pairs = pairs.select(_SEQ, _A)
+        joined = data.join(F.broadcast(pairs) if small else pairs, on=_SEQ, how="left")
+        drop = [_SEQ]
+    joined = joined.withColumn(
         _A,
         F.when(
             F.col(_A).isNull(), F.raise_error(F.lit("address pool has fewer rows than the data"))
         ).otherwise(F.col(_A)),
     )
-    return _overwrite(joined, o).drop(_J)
+    return _overwrite(joined, o).drop(*drop)
