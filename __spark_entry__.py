@@ -40,7 +40,8 @@ def _s(col: str | Column) -> Column:
 
 
 def _code(nation: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(c) for c in NATION_CODES]), nation + F.lit(1))
+    codes = F.expr("array(" + ", ".join(f"'{c}'" for c in NATION_CODES) + ")")
+    return F.element_at(codes, nation + F.lit(1))
 
 
 # ---------------------------------------------------------------- derived inputs (Spark side)

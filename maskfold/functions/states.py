@@ -70,8 +70,18 @@ STATE_NAMES: dict[str, str] = {
 }
 
 
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_STATE_MAP_SQL = "map(" + ", ".join(
+    _sql_text(x) for x in itertools.chain.from_iterable(STATE_NAMES.items())
+) + ")"
+
+
 def state_map() -> Column:
-    return F.create_map(*[F.lit(x) for x in itertools.chain.from_iterable(STATE_NAMES.items())])
+    """The lookup as one literal map (built from SQL text in a single call to the JVM)."""
+    return F.expr(_STATE_MAP_SQL)
 
 
 def state_name(code: Column | str) -> Column:
