@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Reads no more than ``max_rows + 1`` rows:
-    a large side stops the scan early instead of being counted in full."""
+    """True when ``df`` has at most ``max_rows`` rows: one job in which each partition stops after
+    ``max_rows + 1`` rows and reads only the columns its filters need. On a large side that is one
+    light pass over it; no rows reach the driver."""
     if max_rows <= 0:
         return False
     return df.limit(max_rows + 1).count() <= max_rows
