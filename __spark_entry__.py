@@ -17,7 +17,13 @@ from pyspark.sql import functions as F
 
 from maskfold import Rule, ScrubOptions, preset, read_addresses, read_table, scrub, write_outputs
 from maskfold.functions.states import STATE_NAMES
-from maskfold.operators import dense_index, map_values_join, prepare_addresses, sample_exact
+from maskfold.operators import (
+    address_report,
+    dense_index,
+    map_values_join,
+    prepare_addresses,
+    sample_exact,
+)
 from maskfold.sources import shared_dir
 from maskfold.sources.sinks import write_one
 
@@ -242,6 +248,12 @@ def _address_keyed(how: str):
     return run
 
 
+def _address_report(spark: SparkSession, sf: str) -> DataFrame:
+    o = ScrubOptions()
+    prepared = prepare_addresses(address_map(spark, sf), o, key=o.id_col)
+    return address_report(asset_orders(spark, sf), prepared, o)
+
+
 def _address_sampled(spark: SparkSession, sf: str) -> DataFrame:
     return scrub(
         asset_suppliers(spark, sf),
@@ -356,6 +368,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "address_filter": _address_filter,
         "address_keyed": _address_keyed("inner"),
         "address_keyed_left": _address_keyed("left"),
+        "address_report": _address_report,
         "address_sampled": _address_sampled,
         "state_name": _state_name,
         "rule_order": _rule_order,
@@ -535,6 +548,13 @@ def oracle_sql() -> dict[str, str]:
         "address_filter": _SAMPLE_PREP,
         "address_keyed": _keyed_sql(""),
         "address_keyed_left": _keyed_sql("LEFT"),
+        "address_report": f"""
+WITH a AS ({_ASSET_SQL}), c AS (SELECT ASST_ID, count(*) AS copies FROM ({_KEYED_PREP}) p GROUP BY ASST_ID)
+SELECT count(*) AS data_rows, count(*) FILTER (WHERE c.copies IS NULL) AS unmatched_rows,
+       CAST(sum(CASE WHEN c.copies > 1 THEN c.copies - 1 ELSE 0 END) AS BIGINT) AS extra_rows,
+       CAST(sum(coalesce(c.copies, 0)) AS BIGINT) AS output_rows
+FROM a LEFT JOIN c ON a.ASST_ID = c.ASST_ID
+""",
         "address_sampled": _sampled_sql(),
         "state_name": f"SELECT n_nationkey, n_name, n_regionkey, ({_CODES_SQL})[n_nationkey + 1] AS STAT, {_STATE_CASE.format(x=f'({_CODES_SQL})[n_nationkey + 1]')} AS STAT_CD_DESC FROM nation",
         "rule_order": "SELECT CASE WHEN o_orderkey = 0 THEN NULL ELSE o_orderkey + 1000 END AS o_orderkey, CASE WHEN o_orderkey = 0 THEN NULL ELSE o_orderkey + 1500 END AS o_custkey, 'X' AS o_orderstatus, CASE WHEN o_totalprice = 0 THEN NULL ELSE CAST(CAST(regexp_replace(CAST(o_totalprice AS VARCHAR), '[^0-9]', '', 'g') AS DOUBLE) AS BIGINT) END AS o_totalprice, o_orderdate, o_orderpriority FROM orders",

@@ -2,6 +2,7 @@
 
 from maskfold.operators.address import (
     ADDRESS_FIELDS,
+    address_report,
     prepare_addresses,
     replace_keyed,
     replace_sampled,
@@ -13,6 +14,7 @@ from maskfold.operators.mapping import map_values_join
 
 __all__ = [
     "ADDRESS_FIELDS",
+    "address_report",
     "at_most",
     "bounded_broadcast",
     "dense_index",

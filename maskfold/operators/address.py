@@ -124,3 +124,22 @@ def replace_sampled(df: DataFrame, prepared: DataFrame, options: ScrubOptions |
         ).otherwise(F.col(_A)),
     )
     return _overwrite(joined, o).drop(*drop)
+
+
+def address_report(df: DataFrame, prepared: DataFrame, options: ScrubOptions | None = None) -> DataFrame:
+    """What the keyed join does to the row count, as one row: ``data_rows``; ``unmatched_rows``
+    (no usable address: dropped by the inner join, null addresses in the left form);
+    ``extra_rows`` (added because an id has more than one address); ``output_rows`` of the inner
+    join. The address side is pre-aggregated to one row per id before it meets the data."""
+    o = options or ScrubOptions()
+    key = o.id_col
+    copies = prepared.groupBy(F.col(key)).agg(F.count(F.lit(1)).alias("__mf_copies"))
+    side = bounded_broadcast(copies, o.broadcast_rows)
+    c = F.col("__mf_copies")
+    joined = df.select(F.col(key)).join(side, on=key, how="left")
+    return joined.agg(
+        F.count(F.lit(1)).alias("data_rows"),
+        F.count_if(c.isNull()).alias("unmatched_rows"),
+        F.sum(F.when(c > 1, c - 1).otherwise(F.lit(0))).cast("bigint").alias("extra_rows"),
+        F.sum(F.coalesce(c, F.lit(0))).cast("bigint").alias("output_rows"),
+    )

@@ -124,3 +124,17 @@ def test_dense_index_spreads_copies(spark):
     per_part = out.filter(F.col("v") == "same").groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(per_part) > 1 and max(r["count"] for r in per_part) < 1000
     release()
+
+
+def test_address_report_matches_joins(spark):
+    from maskfold.operators import address_report
+
+    o = ScrubOptions()
+    data = E.asset_orders(spark, SF_SMALL)
+    addr = E.address_map(spark, SF_SMALL)
+    r = address_report(data, prepare_addresses(addr, o, key=o.id_col), o).collect()[0]
+    rules = [Rule("PRPTY_ADDR_LN1", "address", "x")]
+    inner = scrub(data, rules, addr).count()
+    left = scrub(data, rules, addr, ScrubOptions(address_how="left")).count()
+    assert r.output_rows == inner and r.output_rows + r.unmatched_rows == left
+    assert r.data_rows == data.count() and r.extra_rows > 0 and r.unmatched_rows > 0
