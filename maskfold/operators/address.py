@@ -110,17 +110,22 @@ def replace_sampled(df: DataFrame, prepared: DataFrame, options: ScrubOptions |
         joined = data.join(side, on=_J, how="left")
         drop = [_J]
     else:
-        data = df.withColumn(_SEQ, F.monotonically_increasing_id())
-        keys = data.select(F.col(o.order_col), row_hash(df).alias(_H), F.col(_SEQ))
+        data = df.withColumn(_SEQ, F.monotonically_increasing_id()).withColumn(_H, row_hash(df))
+        keys = data.select(F.col(o.order_col), F.col(_H), F.col(_SEQ))
         ranks = dense_index(keys, [F.col(o.order_col), F.col(_H), F.col(_SEQ)], _J)
-        pairs = ranks.select(_SEQ, _J).join(F.broadcast(addresses) if small else addresses, _J)
-        pairs = pairs.select(_SEQ, _A)
-        joined = data.join(F.broadcast(pairs) if small else pairs, on=_SEQ, how="left")
-        drop = [_SEQ]
+        pairs = ranks.select(_SEQ, _H, _J).join(F.broadcast(addresses) if small else addresses, _J)
+        pairs = pairs.select(_SEQ, _H, _A)
+        # joining on the row hash too: a row that moved between the two reads finds no pair and
+        # fails the job below instead of taking another row's address
+        joined = data.join(F.broadcast(pairs) if small else pairs, on=[_SEQ, _H], how="left")
+        drop = [_SEQ, _H]
     joined = joined.withColumn(
         _A,
         F.when(
-            F.col(_A).isNull(), F.raise_error(F.lit("address pool has fewer rows than the data"))
+            F.col(_A).isNull(),
+            F.raise_error(
+                F.lit("address pool has fewer rows than the data, or the data changed between reads")
+            ),
         ).otherwise(F.col(_A)),
     )
     return _overwrite(joined, o).drop(*drop)
