@@ -76,6 +76,13 @@ def rule_expression(rule: Rule, frame: DataFrame | dict, o: ScrubOptions) -> Col
 def apply_address(df: DataFrame, addresses: DataFrame | None, o: ScrubOptions) -> DataFrame:
     if addresses is None:
         raise ValueError("an address rule needs an address table")
+    c = o.columns
+    needed = [c.number, c.street, c.city, c.region, c.postcode]
+    needed += [c.unit] if o.include_unit else []
+    needed += [o.id_col] if o.address == "keyed" else []
+    missing = [name for name in needed if name not in addresses.columns]
+    if missing:
+        raise ValueError(f"address table lacks column(s) {missing}")
     if o.address == "keyed":
         return replace_keyed(df, prepare_addresses(addresses, o, key=o.id_col), o)
     return replace_sampled(df, prepare_addresses(addresses, o), o)

@@ -138,3 +138,10 @@ def test_address_report_matches_joins(spark):
     left = scrub(data, rules, addr, ScrubOptions(address_how="left")).count()
     assert r.output_rows == inner and r.output_rows + r.unmatched_rows == left
     assert r.data_rows == data.count() and r.extra_rows > 0 and r.unmatched_rows > 0
+
+
+def test_address_table_missing_columns_is_refused(spark):
+    data = spark.createDataFrame([(1, "x")], "ASST_ID long, PRPTY_ADDR_LN1 string")
+    addr = spark.createDataFrame([(1, "Main")], "ASST_ID long, STREET string")
+    with pytest.raises(ValueError, match="lacks column"):
+        scrub(data, [Rule("PRPTY_ADDR_LN1", "address", "")], addr)
