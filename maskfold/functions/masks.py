@@ -171,16 +171,20 @@ def regex_reverse(
     """Account rewrite: first ``(digits)-(digits)`` match; first group minus ``shift``, whose first
     character stays and the rest is reversed; then the rule value, then the second group.
 
-    Text around the match is dropped; no match gives the rule value alone. The shared parts are
+    Text around the match is dropped; no match gives the rule value alone; a first group that is
+    not all digits (possible with a custom pattern) is kept as it is. The shared parts are
     unconditional so Spark evaluates each regex group once per row.
     """
     txt = _text(c, dtype)
     pre = F.regexp_extract(txt, pattern, 1)
     post = F.regexp_extract(txt, pattern, 2)
     d = _minus(pre, shift)
-    head = F.concat(F.substring(d, 1, 1), F.reverse(F.substring(d, 2, 2147483647)))
-    # no match: pre is '' and d is null -> empty head; a match too long for decimal(38) -> null
-    head = F.coalesce(head, F.when(pre == F.lit(""), F.lit("")))
+    rewritten = F.concat(F.substring(d, 1, 1), F.reverse(F.substring(d, 2, 2147483647)))
+    if pattern == ACCOUNT_PATTERN:
+        # group 1 is digits or '' (no match -> d null -> empty head); beyond decimal(38) -> null
+        head = F.coalesce(rewritten, F.when(pre == F.lit(""), F.lit("")))
+    else:
+        head = F.when(pre.rlike("^[0-9]+$"), rewritten).otherwise(pre)
     out = F.concat(head, F.lit(value), post)
     return Masked(out, c.isNull() | (txt.isNotNull() & out.isNull()))
 

@@ -166,3 +166,13 @@ def test_map_values_join_matches_literal_map(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
     big = map_values_join(df, "s", mapping, broadcast_rows=0)
     assert sorted((r.s for r in big.collect()), key=str) == sorted(want, key=str)
+
+
+def test_regex_reverse_custom_pattern_keeps_non_digit_group(spark):
+    got = _apply(
+        spark,
+        ["AB-12", "4567-8", "x"],
+        T.StringType(),
+        lambda c, t: masks.regex_reverse(c, t, "#", pattern=r"(\w+)-(\d+)"),
+    )
+    assert got == ["AB#12", "4444#8", "#"]
