@@ -37,7 +37,7 @@ def main(argv: list[str] | None = None) -> int:
         for v in e.violations:
             print(f"{v.check}\t{v.column}\t{v.type}\t{v.message}", file=sys.stderr)
         return 2
-    except ValueError as e:
+    except (ValueError, FileNotFoundError) as e:
         print(str(e), file=sys.stderr)
         return 2
     print(msg)

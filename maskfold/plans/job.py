@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from maskfold.plans.engine import scrub
 from maskfold.plans.options import ScrubOptions
-from maskfold.plans.rules import MSG_SUCCESS, RuleViolationError, load_rules, violations_frame
+from maskfold.plans.rules import (
+    MSG_DATA_FILE,
+    MSG_RULE_FILE,
+    MSG_SUCCESS,
+    RuleViolationError,
+    load_rules,
+    violations_frame,
+)
 from maskfold.sources.readers import read_addresses, read_table
 from maskfold.sources.sinks import FORMATS, write_outputs
 
@@ -26,8 +34,14 @@ def run_job(
     under ``output_dir``. Returns ``(message, report)``: the reference's success message and an
     empty report, or raises ``RuleViolationError`` (its ``violations`` are the report rows) before
     any output is replaced."""
-    df = read_table(spark, input_path, schema=schema)
-    rules = load_rules(rules_path, spark)
+    try:
+        rules = load_rules(rules_path, spark)
+    except AnalysisException as e:
+        raise FileNotFoundError(MSG_RULE_FILE) from e
+    try:
+        df = read_table(spark, input_path, schema=schema)
+    except AnalysisException as e:
+        raise FileNotFoundError(MSG_DATA_FILE) from e
     addresses = read_addresses(spark, address_path) if address_path else None
     out = scrub(df, rules, addresses, options)
     write_outputs(out, output_dir, formats, single_file=single_file)

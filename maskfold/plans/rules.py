@@ -29,6 +29,14 @@ MSG_TYPES = (
     "replace file are incorrect. Please check the replace file contents!!!!"
 )
 MSG_FORMAT = " User input error. Data file needs to be in .txt or .csv format only!!!!"
+MSG_DATA_FILE = (
+    "User input error. Data file mentioned is not available. Please check the name and re-run the "
+    "script!!!!"
+)
+MSG_RULE_FILE = (
+    "User input error. Replace file mentioned is not available. Please check the name and re-run "
+    "the script!!!!"
+)
 MSG_SUCCESS = "Scrubbing process successfully completed"
 
 RULE_SCHEMA = T.StructType(

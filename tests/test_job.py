@@ -58,3 +58,14 @@ def test_cli(spark, tmp_out):
     p = _files(tmp_out)
     assert main([p["data.txt"], p["addr.csv"], p["rules.csv"], f"{tmp_out}/cli"]) == 0
     assert main([f"{tmp_out}/data.json", p["addr.csv"], p["rules.csv"], f"{tmp_out}/cli2"]) == 2
+
+
+def test_missing_files_give_reference_messages(spark, tmp_out):
+    from maskfold.plans.rules import MSG_DATA_FILE, MSG_RULE_FILE
+
+    p = _files(tmp_out)
+    with pytest.raises(FileNotFoundError, match="Replace file mentioned is not available"):
+        run_job(spark, p["data.txt"], f"{tmp_out}/nope.csv", f"{tmp_out}/o1", p["addr.csv"])
+    with pytest.raises(FileNotFoundError, match="Data file mentioned is not available"):
+        run_job(spark, f"{tmp_out}/nope.txt", p["rules.csv"], f"{tmp_out}/o2", p["addr.csv"])
+    assert MSG_DATA_FILE != MSG_RULE_FILE
