@@ -8,24 +8,36 @@ no code. Column names match on both sides.
 
 from __future__ import annotations
 
+import os
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))  # the package sits next to this file
+
+from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F
 
-from maskfold import Rule, ScrubOptions, preset, read_addresses, read_table, scrub, write_outputs
-from maskfold.functions.states import STATE_NAMES
-from maskfold.operators import (
+from maskfold import (  # noqa: E402
+    Rule,
+    ScrubOptions,
+    preset,
+    read_addresses,
+    read_table,
+    scrub,
+    write_outputs,
+)
+from maskfold.functions.states import STATE_NAMES  # noqa: E402
+from maskfold.operators import (  # noqa: E402
     address_report,
     dense_index,
     map_values_join,
     prepare_addresses,
     sample_exact,
 )
-from maskfold.sources import shared_dir
-from maskfold.sources.sinks import write_one
+from maskfold.sources import shared_dir  # noqa: E402
+from maskfold.sources.sinks import write_one  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 

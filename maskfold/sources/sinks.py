@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -43,9 +44,19 @@ def write_outputs(
 
     The scrub plan runs once: with Parquet among the formats it is written first and the text
     formats are re-read from it (a lineage cut in shared storage that survives lost executors);
-    otherwise the result is persisted for the duration of the writes. Existing output is replaced
-    only now, after the rules were validated.
+    otherwise the result is persisted, filled by the first write, for the others. The remaining
+    writes are independent jobs and run concurrently. Existing output is replaced only now, after
+    the rules were validated.
     """
+
+    def write_rest(src: DataFrame, rest: list[str]) -> None:
+        if not rest:
+            return
+        with ThreadPoolExecutor(max_workers=len(rest)) as pool:
+            futures = [pool.submit(write_one, src, f, paths[f], single_file, mode) for f in rest]
+            for fut in futures:
+                fut.result()
+
     formats = list(dict.fromkeys(formats))
     for fmt in formats:
         if fmt not in FORMATS:
@@ -58,14 +69,12 @@ def write_outputs(
         elif "parquet" in formats:
             write_one(df, "parquet", paths["parquet"], single_file, mode)
             written = df.sparkSession.read.parquet(paths["parquet"])
-            for fmt in formats:
-                if fmt != "parquet":
-                    write_one(written, fmt, paths[fmt], single_file, mode)
+            write_rest(written, [f for f in formats if f != "parquet"])
         else:
             held = df.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                for fmt in formats:
-                    write_one(held, fmt, paths[fmt], single_file, mode)
+                write_one(held, formats[0], paths[formats[0]], single_file, mode)
+                write_rest(held, formats[1:])
             finally:
                 held.unpersist()
     finally:
