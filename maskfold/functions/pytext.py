@@ -86,8 +86,17 @@ def python_digits(c: Column, dtype: T.DataType) -> Column:
         return F.regexp_replace(c, "[^0-9]", "")
     if isinstance(dtype, FRACTIONAL):
         return _double_digits(c.cast("double"))
-    if isinstance(dtype, INTEGRAL + (T.DecimalType,)):
+    if isinstance(dtype, INTEGRAL):
         return F.regexp_replace(c.cast("string"), "[^0-9]", "")
+    if isinstance(dtype, T.DecimalType):
+        # Python prints a decimal below 1e-6 with an exponent (0.00000010 -> 1.0E-7): all digits
+        # of the unscaled value, then the exponent's digits; otherwise the plain text
+        plain = F.regexp_replace(c.cast("string"), "[^0-9]", "")
+        unscaled = F.regexp_replace(plain, "^0+", "")
+        adjusted = F.length(unscaled) - 1 - F.lit(dtype.scale)
+        return F.when(
+            (unscaled != F.lit("")) & (adjusted < -6), F.concat(unscaled, (-adjusted).cast("string"))
+        ).otherwise(plain)
     if isinstance(dtype, T.DateType):
         return F.date_format(c, "yyyyMMdd")
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):

@@ -176,3 +176,13 @@ def test_regex_reverse_custom_pattern_keeps_non_digit_group(spark):
         lambda c, t: masks.regex_reverse(c, t, "#", pattern=r"(\w+)-(\d+)"),
     )
     assert got == ["AB#12", "4444#8", "#"]
+
+
+def test_python_digits_decimal(spark):
+    from decimal import Decimal
+
+    vals = [Decimal("12.50000000"), Decimal("0.00000010"), Decimal("0.00000100"), Decimal("-3.00000001"),
+            Decimal("0.00000001"), Decimal("123456789.12345678")]
+    df = spark.createDataFrame([(v,) for v in vals], "x decimal(18,8)")
+    got = [r[0] for r in df.select(python_digits(F.col("x"), T.DecimalType(18, 8))).collect()]
+    assert got == ["".join(ch for ch in str(v) if ch.isdigit()) for v in vals]
