@@ -156,6 +156,9 @@ def accounts(spark: SparkSession, sf: str) -> DataFrame:
     return li.withColumn("ACCT_NUM", acct)
 
 
+# a dictionary too large to search key by key in every row: the engine joins it as a table
+LARGE_MAPPING = "{" + ", ".join(f"{k}: 'C{k}'" for k in range(0, 200, 2)) + "}"
+
 FULL_RULES = [
     Rule("LOAN_NUM", "numeric", "1000"),
     Rule("BAL_AMT", "amount", "1.1"),
@@ -358,6 +361,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             [Rule("c_nationkey", "multiple", "{0: 'zero', 1: 1.5, 2.0: 'two', '3': 'three'}")],
         ),
         "scrub_multiple_join": _multiple_join,
+        "scrub_multiple_large": _one("orders", [Rule("o_custkey", "multiple", LARGE_MAPPING)]),
         "scrub_choice": _one(
             "customer", [Rule("c_mktsegment", "multiple", "SEG")], ScrubOptions(multiple="choice")
         ),
@@ -550,6 +554,7 @@ def oracle_sql() -> dict[str, str]:
         "scrub_multiple": "SELECT o_orderkey, o_custkey, CASE o_orderstatus WHEN 'F' THEN 'Filled' WHEN 'O' THEN NULL ELSE o_orderstatus END AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "scrub_multiple_numeric": "SELECT c_custkey, c_name, CASE c_nationkey WHEN 0 THEN 'zero' WHEN 1 THEN '1.5' WHEN 2 THEN 'two' ELSE CAST(c_nationkey AS VARCHAR) END AS c_nationkey, c_acctbal, c_mktsegment FROM customer",
         "scrub_multiple_join": "SELECT c_custkey, c_name, CASE WHEN n.n_nationkey IS NULL THEN CAST(c.c_nationkey AS VARCHAR) WHEN n.n_nationkey = 3 THEN NULL ELSE n.n_name END AS c_nationkey, c_acctbal, c_mktsegment FROM customer c LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 4) n ON c.c_nationkey = n.n_nationkey",
+        "scrub_multiple_large": "SELECT o_orderkey, CASE WHEN o_custkey < 200 AND o_custkey % 2 = 0 THEN 'C' || CAST(o_custkey AS VARCHAR) ELSE CAST(o_custkey AS VARCHAR) END AS o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "scrub_choice": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'SEG123' AS c_mktsegment FROM customer",
         "scrub_fix": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'ANYSEG' AS c_mktsegment FROM customer",
         "scrub_fix_commas": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'a b c' AS c_mktsegment FROM customer",

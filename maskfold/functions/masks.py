@@ -87,16 +87,22 @@ def cross_shift(id_col: Column, start: int) -> Masked:
 
 
 def _value_text(v) -> Column:
+    """Literal of a mapped value as a string result carries it (doubles in the JVM's text)."""
+    if isinstance(v, float):
+        return F.lit(v).cast("string")
+    return F.lit(value_text(v)).cast("string")
+
+
+def value_text(v) -> str | None:
+    """Driver-side text of a non-float mapped value (floats are printed by Spark)."""
     if v is None:
-        return F.lit(None).cast("string")
+        return None
     if isinstance(v, bool):
-        return F.lit("true" if v else "false")
-    if isinstance(v, float):
-        return F.lit(v).cast("string")  # the JVM's text of a double, as a string result gets it
-    return F.lit(str(v))
+        return "true" if v else "false"
+    return str(v)
 
 
-def _typed_keys(mapping: Mapping, dtype: T.DataType) -> tuple[str, dict]:
+def typed_keys(mapping: Mapping, dtype: T.DataType) -> tuple[str, dict]:
     """Keys that can equal a value of this column type, in the type Spark compares them with."""
     if is_string(dtype):
         return "string", {k: v for k, v in mapping.items() if isinstance(k, str)}
@@ -123,7 +129,7 @@ def map_values(c: Column, dtype: T.DataType, mapping: Mapping) -> Masked:
     Keys match by type as in a Python dict: text keys only text columns, numeric keys only
     numeric columns. The result column is a string.
     """
-    key_type, keys = _typed_keys(mapping, dtype)
+    key_type, keys = typed_keys(mapping, dtype)
     text = c.cast("string")
     if not keys:
         return Masked(text)

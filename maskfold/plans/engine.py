@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from maskfold.functions import masks
 from maskfold.operators.address import prepare_addresses, replace_keyed, replace_sampled
 from maskfold.operators.audit import drop_audit
+from maskfold.operators.mapping import map_values_join
 from maskfold.plans.options import ScrubOptions
 from maskfold.plans.rules import (
     Rule,
@@ -28,6 +29,29 @@ from maskfold.plans.rules import (
 )
 
 
+# A literal map is searched key by key for every row; beyond this many keys the dictionary becomes a
+# small table joined by hash instead.
+LITERAL_MAP_MAX = 64
+
+
+def large_mapping(rule: Rule, o: ScrubOptions) -> bool:
+    return rule.type == "multiple" and o.multiple == "map" and len(parse_mapping(rule.value)) > LITERAL_MAP_MAX
+
+
+def map_by_join(df: DataFrame, rule: Rule, dtype, o: ScrubOptions) -> DataFrame:
+    """The ``multiple`` rule for a large dictionary: the typed keys as a table, then a join."""
+    key_type, keys = masks.typed_keys(parse_mapping(rule.value), dtype)
+    if not keys:
+        return df.withColumn(rule.column, F.col(rule.column).cast("string"))
+    rows = [
+        (k, None if isinstance(v, float) or v is None else masks.value_text(v), v if isinstance(v, float) else None)
+        for k, v in keys.items()
+    ]
+    table = df.sparkSession.createDataFrame(rows, f"key {key_type}, text string, number double")
+    table = table.select("key", F.coalesce("text", F.col("number").cast("string")).alias("value"))
+    return map_values_join(df, rule.column, table, broadcast_rows=o.broadcast_rows)
+
+
 def reads_of(rule: Rule, o: ScrubOptions) -> set[str]:
     """Columns a rule's expression reads."""
     if rule.type == "fix" or (rule.type == "numeric" and o.numeric == "sequence"):
@@ -130,6 +154,12 @@ def scrub(
             types = {f.name: f.dataType for f in df.schema.fields}
             address_done = True
             continue
+        if large_mapping(rule, o):
+            if batch:
+                df, batch = df.withColumns(batch), {}
+            df = map_by_join(df, rule, types[rule.column], o)
+            types = {f.name: f.dataType for f in df.schema.fields}
+            continue
         if reads_of(rule, o) & batch.keys():
             df, batch = df.withColumns(batch), {}
             types = {f.name: f.dataType for f in df.schema.fields}

@@ -186,3 +186,18 @@ def test_python_digits_decimal(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x decimal(18,8)")
     got = [r[0] for r in df.select(python_digits(F.col("x"), T.DecimalType(18, 8))).collect()]
     assert got == ["".join(ch for ch in str(v) if ch.isdigit()) for v in vals]
+
+
+def test_large_dictionary_joins_like_literal_map(spark, monkeypatch):
+    from maskfold.plans import engine
+
+    df = spark.createDataFrame([(i, str(i), i * 0.5) for i in range(300)], "n long, s string, d double")
+    rules = [
+        Rule("n", "multiple", "{" + ", ".join(f"{k}: 'N{k}'" for k in range(0, 200, 3)) + ", 7: None, 9: 1.5}"),
+        Rule("s", "multiple", "{" + ", ".join(f"'{k}': {k}" for k in range(100)) + ", 5: 'int key'}"),
+        Rule("d", "multiple", "{" + ", ".join(f"{k / 2}: True" for k in range(100)) + "}"),
+    ]
+    joined = sorted(map(tuple, scrub(df, rules).collect()), key=str)
+    monkeypatch.setattr(engine, "LITERAL_MAP_MAX", 10**9)
+    literal = sorted(map(tuple, scrub(df, rules).collect()), key=str)
+    assert joined == literal
