@@ -12,6 +12,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The rule vocabulary (exact, case-sensitive) and the reference's report messages.
@@ -97,14 +98,21 @@ def load_rules(source, spark: SparkSession | None = None) -> list[Rule]:
 
 
 def read_rule_table(spark: SparkSession, path: str) -> DataFrame:
-    return (
-        spark.read.schema(RULE_SCHEMA)
-        .option("header", True)
+    """The rule CSV as ``(Column, Type, Value)`` strings, matched by header name (any column order,
+    blanks around header names ignored, extra columns dropped)."""
+    raw = (
+        spark.read.option("header", True)
+        .option("inferSchema", False)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", True)
         .csv(path)
     )
+    by_name = {c.strip(): c for c in raw.columns}
+    missing = [f.name for f in RULE_SCHEMA.fields if f.name not in by_name]
+    if missing:
+        raise ValueError(f"rule file lacks column(s) {missing}; header must name Column, Type, Value")
+    return raw.select(*[F.col(f"`{by_name[f.name]}`").alias(f.name) for f in RULE_SCHEMA.fields])
 
 
 def execution_order(rules: Iterable[Rule]) -> list[Rule]:

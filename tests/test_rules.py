@@ -118,3 +118,18 @@ def test_validate_returns_report_frame(spark):
     assert validate(df, [Rule("A", "fix", "y")]).count() == 0
     bad = validate(df, [Rule("B", "fix", "y"), Rule("A", "Fix", "y")]).collect()
     assert {r.check for r in bad} == {"column", "type"}
+
+
+def test_rule_file_columns_by_header_name(spark, tmp_out):
+    path = f"{tmp_out}/rules_reordered.csv"
+    with open(path, "w") as f:
+        f.write('Value, Type ,Column\n"{\'A\': 1}",multiple,STATUS_CD\n7,numeric,LOAN_NUM\n')
+    assert load_rules(path, spark) == [
+        Rule("STATUS_CD", "multiple", "{'A': 1}"),
+        Rule("LOAN_NUM", "numeric", "7"),
+    ]
+    bad = f"{tmp_out}/rules_bad.csv"
+    with open(bad, "w") as f:
+        f.write("Col,Type,Value\nA,fix,x\n")
+    with pytest.raises(ValueError, match="lacks column"):
+        load_rules(bad, spark)
