@@ -116,7 +116,8 @@ def sample_exact(
     The table is never sorted as a whole. The hash is uniform, so its first four hex digits are
     an order-preserving bucket (65,536 of them). A histogram of buckets (partial aggregation, at
     most 65,536 rows) finds the bucket where the running count reaches ``n``: every row below it
-    is in the sample, rows above it are not, and only that one bucket is ranked.
+    is in the sample, rows above it are not, and only that one bucket is ranked. The candidates
+    (buckets up to that one, about ``n`` rows) are persisted between those two uses.
     """
     cols = list(columns or df.columns)
     h, b, rank = "__mf_sample", "__mf_bucket", "__mf_rank"
@@ -136,8 +137,11 @@ def sample_exact(
         return df
     edge_bucket, need = edge_row[b], edge_row["need"]
     ties = [F.col(c) for c in cols] if len(cols) <= 8 else [F.xxhash64(*[F.col(c) for c in cols])]
-    below = keyed.filter(F.col(b) < F.lit(edge_bucket))
+    # the candidates (about n rows) are hashed once more and kept for both uses below
+    cand = keyed.filter(F.col(b) <= F.lit(edge_bucket)).persist(StorageLevel.MEMORY_AND_DISK)
+    _HELD.append(cand)
+    below = cand.filter(F.col(b) < F.lit(edge_bucket))
     edge = dense_index(
-        keyed.filter(F.col(b) == F.lit(edge_bucket)), [F.col(h)] + ties, rank, num_partitions
+        cand.filter(F.col(b) == F.lit(edge_bucket)), [F.col(h)] + ties, rank, num_partitions
     ).filter(F.col(rank) <= F.lit(need))
     return below.drop(h, b).unionByName(edge.drop(h, b, rank))
