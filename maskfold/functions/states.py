@@ -7,6 +7,8 @@ import itertools
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from maskfold.functions.names import col
+
 # These must equal the reference's table exactly (50 states, DC, five territories,
 # and NA -> National). Codes are case-sensitive; any other code maps to null.
 STATE_NAMES: dict[str, str] = {
@@ -89,5 +91,5 @@ def state_name(code: Column | str) -> Column:
 
     Non-string codes are compared by their text (an inferred integer column never matches).
     """
-    c = F.col(code) if isinstance(code, str) else code
+    c = col(code) if isinstance(code, str) else code
     return F.try_element_at(state_map(), c.cast("string"))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maskfold.functions.names import col
 from maskfold.functions.states import state_name
 from maskfold.operators.index import dense_index, row_hash, sample_exact, total_order
 from maskfold.operators.joins import bounded_broadcast
@@ -32,18 +33,18 @@ def prepare_addresses(
     o = options or ScrubOptions()
     c = o.columns
     required = [c.street, c.city, c.region] + ([c.unit] if o.include_unit else [])
-    usable = reduce(lambda a, b: a & b, [F.col(x).cast("string") != F.lit("None") for x in required])
+    usable = reduce(lambda a, b: a & b, [col(x).cast("string") != F.lit("None") for x in required])
     line2 = (
-        F.concat(F.lit("UNIT"), F.lit(" "), F.col(c.unit).cast("string"))
+        F.concat(F.lit("UNIT"), F.lit(" "), col(c.unit).cast("string"))
         if o.include_unit
         else F.lit(" ")
     )
     out = addresses.filter(usable).select(
-        *([F.col(key)] if key else []),
-        F.col(c.city).alias("NEW_CITY"),
-        F.col(c.region).alias("REGION"),
-        F.col(c.postcode).alias("POSTCODE"),
-        F.concat(F.col(c.number).cast("string"), F.lit(" "), F.col(c.street).cast("string")).alias(
+        *([col(key)] if key else []),
+        col(c.city).alias("NEW_CITY"),
+        col(c.region).alias("REGION"),
+        col(c.postcode).alias("POSTCODE"),
+        F.concat(col(c.number).cast("string"), F.lit(" "), col(c.street).cast("string")).alias(
             "ADDR_LN_1"
         ),
         line2.alias("ADDR_LN_2"),
@@ -63,7 +64,7 @@ def _overwrite(joined: DataFrame, o: ScrubOptions) -> DataFrame:
             t.target_line2: a["ADDR_LN_2"],
         }
     ).drop(_A)
-    return out.withColumn(t.target_state_name, state_name(F.col(t.target_state)))
+    return out.withColumn(t.target_state_name, state_name(col(t.target_state)))
 
 
 def replace_keyed(df: DataFrame, prepared: DataFrame, options: ScrubOptions | None = None) -> DataFrame:
@@ -76,7 +77,7 @@ def replace_keyed(df: DataFrame, prepared: DataFrame, options: ScrubOptions | No
     """
     o = options or ScrubOptions()
     key = o.id_col
-    payload = prepared.select(F.col(key), F.struct(*ADDRESS_FIELDS).alias(_A))
+    payload = prepared.select(col(key), F.struct(*ADDRESS_FIELDS).alias(_A))
     side = bounded_broadcast(payload, o.broadcast_rows)
     return _overwrite(df.join(side, on=key, how=o.address_how), o)
 
@@ -111,8 +112,8 @@ def replace_sampled(df: DataFrame, prepared: DataFrame, options: ScrubOptions |
         drop = [_J]
     else:
         data = df.withColumn(_SEQ, F.monotonically_increasing_id()).withColumn(_H, row_hash(df))
-        keys = data.select(F.col(o.order_col), F.col(_H), F.col(_SEQ))
-        ranks = dense_index(keys, [F.col(o.order_col), F.col(_H), F.col(_SEQ)], _J)
+        keys = data.select(col(o.order_col), F.col(_H), F.col(_SEQ))
+        ranks = dense_index(keys, [col(o.order_col), F.col(_H), F.col(_SEQ)], _J)
         pairs = ranks.select(_SEQ, _H, _J).join(F.broadcast(addresses) if small else addresses, _J)
         pairs = pairs.select(_SEQ, _H, _A)
         # joining on the row hash too: a row that moved between the two reads finds no pair and
@@ -138,10 +139,10 @@ def address_report(df: DataFrame, prepared: DataFrame, options: ScrubOptions | N
     join. The address side is pre-aggregated to one row per id before it meets the data."""
     o = options or ScrubOptions()
     key = o.id_col
-    copies = prepared.groupBy(F.col(key)).agg(F.count(F.lit(1)).alias("__mf_copies"))
+    copies = prepared.groupBy(col(key)).agg(F.count(F.lit(1)).alias("__mf_copies"))
     side = bounded_broadcast(copies, o.broadcast_rows)
     c = F.col("__mf_copies")
-    joined = df.select(F.col(key)).join(side, on=key, how="left")
+    joined = df.select(col(key)).join(side, on=key, how="left")
     return joined.agg(
         F.count(F.lit(1)).alias("data_rows"),
         F.count_if(c.isNull()).alias("unmatched_rows"),

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from maskfold.functions.names import col
+
 _MI = "__mf_mid"
 _P = "__mf_part"
 _N = "__mf_n"
@@ -31,13 +33,13 @@ _HELD: list[DataFrame] = []
 
 
 def _col(k: str | Column) -> Column:
-    return F.col(k) if isinstance(k, str) else k
+    return col(k) if isinstance(k, str) else k
 
 
 def row_hash(df: DataFrame) -> Column:
     """64-bit hash of a whole flat row (map columns cannot be hashed and are left out)."""
     return F.xxhash64(
-        *[F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+        *[col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     )
 
 
@@ -98,7 +100,7 @@ def release() -> None:
 
 def sample_key(seed: int, columns: Sequence[str]) -> Column:
     """Seeded pseudo-random order key: md5 of ``seed|c1|c2|...`` (null as empty text)."""
-    parts = [F.lit(str(seed))] + [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    parts = [F.lit(str(seed))] + [F.coalesce(col(c).cast("string"), F.lit("")) for c in columns]
     return F.md5(F.concat_ws("|", *parts))
 
 
@@ -136,7 +138,7 @@ def sample_exact(
     if edge_row is None:  # fewer than n rows in all: the whole table
         return df
     edge_bucket, need = edge_row[b], edge_row["need"]
-    ties = [F.col(c) for c in cols] if len(cols) <= 8 else [F.xxhash64(*[F.col(c) for c in cols])]
+    ties = [col(c) for c in cols] if len(cols) <= 8 else [F.xxhash64(*[col(c) for c in cols])]
     # the candidates (about n rows) are hashed once more and kept for both uses below
     cand = keyed.filter(F.col(b) <= F.lit(edge_bucket)).persist(StorageLevel.MEMORY_AND_DISK)
     _HELD.append(cand)

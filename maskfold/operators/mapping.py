@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maskfold.functions.names import col
 from maskfold.operators.joins import bounded_broadcast
 
 _K, _V, _HIT = "__mf_map_key", "__mf_map_value", "__mf_map_hit"
@@ -23,8 +24,8 @@ def map_values_join(
     string and keeps its position. A key listed twice keeps its greatest value (a dictionary has
     one value per key). The mapping is broadcast when its row count is proven within
     ``broadcast_rows``, otherwise it is a shuffle join (AQE splits hot keys)."""
-    m = mapping.groupBy(F.col(key).alias(_K)).agg(F.max(F.col(value).cast("string")).alias(_V))
+    m = mapping.groupBy(col(key).alias(_K)).agg(F.max(col(value).cast("string")).alias(_V))
     side = bounded_broadcast(m.withColumn(_HIT, F.lit(True)), broadcast_rows)
-    joined = df.join(side, df[column] == side[_K], "left")
-    replaced = F.when(F.col(_HIT), F.col(_V)).otherwise(F.col(column).cast("string"))
+    joined = df.join(side, col(column) == side[_K], "left")
+    replaced = F.when(F.col(_HIT), F.col(_V)).otherwise(col(column).cast("string"))
     return joined.withColumn(column, replaced).drop(_K, _V, _HIT)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskfold.functions import masks
+from maskfold.functions.names import col
 from maskfold.operators.address import prepare_addresses, replace_keyed, replace_sampled
 from maskfold.operators.audit import drop_audit
 from maskfold.operators.mapping import map_values_join
@@ -42,7 +43,7 @@ def map_by_join(df: DataFrame, rule: Rule, dtype, o: ScrubOptions) -> DataFrame:
     """The ``multiple`` rule for a large dictionary: the typed keys as a table, then a join."""
     key_type, keys = masks.typed_keys(parse_mapping(rule.value), dtype)
     if not keys:
-        return df.withColumn(rule.column, F.col(rule.column).cast("string"))
+        return df.withColumn(rule.column, col(rule.column).cast("string"))
     rows = [
         (k, None if isinstance(v, float) or v is None else masks.value_text(v), v if isinstance(v, float) else None)
         for k, v in keys.items()
@@ -68,7 +69,7 @@ def reads_of(rule: Rule, o: ScrubOptions) -> set[str]:
 def rule_expression(rule: Rule, frame: DataFrame | dict, o: ScrubOptions) -> Column:
     """The native expression for one column rule over the current frame (or its column types)."""
     types = frame if isinstance(frame, dict) else {f.name: f.dataType for f in frame.schema.fields}
-    c, dtype, v = F.col(rule.column), types.get(rule.column), rule.value
+    c, dtype, v = col(rule.column), types.get(rule.column), rule.value
     t = rule.type
     if t == "fix":
         m = masks.fix(v, o.fix)
@@ -80,7 +81,7 @@ def rule_expression(rule: Rule, frame: DataFrame | dict, o: ScrubOptions) -> Col
     elif t == "amount":
         m = masks.amount(c, float(v))
     elif t == "cross":
-        m = masks.cross_shift(F.col(o.id_col), parse_int(v))
+        m = masks.cross_shift(col(o.id_col), parse_int(v))
     elif t == "multiple" and o.multiple == "choice":
         m = masks.choose_constant(masks.parse_list(v), o.choice_suffix, o.seed)
     elif t == "multiple":
@@ -91,7 +92,7 @@ def rule_expression(rule: Rule, frame: DataFrame | dict, o: ScrubOptions) -> Col
         m = masks.regex_reverse(c, dtype, v, o.regex_pattern, o.regex_shift)
     elif t == "single":
         src, delim, idx = parse_piece(v)
-        m = masks.piece(F.col(src), types[src], delim, idx)
+        m = masks.piece(col(src), types[src], delim, idx)
     else:
         raise ValueError(f"no expression for rule type {t!r}")
     return m.resolve(o.on_error, f"scrub rule {t} failed on column {rule.column}")

@@ -133,3 +133,33 @@ def test_rule_file_columns_by_header_name(spark, tmp_out):
         f.write("Col,Type,Value\nA,fix,x\n")
     with pytest.raises(ValueError, match="lacks column"):
         load_rules(bad, spark)
+
+
+def test_names_with_dots_and_blanks(spark):
+    from maskfold import AddressColumns
+
+    data = spark.createDataFrame(
+        [(1, 10, "BA12", 2.0, "5-LOW", "x", "y", "9-8", "A")],
+        "`ASST.ID` long, `DIM ID` long, `LOAN.NUM` string, `BAL AMT` double, `FULL.NAME` string, "
+        "`FIRST NAME` string, `ADDR.LN1` string, `ACCT.NUM` string, `ST.CD` string",
+    )
+    addr = spark.createDataFrame(
+        [(1, "1", "Main", "Boston", "MA", "02134")],
+        "`ASST.ID` long, NUMBER string, STREET string, CITY string, REGION string, POSTCODE string",
+    )
+    cols = AddressColumns(target_line1="ADDR.LN1", target_state="ST.CD")
+    o = ScrubOptions(id_col="ASST.ID", order_col="DIM ID", columns=cols)
+    rules = [
+        Rule("LOAN.NUM", "numeric", "1"),
+        Rule("BAL AMT", "amount", "2"),
+        Rule("FIRST NAME", "single", "FULL.NAME-1"),
+        Rule("ACCT.NUM", "regex", "#"),
+        Rule("ST.CD", "multiple", "{'A': 'B'}"),
+        Rule("ADDR.LN1", "address", ""),
+    ]
+    r = scrub(data, rules, addr, o).collect()[0].asDict()
+    assert r["LOAN.NUM"] == 13 and r["BAL AMT"] == 4.0 and r["FIRST NAME"] == "LOW"
+    assert r["ACCT.NUM"] == "-411#8" and r["ADDR.LN1"] == "1 Main" and r["ST.CD"] == "MA"
+    assert r["STAT_CD_DESC"] == "Massachusetts"
+    sampled = scrub(data, [Rule("ADDR.LN1", "address", "")], addr.drop("ASST.ID"), o.with_(address="sample"))
+    assert sampled.collect()[0]["ADDR.LN1"] == "1 Main"
