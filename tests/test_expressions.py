@@ -1,6 +1,7 @@
 """Unit goldens per rule mode (hand-derived from the reference's behaviour)."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ def test_python_digits_match_python_str(spark):
     vals += [1e-4, 9.999e-5, 1e15, 1e16, 123456789012345.6, 0.1 + 0.2, 2.5e-7, 1e100]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     got = [r[0] for r in df.select(python_digits(F.col("x"), T.DoubleType())).collect()]
-    want = ["".join(ch for ch in str(v) if ch.isdigit()) for v in vals]
+    want = [re.sub(r"[^0-9]", "", str(v)) for v in vals]
 
     def significant(v):
         return len(repr(abs(v)).split("e")[0].replace(".", "").strip("0"))
@@ -69,7 +70,7 @@ def test_python_digits_timestamp_and_date(spark):
     got = df.select(
         python_digits(F.col("t"), T.TimestampNTZType()), python_digits(F.col("d"), T.DateType())
     ).collect()
-    want = ["".join(ch for ch in str(t) if ch.isdigit()) for t in ts]
+    want = [re.sub(r"[^0-9]", "", str(t)) for t in ts]
     assert [r[0] for r in got] == want
     assert [r[1] for r in got] == ["20150131", "20150131"]
 
@@ -185,7 +186,7 @@ def test_python_digits_decimal(spark):
             Decimal("0.00000001"), Decimal("123456789.12345678")]
     df = spark.createDataFrame([(v,) for v in vals], "x decimal(18,8)")
     got = [r[0] for r in df.select(python_digits(F.col("x"), T.DecimalType(18, 8))).collect()]
-    assert got == ["".join(ch for ch in str(v) if ch.isdigit()) for v in vals]
+    assert got == [re.sub(r"[^0-9]", "", str(v)) for v in vals]
 
 
 def test_large_dictionary_joins_like_literal_map(spark, monkeypatch):

@@ -27,7 +27,7 @@ def _run(spark, values, dtype, build):
 def _numeric_model(x, start):
     if not x:
         return None
-    digits = "".join(ch for ch in x if ch.isdigit())
+    digits = re.sub(r"[^0-9]", "", x)
     if not digits:
         return None
     v = int(float(digits)) + start
