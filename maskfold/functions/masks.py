@@ -61,8 +61,11 @@ def numeric_digits(c: Column, dtype: T.DataType, start: int) -> Masked:
 
     Null, empty text, zero and ``False`` give null; so does text without digits.
     """
-    digits = F.nullif(python_digits(c, dtype), F.lit(""))
-    number = digits.try_cast("double").try_cast("bigint")
+    if isinstance(dtype, INTEGRAL):
+        # the digits of an integer are its absolute value; read through a double, as Python does
+        number = F.abs(c.cast("double")).try_cast("bigint")
+    else:
+        number = F.nullif(python_digits(c, dtype), F.lit("")).try_cast("double").try_cast("bigint")
     shifted = F.try_add(number, F.lit(start).cast("bigint"))
     skip = falsy(c, dtype)
     value = F.when(skip, F.lit(None).cast("bigint")).otherwise(shifted)

@@ -95,3 +95,18 @@ def test_amount_model(spark):
         return None if v is None else struct.unpack("f", struct.pack("f", v * 1.1))[0]
 
     assert got == [f32(v) for v in vals]
+
+
+def test_numeric_integers_arithmetic_equals_text_path(spark):
+    from maskfold.functions.pytext import python_digits
+
+    vals = [None, 0, 1, -1, 7, -12, 2**53 + 1, -(2**53) - 3, 2**63 - 1, -(2**63), 10**18]
+    vals += [RNG.randint(-(2**63), 2**63 - 1) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in vals], "x long")
+    fast = masks.numeric_digits(F.col("x"), T.LongType(), 5).value
+    text = F.when(F.col("x").isNull() | (F.col("x") == 0), F.lit(None)).otherwise(
+        F.try_add(python_digits(F.col("x"), T.LongType()).try_cast("double").try_cast("bigint"), F.lit(5).cast("bigint"))
+    )
+    rows = df.select(fast.alias("a"), text.alias("b")).collect()
+    assert all(r.a == r.b for r in rows)
+    assert [_numeric_model(None if v is None else str(v), 5) if v != 0 else None for v in vals] == [r.a for r in rows]
