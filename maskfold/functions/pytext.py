@@ -7,6 +7,8 @@ expression that yields exactly the digit string Python would print, without a Py
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,10 +82,38 @@ def _double_digits(x: Column) -> Column:
     )
 
 
+# Built by rule from the Unicode tables (basic plane): decimal digits of other scripts, which
+# Python's float() reads, with their values; and digits that are not decimal (superscripts, circled
+# digits), which isdigit() keeps but float() refuses.
+_OTHER_DECIMALS = "".join(chr(cp) for cp in range(0x80, 0x10000) if chr(cp).isdecimal())
+_OTHER_DECIMAL_VALUES = "".join(str(unicodedata.decimal(ch)) for ch in _OTHER_DECIMALS)
+_NON_DECIMAL_DIGITS = "".join(
+    chr(cp) for cp in range(0x80, 0x10000) if chr(cp).isdigit() and not chr(cp).isdecimal()
+)
+
+
+def _text_digits(c: Column) -> Column:
+    """Digits Python keeps from a text (``isdigit``), in ASCII, for ``float()``.
+
+    ASCII text (character count equals byte count) takes the plain path. Other text keeps the
+    decimal digits of every script, translated to ASCII; a non-decimal digit such as a superscript
+    makes ``float()`` fail in Python, so the result is empty (null later).
+    """
+    ascii_digits = F.regexp_replace(c, "[^0-9]", "")
+    other = F.when(c.rlike("[" + _NON_DECIMAL_DIGITS + "]"), F.lit("")).otherwise(
+        F.translate(
+            F.regexp_replace(c, "[^0-9" + _OTHER_DECIMALS + "]", ""),
+            _OTHER_DECIMALS,
+            _OTHER_DECIMAL_VALUES,
+        )
+    )
+    return F.when(F.length(c) == F.octet_length(c), ascii_digits).otherwise(other)
+
+
 def python_digits(c: Column, dtype: T.DataType) -> Column:
     """The digit characters of ``str(x)`` for a value of Spark type ``dtype`` (null stays null)."""
     if is_string(dtype):
-        return F.regexp_replace(c, "[^0-9]", "")
+        return _text_digits(c)
     if isinstance(dtype, FRACTIONAL):
         return _double_digits(c.cast("double"))
     if isinstance(dtype, INTEGRAL):

@@ -110,3 +110,19 @@ def test_numeric_integers_arithmetic_equals_text_path(spark):
     rows = df.select(fast.alias("a"), text.alias("b")).collect()
     assert all(r.a == r.b for r in rows)
     assert [_numeric_model(None if v is None else str(v), 5) if v != 0 else None for v in vals] == [r.a for r in rows]
+
+
+def test_numeric_text_other_scripts(spark):
+    vals = ["A١٢3", "٣", "x²1", "１２", "BA8321", "é7", "①2", None, ""]
+    got = _run(spark, vals, T.StringType(), lambda c, t: masks.numeric_digits(c, t, 1))
+
+    def model(x):
+        if not x:
+            return None
+        kept = "".join(filter(str.isdigit, x))
+        try:
+            return int(float(kept)) + 1
+        except ValueError:
+            return None
+
+    assert got == [model(v) for v in vals]
