@@ -84,8 +84,12 @@ def replace_keyed(df: DataFrame, prepared: DataFrame, options: ScrubOptions | No
 
 def _has_shuffle(df: DataFrame) -> bool:
     """Whether the frame's physical plan already contains an exchange (its row layout can then
-    differ between two evaluations). Planning only; nothing runs."""
-    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+    differ between two evaluations). Planning only; nothing runs. Where the plan cannot be seen
+    (a remote session) the answer is yes, which picks the path that is safe for any input."""
+    try:
+        return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+    except AttributeError:
+        return True
 
 
 def replace_sampled(df: DataFrame, prepared: DataFrame, options: ScrubOptions | None = None) -> DataFrame:

@@ -57,7 +57,12 @@ def read_addresses(
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts: ``spark.checkpoint.dir`` from the session."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        try:
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # a remote session has no SparkContext: the conf is the only source
+            d = None
     if not d:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     return d.rstrip("/")
