@@ -41,3 +41,40 @@ def test_stream_refuses_global_modes(spark):
         scrub_stream(stream, [Rule("A", "address", "")], options=ScrubOptions(address="sample"))
     with pytest.raises(ValueError):
         scrub_stream(stream, [Rule("A", "numeric", "1")], options=preset("v2"))
+
+
+def test_stream_keyed_address_join(spark, tmp_out):
+    import os
+    import shutil
+
+    import __spark_entry__ as E
+    from maskfold import scrub
+
+    src = f"{tmp_out}/orders"
+    os.makedirs(src)
+    shutil.copy(f"{SF_SMALL}/orders.parquet", src)
+    rules = [Rule("PRPTY_ADDR_LN1", "address", "x"), Rule("LOAN_NUM", "numeric", "1")]
+    addr = E.address_map(spark, SF_SMALL)
+
+    def assets(orders):
+        return orders.selectExpr(
+            "o_custkey AS ASST_ID", "o_orderkey AS ASST_DIM_ID", "concat('BA', o_orderkey) AS LOAN_NUM",
+            "'x' AS CITY", "'x' AS STAT", "'x' AS ZIP", "'x' AS PRPTY_ADDR_LN1", "'x' AS PRPTY_ADDR_LN2",
+        )
+
+    batch = spark.read.parquet(src)
+    stream = assets(spark.readStream.schema(batch.schema).parquet(src))
+    q = (
+        scrub_stream(stream, rules, addr)
+        .writeStream.format("memory")
+        .queryName("scrubbed_addr")
+        .option("checkpointLocation", f"{tmp_out}/ckpt2")
+        .start()
+    )
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = spark.sql("SELECT * FROM scrubbed_addr")
+    want = scrub(assets(batch), rules, addr)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
