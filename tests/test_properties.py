@@ -126,3 +126,9 @@ def test_numeric_text_other_scripts(spark):
             return None
 
     assert got == [model(v) for v in vals]
+
+
+def test_regex_index_long_runs(spark):
+    vals = ["7" * n + "-" + "3" for n in (1, 2, 10, 11, 100, 101, 1000, 1001, 1002, 1500)]
+    got = _run(spark, vals, T.StringType(), lambda c, t: masks.regex_index(c, t, "#"))
+    assert got == [_index_model(v, "#") for v in vals]
