@@ -36,7 +36,9 @@ LITERAL_MAP_MAX = 64
 
 
 def large_mapping(rule: Rule, o: ScrubOptions) -> bool:
-    return rule.type == "multiple" and o.multiple == "map" and len(parse_mapping(rule.value)) > LITERAL_MAP_MAX
+    if rule.type != "multiple" or o.multiple != "map":
+        return False
+    return len(parse_mapping(rule.value)) > LITERAL_MAP_MAX
 
 
 def map_by_join(df: DataFrame, rule: Rule, dtype, o: ScrubOptions) -> DataFrame:
@@ -44,10 +46,11 @@ def map_by_join(df: DataFrame, rule: Rule, dtype, o: ScrubOptions) -> DataFrame:
     key_type, keys = masks.typed_keys(parse_mapping(rule.value), dtype)
     if not keys:
         return df.withColumn(rule.column, col(rule.column).cast("string"))
-    rows = [
-        (k, None if isinstance(v, float) or v is None else masks.value_text(v), v if isinstance(v, float) else None)
-        for k, v in keys.items()
-    ]
+    rows = []
+    for k, v in keys.items():
+        number = v if isinstance(v, float) else None  # doubles are printed by Spark, as literals are
+        text = masks.value_text(v) if number is None else None
+        rows.append((k, text, number))
     table = df.sparkSession.createDataFrame(rows, f"key {key_type}, text string, number double")
     table = table.select("key", F.coalesce("text", F.col("number").cast("string")).alias("value"))
     return map_values_join(df, rule.column, table, broadcast_rows=o.broadcast_rows)
