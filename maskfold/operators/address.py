@@ -16,7 +16,7 @@ from maskfold.plans.options import ScrubOptions
 # Names of the prepared address columns (as the reference names them after its rename).
 ADDRESS_FIELDS = ("NEW_CITY", "REGION", "POSTCODE", "ADDR_LN_1", "ADDR_LN_2")
 _A = "__mf_address"
-_J = "join_index"
+_J = "__mf_join_index"
 _SEQ = "__mf_row"
 _H = "__mf_hash"
 
