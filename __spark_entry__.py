@@ -324,9 +324,9 @@ def _read_glob(spark: SparkSession, sf: str) -> DataFrame:
     pool = address_pool(spark, sf)
     base = _io_dir(spark)
     household = F.col("DISTRICT") == "HOUSEHOLD"
-    write_one(pool.filter(household), "csv", f"{base}/statewide_a.csv")
-    write_one(pool.filter(~household), "csv", f"{base}/statewide_b.csv")
-    return prepare_addresses(read_addresses(spark, f"{base}/statewide_*.csv", schema=pool.schema))
+    write_one(pool.filter(household), "csv", f"{base}/addresses_a.csv")
+    write_one(pool.filter(~household), "csv", f"{base}/addresses_b.csv")
+    return prepare_addresses(read_addresses(spark, f"{base}/addresses_*.csv", schema=pool.schema))
 
 
 def _write_parquet(spark: SparkSession, sf: str) -> DataFrame:

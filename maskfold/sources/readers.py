@@ -46,7 +46,7 @@ def read_addresses(
     schema: StructType | str | None = None,
     infer_schema: bool = True,
 ) -> DataFrame:
-    """Address table: one CSV, a directory, or a glob such as ``statewide_*.csv`` (one table)."""
+    """Address table: one CSV, a directory, or a glob such as ``addresses_*.csv`` (one table)."""
     reader = spark.read.option("header", True)
     if schema is not None:
         reader = reader.schema(schema)

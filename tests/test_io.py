@@ -46,9 +46,9 @@ def test_single_file_output(spark, tmp_out):
 
 def test_address_glob(spark, tmp_out):
     a = spark.createDataFrame([("1", "Main", "Boston", "MA", "02134")], "NUMBER string, STREET string, CITY string, REGION string, POSTCODE string")
-    write_one(a, "csv", f"{tmp_out}/statewide_ma.csv")
-    write_one(a.withColumn("REGION", F.lit("TX")), "csv", f"{tmp_out}/statewide_tx.csv")
-    both = read_addresses(spark, f"{tmp_out}/statewide_*.csv", infer_schema=False)
+    write_one(a, "csv", f"{tmp_out}/addresses_ma.csv")
+    write_one(a.withColumn("REGION", F.lit("TX")), "csv", f"{tmp_out}/addresses_tx.csv")
+    both = read_addresses(spark, f"{tmp_out}/addresses_*.csv", infer_schema=False)
     assert sorted(r.REGION for r in both.collect()) == ["MA", "TX"]
 
 
