@@ -145,3 +145,21 @@ def test_address_table_missing_columns_is_refused(spark):
     addr = spark.createDataFrame([(1, "Main")], "ASST_ID long, STREET string")
     with pytest.raises(ValueError, match="lacks column"):
         scrub(data, [Rule("PRPTY_ADDR_LN1", "address", "")], addr)
+
+
+def test_earliest_preset_end_to_end(spark):
+    data = E.asset_suppliers(spark, SF_SMALL).withColumn("SEG", F.lit("orig")).withColumn("NOTE", F.lit("n"))
+    rules = [
+        Rule("s_nationkey", "numeric", "999"),  # value ignored: the earliest form always starts at 5
+        Rule("SEG", "multiple", "a, b"),
+        Rule("NOTE", "fix", "x, y"),
+        Rule("PRPTY_ADDR_LN1", "address", ""),
+    ]
+    out = scrub(data, rules, E.address_pool(spark, SF_SMALL), preset("v1")).collect()
+    assert len(out) == data.count()
+    ids = [r.s_nationkey for r in out]
+    assert len(set(ids)) == len(ids) and min(ids) >= 5
+    assert len({r.SEG for r in out}) == 1 and out[0].SEG in {"a123", "b123"}
+    assert {r.NOTE for r in out} == {"x y"}
+    assert all(r.PRPTY_ADDR_LN2.startswith("UNIT ") for r in out)
+    release()
