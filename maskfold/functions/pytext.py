@@ -7,6 +7,8 @@ expression that yields exactly the digit string Python would print, without a Py
 
 from __future__ import annotations
 
+import functools
+import sys
 import unicodedata
 
 from pyspark.sql import Column
@@ -82,14 +84,20 @@ def _double_digits(x: Column) -> Column:
     )
 
 
-# Built by rule from the Unicode tables (basic plane): decimal digits of other scripts, which
-# Python's float() reads, with their values; and digits that are not decimal (superscripts, circled
-# digits), which isdigit() keeps but float() refuses.
-_OTHER_DECIMALS = "".join(chr(cp) for cp in range(0x80, 0x10000) if chr(cp).isdecimal())
-_OTHER_DECIMAL_VALUES = "".join(str(unicodedata.decimal(ch)) for ch in _OTHER_DECIMALS)
-_NON_DECIMAL_DIGITS = "".join(
-    chr(cp) for cp in range(0x80, 0x10000) if chr(cp).isdigit() and not chr(cp).isdecimal()
-)
+@functools.cache
+def _digit_tables() -> tuple[str, str, str]:
+    """Built by rule from the Unicode tables, once: decimal digits of other scripts, which
+    Python's float() reads, with their values; and digits that are not decimal (superscripts,
+    circled digits), which isdigit() keeps but float() refuses."""
+    decimals, others = [], []
+    for cp in range(0x80, sys.maxunicode + 1):
+        ch = chr(cp)
+        if ch.isdecimal():
+            decimals.append(ch)
+        elif ch.isdigit():
+            others.append(ch)
+    values = "".join(str(unicodedata.decimal(ch)) for ch in decimals)
+    return "".join(decimals), values, "".join(others)
 
 
 def _text_digits(c: Column) -> Column:
@@ -99,13 +107,10 @@ def _text_digits(c: Column) -> Column:
     decimal digits of every script, translated to ASCII; a non-decimal digit such as a superscript
     makes ``float()`` fail in Python, so the result is empty (null later).
     """
+    decimals, values, non_decimal = _digit_tables()
     ascii_digits = F.regexp_replace(c, "[^0-9]", "")
-    other = F.when(c.rlike("[" + _NON_DECIMAL_DIGITS + "]"), F.lit("")).otherwise(
-        F.translate(
-            F.regexp_replace(c, "[^0-9" + _OTHER_DECIMALS + "]", ""),
-            _OTHER_DECIMALS,
-            _OTHER_DECIMAL_VALUES,
-        )
+    other = F.when(c.rlike("[" + non_decimal + "]"), F.lit("")).otherwise(
+        F.translate(F.regexp_replace(c, "[^0-9" + decimals + "]", ""), decimals, values)
     )
     return F.when(F.length(c) == F.octet_length(c), ascii_digits).otherwise(other)
 

@@ -113,7 +113,7 @@ def test_numeric_integers_arithmetic_equals_text_path(spark):
 
 
 def test_numeric_text_other_scripts(spark):
-    vals = ["A١٢3", "٣", "x²1", "１２", "BA8321", "é7", "①2", None, ""]
+    vals = ["A١٢3", "٣", "x²1", "１２", "BA8321", "é7", "①2", None, "", "A\U0001D7CF\U0001D7D03", "\U00010A40"]
     got = _run(spark, vals, T.StringType(), lambda c, t: masks.numeric_digits(c, t, 1))
 
     def model(x):
