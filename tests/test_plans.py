@@ -102,3 +102,13 @@ def test_bench_row_udf_baseline_computes_the_same_rows(spark):
     )
     plan = _plan(b)
     assert "BatchEvalPython" in plan or "ArrowEvalPython" in plan
+
+
+def test_no_registered_query_runs_python(spark):
+    """Every registered query plans without a Python evaluation node (all rules are native)."""
+    from maskfold.operators import release
+
+    for name, fn in E.queries().items():
+        plan = _plan(fn(spark, SF_SMALL))
+        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+        release()
