@@ -132,3 +132,10 @@ def test_regex_index_long_runs(spark):
     vals = ["7" * n + "-" + "3" for n in (1, 2, 10, 11, 100, 101, 1000, 1001, 1002, 1500)]
     got = _run(spark, vals, T.StringType(), lambda c, t: masks.regex_index(c, t, "#"))
     assert got == [_index_model(v, "#") for v in vals]
+
+
+def test_piece_special_delimiters(spark):
+    vals = ["a|b|c", "a\\b", "x$y$", "1*2", "plain", None, "|"]
+    for delim, i in (("|", 1), ("\\", 1), ("$", 1), ("*", 0), ("|", 0)):
+        got = _run(spark, vals, T.StringType(), lambda c, t: masks.piece(c, t, delim, i))
+        assert got == [_piece_model(v, delim, i) for v in vals], (delim, i)
