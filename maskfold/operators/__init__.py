@@ -8,7 +8,14 @@ from maskfold.operators.address import (
     replace_sampled,
 )
 from maskfold.operators.audit import drop_audit
-from maskfold.operators.index import dense_index, release, sample_exact, sample_key, total_order
+from maskfold.operators.index import (
+    dense_index,
+    dense_index_counted,
+    release,
+    sample_exact,
+    sample_key,
+    total_order,
+)
 from maskfold.operators.joins import at_most, bounded_broadcast
 from maskfold.operators.mapping import map_values_join
 
@@ -18,6 +25,7 @@ __all__ = [
     "at_most",
     "bounded_broadcast",
     "dense_index",
+    "dense_index_counted",
     "drop_audit",
     "map_values_join",
     "prepare_addresses",

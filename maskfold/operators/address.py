@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from maskfold.functions.names import col
 from maskfold.functions.states import state_name
-from maskfold.operators.index import dense_index, row_hash, sample_exact, total_order
+from maskfold.operators.index import (
+    dense_index,
+    dense_index_counted,
+    row_hash,
+    sample_exact,
+    total_order,
+)
 from maskfold.operators.joins import bounded_broadcast
 from maskfold.plans.options import ScrubOptions
 
@@ -104,20 +110,23 @@ def replace_sampled(df: DataFrame, prepared: DataFrame, options: ScrubOptions |
     without an address fails the job, as the reference's sampler does when the pool is too small.
     """
     o = options or ScrubOptions()
-    n = df.count()
     fields = list(ADDRESS_FIELDS)
+    # the data is numbered first: its per-partition counts give n without a separate count pass
+    whole = _has_shuffle(df)
+    if whole:
+        data, n = dense_index_counted(df, total_order(df, [o.order_col]), _J)
+    else:
+        data = df.withColumn(_SEQ, F.monotonically_increasing_id()).withColumn(_H, row_hash(df))
+        keys = data.select(col(o.order_col), F.col(_H), F.col(_SEQ))
+        ranks, n = dense_index_counted(keys, [col(o.order_col), F.col(_H), F.col(_SEQ)], _J)
     chosen = sample_exact(prepared.select(*fields), n, fields, o.seed)
     addresses = dense_index(chosen, fields, _J).select(_J, F.struct(*fields).alias(_A))
     small = n <= o.broadcast_rows  # both sides have at most n rows: a proven bound
-    if _has_shuffle(df):
-        data = dense_index(df, total_order(df, [o.order_col]), _J)
+    if whole:
         side = F.broadcast(addresses) if small else addresses
         joined = data.join(side, on=_J, how="left")
         drop = [_J]
     else:
-        data = df.withColumn(_SEQ, F.monotonically_increasing_id()).withColumn(_H, row_hash(df))
-        keys = data.select(col(o.order_col), F.col(_H), F.col(_SEQ))
-        ranks = dense_index(keys, [col(o.order_col), F.col(_H), F.col(_SEQ)], _J)
         pairs = ranks.select(_SEQ, _H, _J).join(F.broadcast(addresses) if small else addresses, _J)
         pairs = pairs.select(_SEQ, _H, _A)
         # joining on the row hash too: a row that moved between the two reads finds no pair and

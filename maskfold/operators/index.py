@@ -60,6 +60,25 @@ def dense_index(
     """Append ``name`` = 1..n in the order of ``keys`` (ascending, nulls first), like
     ``row_number`` over an unpartitioned window. Pass a total order (see ``total_order``) when the
     result must not depend on how ties are broken."""
+    return _numbered(df, keys, name, num_partitions)[0]
+
+
+def dense_index_counted(
+    df: DataFrame,
+    keys: Sequence[str | Column],
+    name: str = "row_index",
+    num_partitions: int | None = None,
+) -> tuple[DataFrame, int]:
+    """``dense_index`` plus the row count, read from the per-partition counts the numbering needs
+    anyway (one small job, which also fills the persisted sorted frame for later use)."""
+    out, counts = _numbered(df, keys, name, num_partitions)
+    total = counts.agg(F.sum(_N)).collect()[0][0]
+    return out, int(total or 0)
+
+
+def _numbered(
+    df: DataFrame, keys: Sequence[str | Column], name: str, num_partitions: int | None
+) -> tuple[DataFrame, DataFrame]:
     # last key: input position. Ties (copies) get a fixed order and spread over range partitions
     # instead of all landing in one; a re-read input split gives the same positions again.
     df = df.withColumn(_SEQ, F.monotonically_increasing_id())
@@ -85,11 +104,12 @@ def dense_index(
         _P, (F.sum(_N).over(Window.orderBy(_P)) - F.col(_N)).alias(_OFF)
     )
     position = F.col(_MI).bitwiseAND(F.lit(_LOW_BITS))
-    return (
+    out = (
         tagged.join(F.broadcast(offsets), _P)
         .withColumn(name, F.col(_OFF) + position + F.lit(1))
         .drop(_P, _OFF, _MI, _SEQ)
     )
+    return out, counts
 
 
 def release() -> None:

@@ -163,3 +163,13 @@ def test_earliest_preset_end_to_end(spark):
     assert {r.NOTE for r in out} == {"x y"}
     assert all(r.PRPTY_ADDR_LN2.startswith("UNIT ") for r in out)
     release()
+
+
+def test_dense_index_counted_total(spark):
+    from maskfold.operators import dense_index_counted
+
+    df = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    out, n = dense_index_counted(df, ["o_orderkey"], "i")
+    assert n == df.count() == out.count()
+    assert out.agg(F.max("i")).collect()[0][0] == n
+    release()
