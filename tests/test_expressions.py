@@ -202,3 +202,25 @@ def test_large_dictionary_joins_like_literal_map(spark, monkeypatch):
     monkeypatch.setattr(engine, "LITERAL_MAP_MAX", 10**9)
     literal = sorted(map(tuple, scrub(df, rules).collect()), key=str)
     assert joined == literal
+
+
+@pytest.mark.parametrize(
+    "rule,rows,fails",
+    [
+        (Rule("x", "amount", "2"), [("1.5",), (None,)], True),
+        (Rule("x", "amount", "2"), [("1.5",), ("3",)], False),
+        (Rule("x", "regex", "#"), [("1-2",), (None,)], True),
+        (Rule("x", "numeric", "1"), [("A1",), ("none",)], True),
+        (Rule("x", "numeric", "1"), [("A1",), ("",), (None,)], False),
+        (Rule("x", "single", "x-5"), [("a-b",)], True),
+    ],
+)
+def test_on_error_fail_where_the_reference_run_fails(spark, rule, rows, fails):
+    df = spark.createDataFrame(rows, "x string")
+    out = scrub(df, [rule], options=ScrubOptions(on_error="fail"))
+    if fails:
+        with pytest.raises(Exception):
+            out.collect()
+    else:
+        assert len(out.collect()) == len(rows)
+    assert len(scrub(df, [rule]).collect()) == len(rows)  # the default never fails

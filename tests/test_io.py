@@ -54,3 +54,12 @@ def test_address_glob(spark, tmp_out):
 
 def test_shared_dir(spark):
     assert shared_dir(spark)
+
+
+def test_unknown_output_format_refused_before_writing(spark, tmp_out):
+    import os
+
+    df = spark.range(3)
+    with pytest.raises(ValueError, match="unknown output format"):
+        write_outputs(df, f"{tmp_out}/o", ["csv", "json"])
+    assert not os.path.exists(f"{tmp_out}/o")
