@@ -224,3 +224,12 @@ def test_on_error_fail_where_the_reference_run_fails(spark, rule, rows, fails):
     else:
         assert len(out.collect()) == len(rows)
     assert len(scrub(df, [rule]).collect()) == len(rows)  # the default never fails
+
+
+def test_map_values_python_key_equality(spark):
+    df = spark.createDataFrame([(True, 1.0), (False, 2.5), (None, None)], "b boolean, d double")
+    got = df.select(
+        masks.map_values(F.col("b"), T.BooleanType(), {1: "yes", "0": "str-zero"}).value,
+        masks.map_values(F.col("d"), T.DoubleType(), {1: "one", 2.5: None, True: "dup"}).value,
+    ).collect()
+    assert [tuple(r) for r in got] == [("yes", "dup"), ("false", None), (None, None)]
