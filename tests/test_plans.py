@@ -112,3 +112,15 @@ def test_no_registered_query_runs_python(spark):
         plan = _plan(fn(spark, SF_SMALL))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
         release()
+
+
+def test_flagship_runs_in_one_codegen_stage(spark):
+    df = E.scrub_full(spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Final Plan ==")[1]
+    ops = [line.strip(" :+-") for line in final.splitlines() if "Project" in line or "BroadcastHashJoin" in line]
+    # the data side (address projection, broadcast join, rule projection, input projection) is one
+    # stage; the address side's own scans below the broadcast exchange are separate stages
+    data_side = ops[:4]
+    assert all(op.startswith("*(") for op in data_side)
+    assert len({op.split(")")[0] for op in data_side}) == 1
