@@ -8,6 +8,7 @@ no code. Column names match on both sides.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 import tempfile
@@ -343,7 +344,28 @@ def _write_outputs(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, paths["pipe"], schema=schema, sep="|")
 
 
+def _training_data_queries() -> tuple[dict, dict]:
+    """Queries and SQL of the optional subpackage ``maskfold.llm`` and of ``corpus_pipeline``; empty
+    where these are not present."""
+    found, sql = {}, {}
+    if importlib.util.find_spec("maskfold.llm") is not None:
+        from maskfold.llm.queries import QUERIES, SQL
+
+        found, sql = dict(QUERIES), dict(SQL)
+        if importlib.util.find_spec("corpus_pipeline") is not None:
+            import corpus_pipeline
+
+            found["pipeline"] = corpus_pipeline.run
+            if corpus_pipeline.ORACLE_SQL:
+                sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _library_queries() | _training_data_queries()[0]
+
+
+def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scrub_numeric": _one("customer", [Rule("c_name", "numeric", "1000")]),
         "scrub_numeric_zero": _one("customer", [Rule("c_custkey", "numeric", "1000")]),
@@ -542,6 +564,10 @@ FROM d JOIN p ON d.join_index = p.join_index
 
 
 def oracle_sql() -> dict[str, str]:
+    return _library_sql() | _training_data_queries()[1]
+
+
+def _library_sql() -> dict[str, str]:
     cust = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
     acct_cols = "l_orderkey, l_linenumber, l_quantity"
     return {

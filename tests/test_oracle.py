@@ -7,7 +7,7 @@ from conftest import SF_SMALL
 from maskfold.operators import release
 from scripts.check_oracle import compare, duckdb_views
 
-SQL = E.oracle_sql()
+SQL = E._library_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,12 +16,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(SQL)
+    assert set(E._library_queries()) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E._library_queries()))
 def test_query_matches_oracle(spark, con, name):
-    got = E.queries()[name](spark, SF_SMALL).toPandas()
+    got = E._library_queries()[name](spark, SF_SMALL).toPandas()
     release()
     assert compare(got, con.execute(SQL[name]).df()) == []
 

@@ -41,7 +41,7 @@ def test_rules_fold_into_one_projection(spark):
 
 
 def test_sampled_mode_has_no_full_table_single_partition(spark):
-    out = E.queries()["address_sampled"](spark, SF_SMALL)
+    out = E._library_queries()["address_sampled"](spark, SF_SMALL)
     plan = out._jdf.queryExecution().executedPlan().toString()
     # the only single-partition exchange is over the per-partition counts of the dense index
     for line in plan.splitlines():
@@ -108,7 +108,7 @@ def test_no_registered_query_runs_python(spark):
     """Every registered query plans without a Python evaluation node (all rules are native)."""
     from maskfold.operators import release
 
-    for name, fn in E.queries().items():
+    for name, fn in E._library_queries().items():
         plan = _plan(fn(spark, SF_SMALL))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
         release()
