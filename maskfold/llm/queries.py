@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from maskfold.llm import sharding
 from maskfold.llm.fingerprints import op1_fingerprints
+from maskfold.llm.mixing import op5_mixing
+from maskfold.llm.sharding import op7_sharding
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op5_mixing": op5_mixing,
+    "op7_sharding": op7_sharding,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_sharding": sharding.SQL,
+}
