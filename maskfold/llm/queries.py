@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from maskfold.llm import sharding
 from maskfold.llm.fingerprints import op1_fingerprints
+from maskfold.llm.secrets import op2_secrets
 from maskfold.llm.mixing import op5_mixing
 from maskfold.llm.sharding import op7_sharding
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_secrets": op2_secrets,
     "op5_mixing": op5_mixing,
     "op7_sharding": op7_sharding,
 }
