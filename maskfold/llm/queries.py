@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from maskfold.llm import sharding
 from maskfold.llm.fingerprints import op1_fingerprints
+from maskfold.llm.ngram_join import op9_ngram_join
 from maskfold.llm.secrets import op2_secrets
 from maskfold.llm.mixing import op5_mixing
 from maskfold.llm.sharding import op7_sharding
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_secrets": op2_secrets,
     "op5_mixing": op5_mixing,
     "op7_sharding": op7_sharding,
+    "op9_ngram_join": op9_ngram_join,
 }
 
 SQL: dict[str, str] = {
