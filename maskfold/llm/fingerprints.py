@@ -141,16 +141,17 @@ def _ids(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return col.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), null
 
 
-def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, carried: list[str], source: DataFrame | None = None) -> DataFrame:
     """``docs`` (of a long ``doc_id``, a ``text`` and further columns) with ``next_<c>`` for each
     carried column c: its value in the next row by descending ``doc_id``, after the last the first.
 
     The ids' quantiles cut the order into ranges, as literals fixed for this run, so a recomputed task
     deals its rows the same way. Every range is put in order by itself, and the rows that begin a range
     are also sent to the range before it, so the texts are shuffled once and no task sees all.
+    ``source`` is a frame of the same ids that is cheaper to read.
     """
     spark = docs.sparkSession
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    ids = (docs if source is None else source).select(F.col("doc_id").cast("long").alias("doc_id"))
     bounds = _range_bounds(ids, 4 * partitions(spark))
 
     def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +200,7 @@ def op1_fingerprints(spark, sf_dir: str) -> DataFrame:
 def compare_with_edited(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     own = fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")))
-    both = with_next(own, ["text", "fingerprint"])
+    both = with_next(own, ["text", "fingerprint"], docs)
     edited = both.select(
         "doc_id", F.char_length("text").cast("long").alias("n_chars"), "fingerprint", "next_fingerprint",
         edited_text(F.col("text"), F.col("next_text")).alias("edited"),
