@@ -8,12 +8,14 @@ from maskfold.llm.ngram_join import op9_ngram_join
 from maskfold.llm.secrets import op2_secrets
 from maskfold.llm.mixing import op5_mixing
 from maskfold.llm.sharding import op7_sharding
+from maskfold.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_secrets": op2_secrets,
     "op5_mixing": op5_mixing,
     "op7_sharding": op7_sharding,
+    "op8_toxicity": op8_toxicity,
     "op9_ngram_join": op9_ngram_join,
 }
 

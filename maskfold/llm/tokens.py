@@ -116,6 +116,14 @@ def word_spans(data: np.ndarray, off: np.ndarray, sep: np.ndarray = SPACE):
     return mix(hashes), starts, ends + 1, np.searchsorted(starts, off)
 
 
+def prefix_hashes(data: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the k bytes from each start, A-Z in lower case."""
+    out = np.full(len(starts), k, np.uint64)
+    for j, factor in enumerate(constants(k, 53)):
+        out += _BYTE[LOWER[data[starts + j]]] * factor
+    return mix(out)
+
+
 def shingles(hashes: np.ndarray, bounds: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``width`` words, in order and with repeats, and the documents' bounds
     among them. A document of fewer words (but one at least) has its whole sequence as one shingle."""
