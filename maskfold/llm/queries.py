@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from maskfold.llm import sharding
+from maskfold.llm.decontaminate import op4_decontaminate
 from maskfold.llm.fingerprints import op1_fingerprints
 from maskfold.llm.ngram_join import op9_ngram_join
 from maskfold.llm.secrets import op2_secrets
@@ -13,6 +14,7 @@ from maskfold.llm.toxicity import op8_toxicity
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_secrets": op2_secrets,
+    "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
     "op7_sharding": op7_sharding,
     "op8_toxicity": op8_toxicity,
