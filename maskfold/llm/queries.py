@@ -5,6 +5,7 @@ from __future__ import annotations
 from maskfold.llm import sharding
 from maskfold.llm.decontaminate import op4_decontaminate
 from maskfold.llm.fingerprints import op1_fingerprints
+from maskfold.llm.language import op10_language
 from maskfold.llm.ngram_join import op9_ngram_join
 from maskfold.llm.secrets import op2_secrets
 from maskfold.llm.mixing import op5_mixing
@@ -19,6 +20,7 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_toxicity": op8_toxicity,
     "op9_ngram_join": op9_ngram_join,
+    "op10_language": op10_language,
 }
 
 SQL: dict[str, str] = {
