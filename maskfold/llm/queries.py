@@ -5,6 +5,7 @@ from __future__ import annotations
 from maskfold.llm import sharding
 from maskfold.llm.decontaminate import op4_decontaminate
 from maskfold.llm.fingerprints import op1_fingerprints
+from maskfold.llm.html_main import op6_html
 from maskfold.llm.language import op10_language
 from maskfold.llm.ngram_join import op9_ngram_join
 from maskfold.llm.secrets import op2_secrets
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_secrets": op2_secrets,
     "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
+    "op6_html": op6_html,
     "op7_sharding": op7_sharding,
     "op8_toxicity": op8_toxicity,
     "op9_ngram_join": op9_ngram_join,
