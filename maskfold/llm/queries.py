@@ -8,6 +8,7 @@ from maskfold.llm.fingerprints import op1_fingerprints
 from maskfold.llm.html_main import op6_html
 from maskfold.llm.language import op10_language
 from maskfold.llm.ngram_join import op9_ngram_join
+from maskfold.llm.quality import op3_quality
 from maskfold.llm.secrets import op2_secrets
 from maskfold.llm.mixing import op5_mixing
 from maskfold.llm.sharding import op7_sharding
@@ -16,6 +17,7 @@ from maskfold.llm.toxicity import op8_toxicity
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_secrets": op2_secrets,
+    "op3_quality": op3_quality,
     "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
     "op6_html": op6_html,
