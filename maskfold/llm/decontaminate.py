@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskfold.llm import tokens
+from maskfold.llm.shared import written
 
 SIMILARITY = 0.75
 WIDTH = 5
@@ -259,7 +260,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", limit: i
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item, in its own columns."""
-    found = matches(docs, benchmark).select(F.col("doc_id").alias("_found")).distinct()
+    found = written(matches(docs, benchmark).select(F.col("doc_id").alias("_found")).distinct())
     return docs.join(found, docs["doc_id"].eqNullSafe(found["_found"]), "left_anti")
 
 
