@@ -128,7 +128,7 @@ def judge(token: Column) -> Column:
 
     def scored(s: Column) -> Column:
         n, k = F.char_length(s["body"]), F.char_length(s["letters"])
-        x = F.transform(F.sequence(F.lit(1), n), lambda i: F.position(F.substring(s["body"], i, F.lit(1)), s["letters"]) - 1)
+        x = F.transform(F.filter(F.split(s["body"], ""), lambda c: c != ""), lambda c: F.position(c, s["letters"]) - 1)
         return _let(
             _let(x, lambda v: _moments(v, n, k, digits(s["body"]), digits(s["letters"]))),
             lambda z: F.struct(

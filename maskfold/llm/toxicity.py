@@ -31,13 +31,13 @@ from pyspark.sql import types as T
 from maskfold.llm import tokens
 from maskfold.llm.learn import held_back, one_label, sampled, sigmoid, with_sample
 
-ROWS = 12_000
+ROWS = 6_000
 GRADES = 3
 LEAST_DOCS = 4  # a word's documents in the sample
 EVIDENT = 12.0  # times as frequent in toxic documents
 STEPS = 200
-SPARSE = 0.08  # soft threshold, over the root of the sample's size
-SCREEN = 4.0  # least ratio of a feature's shares among toxic and other documents
+SPARSE = 0.15  # soft threshold, over the root of the sample's size
+SCREEN = 8.0  # least ratio of a feature's shares among toxic and other documents
 PREFIXES = (4, 5)
 _BUCKETS = 1 << 20
 _U = np.uint64
@@ -157,15 +157,19 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
     if not (y > 0).any() or not (y == 0).any():
         return none
     # copies among the labelled documents count once
-    first = {(w, int(t)): i for i, (w, t) in reversed(list(enumerate(zip(got["words"].to_pylist(), y > 0))))}
-    got = got.take(sorted(first.values()))
+    first: dict[tuple, int] = {}
+    for i, (w, n) in enumerate(zip(got["words"], got["times"])):
+        first.setdefault((hash(w.as_py()), hash(n.as_py()), bool(y[i] > 0)), i)
+    got = got.take(list(first.values()))
     y, held = got["y"].to_numpy(), got["held"].to_numpy().astype(bool)
     parts = [np.frombuffer(v.as_buffer(), np.uint64) for v in got["words"]]
     sizes = np.array([len(p) for p in parts])
     words = np.concatenate(parts)
-    times = np.concatenate([np.frombuffer(v.as_buffer(), np.uint32) for v in got["times"]]).astype(float)
-    row = np.repeat(np.arange(len(y)), sizes)
+    times = np.concatenate([np.frombuffer(v.as_buffer(), np.uint32) for v in got["times"]]).astype(np.float32)
+    row = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
+    del got, parts
     names, feature, df = np.unique(words, return_inverse=True, return_counts=True)
+    del words
     common = (df >= LEAST_DOCS) & (_odds(row, feature, len(names), y > 0) >= SCREEN)
     renumber = np.cumsum(common) - 1
     keep = common[feature]
@@ -187,11 +191,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
     names, row, times, feature = names[chosen], row[keep], times[keep], place[feature[keep]]
     mine = train[row]
     x = _Sparse(order[row[mine]], feature[mine], np.log1p(times[mine]), int(train.sum()), len(names))
-    w, t = fit_ordinal(x, grade[train], sparse=1e-2 / x.rows)
+    w, t = fit_ordinal(x, grade[train], steps=5 * STEPS, sparse=1e-2 / x.rows)
     # the sample holds toxic documents more often than the corpus; the cut is set on the odds it was drawn with
     check = held if (y[held] > 0).any() and (y[held] == 0).any() else train
     p = sigmoid(np.bincount(row, np.log1p(times) * w[feature], len(y)) - t[0])[check]
-    grid = np.unique(np.clip(np.quantile(p, np.linspace(0, 1, 201)), 0.05, 0.95))
+    grid = np.unique(np.clip(np.quantile(p, np.linspace(0, 1, 201)), 0.1, 0.9))
     right = [np.mean((p >= c) == (y[check] > 0)) for c in grid]
     best = np.flatnonzero(np.array(right) >= max(right) - 1e-9)
     cut = float((grid[best[0]] + grid[best[-1]]) / 2)

@@ -1,0 +1,58 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+
+from maskfold.llm import language, tokens
+from maskfold.llm.queries import QUERIES
+
+from .helpers import SF, documents, empty, odd_rows
+
+
+def test_held_out_accuracy(spark):
+    got = {r["doc_id"]: r for r in QUERIES["op10_language"](spark, SF).collect()}
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    assert len(got) == len(rows)
+    right = []
+    for r in rows:
+        g = got[r["doc_id"]]
+        assert g["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+        assert 0 <= g["score"] <= 1
+        if g["held_out"] and r["lang"] is not None:
+            right.append(g["lang_pred"] == r["lang"])
+    assert np.mean(right) >= 0.95
+
+
+def test_subwords_against_strings():
+    texts = ["Ab cde, É1f", "", "xyz"]
+    data, off = tokens.buffers(pa.array(texts))
+    buckets, bounds = language.subwords(data, off)
+    again, _ = language.subwords(*tokens.buffers(pa.array(["ab CDE; é-F"])))
+    assert buckets[bounds[0] : bounds[1]].tolist() == again.tolist()
+    assert bounds[2] == bounds[1]
+    # "xyz" alone has one run of three bytes
+    assert bounds[3] - bounds[2] == 1
+
+
+def test_odd_rows(spark):
+    docs = documents(spark, odd_rows() + [(40, "12 34 !?")])
+    learn = spark.createDataFrame([(i, "the cat and the dog " * 5, "en") for i in range(20)] + [(100 + i, "der hund und die katze " * 5, "de") for i in range(20)], "doc_id long, text string, lang string")
+    model = language.fit(learn)
+    assert model.langs == ["de", "en"]
+    out = language.predict(docs.withColumnRenamed("label", "score"), model).collect()
+    assert len(out) == len(odd_rows()) + 1
+    for r in out:
+        letters = r["text"] is not None and any(c.isalpha() for c in r["text"])
+        assert (r["lang_pred"] == "und") != letters
+    assert language.predict(empty(docs), model).count() == 0
+    none = language.fit(empty(learn))
+    assert {r["lang_pred"] for r in language.predict(docs, none).collect()} == {"und"}
+
+
+def test_rejection_is_calibrated(spark):
+    learn = spark.createDataFrame([(i, f"the cat and the dog number {i} " * 3, "en") for i in range(60)] + [(100 + i, f"der hund und die katze nummer {i} " * 3, "de") for i in range(60)], "doc_id long, text string, lang string")
+    model = language.fit(learn)
+    assert 0 < model.threshold <= 1 and model.temperature > 0
+    mixed = spark.createDataFrame([(1, "zq xv qj wq"), (2, "the dog and the cat")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in language.predict(mixed, model).collect()}
+    assert got[1]["score"] < got[2]["score"]
