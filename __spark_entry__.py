@@ -13,7 +13,9 @@ import os
 import sys
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))  # the package sits next to this file
 
@@ -185,15 +187,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _io_dir(spark: SparkSession) -> str:
-    """A fresh folder under the session's shared checkpoint folder; when the session names none
-    (a local check run), one is set for it, as the tests do."""
+    """A fresh folder under the session's shared checkpoint folder. A local session that names none
+    gets a temporary folder; a cluster must name one, as its executors share no other."""
     try:
         base = shared_dir(spark)
     except RuntimeError:
+        if not spark.sparkContext.master.startswith("local"):
+            raise
         base = tempfile.mkdtemp(prefix="maskfold-shared-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-        base = shared_dir(spark)
     return f"{base}/maskfold-io/{uuid.uuid4().hex}"
 
 
@@ -301,6 +302,39 @@ def _dense_index(spark: SparkSession, sf: str) -> DataFrame:
     return dense_index(li, ["l_shipdate", "l_orderkey", "l_linenumber", "l_quantity"], "row_index")
 
 
+def _dense_index_wide(spark: SparkSession, sf: str) -> DataFrame:
+    keys = ["l_shipdate", "l_orderkey", "l_linenumber", "l_quantity"]
+    return dense_index(_t(spark, sf, "lineitem"), keys, "row_index")
+
+
+def _regex_long(spark: SparkSession, sf: str) -> DataFrame:
+    """Account numbers of more than 40 digits, whose subtraction borrows through all of them."""
+    number = F.concat((F.col("l_orderkey") + 1).cast("string"), F.repeat(F.lit("0"), F.lit(40)), F.col("l_linenumber").cast("string"))
+    li = _t(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.concat(number, F.lit("-"), F.col("l_linenumber").cast("string")).alias("ACCT_NUM")
+    )
+    return scrub(li, [Rule("ACCT_NUM", "regex", "#")])
+
+
+def _keyed_text_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """The keyed address join where the data's ids are text, one in ten of them no number."""
+    text = F.col("ASST_ID").cast("string")
+    data = asset_orders(spark, sf).withColumn(
+        "ASST_ID", F.when(F.col("ASST_DIM_ID") % 10 == 0, F.concat(F.lit("A"), text)).otherwise(text)
+    )
+    return scrub(data, [Rule("PRPTY_ADDR_LN1", "address", "x")], address_map(spark, sf))
+
+
+def _multiple_join_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """The dictionary as a table whose keys are text, some of them no number."""
+    key = F.col("n_nationkey").cast("string")
+    nation = _t(spark, sf, "nation").select(
+        F.when(F.col("n_regionkey") == 4, F.concat(F.lit("X"), key)).otherwise(key).alias("key"),
+        F.col("n_name").alias("value"),
+    )
+    return map_values_join(_t(spark, sf, "customer"), "c_nationkey", nation)
+
+
 def _sample_exact(spark: SparkSession, sf: str) -> DataFrame:
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     n = _t(spark, sf, "orders").count()
@@ -344,6 +378,27 @@ def _write_outputs(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, paths["pipe"], schema=schema, sep="|")
 
 
+def _shipped(query: Callable[[SparkSession, str], DataFrame]):
+    """The query after the package has been added to the session's files, as ``--py-files`` does,
+    so that Python workers can import it whatever folder they start in."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        if spark.sparkContext.applicationId not in _SHIPPED:
+            here = Path(__file__).resolve().parent
+            target = Path(tempfile.mkdtemp(prefix="maskfold-files-")) / "maskfold.zip"
+            with zipfile.ZipFile(target, "w") as z:
+                for f in sorted(here.glob("maskfold/**/*.py")):
+                    z.write(f, f.relative_to(here).as_posix())
+            spark.sparkContext.addPyFile(str(target))
+            _SHIPPED.add(spark.sparkContext.applicationId)
+        return query(spark, sf)
+
+    return run
+
+
+_SHIPPED: set[str] = set()
+
+
 def _training_data_queries() -> tuple[dict, dict]:
     """Queries and SQL of the optional subpackage ``maskfold.llm`` and of ``corpus_pipeline``; empty
     where these are not present."""
@@ -351,11 +406,11 @@ def _training_data_queries() -> tuple[dict, dict]:
     if importlib.util.find_spec("maskfold.llm") is not None:
         from maskfold.llm.queries import QUERIES, SQL
 
-        found, sql = dict(QUERIES), dict(SQL)
+        found, sql = {name: _shipped(query) for name, query in QUERIES.items()}, dict(SQL)
         if importlib.util.find_spec("corpus_pipeline") is not None:
             import corpus_pipeline
 
-            found["pipeline"] = corpus_pipeline.run
+            found["pipeline"] = _shipped(corpus_pipeline.run)
             if corpus_pipeline.ORACLE_SQL:
                 sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found, sql
@@ -411,6 +466,13 @@ def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "state_name": _state_name,
         "rule_order": _rule_order,
         "dense_index": _dense_index,
+        "dense_index_wide": _dense_index_wide,
+        "scrub_regex_long": _regex_long,
+        "address_keyed_text_ids": _keyed_text_ids,
+        "scrub_multiple_join_mixed": _multiple_join_mixed,
+        "scrub_cross_double": _one(
+            "orders", [Rule("o_custkey", "cross", "500")], ScrubOptions(id_col="o_totalprice")
+        ),
         "sample_exact": _sample_exact,
         "read_pipe": _read_text("txt"),
         "read_csv": _read_text("csv"),
@@ -533,15 +595,15 @@ FROM a JOIN p ON a.ASST_ID = p.ASST_ID
 """
 
 
-def _keyed_sql(join: str) -> str:
+def _keyed_sql(join: str, ids: str = "a.ASST_ID") -> str:
     st = _STATE_CASE.format(x="p.REGION")
     return f"""
 WITH a AS ({_ASSET_SQL}), p AS ({_KEYED_PREP})
-SELECT a.ASST_ID, a.ASST_DIM_ID, a.LOAN_NUM, a.BAL_AMT, a.XREF_ID, a.STATUS_CD, a.CNTRY_CD,
+SELECT {ids} AS ASST_ID, a.ASST_DIM_ID, a.LOAN_NUM, a.BAL_AMT, a.XREF_ID, a.STATUS_CD, a.CNTRY_CD,
        a.ACCT_NUM, a.FULL_NAME, a.FIRST_NAME, a.OPEN_DT,
        p.NEW_CITY AS CITY, p.REGION AS STAT, p.POSTCODE AS ZIP, p.ADDR_LN_1 AS PRPTY_ADDR_LN1,
        p.ADDR_LN_2 AS PRPTY_ADDR_LN2, {st} AS STAT_CD_DESC
-FROM a {join} JOIN p ON a.ASST_ID = p.ASST_ID
+FROM a {join} JOIN p ON TRY_CAST({ids} AS BIGINT) = p.ASST_ID
 """
 
 
@@ -602,6 +664,14 @@ FROM a LEFT JOIN c ON a.ASST_ID = c.ASST_ID
         "state_name": f"SELECT n_nationkey, n_name, n_regionkey, ({_CODES_SQL})[n_nationkey + 1] AS STAT, {_STATE_CASE.format(x=f'({_CODES_SQL})[n_nationkey + 1]')} AS STAT_CD_DESC FROM nation",
         "rule_order": "SELECT CASE WHEN o_orderkey = 0 THEN NULL ELSE o_orderkey + 1000 END AS o_orderkey, CASE WHEN o_orderkey = 0 THEN NULL ELSE o_orderkey + 1500 END AS o_custkey, 'X' AS o_orderstatus, CASE WHEN o_totalprice = 0 THEN NULL ELSE CAST(CAST(regexp_replace(CAST(o_totalprice AS VARCHAR), '[^0-9]', '', 'g') AS DOUBLE) AS BIGINT) END AS o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "dense_index": "SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity, row_number() OVER (ORDER BY l_shipdate NULLS FIRST, l_orderkey NULLS FIRST, l_linenumber NULLS FIRST, l_quantity NULLS FIRST) AS row_index FROM lineitem",
+        "dense_index_wide": "SELECT *, row_number() OVER (ORDER BY l_shipdate NULLS FIRST, l_orderkey NULLS FIRST, l_linenumber NULLS FIRST, l_quantity NULLS FIRST) AS row_index FROM lineitem",
+        "scrub_regex_long": """
+SELECT l_orderkey, l_linenumber, substring(d, 1, 1) || reverse(substring(d, 2)) || '#' || CAST(l_linenumber AS VARCHAR) AS ACCT_NUM
+FROM (SELECT *, CASE WHEN l_orderkey = 0 THEN '' ELSE CAST(l_orderkey AS VARCHAR) END || repeat('9', 38) || CAST(877 + l_linenumber AS VARCHAR) AS d FROM lineitem) t
+""",
+        "address_keyed_text_ids": _keyed_sql("", "CASE WHEN a.ASST_DIM_ID % 10 = 0 THEN 'A' || CAST(a.ASST_ID AS VARCHAR) ELSE CAST(a.ASST_ID AS VARCHAR) END"),
+        "scrub_multiple_join_mixed": "SELECT c_custkey, c_name, coalesce(n.n_name, CAST(c.c_nationkey AS VARCHAR)) AS c_nationkey, c_acctbal, c_mktsegment FROM customer c LEFT JOIN nation n ON c.c_nationkey = TRY_CAST(CASE WHEN n.n_regionkey = 4 THEN 'X' ELSE '' END || CAST(n.n_nationkey AS VARCHAR) AS BIGINT)",
+        "scrub_cross_double": "SELECT o_orderkey, CAST(NULL AS BIGINT) AS o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "sample_exact": "SELECT l_orderkey, l_linenumber, l_quantity FROM (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '7', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_quantity AS VARCHAR))), l_orderkey, l_linenumber, l_quantity) AS rk FROM lineitem) s WHERE rk <= (SELECT count(*) FROM orders)",
         "read_pipe": f"SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice * CAST(2 AS DOUBLE) AS FLOAT) AS o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "read_csv": f"SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice * CAST(2 AS DOUBLE) AS FLOAT) AS o_totalprice, o_orderdate, o_orderpriority FROM orders",

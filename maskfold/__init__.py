@@ -12,7 +12,6 @@ from maskfold.plans import (
     validate,
     violations_frame,
 )
-from maskfold.operators.index import release
 from maskfold.plans.job import run_job
 from maskfold.sources import read_addresses, read_table, write_outputs
 
@@ -26,7 +25,6 @@ __all__ = [
     "preset",
     "read_addresses",
     "read_table",
-    "release",
     "run_job",
     "scrub",
     "validate",

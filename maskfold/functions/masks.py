@@ -83,9 +83,13 @@ def amount(c: Column, factor: float) -> Masked:
     return Masked(value, c.isNull() | value.isNull())
 
 
-def cross_shift(id_col: Column, start: int) -> Masked:
-    """The row's id plus ``start`` as a long, so a copied foreign key follows a shifted id."""
-    value = F.try_add(id_col.try_cast("bigint"), F.lit(start).cast("bigint"))
+def cross_shift(id_col: Column, dtype: T.DataType, start: int) -> Masked:
+    """The row's id plus ``start`` as a long, so a copied foreign key follows a shifted id. Ids of
+    another type than integer or boolean give null: the reference's long-typed function does so for
+    fractions and fails on text."""
+    if not isinstance(dtype, INTEGRAL + (T.BooleanType,)):
+        return Masked(F.lit(None).cast("bigint"), F.lit(True))
+    value = F.try_add(id_col.cast("bigint"), F.lit(start).cast("bigint"))
     return Masked(value, value.isNull())
 
 
@@ -155,18 +159,37 @@ def _text(c: Column, dtype: T.DataType) -> Column:
     return c if is_string(dtype) else c.cast("string")
 
 
+def _stepped(digits: Column, up: bool) -> Column:
+    """Text of a run of digits plus or minus one: the last digit that does not carry changes, and
+    those behind it turn over. Minus one needs a digit other than zero."""
+    turning, turned = ("9", "0") if up else ("0", "9")
+    tail = F.length(F.regexp_extract(digits, f"({turning}*)$", 1))
+    at = F.length(digits) - tail
+    one = F.substring(digits, at, F.lit(1)).cast("int") + (1 if up else -1)
+    stepped = F.concat(
+        F.substring(digits, F.lit(1), at - 1), one.cast("string"), F.repeat(F.lit(turned), tail)
+    )
+    return F.when(at > 0, stepped).otherwise(F.concat(F.lit("1"), F.repeat(F.lit("0"), tail)))
+
+
 def _minus(pre: Column, shift: int) -> Column:
-    """Text of ``int(pre) - shift`` for a run of ASCII digits: long arithmetic up to 18 digits
-    (cannot overflow, no exception path), decimal(38) beyond; '' -> null."""
-    n = F.length(pre)
+    """Text of ``int(pre) - shift`` for a run of ASCII digits of any length; '' -> null. The last 18
+    digits are subtracted as a long, and the digits before them give or take one on text."""
+    if abs(shift) >= 10**18:
+        raise ValueError("the account shift must have at most 18 digits")
+    own = F.regexp_replace(pre, "^0+(?=[0-9])", "")
+    n = F.length(own)
+    short = (own.cast("bigint") - F.lit(shift).cast("bigint")).cast("string")
+    head = F.substring(own, F.lit(1), n - 18)
+    low = F.substring(own, n - 17, F.lit(18)).cast("bigint") - F.lit(shift).cast("bigint")
+    base = F.lit(10**18).cast("bigint")
+    kept = F.when(low < 0, _stepped(head, False)).when(low >= base, _stepped(head, True)).otherwise(head)
+    rest = F.when(low < 0, low + base).when(low >= base, low - base).otherwise(low)
+    long = F.concat(kept, F.lpad(rest.cast("string"), 18, "0"))
     return (
         F.when(n == 0, F.lit(None).cast("string"))
-        .when(n <= 18, (pre.cast("bigint") - F.lit(shift).cast("bigint")).cast("string"))
-        .otherwise(
-            F.try_subtract(pre.try_cast("decimal(38,0)"), F.lit(shift).cast("decimal(38,0)")).cast(
-                "string"
-            )
-        )
+        .when(n <= 18, short)
+        .otherwise(F.regexp_replace(long, "^0+(?=[0-9])", ""))
     )
 
 
@@ -190,8 +213,7 @@ def regex_reverse(
     d = _minus(pre, shift)
     rewritten = F.concat(F.substring(d, 1, 1), F.reverse(F.substring(d, 2, 2147483647)))
     if pattern == ACCOUNT_PATTERN:
-        # group 1 is digits or '' (no match -> d null -> empty head); beyond decimal(38) -> null
-        head = F.coalesce(rewritten, F.when(pre == F.lit(""), F.lit("")))
+            head = F.coalesce(rewritten, F.when(pre == F.lit(""), F.lit("")))
     else:
         head = F.when(pre.rlike("^[0-9]+$"), rewritten).otherwise(pre)
     out = F.concat(head, F.lit(value), post)

@@ -6,5 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def col(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))

@@ -11,25 +11,22 @@ from maskfold.operators.audit import drop_audit
 from maskfold.operators.index import (
     dense_index,
     dense_index_counted,
-    release,
+    materialised,
     sample_exact,
     sample_key,
     total_order,
 )
-from maskfold.operators.joins import at_most, bounded_broadcast
 from maskfold.operators.mapping import map_values_join
 
 __all__ = [
     "ADDRESS_FIELDS",
     "address_report",
-    "at_most",
-    "bounded_broadcast",
     "dense_index",
     "dense_index_counted",
     "drop_audit",
     "map_values_join",
+    "materialised",
     "prepare_addresses",
-    "release",
     "replace_keyed",
     "replace_sampled",
     "sample_exact",

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskfold.functions.names import col
+from maskfold.functions.names import col, quoted
+from maskfold.functions.pytext import is_string
 from maskfold.functions.states import state_name
 from maskfold.operators.index import (
     dense_index,
     dense_index_counted,
+    materialised,
     row_hash,
     sample_exact,
-    total_order,
 )
-from maskfold.operators.joins import bounded_broadcast
 from maskfold.plans.options import ScrubOptions
 
 # Names of the prepared address columns (as the reference names them after its rename).
@@ -25,6 +25,7 @@ _A = "__mf_address"
 _J = "__mf_join_index"
 _SEQ = "__mf_row"
 _H = "__mf_hash"
+_K = "__mf_key"
 
 
 def prepare_addresses(
@@ -73,72 +74,65 @@ def _overwrite(joined: DataFrame, o: ScrubOptions) -> DataFrame:
     return out.withColumn(t.target_state_name, state_name(col(t.target_state)))
 
 
+def key_condition(df: DataFrame, side: DataFrame, left: str, right: str) -> Column:
+    """Equality of two key columns whose types may differ: text meets another type as a value of
+    that type, and text that is no such value matches nothing (never an error)."""
+    types = [{f.name: f.dataType for f in x.schema.fields}[n] for x, n in ((df, left), (side, right))]
+    a, b = df[quoted(left)], side[quoted(right)]
+    if is_string(types[0]) and not is_string(types[1]):
+        a = a.try_cast(types[1])
+    elif is_string(types[1]) and not is_string(types[0]):
+        b = b.try_cast(types[0])
+    return a == b
+
+
 def replace_keyed(df: DataFrame, prepared: DataFrame, options: ScrubOptions | None = None) -> DataFrame:
     """Join the prepared addresses on the id column and overwrite the address columns.
 
     ``inner`` (default) drops rows without an address and multiplies rows whose id appears more
     than once in the address table; ``left`` keeps them with null address columns. The id column
-    moves to the front, as the reference's ``join(..., 'ASST_ID')`` does. The address side is
-    broadcast only when its row count is proven small; otherwise it is a shuffle join.
+    moves to the front, as the reference's ``join(..., 'ASST_ID')`` does. Ids may differ in type
+    (each file's types are inferred by themselves). The planner broadcasts the address side where its
+    size is known to be below the session's threshold; otherwise it is a shuffle join.
     """
     o = options or ScrubOptions()
     key = o.id_col
-    payload = prepared.select(col(key), F.struct(*ADDRESS_FIELDS).alias(_A))
-    side = bounded_broadcast(payload, o.broadcast_rows)
-    return _overwrite(df.join(side, on=key, how=o.address_how), o)
-
-
-def _has_shuffle(df: DataFrame) -> bool:
-    """Whether the frame's physical plan already contains an exchange (its row layout can then
-    differ between two evaluations). Planning only; nothing runs. Where the plan cannot be seen
-    (a remote session) the answer is yes, which picks the path that is safe for any input."""
-    try:
-        return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
-    except AttributeError:
-        return True
+    payload = prepared.select(col(key).alias(_K), F.struct(*ADDRESS_FIELDS).alias(_A))
+    joined = df.join(payload, key_condition(df, payload, key, _K), o.address_how)
+    rest = [col(c) for c in df.columns if c != key]
+    return _overwrite(joined.select(col(key), *rest, F.col(_A)), o)
 
 
 def replace_sampled(df: DataFrame, prepared: DataFrame, options: ScrubOptions | None = None) -> DataFrame:
     """Give the i-th data row by the order column the i-th address, by city, of a seeded exact
     sample (without replacement) of as many pool rows as there are data rows.
 
-    The data is numbered on a narrow key frame only (order column, row hash, input position), the
-    numbers are paired with the sampled addresses (n rows each side), and the pairs join the full
-    data once on input position: one shuffle of the wide table, nothing wide persisted. Input
-    position is stable when the data is files plus row-wise steps; a frame whose plan already
-    shuffles is instead numbered whole (range sort of the wide rows, persisted). A data row left
-    without an address fails the job, as the reference's sampler does when the pool is too small.
+    The data with its input position is materialised once, which fixes that position whatever the
+    frame was made of. It is numbered on a narrow key frame (order column, row hash, position), the numbers
+    are paired with the sampled addresses (n rows each side), and the pairs join the data once on
+    position: one shuffle of the wide table, which is never sorted. A pool with fewer usable
+    addresses than data rows fails the job, as the reference's sampler does.
     """
     o = options or ScrubOptions()
     fields = list(ADDRESS_FIELDS)
-    # the data is numbered first: its per-partition counts give n without a separate count pass
-    whole = _has_shuffle(df)
-    if whole:
-        data, n = dense_index_counted(df, total_order(df, [o.order_col]), _J)
-    else:
-        data = df.withColumn(_SEQ, F.monotonically_increasing_id()).withColumn(_H, row_hash(df))
-        keys = data.select(col(o.order_col), F.col(_H), F.col(_SEQ))
-        ranks, n = dense_index_counted(keys, [col(o.order_col), F.col(_H), F.col(_SEQ)], _J)
-    chosen = sample_exact(prepared.select(*fields), n, fields, o.seed)
+    data = materialised(df.withColumn(_SEQ, F.monotonically_increasing_id()))
+    keys = data.select(col(o.order_col), row_hash(df).alias(_H), F.col(_SEQ))
+    # the numbering's per-partition counts give n without a separate count pass
+    ranks, n = dense_index_counted(keys, [col(o.order_col), F.col(_H), F.col(_SEQ)], _J)
+    try:
+        chosen = sample_exact(prepared.select(*fields), n, fields, o.seed)
+    except ValueError as e:
+        raise ValueError(f"address pool has fewer rows than the data: {e}") from e
     addresses = dense_index(chosen, fields, _J).select(_J, F.struct(*fields).alias(_A))
-    small = n <= o.broadcast_rows  # both sides have at most n rows: a proven bound
-    if whole:
-        side = F.broadcast(addresses) if small else addresses
-        joined = data.join(side, on=_J, how="left")
-        drop = [_J]
-    else:
-        pairs = ranks.select(_SEQ, _H, _J).join(F.broadcast(addresses) if small else addresses, _J)
-        pairs = pairs.select(_SEQ, _H, _A)
-        # joining on the row hash too: a row that moved between the two reads finds no pair and
-        # fails the job below instead of taking another row's address
-        joined = data.join(F.broadcast(pairs) if small else pairs, on=[_SEQ, _H], how="left")
-        drop = [_SEQ, _H]
+    pairs = ranks.select(_SEQ, _J).join(addresses, _J).select(_SEQ, _A)
+    joined = data.join(pairs, on=_SEQ, how="left")
+    drop = [_SEQ]
     joined = joined.withColumn(
         _A,
         F.when(
             F.col(_A).isNull(),
             F.raise_error(
-                F.lit("address pool has fewer rows than the data, or the data changed between reads")
+                F.lit("address pool has fewer rows than the data")
             ),
         ).otherwise(F.col(_A)),
     )
@@ -152,10 +146,9 @@ def address_report(df: DataFrame, prepared: DataFrame, options: ScrubOptions | N
     join. The address side is pre-aggregated to one row per id before it meets the data."""
     o = options or ScrubOptions()
     key = o.id_col
-    copies = prepared.groupBy(col(key)).agg(F.count(F.lit(1)).alias("__mf_copies"))
-    side = bounded_broadcast(copies, o.broadcast_rows)
+    copies = prepared.groupBy(col(key).alias(_K)).agg(F.count(F.lit(1)).alias("__mf_copies"))
     c = F.col("__mf_copies")
-    joined = df.select(col(key)).join(side, on=key, how="left")
+    joined = df.join(copies, key_condition(df, copies, key, _K), "left")
     return joined.agg(
         F.count(F.lit(1)).alias("data_rows"),
         F.count_if(c.isNull()).alias("unmatched_rows"),

@@ -6,17 +6,17 @@ range partitions, take each row's position inside its partition (the low 33 bits
 ``monotonically_increasing_id``) and add the row count of all earlier partitions. The per-partition
 counts are one row per partition, so broadcasting them is bounded by the partition count.
 
-Both uses (positions and counts) must see the same partitions. Column pruning would give the count
-branch its own range exchange with its own sampled bounds, so the sorted frame is persisted and
-both branches read it. A lost cached block is recomputed from the same shuffle dependency (same
-bounds) and, with a total order, the same in-partition positions. ``release`` unpersists.
+Both uses (positions and counts) must see the same partitions, so the sorted frame, with each row's
+partition and position as columns, is written once to reliable storage (``checkpoint()`` in the
+shared folder of ``spark.checkpoint.dir``) and both read that. Nothing depends on a cache: the result
+stays right after ``clearCache()``, after other jobs, and when executors are lost.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +29,22 @@ _N = "__mf_n"
 _OFF = "__mf_off"
 _SEQ = "__mf_seq"
 _LOW_BITS = (1 << 33) - 1
-_HELD: list[DataFrame] = []
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """``df`` computed once, now, and read back from the shared folder the session names in
+    ``spark.checkpoint.dir``. Where none is named a temporary folder serves on a local master; on a
+    cluster, whose executors would not see it, that is refused."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+            folder = tempfile.mkdtemp(prefix="maskfold-local-")
+        sc.setCheckpointDir(folder)
+    return df.checkpoint()
 
 
 def _col(k: str | Column) -> Column:
@@ -69,8 +84,8 @@ def dense_index_counted(
     name: str = "row_index",
     num_partitions: int | None = None,
 ) -> tuple[DataFrame, int]:
-    """``dense_index`` plus the row count, read from the per-partition counts the numbering needs
-    anyway (one small job, which also fills the persisted sorted frame for later use)."""
+    """``dense_index`` plus the row count, from the per-partition counts the numbering needs anyway
+    (one small job over the materialised frame)."""
     out, counts = _numbered(df, keys, name, num_partitions)
     total = counts.agg(F.sum(_N)).collect()[0][0]
     return out, int(total or 0)
@@ -91,13 +106,11 @@ def _numbered(
         if num_partitions
         else df.repartitionByRange(*order)
     )
-    tagged = (
+    tagged = materialised(
         ranged.sortWithinPartitions(*order)
         .withColumn(_MI, F.monotonically_increasing_id())
         .withColumn(_P, F.shiftright(F.col(_MI), 33))
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    _HELD.append(tagged)
     counts = tagged.groupBy(_P).agg(F.count(F.lit(1)).alias(_N))
     # one row per partition: the running sum runs in one task over the partition count
     offsets = counts.select(
@@ -112,12 +125,6 @@ def _numbered(
     return out, counts
 
 
-def release() -> None:
-    """Unpersist the sorted frames held by ``dense_index`` (call after the result is written)."""
-    while _HELD:
-        _HELD.pop().unpersist()
-
-
 def sample_key(seed: int, columns: Sequence[str]) -> Column:
     """Seeded pseudo-random order key: md5 of ``seed|c1|c2|...`` (null as empty text)."""
     parts = [F.lit(str(seed))] + [F.coalesce(col(c).cast("string"), F.lit("")) for c in columns]
@@ -131,15 +138,15 @@ def sample_exact(
     seed: int = 42,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Exactly ``min(n, count)`` rows without replacement: those with the ``n`` smallest seeded
-    hash keys ``md5(seed|c1|c2|...)`` (ties by the columns, then input position), so the same seed
+    """Exactly ``n`` rows without replacement (``ValueError`` when there are fewer): those with the ``n`` smallest seeded
+    hash keys ``md5(seed|c1|c2|...)`` (ties by a hash of the columns, then input position), so the same seed
     gives the same rows under any partitioning.
 
     The table is never sorted as a whole. The hash is uniform, so its first four hex digits are
     an order-preserving bucket (65,536 of them). A histogram of buckets (partial aggregation, at
     most 65,536 rows) finds the bucket where the running count reaches ``n``: every row below it
     is in the sample, rows above it are not, and only that one bucket is ranked. The candidates
-    (buckets up to that one, about ``n`` rows) are persisted between those two uses.
+    (buckets up to that one, about ``n`` rows) are materialised for those two uses.
     """
     cols = list(columns or df.columns)
     h, b, rank = "__mf_sample", "__mf_bucket", "__mf_rank"
@@ -155,13 +162,13 @@ def sample_exact(
         .agg(F.min_by(F.struct(F.col(b), (F.lit(n) - F.col("upto") + F.col("rows")).alias("need")), F.col(b)))
         .collect()[0][0]
     )
-    if edge_row is None:  # fewer than n rows in all: the whole table
+    if edge_row is None:
+        if n > 0:
+            raise ValueError(f"a sample of {n} rows was asked of a table with fewer rows")
         return df
     edge_bucket, need = edge_row[b], edge_row["need"]
-    ties = [col(c) for c in cols] if len(cols) <= 8 else [F.xxhash64(*[col(c) for c in cols])]
-    # the candidates (about n rows) are hashed once more and kept for both uses below
-    cand = keyed.filter(F.col(b) <= F.lit(edge_bucket)).persist(StorageLevel.MEMORY_AND_DISK)
-    _HELD.append(cand)
+    ties = [F.xxhash64(*[col(c) for c in cols])]
+    cand = materialised(keyed.filter(F.col(b) <= F.lit(edge_bucket)))
     below = cand.filter(F.col(b) < F.lit(edge_bucket))
     edge = dense_index(
         cand.filter(F.col(b) == F.lit(edge_bucket)), [F.col(h)] + ties, rank, num_partitions

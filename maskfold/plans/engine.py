@@ -30,15 +30,10 @@ from maskfold.plans.rules import (
 )
 
 
-# A literal map is searched key by key for every row; beyond this many keys the dictionary becomes a
-# small table joined by hash instead.
-LITERAL_MAP_MAX = 64
-
-
 def large_mapping(rule: Rule, o: ScrubOptions) -> bool:
     if rule.type != "multiple" or o.multiple != "map":
         return False
-    return len(parse_mapping(rule.value)) > LITERAL_MAP_MAX
+    return len(parse_mapping(rule.value)) > o.literal_map_keys
 
 
 def map_by_join(df: DataFrame, rule: Rule, dtype, o: ScrubOptions) -> DataFrame:
@@ -53,7 +48,7 @@ def map_by_join(df: DataFrame, rule: Rule, dtype, o: ScrubOptions) -> DataFrame:
         rows.append((k, text, number))
     table = df.sparkSession.createDataFrame(rows, f"key {key_type}, text string, number double")
     table = table.select("key", F.coalesce("text", F.col("number").cast("string")).alias("value"))
-    return map_values_join(df, rule.column, table, broadcast_rows=o.broadcast_rows)
+    return map_values_join(df, rule.column, table)
 
 
 def reads_of(rule: Rule, o: ScrubOptions) -> set[str]:
@@ -84,7 +79,7 @@ def rule_expression(rule: Rule, frame: DataFrame | dict, o: ScrubOptions) -> Col
     elif t == "amount":
         m = masks.amount(c, float(v))
     elif t == "cross":
-        m = masks.cross_shift(col(o.id_col), parse_int(v))
+        m = masks.cross_shift(col(o.id_col), types.get(o.id_col), parse_int(v))
     elif t == "multiple" and o.multiple == "choice":
         m = masks.choose_constant(masks.parse_list(v), o.choice_suffix, o.seed)
     elif t == "multiple":

@@ -27,29 +27,45 @@ class AddressColumns:
     target_state_name: str = "STAT_CD_DESC"
 
 
+CHOICES = {
+    "numeric": ("digits", "sequence"),
+    "multiple": ("map", "choice"),
+    "fix": ("literal", "comma_to_space"),
+    "regex": ("reverse", "index"),
+    "address": ("keyed", "sample"),
+    "address_how": ("inner", "left"),
+    "on_error": ("null", "fail"),
+}
+
+
 @dataclass(frozen=True)
 class ScrubOptions:
-    numeric: str = "digits"  # digits | sequence
+    numeric: str = "digits"
     sequence_start: int | None = None  # fixed start for sequence mode (earliest form: 5)
-    multiple: str = "map"  # map | choice
+    multiple: str = "map"
     choice_suffix: str = CHOICE_SUFFIX
-    fix: str = "literal"  # literal | comma_to_space
-    regex: str = "reverse"  # reverse | index
+    fix: str = "literal"
+    regex: str = "reverse"
     regex_pattern: str = ACCOUNT_PATTERN
     regex_shift: int = ACCOUNT_SHIFT
-    address: str = "keyed"  # keyed | sample
-    address_how: str = "inner"  # inner | left
+    address: str = "keyed"
+    address_how: str = "inner"
     include_unit: bool = False  # line 2 = 'UNIT <unit>' instead of one blank
     distinct_addresses: bool = False  # whole-row DISTINCT of the address pool
-    on_error: str = "null"  # null | fail
+    on_error: str = "null"
     seed: int = 42
     id_col: str = "ASST_ID"
     order_col: str = "ASST_DIM_ID"
     audit_cols: tuple[str, ...] = AUDIT_COLUMNS
     columns: AddressColumns = field(default_factory=AddressColumns)
-    # Address sides with at most this many rows are broadcast; larger ones shuffle (AQE handles
-    # skewed keys). 0 disables the broadcast.
-    broadcast_rows: int = 1_000_000
+    # A dictionary with more keys than this is joined as a table instead of searched key by key; the
+    # result is the same either way.
+    literal_map_keys: int = 64
+
+    def __post_init__(self):
+        for name, allowed in CHOICES.items():
+            if getattr(self, name) not in allowed:
+                raise ValueError(f"unknown {name} {getattr(self, name)!r}; use one of {allowed}")
 
     def with_(self, **changes) -> ScrubOptions:
         return replace(self, **changes)

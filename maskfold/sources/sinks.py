@@ -8,9 +8,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from maskfold.operators.index import release
-
 FORMATS = ("csv", "pipe", "parquet")
+MODES = ("overwrite", "error", "errorifexists")
 
 
 def _writer(df: DataFrame, single_file: bool, mode: str):
@@ -46,7 +45,8 @@ def write_outputs(
     formats are re-read from it (a lineage cut in shared storage that survives lost executors);
     otherwise the result is persisted, filled by the first write, for the others. The remaining
     writes are independent jobs and run concurrently. Existing output is replaced only now, after
-    the rules were validated.
+    the rules were validated, together with formats of an earlier run that this one does not write.
+    Modes that would keep or add to an earlier run's rows are refused.
     """
 
     def write_rest(src: DataFrame, rest: list[str]) -> None:
@@ -63,20 +63,30 @@ def write_outputs(
             raise ValueError(f"unknown output format {fmt!r}; use one of {FORMATS}")
     base = out_dir.rstrip("/")
     paths = {fmt: f"{base}/{fmt}" for fmt in formats}
-    try:
-        if len(formats) == 1:
-            write_one(df, formats[0], paths[formats[0]], single_file, mode)
-        elif "parquet" in formats:
-            write_one(df, "parquet", paths["parquet"], single_file, mode)
-            written = df.sparkSession.read.parquet(paths["parquet"])
-            write_rest(written, [f for f in formats if f != "parquet"])
-        else:
-            held = df.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                write_one(held, formats[0], paths[formats[0]], single_file, mode)
-                write_rest(held, formats[1:])
-            finally:
-                held.unpersist()
-    finally:
-        release()
+    if mode not in MODES:
+        # appending to or keeping one of three formats would leave them with different rows
+        raise ValueError(f"unknown output mode {mode!r}; use one of {MODES}")
+    if mode == "overwrite":
+        _drop_folders(df.sparkSession, [f"{base}/{fmt}" for fmt in FORMATS if fmt not in formats])
+    if len(formats) == 1:
+        write_one(df, formats[0], paths[formats[0]], single_file, mode)
+    elif "parquet" in formats:
+        write_one(df, "parquet", paths["parquet"], single_file, mode)
+        written = df.sparkSession.read.parquet(paths["parquet"])
+        write_rest(written, [f for f in formats if f != "parquet"])
+    else:
+        held = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_one(held, formats[0], paths[formats[0]], single_file, mode)
+            write_rest(held, formats[1:])
+        finally:
+            held.unpersist()
     return paths
+
+
+def _drop_folders(spark, folders: list[str]) -> None:
+    """Remove an earlier run's formats that this run does not write, so that none is left behind."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for folder in folders:
+        path = hadoop.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -130,7 +130,7 @@ def test_fix_and_choice(spark):
 def test_amount_and_cross(spark):
     df = spark.createDataFrame([(10.0, 1), (None, None), (16777217.0, 2)], "x double, id long")
     got = df.select(
-        masks.amount(F.col("x"), 1.1).value, masks.cross_shift(F.col("id"), 500).value
+        masks.amount(F.col("x"), 1.1).value, masks.cross_shift(F.col("id"), T.LongType(), 500).value
     ).collect()
     assert got[0][0] == pytest.approx(11.0) and got[0][1] == 501
     assert got[1][0] is None and got[1][1] is None
@@ -165,7 +165,7 @@ def test_map_values_join_matches_literal_map(spark):
     got = [r.s for r in map_values_join(df, "s", mapping).collect()]
     want = _apply(spark, ["A", "N", "Z", None], T.StringType(), lambda c, t: masks.map_values(c, t, {"A": "Alpha", "N": None}))
     assert sorted(got, key=str) == sorted(want, key=str)
-    big = map_values_join(df, "s", mapping, broadcast_rows=0)
+    big = map_values_join(df, "s", mapping)
     assert sorted((r.s for r in big.collect()), key=str) == sorted(want, key=str)
 
 
@@ -199,8 +199,8 @@ def test_large_dictionary_joins_like_literal_map(spark, monkeypatch):
         Rule("d", "multiple", "{" + ", ".join(f"{k / 2}: True" for k in range(100)) + "}"),
     ]
     joined = sorted(map(tuple, scrub(df, rules).collect()), key=str)
-    monkeypatch.setattr(engine, "LITERAL_MAP_MAX", 10**9)
-    literal = sorted(map(tuple, scrub(df, rules).collect()), key=str)
+    options = ScrubOptions(literal_map_keys=10**9)
+    literal = sorted(map(tuple, scrub(df, rules, options=options).collect()), key=str)
     assert joined == literal
 
 

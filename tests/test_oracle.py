@@ -4,7 +4,6 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from maskfold.operators import release
 from scripts.check_oracle import compare, duckdb_views
 
 SQL = E._library_sql()
@@ -22,7 +21,6 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(E._library_queries()))
 def test_query_matches_oracle(spark, con, name):
     got = E._library_queries()[name](spark, SF_SMALL).toPandas()
-    release()
     assert compare(got, con.execute(SQL[name]).df()) == []
 
 
