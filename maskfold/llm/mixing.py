@@ -8,8 +8,9 @@ all sources at once: each is one aggregation over the counts of documents by sou
 a bracket that is halved where a step would leave it. Sums are fixed-point, so reruns agree exactly.
 
 Rates become whole copies ``floor(rate + v + d / size^2)``, v a fixed pseudo-random number of the row, and d the
-one number of its source that brings the copies' words next to the target; it is found by histograms
-of the points where a copy appears, refined in four rounds. Short documents give way first.
+one number of its source up to which the copies' words stay within the target; it is found by histograms
+of the points where a copy appears, refined in four rounds. Short documents give way first. What is left of
+the target is filled twice, by the same search among the documents that fit into it.
 
 The work is on narrow frames; a hot source is pre-aggregated, and the state of the iterations, one
 row for each source, is joined as a table whose size the planner knows. The order of the sources by
@@ -33,6 +34,7 @@ CLOSE = 1e-6
 ITERATIONS = 60
 BINS = 1024
 ROUNDS = 4
+FILLS = 2
 _FIXED = float(1 << 20)
 
 
@@ -138,45 +140,73 @@ def _events(sizes: DataFrame, state: DataFrame) -> DataFrame:
     return sizes.where("size > 0").join(s, _same(sizes["source"], s["s"])).withColumn("rate", rate).select("s", "size", F.explode(points).alias("d"))
 
 
-def settle(sizes: DataFrame, state: DataFrame) -> DataFrame:
-    """``state`` with ``shift``: copies whose d is at most that number take about the target."""
-    events = _events(sizes, state)
-    ends = events.groupBy("s").agg(F.min("d").alias("low"), (F.max("d") + 1e-6).alias("high"))
-    search = state.join(ends, _same(state["source"], ends["s"]), "left").drop("s").withColumn("base", F.lit(0).cast("long"))
-    search = written(search)
-    for _ in range(ROUNDS):
-        r = search.select(F.col("source").alias("rs"), "low", "high")
+def _search(events: DataFrame, goals: DataFrame, rounds: int) -> DataFrame:
+    """(source, shift, words): the largest shift found up to which a source's events (s, size, d) take no more
+    words than its goal, and these words. Histograms close in on where the running sum passes the goal."""
+    ends = events.groupBy("s").agg(F.min("d").alias("low"), (F.max("d") + F.greatest(F.abs(F.max("d")), F.lit(1.0)) * 1e-9).alias("high"))
+    search = goals.join(ends, _same(goals["source"], ends["s"])).select("source", "goal", "low", "high", F.lit(0).cast("long").alias("base"), F.lit(False).alias("all"))
+    for _ in range(rounds):
+        search = written(search)
+        r = search.where(~F.col("all")).select(F.col("source").alias("rs"), "low", "high", "goal", "base")
         at = events.join(r, _same(events["s"], r["rs"])).where("d >= low and d < high")
-        # a bin's first point is told by its number alone, so the next round cuts at the same places
         bin_ = F.least(F.floor((F.col("d") - F.col("low")) / (F.col("high") - F.col("low")) * BINS), F.lit(BINS - 1)).cast("int")
-        sums = at.groupBy("rs", bin_.alias("bin")).agg(F.sum("size").alias("words"), F.min("d").alias("first"), F.max("d").alias("last"))
-        upto = F.sum("words").over(W.partitionBy("rs").orderBy("bin"))
-        seen = search.select(F.col("source").alias("ss"), "target", "base")
-        found = sums.withColumn("upto", upto).join(seen, _same(F.col("rs"), seen["ss"])).where(F.col("base") + F.col("upto") >= F.col("target"))
-        hit = found.groupBy("rs").agg(F.min(F.struct("bin", "words", "first", "last", (F.col("base") + F.col("upto") - F.col("words")).alias("before"))).alias("hit"))
-        joined = search.join(hit, _same(search["source"], hit["rs"]), "left")
-        kept = F.col("hit").isNull()
-        search = written(
+        sums = at.groupBy("rs", bin_.alias("bin")).agg(F.sum("size").alias("words"), F.min("d").alias("first"), F.max("d").alias("last"), F.first("goal").alias("goal"), F.first("base").alias("base"))
+        upto = F.col("base") + F.sum("words").over(W.partitionBy("rs").orderBy("bin"))
+        over = sums.withColumn("upto", upto).where("upto > goal")
+        hit = over.groupBy("rs").agg(F.min(F.struct("bin", "first", "last", (F.col("upto") - F.col("words")).alias("before"))).alias("hit"))
+        whole = sums.groupBy("rs").agg(F.sum("words").alias("rest"))
+        joined = search.join(hit, _same(search["source"], hit["rs"]), "left").drop("rs").join(whole, _same(search["source"], whole["rs"]), "left")
+        # a source whose events all fit is done
+        fits = F.col("all") | F.col("hit").isNull()
+        # past the last point by a step that a double of its size can take
+        after = F.col("hit.last") + F.greatest(F.abs(F.col("hit.last")), F.lit(1e-9)) * 1e-12
+        search = joined.select(
+            "source", "goal",
+            F.when(fits, F.col("low")).otherwise(F.col("hit.first")).alias("low"),
+            F.when(fits, F.col("high")).otherwise(after).alias("high"),
+            F.when(F.col("all"), F.col("base")).when(fits, F.col("base") + F.coalesce("rest", F.lit(0))).otherwise(F.col("hit.before")).alias("base"),
+            fits.alias("all"),
+        )
+    below = F.col("low") - F.greatest(F.abs(F.col("low")), F.lit(1e-9)) * 1e-12
+    return written(search.select("source", F.when(F.col("all"), F.col("high")).otherwise(below).alias("shift"), F.col("base").alias("words")))
+
+
+def settle(sizes: DataFrame, state: DataFrame) -> DataFrame:
+    """``state`` with ``steps``: a copy is taken where for one of them its document has at most ``cap`` words and its
+    d is at most ``shift``. The first step stops before the copy that would pass the target; each of ``FILLS``
+    further ones fills the gap that is left from the documents that fit into it."""
+    events = _events(sizes, state)
+    gaps = written(state.select("source", F.col("target").alias("goal")))
+    steps = state.withColumn("steps", F.array().cast("array<struct<cap:double,shift:double>>")).withColumn("floor", F.lit(float("-inf")))
+    for k in range(FILLS + 1):
+        if k:
+            g = steps.select(F.col("source").alias("gs"), "floor").join(gaps, _same(F.col("gs"), F.col("source"))).select("gs", "floor", "goal")
+            some = events.join(g, _same(events["s"], g["gs"])).where("d > floor and size <= goal").select("s", "size", "d")
+        else:
+            some = events
+        found = _search(some, gaps, ROUNDS if not k else ROUNDS - 1).withColumnRenamed("source", "fs")
+        goal = gaps.select(F.col("source").alias("gs"), "goal")
+        joined = steps.join(goal, _same(steps["source"], goal["gs"])).join(found, _same(steps["source"], found["fs"]), "left")
+        cap = F.lit(float("inf")) if not k else F.col("goal")
+        one = F.struct(cap.alias("cap"), F.col("shift").alias("shift"))
+        left = F.col("goal") - F.coalesce("words", F.lit(0))
+        joined = written(
             joined.select(
-                *[c for c in state.columns],
-                F.when(kept, F.col("low")).otherwise(F.col("hit.first")).alias("low"),
-                # past the last point by the least step that a double of its size can take
-                F.when(kept, F.col("high")).otherwise(F.col("hit.last") + F.greatest(F.abs(F.col("hit.last")), F.lit(1e-9)) * 1e-12).alias("high"),
-                F.when(kept, F.col("base")).otherwise(F.col("hit.before")).alias("base"),
-                F.when(kept, F.lit(None)).otherwise(F.col("hit.words")).alias("words"),
+                *state.columns,
+                F.when(F.col("shift").isNull(), F.col("steps")).otherwise(F.concat("steps", F.array(one))).alias("steps"),
+                F.greatest("floor", F.coalesce("shift", F.lit(float("-inf")))).alias("floor"),
+                left.alias("left"),
             )
         )
-    # the points left in [low, high) are taken together or not at all, whichever is nearer
-    over = F.col("base") + F.col("words") - F.col("target")
-    none = (F.col("words").isNotNull()) & (over > F.col("target") - F.col("base"))
-    below = F.col("low") - F.greatest(F.abs(F.col("low")), F.lit(1e-9)) * 1e-12
-    return written(search.select(*state.columns, F.when(none, below).otherwise(F.col("high")).alias("shift")))
+        steps, gaps = joined.drop("left"), joined.select("source", F.col("left").alias("goal"))
+    return steps.drop("floor")
 
 
-def _copies(size: Column, chance: Column, rate: Column, shift: Column) -> Column:
-    """How many of the points of ``_events`` lie at or below the shift; without words one copy."""
-    points = F.transform(F.sequence(F.lit(1), F.lit(MOST)), lambda k: ((k - rate - chance) * size * size <= shift).cast("int"))
-    return F.when(size > 0, F.aggregate(points, F.lit(0), lambda a, x: a + x)).otherwise(1)
+def _copies(size: Column, chance: Column, rate: Column, steps: Column) -> Column:
+    """How many of the points of ``_events`` a step takes; without words one copy."""
+    points = F.transform(F.sequence(F.lit(1), F.lit(MOST)), lambda k: (k - rate - chance) * size * size)
+    taken = F.filter(points, lambda d: F.exists(steps, lambda t: (size <= t["cap"]) & (d <= t["shift"])))
+    return F.when(size > 0, F.size(taken)).otherwise(1)
 
 
 def balance(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -188,10 +218,10 @@ def balance(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _decided(sizes: DataFrame, state: DataFrame) -> DataFrame:
     """``sizes`` with its source's size and target, and ``copies``."""
-    s = state.select(F.col("source").alias("_s"), "source_size", "target", "multiplier", "scale", "shift")
+    s = state.select(F.col("source").alias("_s"), "source_size", "target", "multiplier", "scale", "steps")
     rate = _rate(F.col("size"), F.col("multiplier"), F.col("scale"))
     out = sizes.join(s, _same(sizes["source"], s["_s"]), "left")
-    return out.withColumn("copies", _copies(F.col("size"), F.col("chance"), rate, F.col("shift"))).drop("_s", "multiplier", "scale", "shift")
+    return out.withColumn("copies", _copies(F.col("size"), F.col("chance"), rate, F.col("steps"))).drop("_s", "multiplier", "scale", "steps")
 
 
 def mixed(docs: DataFrame) -> DataFrame:
