@@ -17,12 +17,18 @@ it also gives the signatures of the whole domain, which two weak sets share when
 leaves too few as well, one signature for all such sets of the band. So no linked pair is lost whatever is
 called frequent, and nothing is capped.
 
-Classes that share a signature form a bucket. Every member is paired with the bucket's leader; the pairs pass
-a lossless filter on small count vectors, and are verified on the sets themselves. Components of the verified
-links are formed, and then all pairs of a bucket across components are verified too, in blocks. Pairs within
-a component need no look, for they can't change it.
-
-Sets travel as 48-bit hashes; a pair's counts are off by one with a probability below 10^-6. Rules for odd
+Classes that share a signature form a bucket. Each bucket has a leader, the member with the
+largest share of frequent shingles, such as the text that many others are edits of (a hash breaks ties, so that
+buckets of the same members agree); a leader's group is whoever shares a bucket with it,
+so two linked sets are in one group at least. Leader and member are compared first: odd sketches (the
+parities of the members' counts in slots, whose Hamming distance is at most the sets') rule most unlike pairs out without
+loss, and the rest are verified on the sets themselves. Components of the verified links are formed. Then the
+members of a group that are in different components are compared, in blocks, by their sketches, and what
+remains is verified too: first the few nearest of each, which joins most, then all that are still in different
+components. Pairs within a component need no look, for they can't change it.
+
+Sets travel as 40-bit hashes: two sets of a thousand shingles are counted wrongly (by one) with a
+probability below 10^-6. Rules for odd
 input: null or empty text and text without words has the empty set, size 0, links with nothing and is a
 component of its own; one to four words are one shingle; repeated rows and repeated ids are rows of their own;
 a class of null ids only has a null component; further columns are ignored, or kept by ``one_of_each``.
@@ -42,11 +48,14 @@ from maskfold.llm.components import components
 from maskfold.llm.shared import partitions, written
 
 WIDTH = 5
-SLOTS = 64  # of a count vector
+SLOTS = (1 << 10, 1 << 15)  # least and most of an odd sketch
+FIRST = 2  # pairs of a member and block that the first comparison across components tries
 LOCAL = 8  # a batch reports shingles of so many of its classes
 FREQUENT_SHARE = 1000  # frequent: in more than a thousandth of the documents ...
 FREQUENT_LEAST = 100  # ... and in more than so many
-BLOCK = 1024  # members of a bucket in a row
+BLOCK = 1024  # members of a group in a row, on average
+HELD = 1 << 20  # signatures that a task packs at a time
+HASH_BYTES = 5  # of a shingle or signature in a shuffle
 SEEN_BITS = 25  # of the bit map of wanted classes
 _U = np.uint64
 _MASK48 = _U((1 << 48) - 1)
@@ -75,11 +84,20 @@ def class_ids(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return tokens.mix((sums[bounds[1:]] - sums[bounds[:-1]]) ^ (n.astype(np.uint64) * _U(0x9E3779B97F4A7C15)))
 
 
-def count_vectors(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """For each set how many members fall in each slot, 255 at most."""
-    docs = len(bounds) - 1
-    slot = np.repeat(np.arange(docs), np.diff(bounds)) * SLOTS + (values % _U(SLOTS)).astype(np.int64)
-    return np.minimum(np.bincount(slot, minlength=docs * SLOTS), 255).astype(np.uint8).reshape(docs, SLOTS)
+def odd_sketches(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each set's odd sketch, of twice its size in bits, rounded up to a power of two, and the ends of their bytes."""
+    n = np.diff(bounds)
+    bits = np.clip(1 << np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64), *SLOTS)
+    off = np.concatenate(([0], np.cumsum(bits)))
+    slot = np.repeat(off[:-1], n) + (values & np.repeat((bits - 1).astype(np.uint64), n)).astype(np.int64)
+    return np.packbits((np.bincount(slot, minlength=off[-1]) & 1).astype(np.uint8), bitorder="little"), off[1:] // 8
+
+
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """A sketch (64-bit words) with fewer slots; parities of merged slots add up."""
+    while len(sketch) > words:
+        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+    return sketch
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -92,34 +110,35 @@ def _blobs(data: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, n, class, slots) of documents and (class, n) of a batch's frequent shingles."""
+    """Rows (doc_id, n, class, sketch) of documents and (class, n) of a batch's frequent shingles."""
     for batch in batches:
-        ids, sizes, classes, slots, sets = batch.column(0), [], [], [], []
+        ids, sizes, classes, sketches, ends, sets, done = batch.column(0), [], [], [], [], [], set()
         for _, _, values, bounds in tokens.document_sets(batch.column(1), WIDTH):
-            sizes.append(np.diff(bounds))
-            classes.append(class_ids(values, bounds))
-            slots.append(count_vectors(values, bounds))
-            sets.append(values)
+            n, c = np.diff(bounds), class_ids(values, bounds)
+            sizes.append(n)
+            classes.append(c)
+            bits, end = odd_sketches(values, bounds)
+            ends.append(end + sum(map(len, sketches)))
+            sketches.append(bits)
+            sets.append(values[np.repeat([not (x in done or done.add(x)) for x in c.tolist()], n)])
         if not sizes:
             continue
         n, c = np.concatenate(sizes), np.concatenate(classes)
-        flat = np.concatenate(slots).ravel()
-        yield pa.RecordBatch.from_arrays([ids, pa.array(n), _signed(c), _blobs(flat, np.arange(1, len(n) + 1) * SLOTS), pa.array(np.zeros(len(n), bool))], names=["doc_id", "n", "class", "slots", "is_shingle"])
-        first = np.zeros(len(c), bool)
-        first[np.unique(c, return_index=True)[1]] = True
-        shingle = np.concatenate(sets)[np.repeat(first, n)]
+        yield pa.RecordBatch.from_arrays([ids, pa.array(n), _signed(c), _blobs(np.concatenate(sketches), np.concatenate(ends)), pa.array(np.zeros(len(n), bool))], names=["doc_id", "n", "class", "sketch", "is_shingle"])
+        shingle = np.concatenate(sets)
+        del sets, sketches
         shingle.sort()
         starts = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1]))) if len(shingle) else np.zeros(0, np.int64)
         times = np.diff(np.concatenate((starts, [len(shingle)])))
         often = times >= LOCAL
         k = int(often.sum())
-        yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.array(times[often].astype(np.int64)), _signed(shingle[starts[often]]), pa.nulls(k, pa.binary()), pa.array(np.ones(k, bool))], names=["doc_id", "n", "class", "slots", "is_shingle"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.array(times[often].astype(np.int64)), _signed(shingle[starts[often]]), pa.nulls(k, pa.binary()), pa.array(np.ones(k, bool))], names=["doc_id", "n", "class", "sketch", "is_shingle"])
 
 
 def profile(docs: DataFrame) -> DataFrame:
     """The written table of documents' classes and of frequent shingles; one pass over the texts."""
     frame = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return written(frame.mapInArrow(_profile, "doc_id long, n long, class long, slots binary, is_shingle boolean"))
+    return written(frame.mapInArrow(_profile, "doc_id long, n long, class long, sketch binary, is_shingle boolean"))
 
 
 def frequent_shingles(table: DataFrame, docs: int) -> np.ndarray:
@@ -145,8 +164,8 @@ class Signer:
         self.maybe = np.zeros(1 << 20, bool)  # most shingles are told by one look
         self.maybe[(frequent & _U((1 << 20) - 1)).astype(np.int64)] = True
 
-    def __call__(self, values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Signature hashes and the document of each."""
+    def __call__(self, values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Signature hashes and the document of each, and the documents' shares of frequent shingles, up to 255."""
         n = np.diff(bounds)
         doc = np.repeat(np.arange(len(n)), n)
         hits = np.flatnonzero(self.maybe[(values & _U((1 << 20) - 1)).astype(np.int64)])
@@ -167,7 +186,8 @@ class Signer:
                 out.append(signatures)
                 bare = np.flatnonzero(weak & (whole <= most))
                 out.append((tokens.mix((band[bare] + step).astype(np.uint64) ^ _U(0xBA4E << 32)), bare))
-        return np.concatenate([s for s, _ in out]), np.concatenate([d for _, d in out])
+        share = 255 * np.bincount(doc, ~rare, len(n)) // np.maximum(n, 1)
+        return np.concatenate([s for s, _ in out]), np.concatenate([d for _, d in out]), share.astype(np.uint8)
 
     @staticmethod
     def _domain(values, doc, top, most, band, kind):
@@ -191,62 +211,70 @@ class Signer:
         return filled, (tokens.mix(tokens.mix(content[take]) ^ where), owner)
 
 
-def _six(values: np.ndarray) -> np.ndarray:
-    """The high 48 bits of each, as bytes."""
-    return values.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6]
+def _packed(values: np.ndarray, size: int) -> np.ndarray:
+    """The high bytes of each, ``size`` of them."""
+    return values.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :size]
 
 
-def _of_six(data: bytes | memoryview) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8).reshape(-1, 6)
+def _unpacked(data: pa.Buffer, size: int) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8).reshape(-1, size)
     out = np.zeros((len(raw), 8), np.uint8)
-    out[:, 2:] = raw
+    out[:, 8 - size :] = raw
     return out.view(">u8").ravel().astype(np.int64)
 
 
+def _dealt(signatures: list, owners: list, classes: list, shares: list, parts: int) -> pa.RecordBatch:
+    """Signatures packed by reducer: their hashes, and in their order the classes, shares and counts of each."""
+    s, d, c = np.concatenate(signatures), np.concatenate(owners), np.concatenate(classes)
+    named = np.hstack([_packed(c, 6), np.concatenate(shares)[:, None]])
+    to = (s % _U(parts)).astype(np.int32)
+    order = np.lexsort((d, to))
+    s, d, to = s[order], d[order], to[order]
+    cuts = np.searchsorted(to, np.arange(parts + 1))
+    names, sigs, docs, counts = [], [], [], []
+    for q in np.flatnonzero(np.diff(cuts)).tolist():
+        own = d[cuts[q] : cuts[q + 1]]
+        first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        names.append(q)
+        sigs.append(_packed(s[cuts[q] : cuts[q + 1]], HASH_BYTES).tobytes())
+        docs.append(named[own[first]].tobytes())
+        counts.append(np.diff(np.concatenate((first, [len(own)]))).astype(np.uint32).tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(sigs, pa.binary()), pa.array(docs, pa.binary()), pa.array(counts, pa.binary())], names=["part", "sigs", "docs", "counts"])
+
+
 def _sign(frequent, parts: int):
-    """Task: signatures of a batch's classes, packed for each of ``parts`` reducers."""
+    """Task: signatures of the classes of its documents, for each of ``parts`` reducers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer = Signer(frequent.value)
+        signer, done = Signer(frequent.value), set()
+        signatures, owners, classes, shares, held = [], [], [], [], 0
         for batch in batches:
-            signatures, owners, classes, done = [], [], [], set()
             for _, _, values, bounds in tokens.document_sets(batch.column(0), WIDTH):
-                c = class_ids(values, bounds)
-                # copies within a batch sign once
-                fresh = np.array([not (x in done or done.add(x)) for x in c.tolist()], bool) & (np.diff(bounds) > 0)
-                n = np.diff(bounds)
-                kept = np.concatenate(([0], np.cumsum(n[fresh])))
-                s, d = signer(values[np.repeat(fresh, n)], kept)
+                c, n = class_ids(values, bounds), np.diff(bounds)
+                # copies within a task sign once
+                fresh = np.array([not (x in done or done.add(x)) for x in c.tolist()], bool) & (n > 0)
+                s, d, share = signer(values[np.repeat(fresh, n)], np.concatenate(([0], np.cumsum(n[fresh]))))
                 signatures.append(s)
-                owners.append(d + sum(map(len, classes)))
+                owners.append((d + sum(map(len, classes))).astype(np.int32))
                 classes.append(c[fresh])
-            if not signatures:
-                continue
-            s, d, c = np.concatenate(signatures), np.concatenate(owners), np.concatenate(classes)
-            to = (s % _U(parts)).astype(np.int64)
-            order = np.lexsort((d, to))
-            s, d, to = s[order], d[order], to[order]
-            cuts = np.searchsorted(to, np.arange(parts + 1))
-            names, sigs, docs, counts = [], [], [], []
-            for q in np.flatnonzero(np.diff(cuts)).tolist():
-                own = d[cuts[q] : cuts[q + 1]]
-                first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-                names.append(q)
-                sigs.append(_six(s[cuts[q] : cuts[q + 1]]).tobytes())
-                docs.append(_six(c[own[first]]).tobytes())
-                counts.append(np.diff(np.concatenate((first, [len(own)]))).astype(np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(sigs, pa.binary()), pa.array(docs, pa.binary()), pa.array(counts, pa.binary())], names=["part", "sigs", "docs", "counts"])
+                shares.append(share)
+                held += len(s)
+                if held >= HELD:
+                    yield _dealt(signatures, owners, classes, shares, parts)
+                    signatures, owners, classes, shares, held = [], [], [], [], 0
+        if held:
+            yield _dealt(signatures, owners, classes, shares, parts)
 
     return run
 
 
-def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task of a reducer: classes that share a signature, each bucket of the same members once."""
+def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task of a reducer: (leader, member) of the buckets of two classes or more."""
     sigs, docs = [], []
     for batch in batches:
         for s, d, c in zip(batch.column(1), batch.column(2), batch.column(3)):
-            sigs.append(_of_six(s.as_buffer()))
-            docs.append(np.repeat(_of_six(d.as_buffer()), np.frombuffer(c.as_buffer(), np.uint32)))
+            sigs.append(_unpacked(s.as_buffer(), HASH_BYTES))
+            docs.append(np.repeat(_unpacked(d.as_buffer(), 7), np.frombuffer(c.as_buffer(), np.uint32)))
     if not sigs:
         return
     s, d = np.concatenate(sigs), np.concatenate(docs)
@@ -261,68 +289,58 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keep = np.ones(len(s), bool)
     keep[1:] = (s[1:] != s[:-1]) | (d[1:] != d[:-1])
     s, d = s[keep], d[keep]
-    starts = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1]))) if len(s) else np.zeros(0, np.int64)
-    sizes = np.diff(np.concatenate((starts, [len(s)])))
-    starts, sizes = starts[sizes > 1], sizes[sizes > 1]
-    if not len(starts):
+    if not len(s):
         return
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(tokens.mix(d.view(np.uint64)), dtype=np.uint64)))
-    names, first = np.unique(sums[starts + sizes] - sums[starts], return_index=True)
-    order = tokens.mix(d.view(np.uint64) ^ _U(0x1EADE4))
-    rows = {"bucket": [], "block": [], "leader": [], "size": [], "members": []}
-
-    def flush():
-        types = {"bucket": pa.int64(), "block": pa.int32(), "leader": pa.int64(), "size": pa.int32(), "members": pa.list_(pa.int64())}
-        out = pa.RecordBatch.from_arrays([pa.array(rows[k], t) for k, t in types.items()], names=list(types))
-        for v in rows.values():
-            v.clear()
-        return out
-
-    for name, i in zip(names.view(np.int64).tolist(), first.tolist()):
-        own = d[starts[i] : starts[i] + sizes[i]]
-        leader = int(own[np.argmax(order[starts[i] : starts[i] + sizes[i]])])
-        for k in range(0, len(own), BLOCK):
-            for key, value in zip(rows, (name, k // BLOCK, leader, len(own), own[k : k + BLOCK])):
-                rows[key].append(value)
-        if len(rows["bucket"]) >= 4096:
-            yield flush()
-    if rows["bucket"]:
-        yield flush()
-
-
-def buckets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """The written table (bucket, block, leader, size, members) of buckets of two classes or more."""
+    starts = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+    sizes = np.diff(np.concatenate((starts, [len(s)])))
+    every, place = np.unique(d, return_inverse=True)
+    every, share = every >> 8, every & 255
+    rank = np.empty(len(every), np.int64)
+    rank[np.lexsort((tokens.mix(every.view(np.uint64)), share))] = np.arange(len(every))
+    top = np.maximum.reduceat(rank[place], starts)
+    by_rank = np.empty(len(every), np.int64)
+    by_rank[rank] = np.arange(len(every))
+    pairs = np.unique(np.repeat(by_rank[top], sizes) * len(every) + place)
+    leader, member = pairs // len(every), pairs % len(every)
+    other = leader != member
+    yield pa.RecordBatch.from_arrays([pa.array(every[leader[other]]), pa.array(every[member[other]])], names=["leader", "member"])
+
+
+def groups(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """The written table (leader, member) of shortened class ids."""
     spark = docs.sparkSession
     parts = partitions(spark)
     known = spark.sparkContext.broadcast(frequent)
     packed = docs.select("text").mapInArrow(_sign(known, parts), "part int, sigs binary, docs binary, counts binary")
-    dealt = packed.repartitionById(parts, "part")
-    found = dealt.mapInArrow(_bucket, "bucket long, block int, leader long, size int, members array<long>")
-    return written(found.dropDuplicates(["bucket", "block"]))
+    return written(packed.repartitionById(parts, "part").mapInArrow(_lead, "leader long, member long").distinct())
+
+
+def _words(blob: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(blob.as_buffer(), np.uint64)
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs that sizes and count vectors do not rule out: the vectors' distance is at most the sets'."""
+    """Pairs that sizes and sketches do not rule out."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-        va, vb = (np.frombuffer(b"".join(x.as_buffer().to_pybytes() for x in batch.column(c)), np.uint8).reshape(-1, SLOTS).astype(np.int16) for c in ("va", "vb"))
-        apart = np.abs(va - vb).sum(axis=1)
-        ok = (7 * apart <= na + nb) & (4 * np.minimum(na, nb) >= 3 * np.maximum(na, nb))
-        yield batch.filter(pa.array(ok)).select(["a", "b"])
+        keep = np.zeros(batch.num_rows, bool)
+        for i, (n, m, x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4), batch.column(5))):
+            if 4 * min(n, m) >= 3 * max(n, m):
+                x, y = _words(x), _words(y)
+                size = min(len(x), len(y))
+                keep[i] = 7 * int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum()) <= n + m
+        yield batch.filter(pa.array(keep)).select(["a", "b"])
 
 
 def _short(c: Column) -> Column:
     return F.shiftrightunsigned(c, 16)
 
 
-def candidates(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of classes (a, b), a < b, that may link, of pairs of shortened class ids (x, y)."""
-    side = classes.select("class", "n", "slots")
-    a = side.select(_short(F.col("class")).alias("x"), F.col("class").alias("a"), F.col("n").alias("na"), F.col("slots").alias("va"))
-    b = side.select(_short(F.col("class")).alias("y"), F.col("class").alias("b"), F.col("n").alias("nb"), F.col("slots").alias("vb"))
-    return pairs.join(a, "x").join(b, "y").select("a", "b", "na", "nb", "va", "vb").mapInArrow(_near, "a long, b long")
+def near_leaders(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of classes (a, b), a < b, of leaders and members that may link."""
+    one = classes.select(_short(F.col("class")).alias("leader"), F.col("class").alias("x"), F.col("n").alias("nx"), F.col("sketch").alias("sx"))
+    two = classes.select(_short(F.col("class")).alias("member"), F.col("class").alias("y"), F.col("n").alias("ny"), F.col("sketch").alias("sy"))
+    pairs = found.join(one, "leader").join(two, "member").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "nx", "ny", "sx", "sy")
+    return pairs.mapInArrow(_near, "a long, b long").distinct()
 
 
 def _sets(wanted):
@@ -335,8 +353,8 @@ def _sets(wanted):
                 c = class_ids(values, bounds)
                 want = bits[_mark(c)] & np.array([not (x in done or done.add(x)) for x in c.tolist()], bool)
                 n = np.diff(bounds)
-                data = _six(values[np.repeat(want, n)])
-                yield pa.RecordBatch.from_arrays([_signed(c[want]), _blobs(data.ravel(), np.cumsum(n[want]) * 6)], names=["class", "members"])
+                data = _packed(values[np.repeat(want, n)], HASH_BYTES)
+                yield pa.RecordBatch.from_arrays([_signed(c[want]), _blobs(data.ravel(), np.cumsum(n[want]) * HASH_BYTES)], names=["class", "members"])
 
     return run
 
@@ -363,7 +381,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = np.zeros(batch.num_rows, bool)
         for i, (x, y) in enumerate(zip(batch.column("ma"), batch.column("mb"))):
-            x, y = _of_six(x.as_buffer()), _of_six(y.as_buffer())
+            x, y = _unpacked(x.as_buffer(), HASH_BYTES), _unpacked(y.as_buffer(), HASH_BYTES)
             both = np.concatenate((x, y))
             both.sort(kind="stable")  # two ascending runs
             keep[i] = linked(np.count_nonzero(both[1:] == both[:-1]), len(x), len(y))
@@ -372,61 +390,84 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs of classes whose sets link; written."""
-    sets = written(sets_of(docs, pairs))
+    sets = sets_of(docs, pairs)  # dealt by class once, for both sides
     a, b = sets.select(F.col("class").alias("a"), F.col("members").alias("ma")), sets.select(F.col("class").alias("b"), F.col("members").alias("mb"))
     return written(pairs.join(a, "a").join(b, "b").select("a", "b", "ma", "mb").mapInArrow(_verify, "a long, b long"))
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of two blocks' members in different components, but the leader's, which were seen."""
-    for batch in batches:
-        xs, ys = [], []
-        for row in batch.to_pylist():
-            a, b = (np.array([(m["x"], m["label"]) for m in row[c]], np.int64).reshape(-1, 2) for c in ("one", "two"))
-            i, j = np.nonzero(a[:, 1][:, None] != b[:, 1][None, :])
-            x, y = a[i, 0], b[j, 0]
-            ok = (x != row["leader"]) & (y != row["leader"]) & (np.full(len(x), row["apart"]) | (x < y))
-            xs.append(np.minimum(x, y)[ok])
-            ys.append(np.maximum(x, y)[ok])
-        x, y = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (xs, ys))
-        yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
-
-
-def across(found: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of shortened ids that share a bucket and are in different components."""
-    members = found.where("size > 2").select("bucket", "block", "leader", F.explode("members").alias("x"))
-    known = labels.select(_short(F.col("node")).alias("x"), "label").groupBy("x").agg(F.min("label").alias("label"))
-    # a class without links is a component by itself; ids of 48 bits do not meet labels of 64
-    named = members.join(known, "x", "left").withColumn("label", F.coalesce("label", "x"))
-    blocks = written(
-        named.groupBy("bucket", "block", "leader").agg(F.collect_list(F.struct("x", "label")).alias("members"), F.min("label").alias("low"), F.max("label").alias("high"))
-    )
-    mixed = blocks.groupBy("bucket").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l != h").select("bucket")
-    left = blocks.join(mixed, "bucket", "left_semi")
-    one = left.select("bucket", "leader", F.col("block").alias("i"), F.col("members").alias("one"))
-    two = left.select("bucket", F.col("block").alias("j"), F.col("members").alias("two"))
-    pairs = one.join(two, "bucket").where("i <= j").select("leader", (F.col("i") != F.col("j")).alias("apart"), "one", "two")
-    return pairs.mapInArrow(_across, "x long, y long").distinct()
+def _across(best: int | None):
+    """Task: pairs of two blocks' members that are in different components and that their sketches do not rule
+    out; of these, for each member all or the ``best`` nearest ones."""
+
+    def block(members: list) -> tuple:
+        c, label, n = (np.array([m[k] for m in members], np.int64) for k in ("class", "label", "n"))
+        return c, label, n, [np.frombuffer(m["sketch"], np.uint64) for m in members]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            xs, ys = [], []
+            for i in range(batch.num_rows):
+                one, two = (block(batch.column(k)[i].as_py()) for k in (0, 1))
+                size = min(len(v) for v in (*one[3], *two[3]))
+                left, right = (np.array([folded(v, size) for v in side[3]]) for side in (one, two))
+                for j in range(len(left)):
+                    other = np.flatnonzero((two[1] != one[1][j]) & (4 * np.minimum(two[2], one[2][j]) >= 3 * np.maximum(two[2], one[2][j])))
+                    apart = np.bitwise_count(right[other] ^ left[j]).sum(axis=1, dtype=np.int64)
+                    near = 7 * apart <= two[2][other] + one[2][j]
+                    other, apart = other[near], apart[near]
+                    if best is not None:
+                        other = other[np.argsort(apart, kind="stable")[:best]]
+                    xs.append(np.minimum(two[0][other], one[0][j]))
+                    ys.append(np.maximum(two[0][other], one[0][j]))
+            x, y = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (xs, ys))
+            pairs = np.unique(np.stack([x, y], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return run
+
+
+def across(found: DataFrame, classes: DataFrame, labels: DataFrame, best: int | None = None) -> DataFrame:
+    """Pairs of classes of one group in different components that may link. A group's members are dealt to
+    blocks by a hash, and any two blocks of a group meet in a task."""
+    known = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
+    members = found.join(known.withColumn("member", _short(F.col("class"))), "member")
+    sizes = members.groupBy("leader").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = sizes.where("low != high").select("leader", F.ceil(F.col("size") / BLOCK).alias("blocks"))
+    dealt = members.join(mixed, "leader").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
+    blocks = written(dealt.groupBy("leader", "block").agg(F.collect_list(F.struct("class", "label", "n", "sketch")).alias("members")))
+    one = blocks.select("leader", F.col("block").alias("i"), F.col("members").alias("one"))
+    two = blocks.select("leader", F.col("block").alias("j"), F.col("members").alias("two"))
+    return one.join(two, "leader").where("i <= j").select("one", "two").mapInArrow(_across(best), "a long, b long").distinct()
 
 
 def link_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(profile table, (class, label) of all classes that link with another)."""
+    """(profile table, (node, label) of all classes that link with another)."""
     table = profile(docs)
     rows = table.where("not is_shingle")
-    classes = written(rows.where("n > 0").groupBy("class").agg(F.first("n").alias("n"), F.first("slots").alias("slots")))
-    found = buckets(docs, frequent_shingles(table, rows.count()))
-    star = found.select("leader", F.explode("members").alias("m")).where("m != leader")
-    star = star.select(F.least("leader", "m").alias("x"), F.greatest("leader", "m").alias("y")).distinct()
-    links = verified(docs, written(candidates(star, classes)))
-    labels = components(links)
-    rest = written(candidates(across(found, labels), classes))
-    if not rest.isEmpty():
-        more = verified(docs, rest)
-        if not more.isEmpty():
-            labels = components(links.union(more))
+    classes = written(rows.where("n > 0").groupBy("class").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+    found = groups(docs, frequent_shingles(table, rows.count()))
+    tried, labels = None, components(verified(docs, written(near_leaders(found, classes))))
+    # the nearest pairs across components join most of what is joined; what is left is then tried whole
+    for best in (FIRST, None):
+        rest = across(found, classes, labels, best)
+        rest = written(rest if tried is None else rest.join(tried, ["a", "b"], "left_anti"))
+        if rest.isEmpty():
+            break
+        labels, tried = _merged(labels, verified(docs, rest)), rest
     return table, labels
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after further links, by components of components."""
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    new = ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))
+    every = written(labels.unionByName(new))
+    side = {k: every.select(F.col("node").alias(k), F.col("label").alias(f"l{k}")) for k in "ab"}
+    between = links.join(side["a"], "a").join(side["b"], "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).where("a != b").distinct()
+    onward = components(between).select(F.col("node").alias("label"), F.col("label").alias("onward"))
+    return written(every.join(onward, "label", "left").select("node", F.coalesce("onward", "label").alias("label")))
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest linked doc_id, itself included) of every document."""
     table, labels = link_components(docs)

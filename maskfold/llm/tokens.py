@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 20
+PIECE = 1 << 19
 _U = np.uint64
 
 
