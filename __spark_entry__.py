@@ -28,6 +28,7 @@ from maskfold import (  # noqa: E402
     preset,
     read_addresses,
     read_table,
+    run_job,
     scrub,
     write_outputs,
 )
@@ -378,6 +379,26 @@ def _write_outputs(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, paths["pipe"], schema=schema, sep="|")
 
 
+def _job(fmt: str):
+    """A whole run from files: rule CSV, address CSV and pipe text in, one output format read back."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        base = _io_dir(spark)
+        data, address = asset_orders(spark, sf), address_map(spark, sf)
+        rules = spark.createDataFrame([(r.column, r.type, r.value) for r in FULL_RULES], "Column string, Type string, Value string")
+        write_one(data, "pipe", f"{base}/assets.txt")
+        write_one(address, "csv", f"{base}/addresses.csv")
+        write_one(rules, "csv", f"{base}/rules.csv", single_file=True)
+        run_job(
+            spark, f"{base}/assets.txt", f"{base}/rules.csv", f"{base}/out", f"{base}/addresses.csv",
+            schema=data.schema, address_schema=address.schema, single_file=fmt == "csv",
+        )
+        written = spark.read.parquet(f"{base}/out/parquet")
+        return written if fmt == "parquet" else spark.read.schema(written.schema).option("header", True).csv(f"{base}/out/csv")
+
+    return run
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]):
     """The query after the package has been added to the session's files, as ``--py-files`` does,
     so that Python workers can import it whatever folder they start in."""
@@ -479,6 +500,8 @@ def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "read_glob": _read_glob,
         "write_parquet": _write_parquet,
         "write_outputs": _write_outputs,
+        "job_files": _job("parquet"),
+        "job_csv_one_file": _job("csv"),
         "scrub_full": scrub_full,
     }
 
@@ -678,5 +701,7 @@ FROM (SELECT *, CASE WHEN l_orderkey = 0 THEN '' ELSE CAST(l_orderkey AS VARCHAR
         "read_glob": _SAMPLE_PREP.replace("DISTINCT ", "").replace("'UNIT ' || UNIT", "' '").replace(" AND UNIT <> 'None'", ""),
         "write_parquet": f"SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice * CAST(2 AS DOUBLE) AS FLOAT) AS o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "write_outputs": _full_sql(text_round_trip=True),
+        "job_files": _full_sql(),
+        "job_csv_one_file": _full_sql(text_round_trip=True),
         "scrub_full": _full_sql(),
     }

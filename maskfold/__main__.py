@@ -19,6 +19,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("paths", nargs="+", help="INPUT [ADDRESS] RULES OUTPUT")
     p.add_argument("--preset", default="latest", choices=sorted(PRESETS))
     p.add_argument("--addresses", help="address table (file, folder or glob)")
+    p.add_argument("--schema", help="DDL of the input's columns; without it types are inferred")
+    p.add_argument("--address-schema", help="DDL of the address table's columns")
     p.add_argument("--single-file", action="store_true", help="one file per output format")
     a = p.parse_args(argv)
     if len(a.paths) == 4:
@@ -31,7 +33,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("maskfold").getOrCreate()
     try:
         msg, _ = run_job(
-            spark, input_path, rules, output, address, PRESETS[a.preset], single_file=a.single_file
+            spark, input_path, rules, output, address, PRESETS[a.preset], schema=a.schema,
+            address_schema=a.address_schema, single_file=a.single_file,
         )
     except RuleViolationError as e:
         for v in e.violations:

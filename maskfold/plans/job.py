@@ -27,13 +27,15 @@ def run_job(
     address_path: str | None = None,
     options: ScrubOptions | None = None,
     schema=None,
+    address_schema=None,
     formats=FORMATS,
     single_file: bool = False,
 ):
     """Scrub a ``.txt``/``.csv`` table by a rule file and write ``csv``, ``pipe`` and ``parquet``
     under ``output_dir``. Returns ``(message, report)``: the reference's success message and an
     empty report, or raises ``RuleViolationError`` (its ``violations`` are the report rows) before
-    any output is replaced."""
+    any output is replaced. With both schemas given no file is read to infer types, and codes keep
+    their leading zeros."""
     try:
         rules = load_rules(rules_path, spark)
     except AnalysisException as e:
@@ -42,7 +44,7 @@ def run_job(
         df = read_table(spark, input_path, schema=schema)
     except AnalysisException as e:
         raise FileNotFoundError(MSG_DATA_FILE) from e
-    addresses = read_addresses(spark, address_path) if address_path else None
+    addresses = read_addresses(spark, address_path, schema=address_schema) if address_path else None
     out = scrub(df, rules, addresses, options)
     write_outputs(out, output_dir, formats, single_file=single_file)
     return MSG_SUCCESS, violations_frame(spark, [])
