@@ -303,6 +303,12 @@ def _dense_index(spark: SparkSession, sf: str) -> DataFrame:
     return dense_index(li, ["l_shipdate", "l_orderkey", "l_linenumber", "l_quantity"], "row_index")
 
 
+def _numeric_large(spark: SparkSession, sf: str) -> DataFrame:
+    """Doubles of 16 to 19 digits, printed with an exponent."""
+    o = _t(spark, sf, "orders").select("o_orderkey", (F.col("o_totalprice") * F.lit(1e13)).alias("o_totalprice"))
+    return scrub(o, [Rule("o_totalprice", "numeric", "7")])
+
+
 def _dense_index_wide(spark: SparkSession, sf: str) -> DataFrame:
     keys = ["l_shipdate", "l_orderkey", "l_linenumber", "l_quantity"]
     return dense_index(_t(spark, sf, "lineitem"), keys, "row_index")
@@ -488,6 +494,7 @@ def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rule_order": _rule_order,
         "dense_index": _dense_index,
         "dense_index_wide": _dense_index_wide,
+        "scrub_numeric_large": _numeric_large,
         "scrub_regex_long": _regex_long,
         "address_keyed_text_ids": _keyed_text_ids,
         "scrub_multiple_join_mixed": _multiple_join_mixed,
@@ -688,6 +695,7 @@ FROM a LEFT JOIN c ON a.ASST_ID = c.ASST_ID
         "rule_order": "SELECT CASE WHEN o_orderkey = 0 THEN NULL ELSE o_orderkey + 1000 END AS o_orderkey, CASE WHEN o_orderkey = 0 THEN NULL ELSE o_orderkey + 1500 END AS o_custkey, 'X' AS o_orderstatus, CASE WHEN o_totalprice = 0 THEN NULL ELSE CAST(CAST(regexp_replace(CAST(o_totalprice AS VARCHAR), '[^0-9]', '', 'g') AS DOUBLE) AS BIGINT) END AS o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "dense_index": "SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity, row_number() OVER (ORDER BY l_shipdate NULLS FIRST, l_orderkey NULLS FIRST, l_linenumber NULLS FIRST, l_quantity NULLS FIRST) AS row_index FROM lineitem",
         "dense_index_wide": "SELECT *, row_number() OVER (ORDER BY l_shipdate NULLS FIRST, l_orderkey NULLS FIRST, l_linenumber NULLS FIRST, l_quantity NULLS FIRST) AS row_index FROM lineitem",
+        "scrub_numeric_large": "SELECT o_orderkey, TRY_CAST(CAST(NULLIF(regexp_replace(CAST(o_totalprice * CAST(1e13 AS DOUBLE) AS VARCHAR), '[^0-9]', '', 'g'), '') AS DOUBLE) AS BIGINT) + 7 AS o_totalprice FROM orders",
         "scrub_regex_long": """
 SELECT l_orderkey, l_linenumber, substring(d, 1, 1) || reverse(substring(d, 2)) || '#' || CAST(l_linenumber AS VARCHAR) AS ACCT_NUM
 FROM (SELECT *, CASE WHEN l_orderkey = 0 THEN '' ELSE CAST(l_orderkey AS VARCHAR) END || repeat('9', 38) || CAST(877 + l_linenumber AS VARCHAR) AS d FROM lineitem) t

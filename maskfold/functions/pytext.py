@@ -54,6 +54,24 @@ def _layout(text: Column) -> Column:
     )
 
 
+def _whole_text(x: Column, digits: int) -> Column:
+    """``%e`` text of a whole number below 2**63 rounded to so many digits, ties to even: exact, where
+    the JVM's formatting starts from an already rounded text."""
+    v = x.try_cast("bigint")
+    size = F.length(v.cast("string"))
+    cut = F.lit(1).cast("bigint")
+    for spare in range(1, 20 - digits):
+        cut = F.when(size >= digits + spare, F.lit(10**spare).cast("bigint")).otherwise(cut)
+    rest = v % cut
+    even = F.pmod(F.call_function("div", v, cut), F.lit(2)) == 0
+    up = (rest * 2 > cut) | ((rest * 2 == cut) & ~even)
+    text = (v - rest + F.when(up, cut).otherwise(F.lit(0).cast("bigint"))).cast("string")
+    return F.concat(
+        F.substring(text, 1, 1), F.lit("."), F.substring(text, 2, digits - 1), F.lit("e+"),
+        F.lpad((F.length(text) - 1).cast("string"), 2, "0"),
+    )
+
+
 def _double_digits(x: Column) -> Column:
     """Digits of ``repr(float)``.
 
@@ -64,11 +82,15 @@ def _double_digits(x: Column) -> Column:
     after), else ``m`` and at least two exponent digits (``1e-05``, ``1e+16``). NaN and infinity
     give no digits.
 
-    Residue: a 16-17 digit tie that the JVM's own shortest text already rounded can pick the
-    other neighbour, and subnormal doubles (below 2.2e-308) can come out longer than Python's.
+    From 1e16 to 9.2e18 a double is a whole number, whose digits are rounded exactly. Residue: elsewhere
+    a 16-17 digit tie that the JVM's own shortest text already rounded can pick the other neighbour, and
+    subnormal doubles (below 2.2e-308) can come out longer than Python's.
     """
     ax = F.abs(x)
-    r15, r16, r17 = (F.format_string(f"%.{p - 1}e", ax) for p in (15, 16, 17))
+    whole = (ax >= F.lit(1e16)) & (ax < F.lit(9.2e18))
+    r15, r16, r17 = (
+        F.when(whole, _whole_text(ax, p)).otherwise(F.format_string(f"%.{p - 1}e", ax)) for p in (15, 16, 17)
+    )
     text = (
         F.when(r15.try_cast("double") == ax, r15)
         .when(r16.try_cast("double") == ax, r16)

@@ -1,13 +1,14 @@
 """Results that must not depend on caches, on other jobs, on key types or on digit counts."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from maskfold import Rule, ScrubOptions, scrub, write_outputs
-from maskfold.functions import masks
+from maskfold.functions import masks, python_digits
 from maskfold.operators import dense_index, map_values_join
 
 from conftest import SF_SMALL
@@ -91,3 +92,13 @@ def test_outputs_hold_one_run(spark, tmp_out):
     for mode in ("append", "ignore"):
         with pytest.raises(ValueError, match="mode"):
             write_outputs(df, f"{tmp_out}/out", mode=mode)
+
+
+def test_digits_of_large_doubles(spark):
+    rng = random.Random(12)
+    values = [rng.uniform(1e16, 9.1e18) for _ in range(40_000)] + [10.0 ** rng.uniform(16, 18.95) for _ in range(60_000)]
+    values += [1e16, 2.0**60, 2.0**62, 9007199254740993e3, 7.122122167963988e17, -1.2345678901234567e18, 9.999999999999999e17]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in df.select(python_digits(F.col("x"), T.DoubleType())).collect()]
+    wrong = [(v, g) for v, g in zip(values, got) if g != re.sub("[^0-9]", "", str(v))]
+    assert not wrong, (len(wrong), wrong[:3])
