@@ -489,3 +489,26 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 def op9_ngram_join(spark, sf_dir: str) -> DataFrame:
     """Components of all documents."""
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM texts),
+members AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION
+  SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.other) AS component_id
+FROM sets s JOIN reach r ON s.doc_id = r.doc_id GROUP BY s.doc_id, len(s.s)
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from maskfold.llm import sharding
+from maskfold.llm import ngram_join, sharding
 from maskfold.llm.decontaminate import op4_decontaminate
 from maskfold.llm.fingerprints import op1_fingerprints
 from maskfold.llm.html_main import op6_html
@@ -29,4 +29,5 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op7_sharding": sharding.SQL,
+    "op9_ngram_join": ngram_join.SQL,
 }
