@@ -480,8 +480,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that another of their component stands for: the smallest doc_id stays.
-    Rows that repeat the id that stays are kept only if it is their own component's and text the least."""
+    """``docs`` without the rows that another of their component stands for: the smallest doc_id stays. Rows
+    that share an id that stays, null ids among them, stay together."""
     kept = jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_kept"]), "left_semi")
 

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from maskfold.llm import tokens
 from maskfold.llm.learn import held_back, one_label, sampled, sigmoid, with_sample
 
-ROWS = 6_000
+ROWS = 4_000
 GRADES = 3
 LEAST_DOCS = 4  # a word's documents in the sample
 EVIDENT = 12.0  # times as frequent in toxic documents
