@@ -430,7 +430,8 @@ def _training_data_queries() -> tuple[dict, dict]:
     """Queries and SQL of the optional subpackage ``maskfold.llm`` and of ``corpus_pipeline``; empty
     where these are not present."""
     found, sql = {}, {}
-    if importlib.util.find_spec("maskfold.llm") is not None:
+    spec = importlib.util.find_spec("maskfold.llm")
+    if spec is not None and spec.origin:  # a folder without modules is no subpackage
         from maskfold.llm.queries import QUERIES, SQL
 
         found, sql = {name: _shipped(query) for name, query in QUERIES.items()}, dict(SQL)

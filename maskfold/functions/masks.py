@@ -193,6 +193,15 @@ def _minus(pre: Column, shift: int) -> Column:
     )
 
 
+def _groups(txt: Column, pattern: str) -> tuple[Column, Column]:
+    """Both groups of the first match, '' without one. The default pattern's match holds one hyphen, so
+    it is searched once and cut there."""
+    if pattern == ACCOUNT_PATTERN:
+        match = F.regexp_extract(txt, pattern, 0)
+        return F.substring_index(match, "-", 1), F.substring_index(match, "-", -1)
+    return F.regexp_extract(txt, pattern, 1), F.regexp_extract(txt, pattern, 2)
+
+
 def regex_reverse(
     c: Column,
     dtype: T.DataType,
@@ -208,8 +217,7 @@ def regex_reverse(
     unconditional so Spark evaluates each regex group once per row.
     """
     txt = _text(c, dtype)
-    pre = F.regexp_extract(txt, pattern, 1)
-    post = F.regexp_extract(txt, pattern, 2)
+    pre, post = _groups(txt, pattern)
     d = _minus(pre, shift)
     rewritten = F.concat(F.substring(d, 1, 1), F.reverse(F.substring(d, 2, 2147483647)))
     if pattern == ACCOUNT_PATTERN:
@@ -238,8 +246,7 @@ def regex_index(c: Column, dtype: T.DataType, value: str, pattern: str = ACCOUNT
     """Earlier account rewrite: first character of the first group, then ``0,1,...,n-2`` written
     out (``5678`` -> ``5012``), then the rule value, then the second group."""
     txt = _text(c, dtype)
-    pre = F.regexp_extract(txt, pattern, 1)
-    post = F.regexp_extract(txt, pattern, 2)
+    pre, post = _groups(txt, pattern)
     n = F.length(pre)
     counting = (
         F.when(n <= 1, F.lit(""))
