@@ -200,7 +200,10 @@ def op1_fingerprints(spark, sf_dir: str) -> DataFrame:
 def compare_with_edited(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     own = fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")))
-    both = with_next(own, ["text", "fingerprint"], docs)
+    # as bytes a fingerprint takes half the room in the shuffle
+    packed = own.withColumn("fingerprint", F.unhex("fingerprint"))
+    both = with_next(packed, ["text", "fingerprint"], docs)
+    both = both.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "next_fingerprint")})
     edited = both.select(
         "doc_id", F.char_length("text").cast("long").alias("n_chars"), "fingerprint", "next_fingerprint",
         edited_text(F.col("text"), F.col("next_text")).alias("edited"),
