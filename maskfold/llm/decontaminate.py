@@ -8,12 +8,14 @@ word differs in few bits); bit counts of all windows come from doubling sums, as
 Candidates are all windows within ``RADIUS`` bits of an item of their size: the fingerprint is cut into ``BLOCKS``
 blocks, and of two fingerprints within the radius one block at least is within RADIUS // BLOCKS bits, so tables of
 all blocks that near to an item's block (a multi-index) miss none. Windows that pass a table are compared with the
-items whole. Candidates near each other are then verified exactly: the best window around them, by weighted
+items whole. Fingerprints of passages at the threshold can differ in more bits than that (those of an item cut to three
+quarters differ in about 15), so they alone would miss some. Candidates are therefore also all documents that hold a seed
+of an item: its rarest shingles, so many that the others weigh less than ``SIMILARITY`` of it. No match is without
+one. Each candidate is verified exactly: the best of all windows of the document, by weighted
 Jaccard similarity of the multisets of five-word shingles; a shingle weighs the inverse of the number of items
 that hold it, so boilerplate of the benchmark counts little. A pair of ``SIMILARITY`` or more is a match.
 
-Windows never span two documents. Item sizes are rounded down to classes an eighth apart, which the search around a
-candidate makes good. The index of a block of items is broadcast, ``ITEM_BYTES`` of benchmark text at most; a larger
+Windows never span two documents. Item sizes are rounded down to classes an eighth apart, which the seeds make good. The index of a block of items is broadcast, ``ITEM_BYTES`` of benchmark text at most; a larger
 benchmark is worked on in several blocks, each against all documents. No shuffle of texts.
 
 Rules for odd input: null and empty texts match nothing; an item of fewer than six words has too few pairs for
@@ -43,6 +45,7 @@ LEAST_WORDS = 6
 STRIDE_FROM = 16  # word pairs of the windows that start at every second word
 ITEM_BYTES = 8 << 20
 ROWS = 1 << 11  # windows fingerprinted at a time, to stay in cache
+CELLS = 1 << 18  # windows compared with an item at a time
 _U = np.uint64
 
 
@@ -120,6 +123,44 @@ class Index:
             for b in range(BLOCKS):
                 tables[b, (blocks[:, b].astype(np.int64)[:, None] ^ near[None, :]).ravel()] = True
             self.tables[span] = tables
+        self._seed()
+
+    def _seed(self) -> None:
+        """Shingles with their weights, each item's weight, and the items of each seed (as runs of one array)."""
+        self.names = np.array(sorted(self.weights), np.uint64)
+        self.weight = 1.0 / np.array([self.weights[s] for s in self.names.tolist()])
+        self.mask = _U((1 << max(16, len(self.names).bit_length() + 4)) - 1)
+        self.known = np.zeros(int(self.mask) + 1, bool)  # by the last bits of a shingle
+        self.known[(self.names & self.mask).astype(np.int64)] = True
+        self.whole, seeds, rows = [], [], []
+        for i, (_, _, _, shingles, counts) in enumerate(self.items):
+            at = np.searchsorted(self.names, shingles)
+            weight = self.weight[at] * counts
+            self.whole.append(float(weight.sum()))
+            order = np.argsort(-self.weight[at], kind="stable")
+            left = self.whole[i] - np.cumsum(weight[order])
+            n = int(np.argmax(left < SIMILARITY * self.whole[i] * (1 - 1e-9))) + 1
+            seeds.append(at[order[:n]])
+            rows.append(np.full(n, i))
+        seed, row = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (seeds, rows))
+        self.holders = row[np.argsort(seed, kind="stable")]
+        self.first = np.searchsorted(np.sort(seed), np.arange(len(self.names) + 1))
+
+    def lookup(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and numbers of the shingles that an item has."""
+        where = np.flatnonzero(self.known[(shingles & self.mask).astype(np.int64)])
+        at = np.searchsorted(self.names, shingles[where])
+        same = at < len(self.names)
+        same[same] = self.names[at[same]] == shingles[where[same]]
+        return where[same], at[same]
+
+    def seeded(self, where: np.ndarray, names: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int]]:
+        """Documents and items of which the document holds a seed; ``bounds`` of the documents' shingles."""
+        n = self.first[names + 1] - self.first[names]
+        doc = np.repeat(np.searchsorted(bounds, where, "right") - 1, n)
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        pair = np.unique(doc * max(1, len(self.items)) + self.holders[np.repeat(self.first[names], n) + step])
+        return {divmod(p, len(self.items)) for p in pair.tolist()}
 
     @staticmethod
     def _class(pairs: int) -> int:
@@ -177,36 +218,65 @@ class Index:
         x[np.searchsorted(both, own)], y[np.searchsorted(both, names)] = counts, times
         return float((weight * np.minimum(x, y)).sum() / (weight * np.maximum(x, y)).sum())
 
-    def best(self, item: int, first: list[int], shingles: np.ndarray) -> tuple[float, int, int]:
-        """Similarity, first word and number of words of the best window at or around the candidates."""
-        _, n, _, own, _ = self.items[item]
-        reach = max(2, n // 4)
-        known = np.isin(shingles, own)
-        size, best = n - WIDTH + 1, (0.0, 0, 0)
-        ends: set[tuple[int, int]] = set()
-        for at in first:
-            lo, hi = max(0, at - reach), min(len(shingles), at + size + reach)
-            inside = np.flatnonzero(known[lo:hi]) + lo
-            if len(inside):
-                # a window that gains by growing ends on shingles of the item; the plain ones are tried as well
-                ends.add((int(inside[0]), int(inside[-1]) + 1))
-            ends.update((s, min(len(shingles), s + size)) for s in inside[: reach + 1].tolist())
-            ends.add((at, min(len(shingles), at + size)))
-        for a, b in sorted(ends):
-            if best[0] == 1.0:
-                break  # none is better, and the first is reported
-            if a < b:
+    def best(self, item: int, shingles: np.ndarray, where: np.ndarray, names: np.ndarray) -> tuple[float, int, int]:
+        """Similarity, first word and number of words of a document's best window, of those of ``SIMILARITY`` or more.
+        ``where`` and ``names``: its shingles that are known. The best begins and ends with a shingle of the item."""
+        _, _, _, own, counts = self.items[item]
+        whole, none = self.whole[item], (0.0, 0, 0)
+        at = np.searchsorted(own, self.names[names])
+        at[at == len(own)] = 0
+        mine = own[at] == self.names[names]
+        place, at, weight = where[mine], at[mine], self.weight[names[mine]]
+        # place of the shingle that a window must not hold if this one shall count: as many before as the item has
+        order = np.argsort(at, kind="stable")
+        rank = np.arange(len(at)) - np.searchsorted(at[order], at[order])
+        times, before = counts[at], np.full(len(at), -1)
+        more = np.flatnonzero(rank >= times[order])
+        before[order[more]] = order[more - times[order[more]]]
+        least = SIMILARITY * whole * (1 - 1e-9)
+        if weight[before < 0].sum() < least:
+            return none
+        each = np.ones(len(shingles))
+        each[where] = self.weight[names]
+        total = np.concatenate(([0.0], np.cumsum(each)))
+        # a window that weighs more than this, or less than ``least``, is not similar enough
+        low = np.searchsorted(total[place + 1], total[place] + least * (1 - 1e-9))
+        high = np.searchsorted(total[place + 1], total[place] + whole / SIMILARITY * (1 + 1e-9), "right")
+        starts = np.flatnonzero(low < high)
+        top, ends = 0.0, []
+        i = 0
+        while i < len(starts):
+            first = int(starts[i])
+            width = int(high[first]) - first
+            rows = max(1, int(((width * width + 4 * CELLS) ** 0.5 - width) / 2))  # rows * (rows + width) cells
+            some = starts[i : np.searchsorted(starts, first + rows)]
+            i += len(some)
+            column = np.arange(first, int(high[some].max()))
+            counted = (column >= some[:, None]) & (before[column] < some[:, None])
+            both = np.cumsum(weight[column] * counted, axis=1)
+            union = whole + total[place[column] + 1] - total[place[some]][:, None] - both
+            inside = (column >= low[some][:, None]) & (column < high[some][:, None])
+            got = np.divide(both, union, out=np.zeros_like(both), where=inside)
+            if got.max() > top - 1e-9:
+                top = max(top, float(got.max()))
+                r, c = np.nonzero(got >= max(top - 1e-9, SIMILARITY - 1e-9))
+                ends += list(zip(got[r, c].tolist(), place[some[r]].tolist(), (place[column[c]] + 1).tolist()))
+        best = none
+        for s, a, b in ends:
+            if s >= top - 1e-9:
                 best = max(best, (self.similarity(item, shingles[a:b]), -a, b - a + WIDTH - 1))
         return best[0], -best[1], best[2]
 
     def matches(self, words: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, float, int, int]]:
         """(document, item id, similarity, first word, number of words) of a piece's documents."""
         out = []
-        for (doc, item), first in sorted(self.candidates(words, bounds).items()):
-            own = words[bounds[doc] : bounds[doc + 1]]
-            s, a, n = self.best(item, sorted(first), tokens.shingles(own, np.array([0, len(own)]), WIDTH)[0])
+        shingles, starts = tokens.shingles(words, bounds, WIDTH)
+        where, names = self.lookup(shingles)
+        for doc, item in sorted(self.seeded(where, names, starts) | set(self.candidates(words, bounds))):
+            a, b = np.searchsorted(where, starts[doc : doc + 2])
+            s, first, n = self.best(item, shingles[starts[doc] : starts[doc + 1]], where[a:b] - starts[doc], names[a:b])
             if s >= SIMILARITY:
-                out.append((doc, self.items[item][0], s, a, n))
+                out.append((doc, self.items[item][0], s, first, n))
         for item, n, own, _, _ in self.short:
             at = np.flatnonzero(words[: len(words) - n + 1] == own[0]) if len(words) >= n else np.zeros(0, np.int64)
             for k in range(1, n):

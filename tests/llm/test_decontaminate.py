@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -86,6 +87,69 @@ def test_a_window_stays_within_a_document():
     assert [m[0] for m in index.matches(*tokens.words(data, off))] == [2]
 
 
+def _plants(rng, item):
+    """The item whole, cut at either end as far as the threshold allows, and with as many words changed."""
+    n = len(item) - 4  # shingles
+    least = -(-3 * n // 4)
+    yield item
+    yield item[: least + 4]
+    yield item[len(item) - least - 4 :]
+    yield item[(n - least) // 2 : (n - least) // 2 + least + 4]
+    for at in {0, len(item) - 1, rng.randrange(len(item))}:
+        yield [*item[:at], "changed", *item[at + 1 :]]
+
+
+def _jaccard(a, b, weights):
+    return sum(weights.get(s, 1) * n for s, n in (a & b).items()) / sum(weights.get(s, 1) * n for s, n in (a | b).items())
+
+
+def _bag(text):
+    return Counter(tuple(text[i : i + 5]) for i in range(len(text) - 4))
+
+
+def test_every_plant_at_the_threshold_is_found():
+    rng = random.Random(3)
+    missed, planted = [], 0
+    for size in [*range(6, 61), 80, 100, 150, 200] * 4:
+        item = [f"i{rng.randrange(10**9)}" for _ in range(size)]
+        texts, want = [], []
+        for part in _plants(rng, item):
+            if _jaccard(_bag(item), _bag(part), {}) >= 0.75:
+                own = [f"w{rng.randrange(10**9)}" for _ in range(rng.randint(60, 100))]
+                at = rng.randint(0, len(own))
+                texts.append(" ".join(own[:at] + part + own[at:]))
+                want.append((at, len(part), _jaccard(_bag(item), _bag(part), {})))
+        got = {m[0]: m for m in dc.Index([1], [" ".join(item)]).matches(*tokens.words(*tokens.buffers(pa.array(texts))))}
+        planted += len(want)
+        missed += [(size, k) for k, w in enumerate(want) if k not in got or got[k][2] < w[2] - 1e-12]
+    assert planted > 1000 and not missed
+
+
+def test_best_window_against_all_windows():
+    rng = random.Random(4)
+    line = [f"common{i}" for i in range(9)]
+
+    def text(n):
+        return [rng.choice("abc") for _ in range(n)]
+
+    items = [text(rng.randint(6, 20)) for _ in range(6)] + [line + [f"q{i}{k}" for k in range(rng.randint(3, 25))] for i in range(6)]
+    index = dc.Index(list(range(len(items))), [" ".join(i) for i in items])
+    weights = {s: 1 / n for s, n in Counter(s for i in items for s in _bag(i)).items()}
+    found = 0
+    for _ in range(6):
+        own = text(rng.randint(0, 25)) + rng.choice(items)[rng.randint(0, 3) :] + rng.choice([line, text(5)]) + rng.choice(items) + text(rng.randint(0, 9))
+        got = {m[1]: m for m in index.matches(*tokens.words(*tokens.buffers(pa.array([" ".join(own)]))))}
+        for i, item in enumerate(items):
+            windows = ((_jaccard(_bag(item), _bag(own[a:b]), weights), -a, b - a) for a in range(len(own)) for b in range(a + 5, len(own) + 1))
+            s, a, n = max((round(s, 9), a, n) for s, a, n in windows)
+            if s >= 0.75:
+                found += 1
+                assert (round(got[i][2], 9), got[i][3], got[i][4]) == (s, -a, n)
+            else:
+                assert i not in got
+    assert found > 6
+
+
 def test_odd_rows(spark):
     docs, items, _ = _corpus(spark)
     odd = documents(spark, odd_rows()).withColumnRenamed("label", "item_id")
