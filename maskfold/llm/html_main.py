@@ -12,7 +12,8 @@ tags and class names, and notices, sidebars, forms, adverts and reader comments
 before, after and inside. So the trees can't rely on one site's layout. Without any such page a fixed
 rule decides: text within article or main elements, else all text outside elements of a known kind.
 
-Text is what the parser finds outside scripts, styles, titles and the like, with character references decoded.
+Text is what the parser finds outside scripts, styles, titles and text areas (which run to the end of the page where they
+are not closed), with character references decoded.
 Block elements and line breaks separate; white space (as Unicode has it) becomes one space.
 Nothing is dropped by size. Rules for odd input: null or empty html, or html without text, gives the empty text; html without elements is all main text; cut-off
 tags at the end are dropped, unclosed elements end with their parents; equal pages give equal texts; further columns are ignored.
@@ -42,14 +43,14 @@ OUT, MAIN, BOTH = 0, 1, 2
 
 #: Fixed lists: elements of HTML by their role in parsing.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg math object select option".split())
+RAW = frozenset("script style title textarea".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 ENDS_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 #: Elements that an opening tag of the same group ends, up to the elements that hold them.
-ITEM_OF = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
+ITEM_OF = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select", "datalist", "optgroup"}), "optgroup": ({"option", "optgroup"}, {"select"})}
 #: Kinds of tags and of attribute tokens.
 TAG_KINDS = {
-    "nav": "nav menu", "edge": "header footer", "aside": "aside", "form": "form button input fieldset", "article": "article main",
+    "nav": "nav menu", "edge": "header footer", "aside": "aside", "form": "form button input fieldset select datalist optgroup option", "article": "article main",
     "section": "section", "div": "div", "p": "p blockquote pre figure figcaption", "list": "ul ol li dl dt dd", "heading": "h1 h2 h3 h4 h5 h6",
     "table": "table tbody thead tr td th", "a": "a", "inline": "b i em strong span small u s code q",
 }
@@ -66,8 +67,9 @@ TOKEN_KINDS = {
 }
 _TAG = {t: i for i, names in enumerate(TAG_KINDS.values()) for t in names.split()}
 _TOKEN = {t: i for i, names in enumerate(TOKEN_KINDS.values()) for t in names.split()}
-_BAD_TAGS = frozenset("nav menu header footer aside form button".split())
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(>|\Z)|<[!?][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
+_BAD_TAGS = frozenset("nav menu header footer aside form button select datalist".split())
+#: A quote delimits only where it begins a value; elsewhere, and without a second one, it is a character like others.
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+)|=)*+)(>|\Z)|<[!?][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|itemprop|aria-label|hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _ENDING = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I) for t in RAW}

@@ -67,6 +67,33 @@ def test_parser():
     assert hm._text(nodes, lambda i: True) == "a b c d ef g h"
 
 
+def _all(page):
+    return hm._text(hm.parse(page), lambda i: True)
+
+
+def test_parser_keeps_what_follows_an_unclosed_element():
+    for tag in ("option", "select", "object", "svg", "math", "template", "iframe", "noscript"):
+        assert _all(f"<div><{tag} id=x></div><article><p>kept</p></article>") == "kept"
+    page = "<form><input list=l><datalist id=l><option value=a><option value=b>two</datalist></form><article><p>First.</p><p>Second.</p></article><aside>z</aside>"
+    assert hm.main_texts([page], None) == ["First. Second."]
+    assert hm.main_texts(["<select><option>a<option>b</select><p>c</p>"], None) == ["c"]
+    assert [(n.tag, n.depth) for n in hm.parse("<select><optgroup><option>a<option>b<optgroup><option>c</select>d")[1:]] == [("select", 1), ("optgroup", 2), ("option", 3), ("option", 3), ("optgroup", 2), ("option", 3)]
+    assert _all("a<script>b</script>c<style>d<p>e") == "a c"
+
+
+def test_parser_keeps_text_of_formulas_and_fallbacks():
+    page = "<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p><noscript><p>Plain.</p></noscript><object data=f><p>Instead.</p></object><svg><text>Axis</text></svg></article>"
+    assert hm.main_texts([page], None) == ["So x = 2 holds. Plain. Instead. Axis"]
+
+
+def test_parser_takes_quotes_only_at_values():
+    assert _all("<img alt=Bob's>First para.</p><p>Second isn't here</p>") == "First para. Second isn't here"
+    assert _all("<p class=\"a\"\">one</p><p title='b''>it's</p>") == "one it's"
+    assert _all("<p title=\"a > b\" alt = 'c>d'>e</p><a href=f?x='>g</a><i title==\"h>i\">j") == 'e gi">j'
+    assert _all('<p title="open>k</p>l') == "k l" and _all("m<p '>n<p a='o") == "m n"
+    assert _all("<p " + "=' " * 50_000 + '=" ' * 50_001 + ">q") == "q"
+
+
 def test_odd_pages(spark, model):
     long = "<article>" + "<p>some words, here.</p>" * 20_000 + "</article>"
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<html></html>"), (4, "u", "plain &lt;text&gt;"), (5, "u", long), (6, "u", "<div>" * 3000 + "deep"), (6, "u", "<div>" * 3000 + "deep"), (None, "u", "<p>a"), (7, "u", "<")]
