@@ -6,10 +6,11 @@ punctuation, and its part of the page's text. Boosted trees (numpy, three classe
 main text, wholly not, or holds both. Decoding is hierarchical: the best choice for the whole tree, where below an
 element that is out all is out, and below a main element none is undecided, found by one pass from the leaves up.
 
-Fitted on ``SAMPLE`` pages of the table, a documented bound, that have one article element, which is their main text. Each is
+Fitted on ``SAMPLE`` pages, a documented bound, drawn among those of the table that have one article element, which is their
+main text (on all of them, where there are no more). Each is
 also put into ``VARIANTS`` random layouts whose truth is known by construction: the article and the other parts under other
 tags and class names, and notices, sidebars, forms, adverts and reader comments made of other text of the page put in
-before, after and inside. So the trees can't rely on one site's layout. Without any such page a fixed
+before, after and inside. So the trees can't rely on one site's layout. Only without any such page in the whole table a fixed
 rule decides: text within article or main elements, else all text outside elements of a known kind.
 
 Text is what the parser finds outside scripts, styles, titles and text areas (which run to the end of the page where they
@@ -21,6 +22,7 @@ tags at the end are dropped, unclosed elements end with their parents; equal pag
 
 from __future__ import annotations
 
+import heapq
 import html as entities
 import re
 from collections.abc import Iterator
@@ -511,12 +513,37 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary()), pa.array(plain, pa.bool_())], names=["x", "y", "plain"])
 
 
+def _first(rows: int):
+    """Of a partition's (place, html) rows the ``rows`` first places of pages with one article element. Only pages that
+    come before those found so far are parsed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: list[int] = []  # a heap of the negative places
+        held: set[int] = set()
+        for batch in batches:
+            for i, place in enumerate(batch.column(0).to_pylist()):
+                if place in held or (len(last) == rows and place >= -last[0]):
+                    continue
+                if sum(node.tag == "article" for node in parse(batch.column(1)[i].as_py())) == 1:
+                    held.add(place)
+                    heapq.heappush(last, -place)
+                    if len(last) > rows:
+                        held.remove(-heapq.heappop(last))
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(held), pa.int64())], names=["place"])
+
+    return run
+
+
 def fit(pages: DataFrame, rows: int = SAMPLE) -> Model | None:
-    """A model of about ``rows`` pages, chosen by a hash of their text: the same in every run."""
-    n = pages.count()
-    key = F.xxhash64("html")
-    chance = F.shiftrightunsigned(F.xxhash64(F.lit(3), "html"), 11) / float(1 << 53)
-    some = pages.where(F.col("html").isNotNull() & (chance < rows / max(1, n))).select(key.alias("key"), "html").dropDuplicates(["key"]).limit(2 * rows)
+    """A model of ``rows`` different pages that have one article element, or of all such pages, where there are fewer;
+    chosen by a hash of their text: the same in every run. None without any."""
+    key, place = F.xxhash64("html"), F.xxhash64(F.lit(3), "html")
+    with_article = pages.where(F.col("html").rlike("(?i)<article")).select(place.alias("place"), "html")
+    drawn = with_article.mapInArrow(_first(rows), "place long").distinct().orderBy("place").limit(rows)
+    places = [r["place"] for r in drawn.collect()]
+    if not places:
+        return None
+    some = pages.where(F.col("html").isNotNull() & place.isin(places)).select(key.alias("key"), "html").dropDuplicates(["key"])
     got = some.mapInArrow(_training, "x binary, y binary, plain boolean").toArrow()
     if not got.num_rows:
         return None

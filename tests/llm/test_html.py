@@ -67,6 +67,20 @@ def test_parser():
     assert hm._text(nodes, lambda i: True) == "a b c d ef g h"
 
 
+def test_sample_is_drawn_among_pages_with_one_article(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("html").limit(20)
+    other = spark.range(6000).selectExpr("concat('<div><p>Page ', id, '.</p></div>', if(id % 3 = 0, '<!-- <article> -->', ''), if(id % 3 = 1, '<article>a</article><article>b</article>', '')) html")
+    alone, among = hm.fit(pages), hm.fit(pages.union(other).repartition(5))
+    assert np.array_equal(alone.base, among.base) and len(alone.trees) == len(among.trees)
+    for one, two in zip(alone.trees, among.trees):
+        assert all(np.array_equal(a.value, b.value) and np.array_equal(a.cut, b.cut) for a, b in zip(one, two))
+    places = [7, 3, 9, 3, 5, 1]
+    html = ["<article>x</article>"] * 4 + ["<p>x", "<ARTICLE >x"]
+    batches = [hm.pa.RecordBatch.from_arrays([hm.pa.array(places), hm.pa.array(html)], names=["place", "html"])] * 2
+    assert [b.column(0).to_pylist() for b in hm._first(3)(iter(batches))] == [[1, 3, 7]]
+    assert hm.fit(other) is None
+
+
 def _all(page):
     return hm._text(hm.parse(page), lambda i: True)
 
