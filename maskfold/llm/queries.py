@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from maskfold.llm import ngram_join, sharding
+from maskfold.llm import fill_middle, ngram_join, sharding
 from maskfold.llm.decontaminate import op4_decontaminate
+from maskfold.llm.fill_middle import op12_fill_middle
 from maskfold.llm.fingerprints import op1_fingerprints
 from maskfold.llm.html_main import op6_html
 from maskfold.llm.language import op10_language
@@ -25,9 +26,11 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_ngram_join": op9_ngram_join,
     "op10_language": op10_language,
+    "op12_fill_middle": op12_fill_middle,
 }
 
 SQL: dict[str, str] = {
     "op7_sharding": sharding.SQL,
     "op9_ngram_join": ngram_join.SQL,
+    "op12_fill_middle": fill_middle.SQL,
 }
