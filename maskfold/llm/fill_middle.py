@@ -11,7 +11,7 @@ For each batch the units are split into list arrays, flattened with their parent
 parent, filtered by role, rebuilt into lists, and joined (``binary_join``) to one string a role. Texts are worked on
 in segments of at most ``SEGMENT`` bytes, cut between units, and pieces of about ``PIECE`` bytes; a second list
 array joins a text's segments, so the memory for units is bounded by a piece, however long a text is, and no
-text is cut off.
+text is cut off. Batches are taken in parts of ``SLICE`` bytes.
 
 ``restored`` is the inverse. It is exact: a text that holds a sentinel stays plain, and a sentinel can't begin in one
 piece and end in the next, because only its first character is ``<``.
@@ -23,6 +23,7 @@ equal rows; an empty table gives no rows. Columns of the input that are named li
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from maskfold.llm.tokens import SPACE, buffers
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 PLAIN, PSM, SPM = "plain", "psm", "spm"
 MOVED_PERCENT, SPM_PERCENT = 90, 20
-PIECE, SEGMENT = 1 << 19, 1 << 18
+SLICE, PIECE, SEGMENT = 4 << 20, 1 << 18, 1 << 17
 NOTHING = pa.scalar("", pa.large_string())
 RESULT = ["n", "form", "prefix_chars", "middle_chars", "output"]
 
@@ -56,21 +57,45 @@ def _words(data: np.ndarray) -> np.ndarray:
 UNITS = {"chars": _code_points, "words": _words}
 
 
-def _units(text: pa.Array, unit: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes and offsets of the texts, and at which bytes units begin; every text that is not empty begins one."""
-    data, off = buffers(text)
-    begins = UNITS[unit](data) if len(data) else np.zeros(0, bool)
-    begins[off[:-1][np.diff(off) > 0]] = True
-    return data, off, begins
-
-
 def _segments(begins: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Byte bounds that cut texts (given by their offsets) into segments of about ``SEGMENT`` bytes, between units."""
-    marks = np.concatenate([np.arange(a, b, SEGMENT) for a, b in zip(off[:-1].tolist(), off[1:].tolist()) if b - a > SEGMENT] or [off[:0]])
-    starts = np.flatnonzero(begins)
-    at = np.searchsorted(starts, marks)
-    inner = starts[at[at < len(starts)]] if len(starts) else marks[:0]
-    return np.unique(np.concatenate((off, inner)))
+    inner = []
+    for i in np.flatnonzero(np.diff(off) > SEGMENT):
+        at = int(off[i]) + SEGMENT
+        while at < off[i + 1]:
+            step = int(np.argmax(begins[at : min(at + SEGMENT, off[i + 1])]))
+            if begins[at + step]:
+                at += step
+                inner.append(at)
+            at += SEGMENT
+    return np.unique(np.concatenate((off, np.array(inner, np.int64))))
+
+
+@dataclass
+class Units:
+    """Texts as bytes, where their units begin, and the segments that the texts are cut into."""
+
+    data: np.ndarray
+    off: np.ndarray
+    begins: np.ndarray
+    cuts: np.ndarray  # byte bounds of the segments
+    owner: np.ndarray  # the text of each segment; empty texts have none
+    count: np.ndarray  # units of each segment
+
+    @classmethod
+    def of(cls, text: pa.Array, unit: str) -> Units:
+        data, off = buffers(text)
+        begins = UNITS[unit](data) if len(data) else np.zeros(0, bool)
+        begins[off[:-1][np.diff(off) > 0]] = True  # every text that is not empty begins a unit
+        cuts = _segments(begins, off)
+        owner = np.searchsorted(off, cuts[:-1], "right") - 1
+        count = np.add.reduceat(begins, cuts[:-1], dtype=np.int64) if len(owner) else np.zeros(0, np.int64)
+        return cls(data, off, begins, cuts, owner, count)
+
+    def of_texts(self) -> np.ndarray:
+        """Units of each text."""
+        total = np.concatenate(([0], np.cumsum(self.count)))
+        return np.diff(total[np.searchsorted(self.owner, np.arange(len(self.off)))])
 
 
 def unit_lists(data: np.ndarray, begins: np.ndarray, bounds: np.ndarray) -> pa.LargeListArray:
@@ -85,13 +110,12 @@ def _joined(parts: pa.Array, bounds: np.ndarray) -> pa.Array:
     return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), parts), NOTHING)
 
 
-def three_pieces(text: pa.Array, low: np.ndarray, high: np.ndarray, unit: str = "chars") -> list[pa.Array]:
+def three_pieces(texts: Units, low: np.ndarray, high: np.ndarray) -> list[pa.Array]:
     """Prefix, middle and suffix of every text: its units before ``low``, from there to ``high``, and the rest."""
-    data, off, begins = _units(text, unit)
-    cuts = _segments(begins, off)
-    owner = np.searchsorted(off, cuts[:-1], "right") - 1  # the text of each segment; empty texts have none
-    count = np.concatenate(([0], np.cumsum(begins)))
-    before = count[cuts[:-1]] - count[off[owner]]  # units of the text that earlier segments hold
+    data, begins, cuts, owner = texts.data, texts.begins, texts.cuts, texts.owner
+    total = np.cumsum(texts.count) - texts.count
+    first = np.searchsorted(owner, owner)
+    before = total - total[first]  # units of the text that earlier segments hold
     found: list[list[pa.Array]] = [[], [], []]
     at = 0
     while at < len(owner):
@@ -109,7 +133,7 @@ def three_pieces(text: pa.Array, low: np.ndarray, high: np.ndarray, unit: str =
             held = np.concatenate(([0], np.cumsum(mask.to_numpy(zero_copy_only=False))))[bounds]
             role.append(_joined(pc.filter(units, mask), held))
         at = to
-    of_text = np.searchsorted(owner, np.arange(len(off)))
+    of_text = np.searchsorted(owner, np.arange(len(texts.off)))
     return [_joined(pa.concat_arrays(role) if role else pa.array([], pa.large_string()), of_text) for role in found]
 
 
@@ -122,6 +146,17 @@ def arranged(text: pa.Array, form: pa.Array, pieces: list[pa.Array]) -> pa.Array
     return pc.if_else(pc.equal(form, PSM), psm, pc.if_else(pc.equal(form, SPM), spm, text))
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about ``SLICE`` bytes of a text column; one longer text makes one longer part."""
+    for batch in batches:
+        _, off = buffers(batch.column(column))
+        at, n = 0, batch.num_rows
+        while at < n:
+            to = max(at + 1, int(np.searchsorted(off, off[at] + SLICE, "right")) - 1)
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def holds_sentinel(text: Column) -> Column:
     return text.contains(PREFIX) | text.contains(SUFFIX) | text.contains(MIDDLE)
 
@@ -147,15 +182,14 @@ def fill_in_middle(docs: DataFrame, unit: str = "chars", seed: int = 1) -> DataF
     rows = rows.select("row", "text", form.alias("form"), h1.alias("h1"), h2.alias("h2"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             row, text, form, h1, h2 = batch.columns
             text = text.cast(pa.large_string())
-            _, off, begins = _units(text, unit)
-            count = np.concatenate(([0], np.cumsum(begins)))
-            n = count[off[1:]] - count[off[:-1]]
+            texts = Units.of(text, unit)
+            n = texts.of_texts()
             cuts = np.sort([h.to_numpy() % (n + 1) for h in (h1, h2)], axis=0)
             plain = pc.equal(form, PLAIN)
-            output = arranged(text, form, three_pieces(text, cuts[0], cuts[1], unit))
+            output = arranged(text, form, three_pieces(texts, cuts[0], cuts[1]))
             sizes = [pc.if_else(plain, pa.scalar(None, pa.int64()), pa.array(x)) for x in (cuts[0], cuts[1] - cuts[0])]
             yield pa.RecordBatch.from_arrays([row, text.cast(pa.string()), pa.array(n), form, *sizes, output.cast(pa.string())], names=["row", "text", *RESULT])
 
@@ -176,7 +210,7 @@ def restored(moved: DataFrame) -> DataFrame:
     kept = _without(moved, ["restored"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "output"):
             form, output = (batch.column(c).cast(pa.large_string()) for c in ("form", "output"))
             body = pc.utf8_slice_codeunits(output, len(PREFIX))  # both forms begin with a mark
             prefix, rest = _split(body, SUFFIX)  # psm

@@ -67,7 +67,8 @@ def test_segments_of_long_texts(monkeypatch, unit):
         units = [t[:lead]] * bool(lead) + units
         cuts.append((units, *sorted((rng.randint(0, len(units)), rng.randint(0, len(units))))))
     low, high = (np.array([c[k] for c in cuts]) for k in (1, 2))
-    got = fm.three_pieces(pa.array(texts, pa.large_string()), low, high, unit)
+    got = fm.three_pieces(fm.Units.of(pa.array(texts, pa.large_string()), unit), low, high)
+    assert fm.Units.of(pa.array(texts, pa.large_string()), unit).of_texts().tolist() == [len(c[0]) for c in cuts]
     for role, part in zip(got, (lambda u, a, b: u[:a], lambda u, a, b: u[a:b], lambda u, a, b: u[b:])):
         assert role.to_pylist() == ["".join(part(*c)) for c in cuts]
 
