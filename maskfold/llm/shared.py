@@ -22,6 +22,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def removed_at_exit(spark: SparkSession, path: str) -> str:
+    """``path``, a folder that goes when the application ends, as no result may hang on it any longer."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared store now."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and reread from reliable storage; for narrow frames. Spark removes the
     files when the frame is no longer used (``spark.cleaner.referenceTracking.cleanCheckpoints``)."""
@@ -31,9 +44,10 @@ def cut(df: DataFrame) -> DataFrame:
 
 def written(df: DataFrame) -> DataFrame:
     """``df`` written as a Parquet table in the shared folder and reread: columnar, compressed, and of
-    a size that the planner knows, so that it broadcasts the table only below its own threshold."""
+    a size that the planner knows, so that it broadcasts the table only below its own threshold. The
+    table lasts as long as the application."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    path = removed_at_exit(spark, f"{shared_folder(spark)}/table-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
