@@ -420,11 +420,11 @@ hashed AS (
          first_value(page_id) OVER (PARTITION BY body ORDER BY page_id NULLS LAST, url NULLS FIRST) AS first_id
   FROM payloads),
 bits AS (
-  SELECT *, array_to_string(list_transform(string_split(h, ''), x -> lpad(bin(CAST('0x' || x AS INTEGER)), 4, '0')), '') AS b
+  SELECT *, array_to_string(list_transform(string_split(h, ''), lambda x: lpad(bin(CAST('0x' || x AS INTEGER)), 4, '0')), '') AS b
   FROM hashed)
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
-       array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-         1 + list_sum(list_transform(range(5), j -> CAST(substr(b, 5 * i + j + 1, 1) AS INTEGER) * (16 >> j)))::INTEGER, 1)), '') AS payload_digest,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + list_sum(list_transform(range(5), lambda j: CAST(substr(b, 5 * i + j + 1, 1) AS INTEGER) * (16 >> j)))::INTEGER, 1)), '') AS payload_digest,
        CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN place > 1 THEN first_id END AS refers_to
 FROM bits
