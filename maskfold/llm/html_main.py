@@ -7,7 +7,7 @@ main text, wholly not, or holds both. Decoding is hierarchical: the best choice
 element that is out all is out, and below a main element none is undecided, found by one pass from the leaves up.
 
 Fitted on ``SAMPLE`` pages, a documented bound, drawn among those of the table that have one article element, which is their
-main text (on all of them, where there are no more). Each is
+main text (on all of them, where there are no more), and on ``ELEMENTS`` drawn elements of those that have more. Each is
 also put into ``VARIANTS`` random layouts whose truth is known by construction: the article and the other parts under other
 tags and class names, and notices, sidebars, forms, adverts and reader comments made of other text of the page put in
 before, after and inside. So the trees can't rely on one site's layout. Only without any such page in the whole table a fixed
@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 
 SAMPLE = 150
+ELEMENTS = 2_000  # drawn of a sampled page in one layout
 VARIANTS = 4
 ROUNDS = 20
 DEPTH = 4
@@ -97,17 +98,68 @@ def _token_kinds(attributes: str) -> int:
     return kinds
 
 
+_GROUPS = list(ITEM_OF)
+_NO_ITEMS = (-1,) * len(_GROUPS)
+_OF_ITEMS = frozenset(t for ended, holders in ITEM_OF.values() for t in ended | holders)
+
+
+class _Open:
+    """The elements open at a place of the page. Whatever the page holds, work is in proportion to its elements: an element is
+    closed once, and what an opening tag ends is told by notes made when the elements above it were opened."""
+
+    def __init__(self, nodes: list[Node]):
+        self.nodes, self.at, self.count = nodes, 0, {}
+        self.block = [0]  # of each node the innermost element around it, itself included, that is not inline
+        self.items = [_NO_ITEMS]  # and by group of items the outermost open one that the next of the group ends
+
+    def close(self, upto: int) -> None:
+        """Closes what is open below element ``upto``."""
+        while self.at != upto:
+            node = self.nodes[self.at]
+            self.count[node.tag] -= 1
+            self.at = node.parent
+
+    def end(self, tag: str) -> None:
+        """An end tag: closes the innermost element of its name, if one is open."""
+        if self.count.get(tag):
+            while self.nodes[self.at].tag != tag:
+                self.close(self.nodes[self.at].parent)
+            self.close(self.nodes[self.at].parent)
+
+    def make_room(self, tag: str) -> None:
+        """Closes what an opening tag ends."""
+        if tag in ENDS_P and self.nodes[self.block[self.at]].tag == "p":
+            self.close(self.nodes[self.block[self.at]].parent)
+        if tag in ITEM_OF:
+            last = self.items[self.at][_GROUPS.index(tag)]
+            if last >= 0:
+                self.close(self.nodes[last].parent)
+
+    def add(self, tag: str, tokens: int, stays: bool) -> None:
+        nodes, parent, i = self.nodes, self.at, len(self.nodes)
+        nodes.append(Node(tag, parent, nodes[parent].depth + 1, tokens))
+        nodes[parent].parts.append(i)
+        self.block.append(self.block[parent] if tag in INLINE else i)
+        above = self.items[parent]
+        if tag in _OF_ITEMS:
+            above = tuple(-1 if tag in holders else i if a < 0 and tag in ended else a for a, (ended, holders) in zip(above, ITEM_OF.values()))
+        self.items.append(above)
+        if stays:
+            self.count[tag] = self.count.get(tag, 0) + 1
+            self.at = i
+
+
 def parse(page: str) -> list[Node]:
     """Elements in the order of their opening tags; the first is the page."""
     nodes = [Node("#page", -1, 0, 0)]
-    at, open_, end = 0, 0, len(page)
+    open_, at, end = _Open(nodes), 0, len(page)
     while at < end:
         m = _MARKUP.search(page, at)
         if m is None:
-            nodes[open_].parts.append(page[at:])
+            nodes[open_.at].parts.append(page[at:])
             break
         if m.start() > at:
-            nodes[open_].parts.append(page[at : m.start()])
+            nodes[open_.at].parts.append(page[at : m.start()])
         at = m.end()
         tag = m[2]
         if tag is None:
@@ -116,40 +168,19 @@ def parse(page: str) -> list[Node]:
             break
         tag = tag.lower()
         if m[1]:
-            node = open_
-            while node > 0 and nodes[node].tag != tag:
-                node = nodes[node].parent
-            if node > 0:
-                open_ = nodes[node].parent
+            open_.end(tag)
             continue
         if tag in RAW and not m[3].endswith("/"):
             closing = _ENDING[tag].search(page, at)
             rest = page.find(">", closing.end()) if closing else -1
             at = rest + 1 if rest >= 0 else end
-            nodes[open_].parts.append(" " if tag not in INLINE else "")
+            nodes[open_.at].parts.append(" " if tag not in INLINE else "")
             continue
-        if tag in ENDS_P:
-            node = open_
-            while node > 0 and (nodes[node].tag in INLINE):
-                node = nodes[node].parent
-            if nodes[node].tag == "p":
-                open_ = nodes[node].parent
-        if tag in ITEM_OF:
-            ended, holders = ITEM_OF[tag]
-            node, last = open_, -1
-            while node > 0 and nodes[node].tag not in holders:
-                if nodes[node].tag in ended:
-                    last = node
-                node = nodes[node].parent
-            if last >= 0:
-                open_ = nodes[last].parent
+        open_.make_room(tag)
         if tag in VOID:
-            nodes[open_].parts.append(" " if tag in ("br", "hr") else "")
+            nodes[open_.at].parts.append(" " if tag in ("br", "hr") else "")
             continue
-        nodes.append(Node(tag, open_, nodes[open_].depth + 1, _token_kinds(m[3])))
-        nodes[open_].parts.append(len(nodes) - 1)
-        if not m[3].endswith("/"):
-            open_ = len(nodes) - 1
+        open_.add(tag, _token_kinds(m[3]), not m[3].endswith("/"))
     return nodes
 
 
@@ -391,7 +422,21 @@ def main_texts(pages: list[str | None], model: Model | None) -> list[str]:
 
 
 def _render(nodes: list[Node], i: int) -> str:
-    return "".join(p if isinstance(p, str) else f"<{nodes[p].tag}>{_render(nodes, p)}</{nodes[p].tag}>" for p in nodes[i].parts)
+    """The markup within element ``i``, without attributes."""
+    out: list[str] = []
+    todo: list = [(nodes[i].parts, 0, "")]
+    while todo:
+        parts, k, ending = todo.pop()
+        while k < len(parts) and isinstance(parts[k], str):
+            out.append(parts[k])
+            k += 1
+        if k == len(parts):
+            out.append(ending)
+            continue
+        child = nodes[parts[k]]
+        out.append(f"<{child.tag}>")
+        todo += [(parts, k + 1, ending), (child.parts, 0, f"</{child.tag}>")]
+    return "".join(out)
 
 
 def layouts(page: str, seed: int) -> list[str]:
@@ -507,7 +552,11 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts = layouts(page or "", key & 0xFFFFFFFF)
             for text in texts:
                 nodes, y = truth(text)
-                xs.append(describe(nodes).astype(np.float32).tobytes())
+                x = describe(nodes).astype(np.float32)
+                if len(y) > ELEMENTS:
+                    some = np.sort(np.random.default_rng(key & 0xFFFFFFFF).choice(len(y), ELEMENTS, replace=False))
+                    x, y = x[some], y[some]
+                xs.append(x.tobytes())
                 ys.append(y.astype(np.int8).tobytes())
                 plain.append(text is texts[0])
         yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary()), pa.array(plain, pa.bool_())], names=["x", "y", "plain"])

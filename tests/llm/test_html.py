@@ -1,8 +1,10 @@
 import html
 import re
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from maskfold.llm import html_main as hm
 from maskfold.llm.queries import QUERIES
@@ -108,6 +110,75 @@ def test_parser_takes_quotes_only_at_values():
     assert _all("<p " + "=' " * 50_000 + '=" ' * 50_001 + ">q") == "q"
 
 
+def _slow_parse(page):
+    """The tree by walks to the root, as the rules say."""
+    nodes, at, open_ = [hm.Node("#page", -1, 0, 0)], 0, 0
+    for m in hm._MARKUP.finditer(page):
+        if m.start() > at:
+            nodes[open_].parts.append(page[at : m.start()])
+        at = m.end()
+        if m[2] is None:
+            continue
+        tag, node, last = m[2].lower(), open_, -1
+        if m[1]:
+            while node > 0 and nodes[node].tag != tag:
+                node = nodes[node].parent
+            open_ = nodes[node].parent if node > 0 else open_
+            continue
+        if tag in hm.ENDS_P:
+            while node > 0 and nodes[node].tag in hm.INLINE:
+                node = nodes[node].parent
+            open_ = nodes[node].parent if nodes[node].tag == "p" else open_
+        if tag in hm.ITEM_OF:
+            ended, holders = hm.ITEM_OF[tag]
+            node = open_
+            while node > 0 and nodes[node].tag not in holders:
+                last = node if nodes[node].tag in ended else last
+                node = nodes[node].parent
+            open_ = nodes[last].parent if last >= 0 else open_
+        nodes.append(hm.Node(tag, open_, nodes[open_].depth + 1, 0))
+        nodes[open_].parts.append(len(nodes) - 1)
+        open_ = len(nodes) - 1
+    if at < len(page):
+        nodes[open_].parts.append(page[at:])
+    return nodes
+
+
+def test_parser_against_walks_to_the_root():
+    rng = np.random.default_rng(4)
+    tags = ["p", "b", "i", "div", "ul", "li", "dl", "dt", "dd", "table", "tr", "td", "th", "select", "optgroup", "option", "object", "section"]
+    for _ in range(400):
+        page = "".join(f"<{'/' if rng.random() < 0.35 else ''}{tags[rng.integers(len(tags))]}>{'x' if rng.random() < 0.3 else ''}" for _ in range(rng.integers(1, 60)))
+        got, want = hm.parse(page), _slow_parse(page)
+        assert [(n.tag, n.parent, n.depth, n.parts) for n in got] == [(n.tag, n.parent, n.depth, n.parts) for n in want], page
+
+
+def test_deep_and_long_pages_take_time_in_proportion(model):
+    many = 100_000
+    pages = [
+        "<article>" + "<div>" * many + "deep", "<article>a" + "</div>" * many, "<article>" + "<div>" * (many // 2) + "</p>" * (many // 2) + "x",
+        "<p><object>" + "<b>" * (many // 3) + "<div></div>" * (many // 3) + "x", "<div>" * (many // 2) + "<li>a" * (many // 2),
+    ]
+    for page in pages:
+        began = time.perf_counter()
+        nodes = hm.parse(page)
+        assert time.perf_counter() - began < 2
+        assert sum(isinstance(p, str) for n in nodes for p in n.parts) >= 1
+    assert hm.main_texts([pages[0]], None) == ["deep"]
+    hm.main_texts(pages[:2], model)
+
+
+def test_huge_pages_in_the_sample(spark):
+    """A deep page and one of very many elements are drawn, and bound what reaches the driver."""
+    rows = [("<body><article>" + "<div>" * 1500 + "deep</article></body>",), ("<body><nav>n</nav><article>" + "<p>a b.</p>" * 500_000 + "</article></body>",)]
+    pages = spark.createDataFrame([(*r,) for r in rows], "html string")
+    got = pages.select(F.monotonically_increasing_id().alias("key"), "html").mapInArrow(hm._training, "x binary, y binary, plain boolean").collect()
+    assert len(got) == 2 * (hm.VARIANTS + 1) and max(len(r["y"]) for r in got) == hm.ELEMENTS
+    small = spark.read.parquet(f"{SF}/pages.parquet").select("html").limit(20)
+    fitted = hm.fit(small.union(pages.limit(1)))
+    assert fitted is not None and len(fitted.trees) == hm.ROUNDS
+
+
 def test_odd_pages(spark, model):
     long = "<article>" + "<p>some words, here.</p>" * 20_000 + "</article>"
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<html></html>"), (4, "u", "plain &lt;text&gt;"), (5, "u", long), (6, "u", "<div>" * 3000 + "deep"), (6, "u", "<div>" * 3000 + "deep"), (None, "u", "<p>a"), (7, "u", "<")]
