@@ -1,13 +1,16 @@
 """Sharding by extendible hashing (dealt operator 7, native).
 
-A document's bit string is the hash of its ``doc_id`` (60 bits of MD5), followed by bits of its row, which
-only tell apart rows of equal ids. A bucket is a prefix of the bits; the empty prefix holds all rows. Only a
-bucket of more than ``limit`` bytes is split on one more bit, until every bucket fits or holds one
-row; the buckets that are not split are the shards. No task sees a bucket's rows: one aggregation
-by a prefix some bits longer than needed gives the sizes of all shorter prefixes, and only where such
-a fine bucket is still too large the next bits are aggregated for its rows alone.
-
-The directory maps fine prefixes to shards; it is a written table whose size the planner knows, and
+A document's bit string is the hash of its ``doc_id`` (60 bits of MD5). A bucket is a prefix of the bits; the empty
+prefix holds all rows. Only a bucket of more than ``limit`` bytes is split on one more bit, until every bucket fits or
+holds one row; the buckets that are not split are the shards. No task sees a bucket's rows: one aggregation by a prefix
+some bits longer than needed gives the sizes of all shorter prefixes, and only where such a fine bucket is still
+too large the next bits are aggregated for its rows alone.
+
+Rows that are still together after all bits of the id, copies of one id that hold more than the limit, are written
+once more with a random number each, whose bits follow those of the id; as the numbers are stored, every later pass over
+the rows, and every task that is run again, sees the same ones.
+
+The directory maps fine prefixes, as integers, to shards; it is a written table whose size the planner knows, and
 is looked up by an equi-join.
 
 Rules for odd input: null text has 0 bytes; a row of more bytes than the limit is a shard of its own;
@@ -25,71 +28,108 @@ from pyspark.sql import functions as F
 from maskfold.llm.shared import written
 
 SHARD_BYTES = 32 << 20
+QUERY_BYTES = 64 << 10  # of the registered query, so that tables of some megabytes are split as well
 BITS = 60
-EXTRA = 4  # bits of the first aggregation beyond the least possible depth
+EXTRA = 3  # bits of the first aggregation beyond the least possible depth
 STEP = 8
 
 
-def _bits(hex_digits: Column) -> Column:
-    return F.lpad(F.conv(hex_digits, 16, 2), BITS, "0")
+def id_bits(doc_id: Column) -> Column:
+    """60 bits of the id's hash, as a long."""
+    own = F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+    return F.conv(F.substring(own, 1, 15), 16, 10).cast("long")
 
 
-def row_bits(doc_id: Column, text: Column) -> Column:
-    """120 bits: the id's hash, then a hash of text and position, which equal ids split on."""
-    own = F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
-    row = F.lpad(F.hex(F.xxhash64(text, F.monotonically_increasing_id())), 16, "0")
-    return F.concat(_bits(F.substring(own, 1, 15)), _bits(F.substring(row, 1, 15)))
+def _prefix(bits: Column, depth: int | Column) -> Column:
+    return F.call_function("shiftright", bits, F.lit(BITS) - depth)
+
+
+def _name(prefix: Column, depth: Column) -> Column:
+    """The prefix as text, a character for each bit."""
+    return F.when(depth == 0, "").otherwise(F.lpad(F.bin(prefix), depth, "0"))
 
 
 def _levels(fine: DataFrame, top: int, depth: int) -> DataFrame:
     """Bytes and rows of every prefix of ``top`` to ``depth`` bits."""
     every = fine.select(F.explode(F.sequence(F.lit(top), F.lit(depth))).alias("depth"), "prefix", "bytes", "n")
-    cut = F.substring(F.col("prefix"), F.lit(1), F.col("depth"))
+    cut = F.call_function("shiftright", F.col("prefix"), F.lit(depth) - F.col("depth"))
     return every.groupBy("depth", cut.alias("prefix")).agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
 
 
-def directory(rows: DataFrame, limit: int) -> list[tuple[int, DataFrame]]:
-    """For each round its depth and a table (fine, shard, shard_bytes) of the prefixes of that depth
-    whose bucket is in a shard found so far; ``rows`` has bits and bytes."""
+def directory(rows: DataFrame, limit: int) -> tuple[list[tuple[int, DataFrame]], DataFrame]:
+    """For each round its depth and a table (fine, depth, prefix, shard_bytes) of the fine prefixes whose bucket is in
+    a shard found in it; and the prefixes of all ``BITS`` bits that are too large. ``rows`` has bits and bytes."""
     total = rows.agg(F.sum("bytes").alias("b")).first()["b"] or 0
-    top, depth = 0, min(2 * BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + EXTRA)
+    top, depth = 0, min(BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + EXTRA)
     found: list[tuple[int, DataFrame]] = []
     while True:
-        prefix = F.substring(F.col("bits"), 1, depth)
-        fine = written(rows.groupBy(prefix.alias("prefix")).agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n")))
-        levels = _levels(fine, top, depth)
-        split = levels.where((F.col("bytes") > limit) & (F.col("n") > 1) & (F.col("depth") < 2 * BITS))
-        whole = levels.where(~((F.col("bytes") > limit) & (F.col("n") > 1) & (F.col("depth") < 2 * BITS)))
-        parents = split.select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"))
-        below = whole.withColumn("parent", F.substring(F.col("prefix"), F.lit(1), F.col("depth") - 1)).join(parents, ["depth", "parent"], "left_semi")
-        # what the round starts from is a shard where it is whole itself, which only the empty prefix can be
-        shards = below.unionByName(whole.where(F.col("depth") == top).withColumn("parent", F.lit(""))).drop("parent") if not found else below
-        keys = fine.select("prefix", F.explode(F.sequence(F.lit(top), F.lit(depth))).alias("depth"))
-        keys = keys.withColumn("shard", F.substring(F.col("prefix"), F.lit(1), F.col("depth")))
-        named = shards.select("depth", F.col("prefix").alias("shard"), F.col("bytes").alias("shard_bytes"))
-        found.append((depth, written(keys.join(named, ["depth", "shard"]).select(F.col("prefix").alias("fine"), "shard", "shard_bytes"))))
-        left = split.where(F.col("depth") == depth).select(F.col("prefix").alias("open"))
-        left = written(left)
-        if left.isEmpty():
-            return found
-        rows = rows.join(left, F.substring(F.col("bits"), 1, depth) == F.col("open"), "left_semi")
-        top, depth = depth, min(2 * BITS, depth + STEP)
+        fine = written(rows.groupBy(_prefix(F.col("bits"), F.lit(depth)).alias("prefix")).agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n")))
+        levels = _levels(fine, top, depth).withColumn("large", (F.col("bytes") > limit) & (F.col("n") > 1))
+        parents = levels.where("large").select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"))
+        whole = levels.where("not large").withColumn("parent", F.call_function("shiftright", F.col("prefix"), F.lit(1)))
+        # a shard is below a split bucket; what the round starts from is one where it is whole itself, which only the empty prefix can be
+        shards = whole.join(parents, ["depth", "parent"], "left_semi")
+        shards = shards if found else shards.unionByName(whole.where("depth = 0"))
+        keys = fine.select(F.col("prefix").alias("fine"), F.explode(F.sequence(F.lit(top), F.lit(depth))).alias("depth"))
+        keys = keys.withColumn("prefix", F.call_function("shiftright", F.col("fine"), F.lit(depth) - F.col("depth")))
+        named = shards.select("depth", "prefix", F.col("bytes").alias("shard_bytes"))
+        found.append((depth, written(keys.join(named, ["depth", "prefix"]).select("fine", "depth", "prefix", "shard_bytes"))))
+        left = written(levels.where(F.col("large") & (F.col("depth") == depth)).select(F.col("prefix").alias("open")))
+        if depth == BITS or left.isEmpty():
+            return found, left
+        rows = rows.join(left, _prefix(F.col("bits"), F.lit(depth)) == F.col("open"), "left_semi")
+        top, depth = depth, min(BITS, depth + STEP)
+
+
+def _looked_up(rows: DataFrame, rounds: list[tuple[int, DataFrame]]) -> DataFrame:
+    """``rows`` (row, bits) with hit, the directory's entry of each; null where none has it."""
+    hits = []
+    for k, (depth, table) in enumerate(rounds):
+        entry = F.struct(_name(F.col("prefix"), F.col("depth")).alias("shard"), F.col("shard_bytes"))
+        side = table.select(F.col("fine").alias(f"f{k}"), entry.alias(f"s{k}"))
+        rows = rows.join(side, _prefix(F.col("bits"), F.lit(depth)) == F.col(f"f{k}"), "left")
+        hits.append(F.col(f"s{k}"))
+    return rows.select(*[c for c in rows.columns if c[0] not in "fs"], F.coalesce(*hits).alias("hit"))
 
 
 def sharded(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     """``docs`` with ``shard`` (its bits, empty for the one shard of a small table) and the shard's bytes."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    bits = row_bits(F.col("doc_id"), F.col("text"))
-    rounds = directory(docs.select(bits.alias("bits"), size.alias("bytes")), limit)
+    bits = id_bits(F.col("doc_id"))
+    rounds, large = directory(docs.select(bits.alias("bits"), size.alias("bytes")), limit)
     kept = [c for c in docs.columns if c not in ("shard", "shard_bytes")]
-    out = docs.select(F.struct(*[docs[c] for c in kept]).alias("row"), bits.alias("bits"))
-    names = []
-    for k, (depth, table) in enumerate(rounds):
-        t = table.select(F.col("fine").alias(f"f{k}"), F.struct("shard", "shard_bytes").alias(f"s{k}"))
-        out = out.join(t, F.substring(F.col("bits"), 1, depth) == F.col(f"f{k}"), "left")
-        names.append(F.col(f"s{k}"))
-    hit = F.coalesce(*names)
-    return out.select("row.*", hit["shard"].alias("shard"), hit["shard_bytes"].alias("shard_bytes"))
+    rows = docs.select(F.struct(*[docs[c] for c in kept]).alias("row"), bits.alias("bits"), size.alias("bytes"))
+    out = _looked_up(rows.select("row", "bits"), rounds)
+    if large.isEmpty():
+        return out.select("row.*", F.col("hit.shard").alias("shard"), F.col("hit.shard_bytes").alias("shard_bytes"))
+    out = out.where(F.col("hit").isNotNull()).select("row", F.col("hit.shard").alias("shard"), F.col("hit.shard_bytes").alias("shard_bytes"))
+    again = rows.join(large, F.col("bits") == F.col("open"), "left_semi")
+    again = written(again.select("row", "bytes", F.col("bits").alias("id_bits"), F.floor(F.rand() * F.lit(float(1 << 53))).cast("long").alias("drawn")))
+    # the directory of the second bit string is made for each such id by itself, below all bits of the id
+    return out.unionByName(_split_copies(again, limit)).select("row.*", "shard", "shard_bytes")
+
+
+def _split_copies(rows: DataFrame, limit: int) -> DataFrame:
+    """(row, shard, shard_bytes) of the rows (row, bytes, id_bits, drawn) of ids that are too large. As the drawn bits are
+    uniform, a number of bits that leaves a quarter of the limit on average is taken at once for each id, and a bucket
+    that is still too large is split further."""
+    size = rows.groupBy("id_bits").agg(F.sum("bytes").alias("b"))
+    depth = F.greatest(F.lit(0), F.ceil(F.log2(F.col("b") / F.lit(limit / 4.0)))).cast("int")
+    open_, done = rows.join(size.select("id_bits", depth.alias("depth")), "id_bits"), []
+    while True:
+        open_ = written(open_.withColumn("prefix", F.call_function("shiftright", F.col("drawn"), F.lit(53) - F.col("depth"))))
+        buckets = open_.groupBy("id_bits", "depth", "prefix").agg(F.sum("bytes").alias("shard_bytes"), F.count("*").alias("n"))
+        fits = (F.col("shard_bytes") <= limit) | (F.col("n") == 1) | (F.col("depth") == 53)
+        met = open_.join(buckets, ["id_bits", "depth", "prefix"])
+        name = F.concat(_name(F.col("id_bits"), F.lit(BITS)), _name(F.col("prefix"), F.col("depth")))
+        done.append(met.where(fits).select("row", name.alias("shard"), "shard_bytes"))
+        open_ = met.where(~fits).select("row", "bytes", "id_bits", "drawn", (F.col("depth") + 1).alias("depth"))
+        if open_.isEmpty():
+            break
+    out = done[0]
+    for other in done[1:]:
+        out = out.unionByName(other)
+    return out
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
@@ -101,7 +141,7 @@ def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
 def op7_sharding(spark, sf_dir: str) -> DataFrame:
     """doc_id, bytes, shard and shard_bytes of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = sharded(docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes")))
+    out = sharded(docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes")), QUERY_BYTES)
     return out.select("doc_id", "bytes", "shard", "shard_bytes")
 
 
@@ -124,4 +164,4 @@ FROM buckets WHERE NOT (shard_bytes > {limit} AND n > 1 AND depth < {BITS})
 """
 
 
-SQL = _sql(SHARD_BYTES)
+SQL = _sql(QUERY_BYTES)
