@@ -8,16 +8,15 @@ from pyspark.sql import functions as F
 
 
 def sampled(keys: DataFrame, rows: int, stratum: str | None = None, seed: int = 7) -> DataFrame:
-    """About ``rows`` of the rows of ``keys`` (which has a ``doc_id``), in each stratum an equal part of that, chosen by a
-    hash of the id: the same rows in every run. Never more than twice as many."""
+    """About ``rows`` of the ids of ``keys`` (which has a ``doc_id``), in each stratum an equal part of that, chosen by a
+    hash of the id: the same in every run, one row for each id. Never more than twice as many."""
     part = F.col(stratum) if stratum else F.lit(0)
-    counts = {r["s"]: r["n"] for r in keys.groupBy(part.alias("s")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "s").limit(1000).collect()}
-    each = rows / max(1, len(counts))
+    counts = keys.groupBy(part.alias("_stratum")).agg(F.count("*").alias("_n"))
+    each = rows / max(1, counts.count())
     chance = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 11) / float(1 << 53)
-    share = F.lit(1.0)
-    for value, n in counts.items():
-        share = F.when(part.eqNullSafe(F.lit(value)), F.lit(min(1.0, each / n))).otherwise(share)
-    return keys.where(chance < share).limit(2 * rows)
+    share = F.least(F.lit(1.0), F.lit(float(each)) / F.col("_n"))
+    drawn = keys.withColumn("_own", part).join(counts, F.col("_own").eqNullSafe(F.col("_stratum"))).where(chance < share)
+    return drawn.drop("_own", "_stratum", "_n").dropDuplicates(["doc_id"]).limit(2 * rows)
 
 
 def one_label(labels: DataFrame, name: str) -> DataFrame:
@@ -27,8 +26,11 @@ def one_label(labels: DataFrame, name: str) -> DataFrame:
 
 
 def with_sample(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """The documents of a bounded sample of ids, with its columns; a broadcast of ``2 * rows`` short rows at most."""
-    return docs.join(F.broadcast(sample), "doc_id")
+    """The documents of a bounded sample of ids, with its columns; a broadcast of ``2 * rows`` short rows at most. An id
+    of several rows counts with one, that of the smallest hash of its text."""
+    kept = [c for c in docs.columns if c != "doc_id"]
+    first = docs.join(F.broadcast(sample.select("doc_id")), "doc_id").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("_order"), *kept)).alias("_row"))
+    return first.select("doc_id", *[F.col(f"_row.`{c}`").alias(c) for c in kept]).join(F.broadcast(sample), "doc_id")
 
 
 def held_back(doc_id: Column) -> Column:
