@@ -9,7 +9,8 @@ separates the held-back labelled documents best.
 
 Labels only say toxic or not. The grade of a toxic labelled document is the third in which the density of its
 evident words lies among the toxic ones, 1 where it has none; evident words are those that are many
-times as frequent in toxic documents as in others.
+times as frequent in toxic documents as in others. Documents are counted by feature on Spark, and only features that pass a
+screen of their shares among toxic and other documents reach the driver.
 
 The model is fitted on a sample of about ``ROWS`` labelled documents, a documented bound; every document is scored,
 in one pass without a shuffle. Rules for odd input: null or empty text, and text without letters, scores as
@@ -30,8 +31,9 @@ from pyspark.sql import types as T
 
 from maskfold.llm import tokens
 from maskfold.llm.learn import held_back, one_label, sampled, sigmoid, with_sample
+from maskfold.llm.shared import written
 
-ROWS = 4_000
+ROWS = 6_000
 GRADES = 3
 LEAST_DOCS = 4  # a word's documents in the sample
 EVIDENT = 12.0  # times as frequent in toxic documents
@@ -94,6 +96,46 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("y")), batch.column(batch.schema.get_field_index("held")), pa.array(words, pa.binary()), pa.array(times, pa.binary())], names=["y", "held", "words", "times"])
 
 
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Toxic and other documents by feature, of a batch."""
+    for batch in batches:
+        words = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column("words")]
+        if not words:
+            continue
+        toxic = np.repeat(batch.column("y").to_numpy() > 0, [len(w) for w in words])
+        names, at = np.unique(np.concatenate(words), return_inverse=True)
+        df1, df0 = (np.bincount(at, weights=w, minlength=len(names)).astype(np.int64) for w in (toxic, ~toxic))
+        yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(df1), pa.array(df0)], names=["word", "df1", "df0"])
+
+
+def screened(counted: DataFrame, toxic: int, others: int) -> np.ndarray:
+    """Sorted hashes of the features of enough documents whose share of the toxic ones is large against that of the others.
+    Documents are counted by feature on Spark; only these features reach the driver."""
+    by_word = counted.select("y", "words").mapInArrow(_frequencies, "word long, df1 long, df0 long")
+    by_word = by_word.groupBy("word").agg(F.sum("df1").alias("df1"), F.sum("df0").alias("df0"))
+    odds = (F.col("df1") + 0.5) / F.lit(float(toxic)) / ((F.col("df0") + 0.5) / F.lit(float(others)))
+    rows = by_word.where((F.col("df1") + F.col("df0") >= LEAST_DOCS) & (odds >= SCREEN)).select("word").toArrow()
+    return np.sort(rows.column(0).to_numpy().astype(np.int64).view(np.uint64))
+
+
+def _known(names):
+    """Task: the features among ``names`` of each document, by their place there, and their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = names.value
+        for batch in batches:
+            places, times = [], []
+            for w, n in zip(batch.column("words"), batch.column("times")):
+                w, n = np.frombuffer(w.as_buffer(), np.uint64), np.frombuffer(n.as_buffer(), np.uint32)
+                at = np.minimum(np.searchsorted(wanted, w), len(wanted) - 1)
+                hit = wanted[at] == w
+                places.append(at[hit].astype(np.int32).tobytes())
+                times.append(n[hit].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("held"), pa.array(places, pa.binary()), pa.array(times, pa.binary())], names=["y", "held", "places", "times"])
+
+    return run
+
+
 class _Sparse:
     """Rows of (feature, value) pairs, with products by features and by rows."""
 
@@ -152,30 +194,22 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
     none = Model(np.zeros(0, np.uint64), np.zeros(0), np.full(GRADES, 20.0), 0.5)
     sample = sampled(one_label(labels, "toxic"), rows, "y")
     texts = with_sample(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), sample.withColumn("held", held_back(F.col("doc_id"))))
-    got = texts.select("text", "y", "held").mapInArrow(_count, "y int, held boolean, words binary, times binary").toArrow()
-    y, held = got["y"].to_numpy(), got["held"].to_numpy().astype(bool)
-    if not (y > 0).any() or not (y == 0).any():
-        return none
+    counted = texts.select("text", "y", "held").mapInArrow(_count, "y int, held boolean, words binary, times binary")
     # copies among the labelled documents count once
-    first: dict[tuple, int] = {}
-    for i, (w, n) in enumerate(zip(got["words"], got["times"])):
-        first.setdefault((hash(w.as_py()), hash(n.as_py()), bool(y[i] > 0)), i)
-    got = got.take(list(first.values()))
-    y, held = got["y"].to_numpy(), got["held"].to_numpy().astype(bool)
-    parts = [np.frombuffer(v.as_buffer(), np.uint64) for v in got["words"]]
-    sizes = np.array([len(p) for p in parts])
-    words = np.concatenate(parts)
-    times = np.concatenate([np.frombuffer(v.as_buffer(), np.uint32) for v in got["times"]]).astype(np.float32)
-    row = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
-    del got, parts
-    names, feature, df = np.unique(words, return_inverse=True, return_counts=True)
-    del words
-    common = (df >= LEAST_DOCS) & (_odds(row, feature, len(names), y > 0) >= SCREEN)
-    renumber = np.cumsum(common) - 1
-    keep = common[feature]
-    names, row, times, feature = names[common], row[keep], times[keep], renumber[feature[keep]]
+    counted = written(counted.groupBy("y", "words", "times").agg(F.min("held").alias("held")))
+    of = {r["y"]: r["n"] for r in counted.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if not of.get(1) or not of.get(0):
+        return none
+    names = screened(counted, of[1], of[0])
     if not len(names):
         return none
+    known = _known(docs.sparkSession.sparkContext.broadcast(names))
+    got = counted.mapInArrow(known, "y int, held boolean, places binary, times binary").toArrow()
+    y, held = got["y"].to_numpy(), got["held"].to_numpy().astype(bool)
+    parts = [np.frombuffer(v.as_buffer(), np.int32) for v in got["places"]]
+    feature = np.concatenate(parts).astype(np.int64)
+    times = np.concatenate([np.frombuffer(v.as_buffer(), np.uint32) for v in got["times"]]).astype(np.float32)
+    row = np.repeat(np.arange(len(y)), [len(p) for p in parts])
     grade = _grades(_Sparse(row, feature, times, len(y), len(names)), times, y)
     train = ~held if (y[~held] > 0).any() and (y[~held] == 0).any() else np.ones(len(y), bool)
     order = np.cumsum(train) - 1
