@@ -8,8 +8,9 @@ distance of the sets), and their sizes are in the same or in neighbouring bands,
 a band the shingles' hash domain is cut into partitions; a signature is a band, a partition and the hash of the set's
 content there. Of two linked sets each differing shingle spoils one partition only, so if one has more filled
 partitions than they can differ in, an equal filled partition is left: they share a signature. By the same
-count the first k + 1 filled partitions, k the most that they can differ in, are enough, as the smallest
-shared signature is among these in both.
+count the first k + 1 filled partitions, k the most that they can differ in, are enough, in any order that
+hangs on the signatures alone, as the first shared one is among these in both. The order takes the partitions of most
+members first, as a passage that unlike documents share seldom fills those by itself.
 
 Very frequent shingles (boilerplate) would make signatures that thousands of unlike documents share. They are left
 out of the domain, which can only lessen the distance. A set with k or fewer filled partitions left is weak:
@@ -30,8 +31,9 @@ components. Pairs within a component need no look, for they can't change it.
 Sets travel as 40-bit hashes: two sets of a thousand shingles are counted wrongly (by one) with a
 probability below 10^-6. Rules for odd
 input: null or empty text and text without words has the empty set, size 0, links with nothing and is a
-component of its own; one to four words are one shingle; repeated rows and repeated ids are rows of their own;
-a class of null ids only has a null component; further columns are ignored, or kept by ``one_of_each``.
+component of its own; one to four words are one shingle; repeated rows and repeated ids are rows of their own, of which
+``one_of_each`` keeps one a component; a class of null ids only has a null component; further columns are ignored, or kept
+by ``one_of_each``.
 """
 
 from __future__ import annotations
@@ -42,6 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from maskfold.llm import tokens
 from maskfold.llm.components import components
@@ -204,7 +207,10 @@ class Signer:
         content = np.add.reduceat(values * _U(0xD6E8FEB86659FD93) + _U(1), starts)
         owner, part = doc[starts], part[starts]
         filled = np.bincount(owner, minlength=docs)
-        rank = np.arange(len(starts)) - np.concatenate(([0], np.cumsum(filled)))[owner]
+        # fullest first: few unlike sets agree in a partition of several members, many in one of a single shingle
+        order = np.lexsort((part, -np.diff(np.append(starts, len(values))), owner))
+        rank = np.empty(len(starts), np.int64)
+        rank[order] = np.arange(len(starts)) - np.concatenate(([0], np.cumsum(filled)))[owner[order]]
         take = rank <= most[owner]
         owner = owner[take]
         where = (part[take] * _U(4) + _U(kind)) * _U(1 << 10) + band[owner].astype(np.uint64)
@@ -479,11 +485,40 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     return full.union(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
+def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches with the class and size of each text's set."""
+    for batch in batches:
+        text, classes, sizes = batch.column(batch.schema.get_field_index("text")), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for _, _, values, bounds in tokens.document_sets(text, WIDTH):
+            classes.append(class_ids(values, bounds))
+            sizes.append(np.diff(bounds))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _signed(np.concatenate(classes)), pa.array(np.concatenate(sizes))], names=["row", "id", "class", "n"])
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that another of their component stands for: the smallest doc_id stays. Rows
-    that share an id that stays, null ids among them, stay together."""
-    kept = jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_kept"]), "left_semi")
+    """``docs`` without the rows that another of their component stands for: one row stays, that of the smallest doc_id
+    (nulls last), of rows of that id the one of the smallest class and hash. Rows of the empty set all stay.
+
+    Which rows stay is told by ids; only rows of repeated and null ids are told apart by their sets and columns."""
+    table, labels = link_components(docs)
+    rows = table.where("not is_shingle").select(F.col("doc_id").alias("id"), "n", "class")
+    named = written(rows.where("n > 0").join(labels.select(F.col("node").alias("class"), "label"), "class", "left").withColumn("label", F.coalesce("label", "class")))
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "class")
+    first = written(named.groupBy("label").agg(F.min(order).alias("first")).select("first.id", "first.class"))
+    several = written(rows.groupBy("id").agg(F.count("*").alias("times")).where("times > 1 OR id IS NULL").select("id"))
+    own = docs["doc_id"].cast("long")
+    stays = first.select("id").unionByName(rows.where("n = 0").select("id")).join(several, "id", "left_anti").where("id IS NOT NULL")
+    out = docs.join(written(stays), own == F.col("id"), "left_semi")
+    if several.isEmpty():
+        return out
+    split = docs.join(several, own.eqNullSafe(several["id"]), "left_semi").select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), own.alias("id"), docs["text"].alias("text"))
+    kind = split.schema["row"]
+    of = split.mapInArrow(_classed, T.StructType([kind]).add("id", "long").add("class", "long").add("n", "long"))
+    hashed = F.xxhash64(*[F.col(f"row.`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)])
+    # equal rows are put together before they are dealt by class
+    single = of.where("n > 0").groupBy("id", "class").agg(F.min_by("row", hashed).alias("row"))
+    single = single.join(first.select(F.col("id").alias("first_id"), "class"), "class").where(F.col("id").eqNullSafe(F.col("first_id")))
+    return out.unionByName(single.select("row.*")).unionByName(of.where("n = 0").select("row.*"))
 
 
 def op9_ngram_join(spark, sf_dir: str) -> DataFrame:

@@ -92,5 +92,38 @@ def test_odd_rows(spark):
     assert _got(nj.jaccard_components(docs)) == _components(rows)
     kept = nj.one_of_each(docs)
     assert kept.columns == docs.columns
-    assert {r["doc_id"] for r in kept.collect()} == {None, 1, 2, 3, 4, 5, 7, 8, 20}
+    assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 1, 2, 3, 4, 5, 7, 8, 20]  # of the null rows one is a copy of 20
     assert nj.jaccard_components(empty(docs)).count() == 0 and nj.one_of_each(empty(docs)).count() == 0
+
+
+def test_one_row_of_each_component_stays(spark):
+    """Repeated rows, an id of several texts, null ids and near copies among them, against brute force."""
+    rng = np.random.default_rng(6)
+    base = [" ".join(f"w{rng.integers(10**6)}" for _ in range(60)) for _ in range(6)]
+    near = [t.replace(t.split()[30], "other") for t in base]
+    ids = [1, 2, 3, 3, 4, None, None, 9]
+    rows = [(ids[rng.integers(len(ids))], (base + near)[rng.integers(12)]) for _ in range(60)]
+    rows += [(None, None), (None, ""), (5, " "), (5, " "), (6, None), (3, "A b"), (3, "a B"), (None, "a b")]
+    sets = [shingles(t) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            n = len(a & sets[j])
+            if n and 100 * n >= 75 * (len(a) + len(sets[j]) - n):
+                up[top(i)] = top(j)
+    groups: dict = {}
+    for i, (d, t) in enumerate(rows):
+        groups.setdefault(top(i), []).append((d is None, d or 0))
+    docs = documents(spark, rows).repartition(3)
+    kept = nj.one_of_each(docs).collect()
+    full = [r for r in kept if shingles(r["text"])]
+    assert sorted(min(g) for i, g in groups.items() if sets[i]) == sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in full)
+    where = {t: top(i) for i, (_, t) in enumerate(rows)}
+    assert len({where[r["text"]] for r in full}) == len(full) == sum(bool(sets[i]) for i in groups)
+    assert len(kept) - len(full) == sum(not s for s in sets)
