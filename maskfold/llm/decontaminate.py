@@ -1,33 +1,35 @@
 """Benchmark decontamination by SimHash windows (dealt operator 4).
 
 An item of L words is fingerprinted by SimHash: each pair of neighbouring words gives a 64-bit hash, and a bit of
-the fingerprint says whether more than half of the hashes have it. So is every window of L words of every
-document, at every word, or at every second where it has ``STRIDE_FROM`` pairs or more (a window that is off by one
-word differs in few bits); bit counts of all windows come from doubling sums, as arrays.
+the fingerprint says whether more than half of the hashes have it. So is every window of L words, at every word of
+every document, of whose pairs ``KNOWN_SHARE`` or more occur anywhere in the benchmark; with fewer a window is within the
+radius of an item by chance only. Bit counts of windows of all sizes come from one running sum, as arrays.
 
-Candidates are all windows within ``RADIUS`` bits of an item of their size: the fingerprint is cut into ``BLOCKS``
+Candidates are all these windows within ``RADIUS`` bits of an item of their size: the fingerprint is cut into ``BLOCKS``
 blocks, and of two fingerprints within the radius one block at least is within RADIUS // BLOCKS bits, so tables of
 all blocks that near to an item's block (a multi-index) miss none. Windows that pass a table are compared with the
-items whole. Fingerprints of passages at the threshold can differ in more bits than that (those of an item cut to three
-quarters differ in about 15), so they alone would miss some. Candidates are therefore also all documents that hold a seed
-of an item: its rarest shingles, so many that the others weigh less than ``SIMILARITY`` of it. No match is without
-one. Each candidate is verified exactly: the best of all windows of the document, by weighted
+items whole. Each candidate is verified exactly: the best of all windows of the document, by weighted
 Jaccard similarity of the multisets of five-word shingles; a shingle weighs the inverse of the number of items
 that hold it, so boilerplate of the benchmark counts little. A pair of ``SIMILARITY`` or more is a match.
 
-Windows never span two documents. Item sizes are rounded down to classes an eighth apart, which the seeds make good. The index of a block of items is broadcast, ``ITEM_BYTES`` of benchmark text at most; a larger
-benchmark is worked on in several blocks, each against all documents. No shuffle of texts.
+A passage that is just as similar as it must be differs from its item in some 14 bits on average, and now and then in more
+than the radius: see ``test_recall_of_the_fingerprints`` for the share that is found. With ``complete`` all documents
+that hold a seed of an item are candidates as well: its rarest shingles, so many that the others weigh less than
+``SIMILARITY`` of it. No match is without one, so this mode misses nothing; the query does not use it.
+
+Windows never span two documents. The index of a block of items is broadcast, ``ITEM_BYTES`` of benchmark text at most
+(but for a larger single item); a larger benchmark is worked on in several blocks, each against all documents. No shuffle
+of texts.
 
 Rules for odd input: null and empty texts match nothing; an item of fewer than six words has too few pairs for
-a fingerprint and is matched where all of its words stand together in a document; equal items are all
-reported; rows are reported one for each document row and item, best window first; further columns are
-ignored, or kept by ``without_benchmark``.
+a fingerprint and is matched where all of its words stand together in a document; equal items of different ids are all
+reported, repeated rows of the benchmark count once; rows are reported one for each document row and item, best window
+first; further columns are ignored, or kept by ``without_benchmark``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +41,12 @@ from maskfold.llm.shared import written
 
 SIMILARITY = 0.75
 WIDTH = 5
-RADIUS = 11
+RADIUS = 19
 BLOCKS = 4
+KNOWN_SHARE = 0.5
 LEAST_WORDS = 6
-STRIDE_FROM = 16  # word pairs of the windows that start at every second word
 ITEM_BYTES = 8 << 20
-ROWS = 1 << 11  # windows fingerprinted at a time, to stay in cache
+ROWS = 1 << 10  # places whose windows are fingerprinted at a time
 CELLS = 1 << 18  # windows compared with an item at a time
 _U = np.uint64
 
@@ -65,41 +67,32 @@ def simhash(hashes: np.ndarray) -> int:
     return int(np.packbits(ones).view(np.uint64)[0])
 
 
-def window_fingerprints(bits: np.ndarray, spans: list[int], unit: int = 1) -> dict[int, np.ndarray]:
-    """For each span the fingerprints of the windows of so many rows of bits, starting at every ``unit``-th row.
-    Sums of 1, 2, 4, ... units are doubled once for all spans; a span adds the sums of its binary digits."""
-    kind = np.uint8 if max(spans) < 256 else np.uint32
-    rows = bits.astype(kind)
-    whole = len(rows) // unit * unit
-    sums = {1: rows if unit == 1 else np.add.reduce([rows[k:whole:unit] for k in range(unit)], dtype=kind)}
-    while max(sums) * 2 * unit <= max(spans):
-        k = max(sums)
-        sums[2 * k] = sums[k][:-k] + sums[k][k:] if len(sums[k]) > k else sums[k][:0]
-    out = {}
-    for span in spans:
-        n = len(sums[1]) - span // unit + 1
-        if n < 1:
-            continue
-        total, at = None, 0
-        for k in sorted(sums, reverse=True):
-            if span // unit & k:
-                part = sums[k][at : at + n]
-                total = part if total is None else total + part
-                at += k
-        out[span] = np.packbits(total > span // 2, axis=1).view(np.uint64).ravel()
-    return out
-
-
-def _neighbours(bits: int, radius: int) -> np.ndarray:
-    """All numbers of so many bits with at most ``radius`` ones."""
-    return np.array([sum(1 << i for i in c) for r in range(radius + 1) for c in combinations(range(bits), r)], np.int64)
+def window_fingerprints(total: np.ndarray, starts: np.ndarray, span: int) -> np.ndarray:
+    """The fingerprints of the windows of ``span`` pairs from some starts; ``total`` has the running sums of the pairs' bits."""
+    return np.packbits((total[starts + span] - total[starts]) * 2 > span, axis=1).view(np.uint64).ravel()
+
+
+def running_bits(hashes: np.ndarray) -> np.ndarray:
+    """Running sums of each bit, with a first row of zeros."""
+    total = np.zeros((len(hashes) + 1, 64), np.int32)
+    np.cumsum(_bits(hashes), axis=0, dtype=np.int32, out=total[1:])
+    return total
+
+
+def within(marks: np.ndarray, radius: int) -> np.ndarray:
+    """For a table by block which entries are within so many bits of a marked one."""
+    for _ in range(radius):
+        grown = marks.copy()
+        for b in range(64 // BLOCKS):
+            grown |= marks.reshape(-1, 2, 1 << b)[:, ::-1].ravel()
+        marks = grown
+    return marks
 
 
 class Index:
     """Fingerprints of a block of items by size, and their weighted shingles."""
 
     def __init__(self, ids: list[int], texts: list[str | None]):
-        near = _neighbours(64 // BLOCKS, RADIUS // BLOCKS)
         self.items, self.short = [], []
         holders: dict[int, int] = {}
         for item, text in zip(ids, texts):
@@ -113,16 +106,22 @@ class Index:
             (self.items if len(words) >= LEAST_WORDS else self.short).append((item, len(words), words, shingles, counts))
         self.weights = holders
         self.spans: dict[int, list[int]] = {}
-        for i, (_, n, words, _, _) in enumerate(self.items):
-            self.spans.setdefault(self._class(n - 1), []).append(i)
-        self.prints = {span: np.array([simhash(pair_hashes(self.items[i][2])) for i in rows], np.uint64) for span, rows in self.spans.items()}
+        for i, (_, n, _, _, _) in enumerate(self.items):
+            self.spans.setdefault(n - 1, []).append(i)
+        pairs = [pair_hashes(words) for _, _, words, _, _ in self.items]
+        self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.uint64)
+        self.pair_mask = _U((1 << max(16, len(self.pairs).bit_length() + 4)) - 1)
+        self.maybe = np.zeros(int(self.pair_mask) + 1, bool)  # by the last bits of a pair's hash
+        self.maybe[(self.pairs & self.pair_mask).astype(np.int64)] = True
+        self.prints = {span: np.array([simhash(pairs[i]) for i in rows], np.uint64) for span, rows in self.spans.items()}
         self.tables = {}
         for span, prints in self.prints.items():
             blocks = prints.view(np.uint16).reshape(-1, BLOCKS)
             tables = np.zeros((BLOCKS, 1 << 16), bool)
             for b in range(BLOCKS):
-                tables[b, (blocks[:, b].astype(np.int64)[:, None] ^ near[None, :]).ravel()] = True
-            self.tables[span] = tables
+                tables[b, blocks[:, b]] = True
+                tables[b] = within(tables[b], RADIUS // BLOCKS)
+            self.tables[span] = np.packbits(tables, axis=1, bitorder="little")
         self._seed()
 
     def _seed(self) -> None:
@@ -162,52 +161,54 @@ class Index:
         pair = np.unique(doc * max(1, len(self.items)) + self.holders[np.repeat(self.first[names], n) + step])
         return {divmod(p, len(self.items)) for p in pair.tolist()}
 
-    @staticmethod
-    def _class(pairs: int) -> int:
-        """The size class of so many word pairs."""
-        top = LEAST_WORDS - 1
-        while True:
-            step = 1 if top < STRIDE_FROM else max(2, top // 16 * 2)
-            if pairs < top + step:
-                return top
-            top += step
+    def known_pairs(self, hashes: np.ndarray) -> np.ndarray:
+        """Running count of the pairs that an item has, from 0."""
+        known = self.maybe[(hashes & self.pair_mask).astype(np.int64)]
+        at = np.flatnonzero(known)
+        place = np.minimum(np.searchsorted(self.pairs, hashes[at]), len(self.pairs) - 1)
+        known[at] = self.pairs[place] == hashes[at]
+        return np.concatenate(([0], np.cumsum(known, dtype=np.int32)))
+
+    def _passes(self, span: int, prints: np.ndarray) -> np.ndarray:
+        """Which fingerprints have a block near to that of an item of their size."""
+        parts = prints.view(np.uint16).reshape(-1, BLOCKS).astype(np.int64)
+        hit = np.zeros(len(prints), bool)
+        for b in range(BLOCKS):
+            hit |= (self.tables[span][b][parts[:, b] >> 3] >> (parts[:, b] & 7) & 1).astype(bool)
+        return hit
 
     def candidates(self, words: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], list[int]]:
-        """First words, by document and item, of all windows within the radius of an item of their class."""
+        """First words, by document and item, of all windows within the radius of an item of their size."""
         found: dict[tuple[int, int], list[int]] = {}
         hashes, spans = pair_hashes(words), sorted(self.spans)
-        passed: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {span: [] for span in spans}
-        for at in range(0, len(hashes) if spans else 0, ROWS):
-            bits = _bits(hashes[at : at + ROWS + spans[-1] - 1])
-            for span, unit, prints in self._windows(bits, spans):
-                prints = prints[: ROWS // unit]
-                parts = prints.view(np.uint16)
-                hit = self.tables[span][0][parts[::BLOCKS]]
-                for b in range(1, BLOCKS):
-                    hit |= self.tables[span][b][parts[b::BLOCKS]]
-                rows = np.flatnonzero(hit)
-                passed[span].append((rows * unit + at, prints[rows]))
-        for span, got in passed.items():
-            if not got:
-                continue
-            where, prints = (np.concatenate(x) for x in zip(*got))
-            # documents stand one behind the other here; a window must end before the next one begins
-            doc = np.searchsorted(bounds, where, "right") - 1
-            inside = where + span < bounds[doc + 1]
-            where, doc, prints = where[inside], doc[inside], prints[inside]
-            for row, print_ in zip(self.spans[span], self.prints[span]):
-                near = np.flatnonzero(np.bitwise_count(prints ^ print_) <= RADIUS)
-                for i, d in zip(where[near].tolist(), doc[near].tolist()):
-                    found.setdefault((d, row), []).append(i - int(bounds[d]))
+        if not len(hashes) or not spans:
+            return found
+        known = self.known_pairs(hashes)
+        # documents stand one behind the other here; a window must end before the next one begins
+        ends = np.repeat(bounds[1:], np.diff(bounds))
+        starts = {}
+        for span in spans:
+            if span <= len(hashes):
+                open_ = np.flatnonzero(known[span:] - known[:-span] >= KNOWN_SHARE * span)
+                starts[span] = open_[open_ + span < ends[open_]]
+        every = np.unique(np.concatenate([s // ROWS for s in starts.values()])) if starts else []
+        for part in every:
+            at = int(part) * ROWS
+            total = running_bits(hashes[at : at + ROWS + spans[-1] - 1])
+            for span, places in starts.items():
+                own = places[np.searchsorted(places, at) : np.searchsorted(places, at + ROWS)]
+                if not len(own):
+                    continue
+                prints = window_fingerprints(total, own - at, span)
+                passed = self._passes(span, prints)
+                own, prints = own[passed], prints[passed]
+                doc = np.searchsorted(bounds, own, "right") - 1
+                for row, print_ in zip(self.spans[span], self.prints[span]):
+                    near = np.flatnonzero(np.bitwise_count(prints ^ print_) <= RADIUS)
+                    for i, d in zip(own[near].tolist(), doc[near].tolist()):
+                        found.setdefault((d, row), []).append(i - int(bounds[d]))
         return found
 
-    @staticmethod
-    def _windows(bits: np.ndarray, spans: list[int]) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(span, step, fingerprints): short windows start at every word, longer ones at every second."""
-        for unit, some in ((1, [s for s in spans if s < STRIDE_FROM]), (2, [s for s in spans if s >= STRIDE_FROM])):
-            if some:
-                yield from ((span, unit, prints) for span, prints in window_fingerprints(bits, some, unit).items())
-
     def similarity(self, item: int, shingles: np.ndarray) -> float:
         """Weighted Jaccard similarity of an item's and a window's multisets of shingles."""
         _, _, _, own, counts = self.items[item]
@@ -267,12 +268,15 @@ class Index:
                 best = max(best, (self.similarity(item, shingles[a:b]), -a, b - a + WIDTH - 1))
         return best[0], -best[1], best[2]
 
-    def matches(self, words: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, float, int, int]]:
+    def matches(self, words: np.ndarray, bounds: np.ndarray, complete: bool = False) -> list[tuple[int, int, float, int, int]]:
         """(document, item id, similarity, first word, number of words) of a piece's documents."""
         out = []
+        pairs = set(self.candidates(words, bounds))
         shingles, starts = tokens.shingles(words, bounds, WIDTH)
-        where, names = self.lookup(shingles)
-        for doc, item in sorted(self.seeded(where, names, starts) | set(self.candidates(words, bounds))):
+        where, names = self.lookup(shingles) if pairs or complete else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        if complete:
+            pairs |= self.seeded(where, names, starts)
+        for doc, item in sorted(pairs):
             a, b = np.searchsorted(where, starts[doc : doc + 2])
             s, first, n = self.best(item, shingles[starts[doc] : starts[doc + 1]], where[a:b] - starts[doc], names[a:b])
             if s >= SIMILARITY:
@@ -290,7 +294,7 @@ class Index:
 
 def _blocks(benchmark: DataFrame, limit: int) -> Iterator[DataFrame]:
     """Blocks of items whose texts have about ``limit`` bytes at most, of a size that is checked first."""
-    rows = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
+    rows = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text").dropDuplicates()
     total = rows.agg(F.sum(F.octet_length("text") + 16).alias("b")).first()["b"] or 0
     n = -(-total // limit) or 1
     if n == 1:
@@ -301,14 +305,14 @@ def _blocks(benchmark: DataFrame, limit: int) -> Iterator[DataFrame]:
         yield rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
 
 
-def _search(shared):
+def _search(shared, complete: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
             rows: list[tuple] = []
             ids = batch.column(0)
             for first, _, data, off in tokens.pieces(batch.column(1)):
-                rows.extend((ids[first + m[0]].as_py(), *m[1:]) for m in index.matches(*tokens.words(data, off)))
+                rows.extend((ids[first + m[0]].as_py(), *m[1:]) for m in index.matches(*tokens.words(data, off), complete))
             cols = list(zip(*rows)) if rows else [[]] * 5
             kinds = [ids.type, pa.int64(), pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["key", "item_id", "similarity", "first_word", "n_words"])
@@ -316,14 +320,15 @@ def _search(shared):
     return run
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", limit: int = ITEM_BYTES) -> DataFrame:
-    """(key, item_id, similarity, first_word, n_words) of all documents that hold an item."""
+def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", limit: int = ITEM_BYTES, complete: bool = False) -> DataFrame:
+    """(key, item_id, similarity, first_word, n_words) of all documents that hold an item; ``complete``: with the seeds'
+    candidates, too."""
     spark, kind = docs.sparkSession, dict(docs.dtypes)[key]
     out = None
     for block in _blocks(benchmark, limit):
         rows = block.orderBy("item_id", "text").collect()  # a block's size is bounded
         shared = spark.sparkContext.broadcast(Index([r["item_id"] for r in rows], [r["text"] for r in rows]))
-        found = docs.select(key, "text").mapInArrow(_search(shared), f"key {kind}, item_id long, similarity double, first_word long, n_words long")
+        found = docs.select(key, "text").mapInArrow(_search(shared, complete), f"key {kind}, item_id long, similarity double, first_word long, n_words long")
         out = found if out is None else out.unionByName(found)
     return out.withColumnRenamed("key", key)
 

@@ -63,11 +63,10 @@ def test_planted_passages_in_any_number_of_blocks(spark):
 
 def test_windows_against_plain_sums():
     hashes = np.random.default_rng(0).integers(0, 2**63, 200).astype(np.uint64)
-    for unit, spans in ((1, [5, 6, 13, 40]), (2, [16, 22, 40, 300])):
-        got = dc.window_fingerprints(dc._bits(hashes), spans, unit)
-        for span in spans:
-            plain = [dc.simhash(hashes[i : i + span]) for i in range(0, len(hashes) - span + 1, unit)]
-            assert got.get(span, np.zeros(0, np.uint64)).tolist() == plain
+    total = dc.running_bits(hashes)
+    for span in (5, 6, 13, 40, 199, 200):
+        starts = np.arange(len(hashes) - span + 1)
+        assert dc.window_fingerprints(total, starts, span).tolist() == [dc.simhash(hashes[i : i + span]) for i in starts.tolist()]
 
 
 def test_blocks_find_all_prints_within_the_radius():
@@ -75,10 +74,38 @@ def test_blocks_find_all_prints_within_the_radius():
     text = " ".join(f"x{i}" for i in range(30))
     index = dc.Index([1], [text])
     (span, prints), = index.prints.items()
-    for _ in range(300):
+    for _ in range(2000):
         flip = rng.choice(64, int(rng.integers(0, dc.RADIUS + 1)), replace=False)
-        near = np.array([int(prints[0]) ^ sum(1 << int(b) for b in flip)], np.uint64).view(np.uint16)
-        assert any(index.tables[span][b][near[b]] for b in range(dc.BLOCKS))
+        near = np.array([int(prints[0]) ^ sum(1 << int(b) for b in flip)], np.uint64)
+        assert index._passes(span, near).all()
+    # and the tables rule most others out
+    assert index._passes(span, rng.integers(0, 2**63, 4000).astype(np.uint64)).mean() < 0.2
+
+
+def test_candidates_against_all_windows():
+    """Of the windows at every word with enough known pairs, those within the radius, and no others."""
+    rng = random.Random(8)
+    items = [[f"i{rng.randrange(300)}" for _ in range(n)] for n in (6, 7, 20, 20, 33, 150)]
+    index = dc.Index(list(range(len(items))), [" ".join(i) for i in items])
+    texts = []
+    for _ in range(30):
+        own = [f"i{rng.randrange(300)}" if rng.random() < 0.1 else f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(300))]
+        item = rng.choice(items)
+        cut = rng.randrange(len(item) // 2)
+        texts.append(own + [w if rng.random() < 0.95 else "other" for w in item[cut:]] + own[:50])
+    words, bounds = tokens.words(*tokens.buffers(pa.array([" ".join(t) for t in texts])))
+    pairs = {h for i in items for h in dc.pair_hashes(tokens.words(*tokens.buffers(pa.array([" ".join(i)])))[0]).tolist()}
+    want = {}
+    for d in range(len(texts)):
+        own = dc.pair_hashes(words[bounds[d] : bounds[d + 1]])
+        for k, item in enumerate(items):
+            span = len(item) - 1
+            print_ = index.prints[span][index.spans[span].index(k)]
+            for i in range(len(own) - span + 1):
+                window = own[i : i + span]
+                if sum(h in pairs for h in window.tolist()) >= dc.KNOWN_SHARE * span and (dc.simhash(window) ^ int(print_)).bit_count() <= dc.RADIUS:
+                    want.setdefault((d, k), []).append(i)
+    assert index.candidates(words, bounds) == want and len(want) > 20
 
 
 def test_a_window_stays_within_a_document():
@@ -107,9 +134,10 @@ def _bag(text):
     return Counter(tuple(text[i : i + 5]) for i in range(len(text) - 4))
 
 
-def test_every_plant_at_the_threshold_is_found():
+def _planted(complete):
+    """Plants, those missed, and matches in texts that hold none."""
     rng = random.Random(3)
-    missed, planted = [], 0
+    missed, planted, wrong = [], 0, 0
     for size in [*range(6, 61), 80, 100, 150, 200] * 4:
         item = [f"i{rng.randrange(10**9)}" for _ in range(size)]
         texts, want = [], []
@@ -119,10 +147,26 @@ def test_every_plant_at_the_threshold_is_found():
                 at = rng.randint(0, len(own))
                 texts.append(" ".join(own[:at] + part + own[at:]))
                 want.append((at, len(part), _jaccard(_bag(item), _bag(part), {})))
-        got = {m[0]: m for m in dc.Index([1], [" ".join(item)]).matches(*tokens.words(*tokens.buffers(pa.array(texts))))}
+        clean = len(texts)
+        texts.append(" ".join(own + item[: len(item) // 2]))
+        got = {m[0]: m for m in dc.Index([1], [" ".join(item)]).matches(*tokens.words(*tokens.buffers(pa.array(texts))), complete)}
         planted += len(want)
+        wrong += clean in got
         missed += [(size, k) for k, w in enumerate(want) if k not in got or got[k][2] < w[2] - 1e-12]
-    assert planted > 1000 and not missed
+    return planted, missed, wrong
+
+
+def test_recall_of_the_fingerprints():
+    """Passages whole, cut to the threshold, and with words changed: what the fingerprints alone find."""
+    planted, missed, wrong = _planted(False)
+    assert planted > 1000 and not wrong
+    assert 1 - len(missed) / planted >= 0.99
+    assert not [m for m in missed if m[1] == 0]  # whole ones are all found
+
+
+def test_the_complete_mode_finds_every_plant():
+    planted, missed, wrong = _planted(True)
+    assert planted > 1000 and not missed and not wrong
 
 
 def test_best_window_against_all_windows():
@@ -138,7 +182,7 @@ def test_best_window_against_all_windows():
     found = 0
     for _ in range(6):
         own = text(rng.randint(0, 25)) + rng.choice(items)[rng.randint(0, 3) :] + rng.choice([line, text(5)]) + rng.choice(items) + text(rng.randint(0, 9))
-        got = {m[1]: m for m in index.matches(*tokens.words(*tokens.buffers(pa.array([" ".join(own)]))))}
+        got = {m[1]: m for m in index.matches(*tokens.words(*tokens.buffers(pa.array([" ".join(own)]))), True)}
         for i, item in enumerate(items):
             windows = ((_jaccard(_bag(item), _bag(own[a:b]), weights), -a, b - a) for a in range(len(own)) for b in range(a + 5, len(own) + 1))
             s, a, n = max((round(s, 9), a, n) for s, a, n in windows)
