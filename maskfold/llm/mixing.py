@@ -30,7 +30,7 @@ from maskfold.llm.shared import written
 
 MOST = 3
 WORD = r"[^\x20\x09-\x0D]+"
-CLOSE = 1e-4  # what is left the copies make good
+CLOSE = 1e-6  # of a target; what is left the copies make good
 ITERATIONS = 60
 BINS = 4096
 ROUNDS = 3
