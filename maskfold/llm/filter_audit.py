@@ -1,13 +1,15 @@
 """Filter interaction audit (dealt operator 11): what each filter of a chain does in every order.
 
-Each filter has a failing-id relation, a stored table of the ids of the rows that it fails. Joins with these tables
-give the figures of every prefix of every order: a left-anti join of the rows still there with a filter's table are
-the survivors, a left-semi join the rows that it removes at that place. The survivors of a prefix do not depend on
-the order of its filters, so each set of filters is worked on once (32 sets and 80 steps of five filters, not 120
-orders of five steps). Redundant rows of a step are those its filter fails less those it removes there.
-
-The tables are narrow and bucketed by id, the level of k filters is made from that of k - 1, and rows of one id meet
-in one bucket, so the joins shuffle nothing; the texts are read once. An id stands for the rows of equal ``doc_id``,
+Each filter has a failing-id relation: the ids of the rows that it fails, a part (folder) of its own in a stored table.
+Joins with these relations give the figures of every prefix of every order: a left-anti join of the rows still there
+with a filter's relation are the survivors, a left-semi join the rows that it removes at that place. The survivors of a
+prefix do not depend on the order of its filters, so each set of filters is worked on once (32 sets and 80 steps of
+five filters, not 120 orders of five steps), and the survivors of sets of k filters are made from those of k - 1; all
+filters that come next are tried in one join. Redundant rows of a step are those its filter fails less those it removes
+there.
+
+The tables are narrow and bucketed by id, and rows of one id meet in one bucket, so the joins shuffle nothing; the
+texts are read once. An id stands for the rows of equal ``doc_id``,
 text and part, which any filter treats alike and which are counted by their number: 128 bits of a hash of the three,
 so that no two of 10^11 ids are mistaken for each other.
 
@@ -26,6 +28,7 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from maskfold.functions.search import table
 from maskfold.llm.shared import partitions, removed_at_exit, shared_folder, written
 
 #: Fixed values of the contract: the filters' limits and patterns.
@@ -50,24 +53,30 @@ def text_conditions(text: Column) -> dict[str, Column]:
 
 @dataclass
 class Relations:
-    """``rows`` (id, done, part, n, good, toxic) and for each filter its table of failing ids."""
+    """``rows`` (id, done, part, n, good, bad), and ``failing`` (id, filter), whose parts are the relations of the filters,
+    by their place among ``filters``. Both are tables, which ``drop`` forgets."""
 
     rows: DataFrame
-    failing: dict[str, DataFrame]
-    names: list[str]
+    failing: DataFrame
+    filters: list[str]
+    tables: list[str]
+
+    def of(self, name: str) -> DataFrame:
+        """The failing ids of a filter."""
+        return self.failing.where(F.col("filter") == self.filters.index(name)).select("id")
 
     def drop(self) -> None:
-        for name in self.names:
+        for name in self.tables:
             self.rows.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def _bucketed(df: DataFrame, dealt: bool, names: list[str]) -> DataFrame:
+def _bucketed(df: DataFrame, dealt: bool, tables: list[str], parts: list[str] | None = None) -> DataFrame:
     """``df`` as a table bucketed by id; ``dealt``: its partitions are those buckets already."""
     spark, n, name = df.sparkSession, partitions(df.sparkSession), f"audit_{uuid.uuid4().hex}"
     path = removed_at_exit(spark, f"{shared_folder(spark)}/{name}")
-    out = df if dealt else df.repartition(n, "id")
-    out.write.bucketBy(n, "id").option("path", path).saveAsTable(name)
-    names.append(name)
+    out = (df if dealt else df.repartition(n, "id")).write.bucketBy(n, "id").option("path", path)
+    (out.partitionBy(*parts) if parts else out).saveAsTable(name)
+    tables.append(name)
     return spark.table(name)
 
 
@@ -85,22 +94,23 @@ def relations(docs: DataFrame, labels: DataFrame, conditions: dict[str, Column]
     base = written(grouped.withColumn("id", F.unhex(F.md5(key))))
     named = base.where(F.col("doc_id").isNotNull())
     first = named.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    failing = {f: base.where(F.col(f"fails_{f}")) for f in conditions}
-    failing[COPIES] = named.join(first, ["digest", "doc_id"], "left_anti")
+    filters = [*conditions, COPIES]
+    fails = F.array_compact(F.array(*[F.when(F.col(f"fails_{f}"), k) for k, f in enumerate(conditions)]))
+    copies = named.join(first, ["digest", "doc_id"], "left_anti").select("id", F.lit(len(conditions)).alias("filter"))
+    failing = base.select("id", F.explode(fails).alias("filter")).unionByName(copies)
     judged = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*[(F.max(F.col(c) == 1)).alias(c) for c in ("quality", "toxic")])
     rows = base.join(judged, "doc_id", "left").select(
         "id", F.lit(0).alias("done"), "part", "n", *[F.when(F.col(c), F.col("n")).otherwise(0).cast("long").alias(to) for c, to in (("quality", "good"), ("toxic", "bad"))],
     )
-    names: list[str] = []
-    tables = {f: _bucketed(t.select("id"), False, names) for f, t in failing.items()}
-    return Relations(_bucketed(rows, False, names), tables, names)
+    tables: list[str] = []
+    return Relations(_bucketed(rows, False, tables), _bucketed(failing, False, tables, ["filter"]), filters, tables)
 
 
 def survivors(found: Relations, prefix: str) -> DataFrame:
     """The rows that pass every filter of ``prefix``."""
     rows = found.rows
     for f in prefix:
-        rows = rows.join(found.failing[f], "id", "left_anti")
+        rows = rows.join(found.of(f), "id", "left_anti")
     return rows
 
 
@@ -118,20 +128,21 @@ def _all(frames: list[DataFrame]) -> DataFrame:
 def prefix_counts(found: Relations) -> tuple[DataFrame, DataFrame]:
     """(done, part, n, good, bad) of the survivors of every set of filters but the full one, and (done, part, filter,
     n, good, bad) of the rows that each further filter removes from them; ``done`` has a bit for each filter."""
-    letters, level, left, removed = list(found.failing), found.rows, [], []
-    for k in range(len(letters)):
-        gone, kept = [], []
-        for i, f in enumerate(letters):
-            open_ = level.where(F.col("done").bitwiseAND(1 << i) == 0)
-            gone.append(open_.join(found.failing[f], "id", "left_semi").withColumn("filter", F.lit(f)))
-            # a set is made once, by its last filter in the order of the letters
-            below = open_.where(F.col("done") < (1 << i))
-            kept.append(below.join(found.failing[f], "id", "left_anti").withColumn("done", F.col("done") + (1 << i)))
+    k, level, left, removed = len(found.filters), found.rows, [], []
+    failing = found.failing.select(F.col("id").alias("failing_id"), F.col("filter").alias("failing_filter"))
+    bit = F.expr("shiftleft(1, next)")
+    # rows of an id are in one bucket: the filter is compared within, not dealt by
+    meets = (F.col("id") == F.col("failing_id")) & (F.col("next") - F.col("failing_filter") == 0)
+    for size in range(k):
+        tried = level.withColumn("next", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).where(F.col("done").bitwiseAND(bit) == 0)
         left.append(written(_sums(level)))
-        removed.append(written(_sums(_all(gone), "filter")))
-        if k < len(letters) - 1:
-            level = _bucketed(_all(kept), True, found.names)
-    return _all(left), _all(removed)
+        removed.append(written(_sums(tried.join(failing, meets, "left_semi"), "next")))
+        if size < k - 1:
+            # a set is made once, by its last filter
+            below = tried.where(F.col("done") < bit).join(failing, meets, "left_anti")
+            level = _bucketed(below.withColumn("done", F.col("done") + bit).drop("next"), True, found.tables)
+    name = F.element_at(F.array(*[F.lit(f) for f in found.filters]), F.col("next") + 1)
+    return _all(left), _all(removed).withColumn("filter", name).drop("next")
 
 
 def audit(docs: DataFrame, labels: DataFrame, conditions: dict[str, Column] | None = None) -> DataFrame:
@@ -141,11 +152,12 @@ def audit(docs: DataFrame, labels: DataFrame, conditions: dict[str, Column] | No
         left, removed = prefix_counts(found)
     finally:
         found.drop()
-    letters = list(found.failing)
+    letters = found.filters
     k, full = len(letters), (1 << len(letters)) - 1
     bit = {f: 1 << i for i, f in enumerate(letters)}
     steps = [("".join(order), i + 1, f, sum(bit[x] for x in order[:i])) for order in permutations(letters) for i, f in enumerate(order)]
-    step = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(s, ("filter_order", "step", "filter", "done"))]) for s in steps]))
+    names = ("filter_order", "step", "filter", "done")
+    step = F.explode(table([dict(zip(names, s)) for s in steps], "array<struct<filter_order:string,step:int,filter:string,done:int>>"))
     whole = left.where("done = 0").select("part", step.alias("s")).select("part", "s.*")
     # a set of m filters stands before another one in m! (k - 1 - m)! orders
     weights = F.array(*[F.lit(math.factorial(m) * math.factorial(k - 1 - m)) for m in range(k)])

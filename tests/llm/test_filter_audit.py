@@ -105,6 +105,11 @@ def test_other_filters(spark, labels):
 
 def test_joins_shuffle_nothing(spark, labels):
     found = fa.relations(documents(spark, MORE), labels)
-    plan = fa.survivors(found, "AB").join(found.failing["C"], "id", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    plan = fa.survivors(found, "AB").join(found.of("C"), "id", "left_semi")._jdf.queryExecution().executedPlan().toString()
     found.drop()
     assert "hashpartitioning(id" not in plan
+    found = fa.relations(documents(spark, MORE), labels)
+    tried = found.rows.withColumn("next", F.lit(1)).join(found.failing.withColumnsRenamed({"id": "i", "filter": "f"}), (F.col("id") == F.col("i")) & (F.col("next") - F.col("f") == 0), "left_semi")
+    plan = tried._jdf.queryExecution().executedPlan().toString()
+    found.drop()
+    assert "hashpartitioning(id" not in plan and "LeftSemi" in plan
