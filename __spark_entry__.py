@@ -27,6 +27,7 @@ from maskfold import (  # noqa: E402
     ScrubOptions,
     preset,
     read_addresses,
+    read_inferred,
     read_table,
     run_job,
     scrub,
@@ -160,8 +161,8 @@ def accounts(spark: SparkSession, sf: str) -> DataFrame:
     return li.withColumn("ACCT_NUM", acct)
 
 
-# a dictionary too large to search key by key in every row: the engine joins it as a table
-LARGE_MAPPING = "{" + ", ".join(f"{k}: 'C{k}'" for k in range(0, 200, 2)) + "}"
+# thousands of keys
+LARGE_MAPPING = "{" + ", ".join(f"{k}: 'C{k}'" for k in range(0, 6000, 2)) + "}"
 
 FULL_RULES = [
     Rule("LOAN_NUM", "numeric", "1000"),
@@ -207,12 +208,7 @@ def _one(table: str, rules: list[Rule], options: ScrubOptions | None = None):
 
 
 def _sequence(spark: SparkSession, sf: str) -> DataFrame:
-    out = scrub(_t(spark, sf, "orders"), [Rule("o_orderkey", "numeric", "1000")], options=preset("v2"))
-    return out.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("o_orderkey").alias("n_distinct"),
-        (F.min("o_orderkey") >= 1000).alias("min_ok"),
-    )
+    return scrub(_t(spark, sf, "orders"), [Rule("o_orderkey", "numeric", "1000")], options=preset("v2"))
 
 
 def _regex(mode: str):
@@ -371,6 +367,20 @@ def _read_glob(spark: SparkSession, sf: str) -> DataFrame:
     return prepare_addresses(read_addresses(spark, f"{base}/addresses_*.csv", schema=pool.schema))
 
 
+def _read_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and addresses written as text and read back with inferred types, joined."""
+    base, o = _io_dir(spark), _t(spark, sf, "orders")
+    data = o.select(
+        "o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", F.lpad(_s("o_custkey"), 8, "0").alias("CUST_CD"),
+        (F.col("o_orderstatus") == "O").alias("IS_OPEN"), (F.col("o_orderkey") * 10**12).alias("BIG_ID"),
+        F.to_date("o_orderdate").alias("OPEN_DT"), F.lit(None).cast("string").alias("EMPTY"),
+    )
+    write_one(data, "pipe", f"{base}/orders.txt")
+    write_one(address_pool(spark, sf).select("ASST_ID", "CITY", "POSTCODE", "LON"), "csv", f"{base}/addresses.csv")
+    rows, addresses = read_inferred(spark, f"{base}/orders.txt", f"{base}/addresses.csv")
+    return rows.join(addresses, rows["CUST_CD"].try_cast("int") == addresses["ASST_ID"], "left")
+
+
 def _write_parquet(spark: SparkSession, sf: str) -> DataFrame:
     base = _io_dir(spark)
     write_outputs(_t(spark, sf, "orders"), base, ["parquet"])
@@ -468,7 +478,7 @@ def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scrub_multiple_join": _multiple_join,
         "scrub_multiple_large": _one("orders", [Rule("o_custkey", "multiple", LARGE_MAPPING)]),
         "scrub_choice": _one(
-            "customer", [Rule("c_mktsegment", "multiple", "SEG")], ScrubOptions(multiple="choice")
+            "customer", [Rule("c_mktsegment", "multiple", "SEG A, SEG_B,SEG_C")], ScrubOptions(multiple="choice", seed=42)
         ),
         "scrub_fix": _one("customer", [Rule("c_mktsegment", "fix", "ANYSEG")]),
         "scrub_fix_commas": _one(
@@ -508,6 +518,7 @@ def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "read_glob": _read_glob,
         "write_parquet": _write_parquet,
         "write_outputs": _write_outputs,
+        "read_inferred": _read_inferred,
         "job_files": _job("parquet"),
         "job_csv_one_file": _job("csv"),
         "scrub_full": scrub_full,
@@ -667,14 +678,14 @@ def _library_sql() -> dict[str, str]:
         "scrub_numeric": f"SELECT c_custkey, {_digits_sql('c_name', 1000)} AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
         "scrub_numeric_zero": "SELECT CASE WHEN c_custkey = 0 THEN NULL ELSE c_custkey + 1000 END AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
         "scrub_numeric_double": "SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_acctbal = 0 THEN NULL ELSE CAST(CAST(NULLIF(regexp_replace(CAST(c_acctbal AS VARCHAR), '[^0-9]', '', 'g'), '') AS DOUBLE) AS BIGINT) + 7 END AS c_acctbal, c_mktsegment FROM customer",
-        "scrub_sequence": "SELECT count(*) AS n_rows, count(*) AS n_distinct, true AS min_ok FROM orders",
+        "scrub_sequence": "SELECT row_number() OVER (ORDER BY o_orderkey) - 1 + 1000 AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "scrub_amount": "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice * CAST(1.1 AS DOUBLE) AS FLOAT) AS o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "scrub_cross": "SELECT o_orderkey, o_orderkey + 500 AS o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "scrub_multiple": "SELECT o_orderkey, o_custkey, CASE o_orderstatus WHEN 'F' THEN 'Filled' WHEN 'O' THEN NULL ELSE o_orderstatus END AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "scrub_multiple_numeric": "SELECT c_custkey, c_name, CASE c_nationkey WHEN 0 THEN 'zero' WHEN 1 THEN '1.5' WHEN 2 THEN 'two' ELSE CAST(c_nationkey AS VARCHAR) END AS c_nationkey, c_acctbal, c_mktsegment FROM customer",
         "scrub_multiple_join": "SELECT c_custkey, c_name, CASE WHEN n.n_nationkey IS NULL THEN CAST(c.c_nationkey AS VARCHAR) WHEN n.n_nationkey = 3 THEN NULL ELSE n.n_name END AS c_nationkey, c_acctbal, c_mktsegment FROM customer c LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 4) n ON c.c_nationkey = n.n_nationkey",
-        "scrub_multiple_large": "SELECT o_orderkey, CASE WHEN o_custkey < 200 AND o_custkey % 2 = 0 THEN 'C' || CAST(o_custkey AS VARCHAR) ELSE CAST(o_custkey AS VARCHAR) END AS o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
-        "scrub_choice": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'SEG123' AS c_mktsegment FROM customer",
+        "scrub_multiple_large": "SELECT o_orderkey, CASE WHEN o_custkey < 6000 AND o_custkey % 2 = 0 THEN 'C' || CAST(o_custkey AS VARCHAR) ELSE CAST(o_custkey AS VARCHAR) END AS o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
+        "scrub_choice": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'SEG_C123' AS c_mktsegment FROM customer",
         "scrub_fix": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'ANYSEG' AS c_mktsegment FROM customer",
         "scrub_fix_commas": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'a b c' AS c_mktsegment FROM customer",
         "scrub_regex": _regex_sql(_ACCOUNTS_SQL, acct_cols, _REVERSE_HEAD),
@@ -710,6 +721,11 @@ FROM (SELECT *, CASE WHEN l_orderkey = 0 THEN '' ELSE CAST(l_orderkey AS VARCHAR
         "read_glob": _SAMPLE_PREP.replace("DISTINCT ", "").replace("'UNIT ' || UNIT", "' '").replace(" AND UNIT <> 'None'", ""),
         "write_parquet": f"SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice * CAST(2 AS DOUBLE) AS FLOAT) AS o_totalprice, o_orderdate, o_orderpriority FROM orders",
         "write_outputs": _full_sql(text_round_trip=True),
+        "read_inferred": """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_totalprice, o_orderdate, o_orderpriority,
+            lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS CUST_CD, o_orderstatus = 'O' AS IS_OPEN, o_orderkey * 1000000000000 AS BIG_ID,
+            CAST(o_orderdate AS DATE) AS OPEN_DT, CAST(NULL AS VARCHAR) AS EMPTY, CAST(c_custkey AS INTEGER) AS ASST_ID,
+            CASE WHEN c_nationkey <> 3 THEN 'CITY_' || CAST(c_nationkey AS VARCHAR) END AS CITY, lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS POSTCODE, c_acctbal AS LON
+            FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
         "job_files": _full_sql(),
         "job_csv_one_file": _full_sql(text_round_trip=True),
         "scrub_full": _full_sql(),

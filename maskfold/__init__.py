@@ -13,7 +13,7 @@ from maskfold.plans import (
     violations_frame,
 )
 from maskfold.plans.job import run_job
-from maskfold.sources import read_addresses, read_table, write_outputs
+from maskfold.sources import infer_schemas, read_addresses, read_inferred, read_manifest, read_table, write_outputs
 
 __all__ = [
     "AddressColumns",
@@ -21,9 +21,12 @@ __all__ = [
     "RuleViolationError",
     "ScrubOptions",
     "check_rules",
+    "infer_schemas",
     "load_rules",
     "preset",
     "read_addresses",
+    "read_inferred",
+    "read_manifest",
     "read_table",
     "run_job",
     "scrub",

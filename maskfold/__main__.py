@@ -21,6 +21,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--addresses", help="address table (file, folder or glob)")
     p.add_argument("--schema", help="DDL of the input's columns; without it types are inferred")
     p.add_argument("--address-schema", help="DDL of the address table's columns")
+    p.add_argument("--keep-codes", action="store_true", help="inferred columns with leading zeros stay text")
     p.add_argument("--single-file", action="store_true", help="one file per output format")
     a = p.parse_args(argv)
     if len(a.paths) == 4:
@@ -34,7 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     try:
         msg, _ = run_job(
             spark, input_path, rules, output, address, PRESETS[a.preset], schema=a.schema,
-            address_schema=a.address_schema, single_file=a.single_file,
+            address_schema=a.address_schema, single_file=a.single_file, codes="text" if a.keep_codes else "number",
         )
     except RuleViolationError as e:
         for v in e.violations:

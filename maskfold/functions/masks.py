@@ -22,6 +22,7 @@ from maskfold.functions.pytext import (
     is_string,
     python_digits,
 )
+from maskfold.functions.search import dictionary
 
 # Fixed values of the reference's account-number rewrite: the first ``digits-digits`` match,
 # and the amount subtracted from its first group.
@@ -72,9 +73,11 @@ def numeric_digits(c: Column, dtype: T.DataType, start: int) -> Masked:
     return Masked(value, ~skip & shifted.isNull())
 
 
-def numeric_sequence(start: int) -> Masked:
-    """A unique, increasing (not dense) long per row, offset by ``start``; no shuffle."""
-    return Masked(F.monotonically_increasing_id() + F.lit(start).cast("bigint"))
+def numeric_sequence(start: int, position: Column | None = None) -> Masked:
+    """A unique, increasing (not dense) long per row, offset by ``start``; no shuffle. ``position``: a stored number of the
+    row, so that the result stays the same when it is computed again; else numbers by partition."""
+    place = F.monotonically_increasing_id() if position is None else position
+    return Masked(place + F.lit(start).cast("bigint"))
 
 
 def amount(c: Column, factor: float) -> Masked:
@@ -93,13 +96,6 @@ def cross_shift(id_col: Column, dtype: T.DataType, start: int) -> Masked:
     return Masked(value, value.isNull())
 
 
-def _value_text(v) -> Column:
-    """Literal of a mapped value as a string result carries it (doubles in the JVM's text)."""
-    if isinstance(v, float):
-        return F.lit(v).cast("string")
-    return F.lit(value_text(v)).cast("string")
-
-
 def value_text(v) -> str | None:
     """Driver-side text of a non-float mapped value (floats are printed by Spark)."""
     if v is None:
@@ -116,11 +112,9 @@ def typed_keys(mapping: Mapping, dtype: T.DataType) -> tuple[str, dict]:
     if isinstance(dtype, INTEGRAL):
         keys = {}
         for k, v in mapping.items():
-            if isinstance(k, bool | int):
+            if isinstance(k, bool | int) or (isinstance(k, float) and k.is_integer()):
                 keys[int(k)] = v
-            elif isinstance(k, float) and k.is_integer():
-                keys[int(k)] = v
-        return "bigint", keys
+        return "bigint", {k: v for k, v in keys.items() if -(2**63) <= k < 2**63}
     if isinstance(dtype, FRACTIONAL + (T.DecimalType,)):
         return "double", {
             float(k): v for k, v in mapping.items() if isinstance(k, bool | int | float)
@@ -134,20 +128,17 @@ def map_values(c: Column, dtype: T.DataType, mapping: Mapping) -> Masked:
     """Replace by dictionary; unmapped values pass through as text, a key mapped to None gives null.
 
     Keys match by type as in a Python dict: text keys only text columns, numeric keys only
-    numeric columns. The result column is a string.
+    numeric columns. The result column is a string. The keys are one literal, in which a value looks at its own
+    bucket only, whatever their number.
     """
     key_type, keys = typed_keys(mapping, dtype)
     text = c.cast("string")
     if not keys:
         return Masked(text)
-    pairs = []
-    for k, v in keys.items():
-        pairs += [F.lit(k).cast(key_type), _value_text(v)]
-    lookup = F.create_map(*pairs)
-    probe = c.cast(key_type)
-    return Masked(
-        F.when(F.map_contains_key(lookup, probe), F.try_element_at(lookup, probe)).otherwise(text)
-    )
+    # doubles are printed by Spark, as literals are
+    entries = [(k, None, v) if isinstance(v, float) else (k, value_text(v), None) for k, v in keys.items()]
+    hit, value = dictionary(c.cast(key_type), key_type, entries)
+    return Masked(F.when(hit, value).otherwise(text))
 
 
 def choose_constant(items: list[str], suffix: str = CHOICE_SUFFIX, seed: int | None = 42) -> Masked:
@@ -221,7 +212,7 @@ def regex_reverse(
     d = _minus(pre, shift)
     rewritten = F.concat(F.substring(d, 1, 1), F.reverse(F.substring(d, 2, 2147483647)))
     if pattern == ACCOUNT_PATTERN:
-            head = F.coalesce(rewritten, F.when(pre == F.lit(""), F.lit("")))
+        head = F.coalesce(rewritten, F.when(pre == F.lit(""), F.lit("")))
     else:
         head = F.when(pre.rlike("^[0-9]+$"), rewritten).otherwise(pre)
     out = F.concat(head, F.lit(value), post)

@@ -75,7 +75,9 @@ def _whole_text(x: Column, digits: int) -> Column:
 def _double_digits(x: Column) -> Column:
     """Digits of ``repr(float)``.
 
-    Python prints the shortest decimal that reads back as the same double. Round to 15, 16, then 17
+    Python prints the shortest decimal that reads back as the same double. The JVM's text reads back as well, and
+    where it has 15 digits at most no other text of so few does, as different decimals of up to 15 digits are
+    different doubles: its digits are Python's. For the others, round to 15, 16, then 17
     significant digits (``%.14e`` ... ``%.16e``) and keep the first that parses back equal (15
     digits is exact for any decimal of up to 15 digits). From that text's digits ``m`` and exponent
     ``e`` rebuild Python's layout: plain for -4 <= e < 16 (zeros before, or zeros and ``.0``
@@ -87,16 +89,21 @@ def _double_digits(x: Column) -> Column:
     subnormal doubles (below 2.2e-308) can come out longer than Python's.
     """
     ax = F.abs(x)
+    java = ax.cast("string")  # the JVM's text: plain from 1e-3 to 1e7, else d.dddEx
+    size, last = F.length(java), F.substring(java, -2, 2)
+    plain = (ax >= F.lit(1e-3)) & (ax < F.lit(1e7)) & (size <= 16) & ((last == F.lit(".0")) | ~last.endswith("0"))
+    short = (F.length(F.substring_index(java, "E", 1)) <= 16) & (ax >= F.lit(sys.float_info.min)) & (size > 0)
     whole = (ax >= F.lit(1e16)) & (ax < F.lit(9.2e18))
     r15, r16, r17 = (
         F.when(whole, _whole_text(ax, p)).otherwise(F.format_string(f"%.{p - 1}e", ax)) for p in (15, 16, 17)
     )
     text = (
-        F.when(r15.try_cast("double") == ax, r15)
+        F.when(short & java.contains("E"), F.lower(java))
+        .when(r15.try_cast("double") == ax, r15)
         .when(r16.try_cast("double") == ax, r16)
         .otherwise(r17)
     )
-    digits = F.element_at(F.transform(F.array(text), _layout), 1)
+    digits = F.when(plain, F.translate(java, ".", "")).otherwise(F.element_at(F.transform(F.array(text), _layout), 1))
     finite = ~F.isnan(x) & (ax != F.lit(float("inf")))
     return (
         F.when(x.isNull(), F.lit(None).cast("string"))

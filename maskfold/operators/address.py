@@ -16,6 +16,7 @@ from maskfold.operators.index import (
     materialised,
     row_hash,
     sample_exact,
+    steady,
 )
 from maskfold.plans.options import ScrubOptions
 
@@ -23,8 +24,7 @@ from maskfold.plans.options import ScrubOptions
 ADDRESS_FIELDS = ("NEW_CITY", "REGION", "POSTCODE", "ADDR_LN_1", "ADDR_LN_2")
 _A = "__mf_address"
 _J = "__mf_join_index"
-_SEQ = "__mf_row"
-_H = "__mf_hash"
+_H, _H2 = "__mf_hash", "__mf_hash2"
 _K = "__mf_key"
 
 
@@ -107,36 +107,29 @@ def replace_sampled(df: DataFrame, prepared: DataFrame, options: ScrubOptions |
     """Give the i-th data row by the order column the i-th address, by city, of a seeded exact
     sample (without replacement) of as many pool rows as there are data rows.
 
-    The data with its input position is materialised once, which fixes that position whatever the
-    frame was made of. It is numbered on a narrow key frame (order column, row hash, position), the numbers
-    are paired with the sampled addresses (n rows each side), and the pairs join the data once on
-    position: one shuffle of the wide table, which is never sorted. A pool with fewer usable
-    addresses than data rows fails the job, as the reference's sampler does.
+    A narrow table of the data (order column and two row hashes, 128 bits that name a row) is stored and numbered;
+    the numbers are paired with those of the sampled addresses; and the pairs join the data on the hashes. The wide rows
+    travel once, for that join, and are neither sorted by the order column nor written. Equal rows have one name: of
+    these one stays, and takes all the addresses of that name. A pool with fewer usable addresses than data rows fails the
+    job, as the reference's sampler does.
     """
     o = options or ScrubOptions()
     fields = list(ADDRESS_FIELDS)
-    data = materialised(df.withColumn(_SEQ, F.monotonically_increasing_id()))
-    keys = data.select(col(o.order_col), row_hash(df).alias(_H), F.col(_SEQ))
-    # the numbering's per-partition counts give n without a separate count pass
-    ranks, n = dense_index_counted(keys, [col(o.order_col), F.col(_H), F.col(_SEQ)], _J)
+    df = steady(df)
+    names = {_H: row_hash(df), _H2: row_hash(df, 1)}
+    keys = materialised(df.select(col(o.order_col), *[c.alias(k) for k, c in names.items()]))
+    ranks, n = dense_index_counted(keys, [o.order_col, _H, _H2], _J)
     try:
-        chosen = sample_exact(prepared.select(*fields), n, fields, o.seed)
+        chosen = sample_exact(prepared.select(*fields), n, fields, o.seed) if n else prepared.select(*fields).limit(0)
     except ValueError as e:
         raise ValueError(f"address pool has fewer rows than the data: {e}") from e
     addresses = dense_index(chosen, fields, _J).select(_J, F.struct(*fields).alias(_A))
-    pairs = ranks.select(_SEQ, _J).join(addresses, _J).select(_SEQ, _A)
-    joined = data.join(pairs, on=_SEQ, how="left")
-    drop = [_SEQ]
-    joined = joined.withColumn(
-        _A,
-        F.when(
-            F.col(_A).isNull(),
-            F.raise_error(
-                F.lit("address pool has fewer rows than the data")
-            ),
-        ).otherwise(F.col(_A)),
-    )
-    return _overwrite(joined, o).drop(*drop)
+    pairs = ranks.select(_H, _H2, _J).join(addresses, _J).drop(_J)
+    named = df.withColumns(names)
+    if not keys.groupBy(_H, _H2).count().where("count > 1").isEmpty():
+        named = named.dropDuplicates([_H, _H2])
+    joined = named.join(pairs, [_H, _H2])
+    return _overwrite(joined.select(*[col(c) for c in df.columns], _A), o)
 
 
 def address_report(df: DataFrame, prepared: DataFrame, options: ScrubOptions | None = None) -> DataFrame:

@@ -3,7 +3,8 @@
 Rules run in the reference's order (types in first-seen order, columns in table order). Consecutive
 rules are batched into one ``withColumns`` projection unless a rule reads a column an earlier rule
 of the batch writes; Catalyst collapses the rest. The address rule is a join at its place in the
-order. Nothing runs until the caller writes the result (the sampled address mode counts the data).
+order. Nothing runs until the caller writes the result, but for narrow passes of the sampled address mode and of
+the sequence mode, which needs positions of the rows that last.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from maskfold.functions import masks
 from maskfold.functions.names import col
 from maskfold.operators.address import prepare_addresses, replace_keyed, replace_sampled
 from maskfold.operators.audit import drop_audit
-from maskfold.operators.mapping import map_values_join
+from maskfold.operators.position import with_position
 from maskfold.plans.options import ScrubOptions
 from maskfold.plans.rules import (
     Rule,
@@ -30,25 +31,7 @@ from maskfold.plans.rules import (
 )
 
 
-def large_mapping(rule: Rule, o: ScrubOptions) -> bool:
-    if rule.type != "multiple" or o.multiple != "map":
-        return False
-    return len(parse_mapping(rule.value)) > o.literal_map_keys
-
-
-def map_by_join(df: DataFrame, rule: Rule, dtype, o: ScrubOptions) -> DataFrame:
-    """The ``multiple`` rule for a large dictionary: the typed keys as a table, then a join."""
-    key_type, keys = masks.typed_keys(parse_mapping(rule.value), dtype)
-    if not keys:
-        return df.withColumn(rule.column, col(rule.column).cast("string"))
-    rows = []
-    for k, v in keys.items():
-        number = v if isinstance(v, float) else None  # doubles are printed by Spark, as literals are
-        text = masks.value_text(v) if number is None else None
-        rows.append((k, text, number))
-    table = df.sparkSession.createDataFrame(rows, f"key {key_type}, text string, number double")
-    table = table.select("key", F.coalesce("text", F.col("number").cast("string")).alias("value"))
-    return map_values_join(df, rule.column, table)
+POSITION = "__mf_position"
 
 
 def reads_of(rule: Rule, o: ScrubOptions) -> set[str]:
@@ -73,7 +56,7 @@ def rule_expression(rule: Rule, frame: DataFrame | dict, o: ScrubOptions) -> Col
         m = masks.fix(v, o.fix)
     elif t == "numeric" and o.numeric == "sequence":
         start = o.sequence_start if o.sequence_start is not None else parse_int(v)
-        m = masks.numeric_sequence(start)
+        m = masks.numeric_sequence(start, col(POSITION) if POSITION in types else None)
     elif t == "numeric":
         m = masks.numeric_digits(c, dtype, parse_int(v))
     elif t == "amount":
@@ -143,26 +126,24 @@ def scrub(
     batch: dict[str, Column] = {}
     types = {f.name: f.dataType for f in df.schema.fields}
     address_done = False
+    streams = df.isStreaming
     for rule in execution_order(rule_list):
         if rule.type == "address":
             if address_done:
                 continue
             if batch:
                 df, batch = df.withColumns(batch), {}
-            df = apply_address(df, addresses, o)
+            df = apply_address(df.drop(POSITION), addresses, o)  # a join can multiply rows
             types = {f.name: f.dataType for f in df.schema.fields}
             address_done = True
             continue
-        if large_mapping(rule, o):
-            if batch:
-                df, batch = df.withColumns(batch), {}
-            df = map_by_join(df, rule, types[rule.column], o)
+        if rule.type == "numeric" and o.numeric == "sequence" and POSITION not in types and not streams:
+            df, batch = with_position(df.withColumns(batch) if batch else df, POSITION), {}
             types = {f.name: f.dataType for f in df.schema.fields}
-            continue
         if reads_of(rule, o) & batch.keys():
             df, batch = df.withColumns(batch), {}
             types = {f.name: f.dataType for f in df.schema.fields}
         batch[rule.column] = rule_expression(rule, types, o)
     if batch:
         df = df.withColumns(batch)
-    return df
+    return df.drop(POSITION)

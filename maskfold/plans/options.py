@@ -58,9 +58,6 @@ class ScrubOptions:
     order_col: str = "ASST_DIM_ID"
     audit_cols: tuple[str, ...] = AUDIT_COLUMNS
     columns: AddressColumns = field(default_factory=AddressColumns)
-    # A dictionary with more keys than this is joined as a table instead of searched key by key; the
-    # result is the same either way.
-    literal_map_keys: int = 64
 
     def __post_init__(self):
         for name, allowed in CHOICES.items():

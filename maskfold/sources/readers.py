@@ -6,8 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from maskfold.plans.rules import MSG_FORMAT, read_rule_table
+from maskfold.sources.infer import infer_schemas
 
-__all__ = ["read_addresses", "read_rule_table", "read_table", "shared_dir"]
+__all__ = ["infer_schemas", "read_addresses", "read_inferred", "read_rule_table", "read_table", "shared_dir"]
+
+
+def separator_of(path: str) -> str:
+    """The separator that a path's suffix stands for."""
+    if path.endswith(".txt"):
+        return "|"
+    if path.endswith(".csv"):
+        return ","
+    raise ValueError(MSG_FORMAT.strip())
+
+
+def read_inferred(
+    spark: SparkSession, path: str, addresses: str | list[str] | None = None, codes: str = "text", sep: str | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """The data table and the address table with types that one pass over both infers. ``codes``: whether columns with
+    leading zeros stay ``text`` or become a ``number``, as in Spark's own inference."""
+    tables = {"data": (path, sep or separator_of(path))} | ({} if addresses is None else {"addresses": (addresses, ",")})
+    schemas = infer_schemas(spark, tables, codes)
+    data = read_table(spark, path, schema=schemas["data"], sep=tables["data"][1])
+    return data, None if addresses is None else read_addresses(spark, addresses, schema=schemas["addresses"])
 
 
 def read_table(
@@ -20,16 +41,9 @@ def read_table(
 ) -> DataFrame:
     """``*.txt`` -> pipe-delimited with header; ``*.csv`` -> comma-delimited with header; anything
     else is refused before a job runs. Pass ``schema`` at scale: inference is an extra full pass
-    and turns ZIP ``02134`` into 2134. ``path`` may be a directory or a glob ending in the suffix;
-    an explicit ``sep`` skips the suffix check."""
-    if sep is not None:
-        pass
-    elif path.endswith(".txt"):
-        sep = "|"
-    elif path.endswith(".csv"):
-        sep = ","
-    else:
-        raise ValueError(MSG_FORMAT.strip())
+    and turns ZIP ``02134`` into 2134 (``read_inferred`` keeps it, and looks at all tables of a run in one pass). ``path``
+    may be a directory or a glob ending in the suffix; an explicit ``sep`` skips the suffix check."""
+    sep = sep or separator_of(path)
     reader = spark.read.option("header", True).option("sep", sep)
     if schema is not None:
         reader = reader.schema(schema)

@@ -189,19 +189,28 @@ def test_python_digits_decimal(spark):
     assert got == [re.sub(r"[^0-9]", "", str(v)) for v in vals]
 
 
-def test_large_dictionary_joins_like_literal_map(spark, monkeypatch):
-    from maskfold.plans import engine
-
-    df = spark.createDataFrame([(i, str(i), i * 0.5) for i in range(300)], "n long, s string, d double")
-    rules = [
-        Rule("n", "multiple", "{" + ", ".join(f"{k}: 'N{k}'" for k in range(0, 200, 3)) + ", 7: None, 9: 1.5}"),
-        Rule("s", "multiple", "{" + ", ".join(f"'{k}': {k}" for k in range(100)) + ", 5: 'int key'}"),
-        Rule("d", "multiple", "{" + ", ".join(f"{k / 2}: True" for k in range(100)) + "}"),
-    ]
-    joined = sorted(map(tuple, scrub(df, rules).collect()), key=str)
-    options = ScrubOptions(literal_map_keys=10**9)
-    literal = sorted(map(tuple, scrub(df, rules, options=options).collect()), key=str)
-    assert joined == literal
+def test_dictionaries_of_any_size_against_python(spark):
+    df = spark.createDataFrame([(i, str(i), i * 0.5, f"k é {i}") for i in range(6000)] + [(None, None, None, None), (-7, "", -0.0, "'\"\\")], "n long, s string, d double, t string")
+    maps = {
+        "n": {k: f"N{k}" for k in range(0, 5000, 3)} | {7: None, 9: 1.5, -7: True, 2**70: "beyond"},
+        "s": {str(k): k for k in range(4000)} | {5: "int key", "": "empty"},
+        "d": {k / 2: True for k in range(3000)} | {1e999: "inf"},
+        "t": {f"k é {k}": f"v\n{k}" for k in range(0, 6000, 2)} | {"'\"\\": "quotes"},
+    }
+    got = scrub(df, [Rule(c, "multiple", repr(m).replace("inf:", "1e999:")) for c, m in maps.items()])
+    text = {"True": "true"}
+    rows = df.withColumn("d_text", F.col("d").cast("string")).collect()
+    want = [
+        tuple(
+            (m[r[c]] if m[r[c]] is None else text.get(str(m[r[c]]), str(m[r[c]]))) if r[c] is not None and r[c] in m
+            else None if r[c] is None else r["d_text"] if c == "d" else str(r[c])
+            for c, m in maps.items()
+        )
+        for r in rows
+    ]
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got.select("n", "s", "d", "t").collect())
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "Join" not in plan and plan.count("Project") == 1  # one constant, no shuffle
 
 
 @pytest.mark.parametrize(

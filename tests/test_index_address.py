@@ -108,7 +108,10 @@ def test_sampled_pool_too_small_fails(spark):
         scrub(data, [Rule("PRPTY_ADDR_LN1", "address", "")], pool, ScrubOptions(address="sample"))
 
 
-def test_dense_index_spreads_copies(spark):
+def test_dense_index_spreads_copies(spark, monkeypatch):
+    from maskfold.operators import index
+
+    monkeypatch.setattr(index, "BLOCK", 100)
     """A third of the rows are copies of one row: they still spread over several range
     partitions (ordered by input position), and the index stays exactly 1..n."""
     base = spark.range(2000).select((F.col("id") % 97).alias("k"), F.col("id").cast("string").alias("v"))

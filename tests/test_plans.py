@@ -39,14 +39,38 @@ def test_rules_fold_into_one_projection(spark):
     assert optimized.count("Project") == 1
 
 
-def test_sampled_mode_has_no_full_table_single_partition(spark):
+def _exchanges(df) -> list[str]:
+    return [line for line in _plan(df).splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
+
+
+def test_sampled_mode_moves_the_wide_rows_once(spark):
     out = E._library_queries()["address_sampled"](spark, SF_SMALL)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    # a single-partition exchange may only carry what is one row for each partition of the numbering
-    lines = plan.splitlines()
-    for line, below in zip(lines, lines[1:]):
-        if "SinglePartition" in line:
-            assert "Aggregate(keys=[__mf_part" in below, (line, below)
+    assert "SinglePartition" not in plan and "ExistingRDD" not in plan
+    # of all exchanges one is above the scan of the suppliers with their columns
+    wide = [line for line, below in zip(plan.splitlines(), plan.splitlines()[1:]) if "Exchange" in line and "s_acctbal" in below]
+    assert len(wide) == 1
+
+
+def test_dense_index_moves_rows_once_and_writes_none(spark):
+    from maskfold.operators import dense_index
+
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    out = dense_index(li, ["l_shipdate", "l_orderkey", "l_linenumber"])
+    assert len(_exchanges(out)) == 1 and "ExistingRDD" not in _plan(out) and "SinglePartition" not in _plan(out)
+    assert "from_json" not in out._jdf.queryExecution().optimizedPlan().toString()
+    # the narrow passes read the keys only
+    from maskfold.operators import index
+
+    keys = li.withColumn("r", index._range_of(li, [li["l_orderkey"]], [(3,), (10**4,)])).groupBy("r").count()
+    assert "ReadSchema: struct<l_orderkey:bigint>" in _plan(keys)
+
+
+def test_sample_is_a_filter_by_the_last_key(spark):
+    from maskfold.operators import sample_exact
+
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey", "l_linenumber")
+    assert not _exchanges(sample_exact(li, 500)) and "ExistingRDD" not in _plan(sample_exact(li, 500))
 
 
 def test_keyed_join_plans_no_job_and_no_single_partition(spark):

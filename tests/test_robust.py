@@ -88,12 +88,23 @@ def test_outputs_hold_one_run(spark, tmp_out):
     assert spark.read.parquet(f"{tmp_out}/out/parquet").count() == 2
     import os
 
-    assert sorted(os.listdir(f"{tmp_out}/out")) == ["parquet"]
+    assert sorted(n for n in os.listdir(f"{tmp_out}/out") if n[0] not in "._") == ["parquet"]
     for mode in ("append", "ignore"):
         with pytest.raises(ValueError, match="mode"):
             write_outputs(df, f"{tmp_out}/out", mode=mode)
 
 
+def test_digits_of_doubles_of_all_sizes(spark):
+    rng = random.Random(5)
+    values = [round(rng.uniform(-1e5, 1e5), rng.randrange(6)) for _ in range(30_000)] + [float(i) for i in range(-50, 2000)]
+    values += [rng.choice([1, -1]) * float(f"{rng.randrange(1, 10**rng.randrange(1, 16))}e{rng.randrange(-300, 290)}") for _ in range(30_000)]
+    values += [2e-3, 1e-3, 9.99e-4, 1e7, 9999999.0, 1e22, 1e23, 2e23, 5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, 0.1 + 0.2, 1 / 3, 100.0, 1e-5]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in df.select(python_digits(F.col("x"), T.DoubleType())).collect()]
+    wrong = [(v, g) for v, g in zip(values, got) if g != re.sub("[^0-9]", "", str(v)) and abs(v) >= 2.3e-308]
+    assert not wrong, (len(wrong), wrong[:3])
+
+
 def test_digits_of_large_doubles(spark):
     rng = random.Random(12)
     values = [rng.uniform(1e16, 9.1e18) for _ in range(40_000)] + [10.0 ** rng.uniform(16, 18.95) for _ in range(60_000)]
