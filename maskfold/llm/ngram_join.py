@@ -4,8 +4,9 @@ A document's set are the distinct five-word shingles of its text. Documents with
 told by a 64-bit hash of the set and its size; what follows is done for classes, so copies are never paired.
 
 Two sets link when 100 |A & B| >= 75 |A | B|. Then they differ in at most |A| / 3 shingles (the Hamming
-distance of the sets), and their sizes are in the same or in neighbouring bands, whose limits grow by 4/3. For
-a band the shingles' hash domain is cut into partitions; a signature is a band, a partition and the hash of the set's
+distance of the sets), and their sizes are in the same or in neighbouring bands, whose limits grow by 4/3. Two bands
+make a level, and a set signs for its own level, one of the upper band for the next level too. For
+a level the shingles' hash domain is cut into partitions; a signature is a level, a partition and the hash of the set's
 content there. Of two linked sets each differing shingle spoils one partition only, so if one has more filled
 partitions than they can differ in, an equal filled partition is left: they share a signature. By the same
 count the first k + 1 filled partitions, k the most that they can differ in, are enough, in any order that
@@ -15,7 +16,7 @@ members first, as a passage that unlike documents share seldom fills those by it
 Very frequent shingles (boilerplate) would make signatures that thousands of unlike documents share. They are left
 out of the domain, which can only lessen the distance. A set with k or fewer filled partitions left is weak:
 it also gives the signatures of the whole domain, which two weak sets share when they are linked; and where that
-leaves too few as well, one signature for all such sets of the band. So no linked pair is lost whatever is
+leaves too few as well, one signature for all such sets of the level. So no linked pair is lost whatever is
 called frequent, and nothing is capped.
 
 Classes that share a signature form a bucket. Each bucket has a leader, the member with the
@@ -51,14 +52,15 @@ from maskfold.llm.components import components
 from maskfold.llm.shared import partitions, written
 
 WIDTH = 5
-SLOTS = (1 << 10, 1 << 15)  # least and most of an odd sketch
+SLOTS = (1 << 8, 1 << 15)  # least and most of an odd sketch
 FIRST = 2  # pairs of a member and block that the first comparison across components tries
 LOCAL = 8  # a batch reports shingles of so many of its classes
 FREQUENT_SHARE = 1000  # frequent: in more than a thousandth of the documents ...
 FREQUENT_LEAST = 100  # ... and in more than so many
 BLOCK = 1024  # members of a group in a row, on average
 HELD = 1 << 20  # signatures that a task packs at a time
-HASH_BYTES = 5  # of a shingle or signature in a shuffle
+HASH_BYTES = 5  # of a shingle in a shuffle
+SIGNATURE_BYTES = 4  # of a signature, besides the bits that name its reducer
 SEEN_BITS = 25  # of the bit map of wanted classes
 _U = np.uint64
 _MASK48 = _U((1 << 48) - 1)
@@ -88,9 +90,9 @@ def class_ids(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def odd_sketches(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each set's odd sketch, of twice its size in bits, rounded up to a power of two, and the ends of their bytes."""
+    """Each set's odd sketch, of its size in bits, rounded up to a power of two, and the ends of their bytes."""
     n = np.diff(bounds)
-    bits = np.clip(1 << np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64), *SLOTS)
+    bits = np.clip(1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64), *SLOTS)
     off = np.concatenate(([0], np.cumsum(bits)))
     slot = np.repeat(off[:-1], n) + (values & np.repeat((bits - 1).astype(np.uint64), n)).astype(np.int64)
     return np.packbits((np.bincount(slot, minlength=off[-1]) & 1).astype(np.uint8), bitorder="little"), off[1:] // 8
@@ -177,23 +179,27 @@ class Signer:
         band = np.searchsorted(TOPS, n)
         out: list[tuple[np.ndarray, np.ndarray]] = []
         for step in (0, 1):
-            top = TOPS[band + step]
+            level = band // 2 + step
+            top = TOPS[2 * level + 1]
+            # of a level's two bands only the upper one has partners in the next level
+            signs = (n > 0) & ((band % 2 == 1) | (step == 0))
             # |A ^ B| <= |A | B| / 4, |A | B| <= (|A| + |B|) / 1.75, |B| <= top and <= 4/3 |A|
             most = (n + np.minimum(top, n * 4 // 3)) // 7
-            filled, signatures = self._domain(values[rare], doc[rare], top, most, band + step, 0)
+            some = rare & signs[doc]
+            filled, signatures = self._domain(values[some], doc[some], top, most, level, 0)
             out.append(signatures)
-            weak = (filled <= most) & (n > 0)
+            weak = (filled <= most) & signs
             if weak.any():
                 of_weak = weak[doc]
-                whole, signatures = self._domain(values[of_weak], doc[of_weak], top, most, band + step, 1)
+                whole, signatures = self._domain(values[of_weak], doc[of_weak], top, most, level, 1)
                 out.append(signatures)
                 bare = np.flatnonzero(weak & (whole <= most))
-                out.append((tokens.mix((band[bare] + step).astype(np.uint64) ^ _U(0xBA4E << 32)), bare))
+                out.append((tokens.mix(level[bare].astype(np.uint64) ^ _U(0xBA4E << 32)), bare))
         share = 255 * np.bincount(doc, ~rare, len(n)) // np.maximum(n, 1)
         return np.concatenate([s for s, _ in out]), np.concatenate([d for _, d in out]), share.astype(np.uint8)
 
     @staticmethod
-    def _domain(values, doc, top, most, band, kind):
+    def _domain(values, doc, top, most, level, kind):
         """Filled partitions by document, and the signatures of the first most + 1 of each."""
         docs = len(top)
         if not len(values):
@@ -213,7 +219,7 @@ class Signer:
         rank[order] = np.arange(len(starts)) - np.concatenate(([0], np.cumsum(filled)))[owner[order]]
         take = rank <= most[owner]
         owner = owner[take]
-        where = (part[take] * _U(4) + _U(kind)) * _U(1 << 10) + band[owner].astype(np.uint64)
+        where = (part[take] * _U(4) + _U(kind)) * _U(1 << 10) + level[owner].astype(np.uint64)
         return filled, (tokens.mix(tokens.mix(content[take]) ^ where), owner)
 
 
@@ -240,11 +246,13 @@ def _dealt(signatures: list, owners: list, classes: list, shares: list, parts: i
     names, sigs, docs, counts = [], [], [], []
     for q in np.flatnonzero(np.diff(cuts)).tolist():
         own = d[cuts[q] : cuts[q + 1]]
-        first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        # a document's run, cut where its count would not fit
+        run = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        first = run if np.diff(np.append(run, len(own))).max() < 1 << 16 else np.unique(np.concatenate((run, np.arange(0, len(own), 1 << 15))))
         names.append(q)
-        sigs.append(_packed(s[cuts[q] : cuts[q + 1]], HASH_BYTES).tobytes())
+        sigs.append(_packed(s[cuts[q] : cuts[q + 1]], SIGNATURE_BYTES).tobytes())
         docs.append(named[own[first]].tobytes())
-        counts.append(np.diff(np.concatenate((first, [len(own)]))).astype(np.uint32).tobytes())
+        counts.append(np.diff(np.append(first, len(own))).astype(np.uint16).tobytes())
     return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(sigs, pa.binary()), pa.array(docs, pa.binary()), pa.array(counts, pa.binary())], names=["part", "sigs", "docs", "counts"])
 
 
@@ -279,8 +287,8 @@ def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sigs, docs = [], []
     for batch in batches:
         for s, d, c in zip(batch.column(1), batch.column(2), batch.column(3)):
-            sigs.append(_unpacked(s.as_buffer(), HASH_BYTES))
-            docs.append(np.repeat(_unpacked(d.as_buffer(), 7), np.frombuffer(c.as_buffer(), np.uint32)))
+            sigs.append(_unpacked(s.as_buffer(), SIGNATURE_BYTES))
+            docs.append(np.repeat(_unpacked(d.as_buffer(), 7), np.frombuffer(c.as_buffer(), np.uint16)))
     if not sigs:
         return
     s, d = np.concatenate(sigs), np.concatenate(docs)
@@ -409,18 +417,29 @@ def _across(best: int | None):
         c, label, n = (np.array([m[k] for m in members], np.int64) for k in ("class", "label", "n"))
         return c, label, n, [np.frombuffer(m["sketch"], np.uint64) for m in members]
 
+    def by_length(sketches: list) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Members of equal sketch lengths, and their sketches as one array."""
+        length = np.array([len(v) for v in sketches])
+        return [(rows, np.array([sketches[i] for i in rows.tolist()])) for rows in (np.flatnonzero(length == k) for k in np.unique(length))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             xs, ys = [], []
             for i in range(batch.num_rows):
                 one, two = (block(batch.column(k)[i].as_py()) for k in (0, 1))
-                size = min(len(v) for v in (*one[3], *two[3]))
-                left, right = (np.array([folded(v, size) for v in side[3]]) for side in (one, two))
-                for j in range(len(left)):
-                    other = np.flatnonzero((two[1] != one[1][j]) & (4 * np.minimum(two[2], one[2][j]) >= 3 * np.maximum(two[2], one[2][j])))
-                    apart = np.bitwise_count(right[other] ^ left[j]).sum(axis=1, dtype=np.int64)
-                    near = 7 * apart <= two[2][other] + one[2][j]
-                    other, apart = other[near], apart[near]
+                lengths = by_length(two[3])
+                for j, own in enumerate(one[3]):
+                    found, apart = [], []
+                    for rows, right in lengths:
+                        keep = (two[1][rows] != one[1][j]) & (4 * np.minimum(two[2][rows], one[2][j]) >= 3 * np.maximum(two[2][rows], one[2][j]))
+                        rows, right = rows[keep], right[keep]
+                        while right.shape[1] > len(own):
+                            right = right[:, : right.shape[1] // 2] ^ right[:, right.shape[1] // 2 :]
+                        d = np.bitwise_count(right ^ folded(own, right.shape[1])).sum(axis=1, dtype=np.int64)
+                        near = 7 * d <= two[2][rows] + one[2][j]
+                        found.append(rows[near])
+                        apart.append(d[near])
+                    other, apart = np.concatenate(found), np.concatenate(apart)
                     if best is not None:
                         other = other[np.argsort(apart, kind="stable")[:best]]
                     xs.append(np.minimum(two[0][other], one[0][j]))
@@ -435,12 +454,15 @@ def _across(best: int | None):
 def across(found: DataFrame, classes: DataFrame, labels: DataFrame, best: int | None = None) -> DataFrame:
     """Pairs of classes of one group in different components that may link. A group's members are dealt to
     blocks by a hash, and any two blocks of a group meet in a task."""
-    known = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
-    members = found.join(known.withColumn("member", _short(F.col("class"))), "member")
+    ids = classes.select("class", _short(F.col("class")).alias("member")).join(labels.withColumnRenamed("node", "class"), "class", "left")
+    members = found.join(ids.withColumn("label", F.coalesce("label", "class")), "member").select("leader", "class", "label")
     sizes = members.groupBy("leader").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
     mixed = sizes.where("low != high").select("leader", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    dealt = members.join(mixed, "leader").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
-    blocks = written(dealt.groupBy("leader", "block").agg(F.collect_list(F.struct("class", "label", "n", "sketch")).alias("members")))
+    # sketches only travel for members of groups that need a look
+    dealt = written(members.join(mixed, "leader").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks"))).drop("blocks"))
+    drawn = classes.join(written(dealt.select("class").distinct()), "class", "left_semi")
+    full = dealt.join(drawn, "class")
+    blocks = written(full.groupBy("leader", "block").agg(F.collect_list(F.struct("class", "label", "n", "sketch")).alias("members")))
     one = blocks.select("leader", F.col("block").alias("i"), F.col("members").alias("one"))
     two = blocks.select("leader", F.col("block").alias("j"), F.col("members").alias("two"))
     return one.join(two, "leader").where("i <= j").select("one", "two").mapInArrow(_across(best), "a long, b long").distinct()
@@ -507,10 +529,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     first = written(named.groupBy("label").agg(F.min(order).alias("first")).select("first.id", "first.class"))
     several = written(rows.groupBy("id").agg(F.count("*").alias("times")).where("times > 1 OR id IS NULL").select("id"))
     own = docs["doc_id"].cast("long")
-    stays = first.select("id").unionByName(rows.where("n = 0").select("id")).join(several, "id", "left_anti").where("id IS NOT NULL")
-    out = docs.join(written(stays), own == F.col("id"), "left_semi")
+    # the list of what goes is the shorter one; repeated and null ids go here as well
+    goes = named.select("id").join(first.select("id"), "id", "left_anti").where("id IS NOT NULL").join(several, "id", "left_anti")
+    out = docs.join(written(goes.select(F.col("id").alias("_goes")).distinct()), own == F.col("_goes"), "left_anti")
     if several.isEmpty():
         return out
+    out = out.join(several.select(F.col("id").alias("_several")), own.eqNullSafe(F.col("_several")), "left_anti")
     split = docs.join(several, own.eqNullSafe(several["id"]), "left_semi").select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), own.alias("id"), docs["text"].alias("text"))
     kind = split.schema["row"]
     of = split.mapInArrow(_classed, T.StructType([kind]).add("id", "long").add("class", "long").add("n", "long"))
