@@ -56,3 +56,48 @@ def test_rejection_is_calibrated(spark):
     mixed = spark.createDataFrame([(1, "zq xv qj wq"), (2, "the dog and the cat")], "doc_id long, text string")
     got = {r["doc_id"]: r for r in language.predict(mixed, model).collect()}
     assert got[1]["score"] < got[2]["score"]
+
+
+def test_training_against_plain_loops(monkeypatch):
+    """The same parameters as a trainer of single numbers, on a few rows."""
+    for name, value in (("BUCKETS", 24), ("DIMS", 3), ("EPOCHS", 2), ("BATCH", 3)):
+        monkeypatch.setattr(language, name, value)
+    rng = np.random.default_rng(2)
+    rows = []
+    for _ in range(8):
+        u = np.sort(rng.choice(24, 5, replace=False)).astype(np.uint16)
+        rows.append((u, rng.integers(1, 4, 5).astype(np.float32)))
+    y = rng.integers(0, 3, 8)
+    scores, bias = language.train(rows, y, 3)
+    rng = np.random.default_rng(5)
+    e = rng.normal(0, 1 / 3, (24, 3)).tolist()
+    w, b = [[0.0] * 3 for _ in range(3)], [0.0] * 3
+    se, sw, sb = [[1e-8] * 3 for _ in range(24)], [[1e-8] * 3 for _ in range(3)], [1e-8] * 3
+    for epoch in range(2):
+        order = rng.permutation(8).tolist()
+        for a in range(0, 8, 3):
+            some = order[a : a + 3]
+            ge, gw, gb = [[0.0] * 3 for _ in range(24)], [[0.0] * 3 for _ in range(3)], [0.0] * 3
+            for i in some:
+                u, n = rows[i]
+                share = {int(k): float(c) / float(n.sum()) for k, c in zip(u, n)}
+                h = [sum(s * e[k][d] for k, s in share.items()) for d in range(3)]
+                z = [sum(h[d] * w[d][c] for d in range(3)) + b[c] for c in range(3)]
+                total = sum(np.exp(v) for v in z)
+                error = [(np.exp(z[c]) / total - (c == y[i])) / len(some) for c in range(3)]
+                for c in range(3):
+                    gb[c] += error[c]
+                    for d in range(3):
+                        gw[d][c] += h[d] * error[c]
+                        for k, s in share.items():
+                            ge[k][d] += s * error[c] * w[d][c]
+            for param, grad, seen in ((e, ge, se), (w, gw, sw)):
+                for k in range(len(param)):
+                    for d in range(3):
+                        seen[k][d] += grad[k][d] ** 2
+                        param[k][d] -= language.RATE / (1 + epoch) * grad[k][d] / seen[k][d] ** 0.5
+            for c in range(3):
+                sb[c] += gb[c] ** 2
+                b[c] -= language.RATE / (1 + epoch) * gb[c] / sb[c] ** 0.5
+    assert np.allclose(scores, np.array(e) @ np.array(w), atol=2e-3) and np.allclose(bias, b, atol=2e-3)
+    assert np.abs(scores).max() > 0.1

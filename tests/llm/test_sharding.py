@@ -37,3 +37,23 @@ def test_odd_rows(spark):
 def test_write_shards(spark, tmp_out):
     sharding.write_shards(documents(spark, [(i, "z" * 20) for i in range(100)]), f"{tmp_out}/shards", 500)
     assert spark.read.parquet(f"{tmp_out}/shards").count() == 100
+
+
+def test_query_splits(spark):
+    """The registered limit gives shards of several depths on a small table; every row has one."""
+    from maskfold.llm.queries import QUERIES
+
+    got = QUERIES["op7_sharding"](spark, "/root/testdata/sf0.01").collect()
+    shards = {r["shard"] for r in got}
+    assert len(shards) >= 20 and len({len(s) for s in shards}) >= 3 and None not in shards
+
+
+def test_copies_of_one_id_are_split_the_same_way_in_every_pass(spark):
+    """A third of all rows are copies of one id; the input's partitions differ from pass to pass."""
+    rows = [(7, "y" * 40)] * 300 + [(i, "x" * 30) for i in range(600)]
+    docs = documents(spark, rows).repartition(5)
+    out = sharding.sharded(docs, 1000)
+    first, again = (sorted((r["doc_id"], r["shard"], r["shard_bytes"]) for r in out.collect()) for _ in range(2))
+    assert first == again and len(first) == 900 and all(s is not None and (b <= 1000) for _, s, b in first)
+    hot = [s for i, s, _ in first if i == 7]
+    assert len(set(hot)) >= 12 and len({s[:60] for s in hot}) == 1

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from maskfold.llm import toxicity as tox
 from maskfold.llm.queries import QUERIES
@@ -48,6 +49,64 @@ def test_thresholds_ascend_and_weights_are_shared():
     assert w[0] > 0 and (np.diff(t) > 0).all()
 
 
+def _loss(x, grade, w, t):
+    z = x.dot(w)[:, None] - t[None, :]
+    above = grade[:, None] > np.arange(tox.GRADES)[None, :]
+    return np.mean(np.sum(np.logaddexp(0, -np.where(above, z, -z)), axis=1))
+
+
+def test_ordinal_fit_against_a_plain_solver():
+    """The same optimum as projected gradient steps with halving, written out."""
+    rng = np.random.default_rng(1)
+    n, f = 300, 4
+    v = rng.random((n, f))
+    grade = np.digitize(v @ np.array([4.0, 2.0, 0.0, 1.0]) + rng.logistic(0, 0.7, n), [2.5, 3.8, 5])
+    row, feature = np.nonzero(np.ones((n, f)))
+    x = tox._Sparse(row, feature, v[row, feature], n, f)
+    w, t, step = np.zeros(f), np.arange(3.0), 1.0
+    for _ in range(3000):
+        gw, gt = np.zeros(f), np.zeros(3)
+        for k in range(3):
+            error = 1 / (1 + np.exp(t[k] - v @ w)) - (grade > k)
+            gw += v.T @ error / n
+            gt[k] = -error.sum() / n
+        while _loss(x, grade, np.maximum(w - step * gw, 0), t - step * gt) > _loss(x, grade, w, t) and step > 1e-9:
+            step /= 2
+        w, t, step = np.maximum(w - step * gw, 0), t - step * gt, step * 1.5
+    got_w, got_t = tox.fit_ordinal(x, grade, steps=5000)
+    assert _loss(x, grade, got_w, got_t) <= _loss(x, grade, w, t) + 1e-5
+    assert np.abs(got_w - w).max() < 0.05 and np.abs(got_t - t).max() < 0.05 and (np.diff(got_t) > 0).all()
+
+
+def test_screen_against_plain_counts(spark):
+    """Features by their documents among toxic and other ones, counted one by one."""
+    docs, labels = _labelled(spark, 160)
+    y = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    df: dict = {}
+    for r in docs.collect():
+        if r["doc_id"] in y:
+            words = r["text"].lower().split()
+            for f in {w for w in words} | {(k, w[:k]) for w in words for k in tox.PREFIXES if len(w) > k}:
+                df.setdefault(f, [0, 0])[y[r["doc_id"]]] += 1
+    n = [sum(v == k for v in y.values()) for k in (0, 1)]
+    want = {f for f, (a, b) in df.items() if a + b >= tox.LEAST_DOCS and (b + 0.5) / n[1] >= tox.SCREEN * (a + 0.5) / n[0]}
+    rows = docs.join(labels.withColumnRenamed("toxic", "y"), "doc_id").selectExpr("text", "y", "false held")
+    counted = rows.mapInArrow(tox._count, "y int, held boolean, words binary, times binary")
+    assert len(tox.screened(counted, n[1], n[0])) == len(want) > 3
+    assert set(MEAN) <= want
+
+
+def test_toxic_documents_are_caught(spark):
+    """Toxic labelled documents whose labels the model never saw, and clean ones."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{sf}/labels.parquet").where("toxic is not null")
+    unseen = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(3)) == 0
+    rest = docs.join(labels.where(unseen).select("doc_id", F.col("toxic").alias("y")), "doc_id")
+    got = tox.score(rest, tox.fit(docs, labels.where(~unseen))).select("y", "toxic").collect()
+    caught, wrong = ([r["toxic"] for r in got if r["y"] == k] for k in (1, 0))
+    assert len(caught) > 100 and np.mean(caught) >= 0.75 and np.mean(wrong) <= 0.01
+
+
 def test_query(spark):
     got = {r["doc_id"]: r for r in QUERIES["op8_toxicity"](spark, SF).collect()}
     labels = spark.read.parquet(f"{SF}/labels.parquet").where("toxic is not null").collect()
