@@ -92,9 +92,10 @@ def _looked_up(rows: DataFrame, rounds: list[tuple[int, DataFrame]]) -> DataFram
     return rows.select(*[c for c in rows.columns if c[0] not in "fs"], F.coalesce(*hits).alias("hit"))
 
 
-def sharded(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
-    """``docs`` with ``shard`` (its bits, empty for the one shard of a small table) and the shard's bytes."""
-    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+def sharded(docs: DataFrame, limit: int = SHARD_BYTES, size: Column | None = None) -> DataFrame:
+    """``docs`` with ``shard`` (its bits, empty for the one shard of a small table) and the shard's bytes. ``size``: the
+    bytes of a row, else those of its text."""
+    size = F.coalesce(F.octet_length("text") if size is None else size, F.lit(0)).cast("long")
     bits = id_bits(F.col("doc_id"))
     rounds, large = directory(docs.select(bits.alias("bits"), size.alias("bytes")), limit)
     kept = [c for c in docs.columns if c not in ("shard", "shard_bytes")]
@@ -140,9 +141,9 @@ def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
 
 def op7_sharding(spark, sf_dir: str) -> DataFrame:
     """doc_id, bytes, shard and shard_bytes of every document."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = sharded(docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes")), QUERY_BYTES)
-    return out.select("doc_id", "bytes", "shard", "shard_bytes")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    sizes = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"))
+    return sharded(sizes, QUERY_BYTES, F.col("bytes")).select("doc_id", "bytes", "shard", "shard_bytes")
 
 
 def _sql(limit: int) -> str:
