@@ -378,7 +378,9 @@ def _read_inferred(spark: SparkSession, sf: str) -> DataFrame:
     write_one(data, "pipe", f"{base}/orders.txt")
     write_one(address_pool(spark, sf).select("ASST_ID", "CITY", "POSTCODE", "LON"), "csv", f"{base}/addresses.csv")
     rows, addresses = read_inferred(spark, f"{base}/orders.txt", f"{base}/addresses.csv")
-    return rows.join(addresses, rows["CUST_CD"].try_cast("int") == addresses["ASST_ID"], "left")
+    out = rows.join(addresses, rows["CUST_CD"].try_cast("int") == addresses["ASST_ID"], "left")
+    # the day of a date and the wall time of a timestamp: other inferred types would fail here
+    return out.withColumns({"OPEN_DT": F.unix_date("OPEN_DT"), "o_orderdate": F.timestamp_micros(F.unix_micros("o_orderdate")).cast("timestamp_ntz")})
 
 
 def _write_parquet(spark: SparkSession, sf: str) -> DataFrame:
@@ -723,7 +725,7 @@ FROM (SELECT *, CASE WHEN l_orderkey = 0 THEN '' ELSE CAST(l_orderkey AS VARCHAR
         "write_outputs": _full_sql(text_round_trip=True),
         "read_inferred": """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_totalprice, o_orderdate, o_orderpriority,
             lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS CUST_CD, o_orderstatus = 'O' AS IS_OPEN, o_orderkey * 1000000000000 AS BIG_ID,
-            CAST(o_orderdate AS DATE) AS OPEN_DT, CAST(NULL AS VARCHAR) AS EMPTY, CAST(c_custkey AS INTEGER) AS ASST_ID,
+            CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS OPEN_DT, CAST(NULL AS VARCHAR) AS EMPTY, CAST(c_custkey AS INTEGER) AS ASST_ID,
             CASE WHEN c_nationkey <> 3 THEN 'CITY_' || CAST(c_nationkey AS VARCHAR) END AS CITY, lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS POSTCODE, c_acctbal AS LON
             FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
         "job_files": _full_sql(),
