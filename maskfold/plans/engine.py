@@ -10,7 +10,6 @@ the sequence mode, which needs positions of the rows that last.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from maskfold.functions import masks
 from maskfold.functions.names import col
