@@ -132,80 +132,81 @@ def _chance(row: list[Column]) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(20251), *row), 11) / float(1 << 53)
 
 
-def _events(sizes: DataFrame, state: DataFrame) -> DataFrame:
-    """For each document and possible copy the number d from which on the copy is taken."""
+def _rated(sizes: DataFrame, state: DataFrame) -> DataFrame:
+    """(s, size, rate, chance) of the documents with words."""
     s = state.select(F.col("source").alias("s"), "multiplier", "scale")
     rate = _rate(F.col("size"), F.col("multiplier"), F.col("scale"))
-    points = F.transform(F.sequence(F.lit(1), F.lit(MOST)), lambda k: (k - F.col("rate") - F.col("chance")) * F.col("size") * F.col("size"))
-    return sizes.where("size > 0").join(s, _same(sizes["source"], s["s"])).withColumn("rate", rate).select("s", "size", F.explode(points).alias("d"))
+    return sizes.where("size > 0").join(s, _same(sizes["source"], s["s"])).select("s", "size", rate.alias("rate"), "chance")
 
 
-def _search(events: DataFrame, goals: DataFrame, rounds: int) -> DataFrame:
-    """(source, shift, words): the largest shift found up to which a source's events (s, size, d) take no more
-    words than its goal, and these words. Histograms close in on where the running sum passes the goal."""
-    ends = events.groupBy("s").agg(F.min("d").alias("low"), (F.max("d") + F.greatest(F.abs(F.max("d")), F.lit(1.0)) * 1e-9).alias("high"))
-    search = goals.join(ends, _same(goals["source"], ends["s"])).select("source", "goal", "low", "high", F.lit(0).cast("long").alias("base"), F.lit(False).alias("all"))
+def _points(size: Column, chance: Column, rate: Column) -> Column:
+    """For each possible copy the number d from which on it is taken."""
+    return F.transform(F.sequence(F.lit(1), F.lit(MOST)), lambda k: (k - rate - chance) * size * size)
+
+
+def _search(rated: DataFrame, goals: DataFrame, rounds: int) -> DataFrame:
+    """``goals`` (source, goal, floor, cap and further columns) with shift and words: the largest shift found up to which a
+    source's points d above the floor, of documents of at most ``cap`` words, take no more words than its goal, and
+    these words; null where it has no such points. Histograms close in on where the running sum passes the goal."""
+    events = rated.select("s", "size", F.explode(_points(F.col("size"), F.col("chance"), F.col("rate"))).alias("d"))
+    own = goals.columns
+    bounds = goals.select(F.col("source").alias("rs"), "floor", "cap")
+    some = events.join(bounds, _same(events["s"], bounds["rs"])).where("d > floor and size <= cap")
+    ends = some.groupBy("s").agg(F.min("d").alias("low"), (F.max("d") + F.greatest(F.abs(F.max("d")), F.lit(1.0)) * 1e-9).alias("high"))
+    search = goals.join(ends, _same(goals["source"], ends["s"]), "left").select(*own, "low", "high", F.lit(0).cast("long").alias("base"), F.col("low").isNull().alias("all"))
     for _ in range(rounds):
         search = written(search)
-        r = search.where(~F.col("all")).select(F.col("source").alias("rs"), "low", "high", "goal", "base")
-        at = events.join(r, _same(events["s"], r["rs"])).where("d >= low and d < high")
+        r = search.where(~F.col("all")).select(F.col("source").alias("rs"), "low", "high", "goal", "base", "cap")
+        at = events.join(r, _same(events["s"], r["rs"])).where("d >= low and d < high and size <= cap")
         bin_ = F.least(F.floor(F.try_divide(F.col("d") - F.col("low"), F.col("high") - F.col("low")) * BINS), F.lit(BINS - 1)).cast("int")
-        sums = at.groupBy("rs", bin_.alias("bin")).agg(F.sum("size").alias("words"), F.min("d").alias("first"), F.max("d").alias("last"), F.first("goal").alias("goal"), F.first("base").alias("base"))
-        upto = F.col("base") + F.sum("words").over(W.partitionBy("rs").orderBy("bin"))
-        over = sums.withColumn("upto", upto).where("upto > goal")
-        hit = over.groupBy("rs").agg(F.min(F.struct("bin", "first", "last", (F.col("upto") - F.col("words")).alias("before"))).alias("hit"))
-        whole = sums.groupBy("rs").agg(F.sum("words").alias("rest"))
-        joined = search.join(hit, _same(search["source"], hit["rs"]), "left").drop("rs").join(whole, _same(search["source"], whole["rs"]), "left")
+        sums = at.groupBy("rs", bin_.alias("bin")).agg(F.sum("size").alias("words"), F.min("d").alias("first"), F.max("d").alias("last"), F.first("goal").alias("to"), F.first("base").alias("from"))
+        upto = F.col("from") + F.sum("words").over(W.partitionBy("rs").orderBy("bin"))
+        over = F.when(F.col("upto") > F.col("to"), F.struct("bin", "first", "last", (F.col("upto") - F.col("words")).alias("before")))
+        found = sums.withColumn("upto", upto).groupBy("rs").agg(F.min(over).alias("hit"), F.sum("words").alias("rest"))
         # a source whose events all fit is done
         fits = F.col("all") | F.col("hit").isNull()
         # past the last point by a step that a double of its size can take
         after = F.col("hit.last") + F.greatest(F.abs(F.col("hit.last")), F.lit(1e-9)) * 1e-12
-        search = joined.select(
-            "source", "goal",
+        search = search.join(found, _same(search["source"], found["rs"]), "left").select(
+            *own,
             F.when(fits, F.col("low")).otherwise(F.col("hit.first")).alias("low"),
             F.when(fits, F.col("high")).otherwise(after).alias("high"),
             F.when(F.col("all"), F.col("base")).when(fits, F.col("base") + F.coalesce("rest", F.lit(0))).otherwise(F.col("hit.before")).alias("base"),
             fits.alias("all"),
         )
     below = F.col("low") - F.greatest(F.abs(F.col("low")), F.lit(1e-9)) * 1e-12
-    return written(search.select("source", F.when(F.col("all"), F.col("high")).otherwise(below).alias("shift"), F.col("base").alias("words")))
+    return search.select(*own, F.when(F.col("all"), F.col("high")).otherwise(below).alias("shift"), F.col("base").alias("words"))
 
 
 def settle(sizes: DataFrame, state: DataFrame) -> DataFrame:
     """``state`` with ``steps``: a copy is taken where for one of them its document has at most ``cap`` words and its
     d is at most ``shift``. The first step stops before the copy that would pass the target; each of ``FILLS``
-    further ones fills the gap that is left from the documents that fit into it."""
-    events = _events(sizes, state)
-    gaps = written(state.select("source", F.col("target").alias("goal")))
-    steps = state.withColumn("steps", F.array().cast("array<struct<cap:double,shift:double>>")).withColumn("floor", F.lit(float("-inf")))
+    further ones fills the gap that is left from the documents that fit into it.
+
+    The documents' rates are written once, and every round of a search is one short plan over them: the plans of all
+    rounds stay in the driver's memory for as long as the application's status does."""
+    rated = written(_rated(sizes, state))
+    no_step, lowest = F.array().cast("array<struct<cap:double,shift:double>>"), F.lit(float("-inf"))
+    steps = state.withColumns({"steps": no_step, "floor": lowest, "goal": F.col("target"), "cap": F.lit(float("inf"))})
     for k in range(FILLS + 1):
-        if k:
-            g = steps.select(F.col("source").alias("gs"), "floor").join(gaps, _same(F.col("gs"), F.col("source"))).select("gs", "floor", "goal")
-            some = events.join(g, _same(events["s"], g["gs"])).where("d > floor and size <= goal").select("s", "size", "d")
-        else:
-            some = events
-        found = _search(some, gaps, ROUNDS if not k else ROUNDS - 1).withColumnRenamed("source", "fs")
-        goal = gaps.select(F.col("source").alias("gs"), "goal")
-        joined = steps.join(goal, _same(steps["source"], goal["gs"])).join(found, _same(steps["source"], found["fs"]), "left")
-        cap = F.lit(float("inf")) if not k else F.col("goal")
-        one = F.struct(cap.alias("cap"), F.col("shift").alias("shift"))
+        found = _search(rated, steps, ROUNDS if not k else ROUNDS - 1)
         left = F.col("goal") - F.coalesce("words", F.lit(0))
-        joined = written(
-            joined.select(
+        one = F.struct("cap", "shift")
+        steps = written(
+            found.select(
                 *state.columns,
                 F.when(F.col("shift").isNull(), F.col("steps")).otherwise(F.concat("steps", F.array(one))).alias("steps"),
-                F.greatest("floor", F.coalesce("shift", F.lit(float("-inf")))).alias("floor"),
-                left.alias("left"),
+                F.greatest("floor", F.coalesce("shift", lowest)).alias("floor"),
+                left.alias("goal"),
+                left.alias("cap"),
             )
         )
-        steps, gaps = joined.drop("left"), joined.select("source", F.col("left").alias("goal"))
-    return steps.drop("floor")
+    return steps.drop("floor", "goal", "cap")
 
 
 def _copies(size: Column, chance: Column, rate: Column, steps: Column) -> Column:
-    """How many of the points of ``_events`` a step takes; without words one copy."""
-    points = F.transform(F.sequence(F.lit(1), F.lit(MOST)), lambda k: (k - rate - chance) * size * size)
-    taken = F.filter(points, lambda d: F.exists(steps, lambda t: (size <= t["cap"]) & (d <= t["shift"])))
+    """How many of the ``_points`` a step takes; without words one copy."""
+    taken = F.filter(_points(size, chance, rate), lambda d: F.exists(steps, lambda t: (size <= t["cap"]) & (d <= t["shift"])))
     return F.when(size > 0, F.size(taken)).otherwise(1)
 
 

@@ -68,3 +68,21 @@ def test_odd_rows(spark):
     assert mixing.mixed(docs).columns == docs.columns
     assert mixing.mix(empty(docs)).count() == 0 and mixing.mixed(empty(docs)).count() == 0
     assert mixing.mix(docs.where("text is null")).collect()[0]["taken"] == 0
+
+
+def test_each_search_round_is_a_short_plan(spark, monkeypatch):
+    """The plans of all rounds stay in the driver's memory: none of them repeats the work of another."""
+    from maskfold.llm import mixing
+
+    docs = spark.createDataFrame([(i, "abc"[i % 3], "w " * (1 + i * i % 23)) for i in range(60)], "doc_id long, source string, text string")
+    sizes = docs.select("doc_id", "source", mixing.word_count(docs["text"]).alias("size"), mixing._chance([docs["doc_id"], docs["text"]]).alias("chance"))
+    state = mixing.solve(sizes, mixing.source_targets(sizes))
+    joins, plain = [], mixing.written
+
+    def counted(df):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return plain(df)
+
+    monkeypatch.setattr(mixing, "written", counted)
+    assert {r["source"] for r in mixing.settle(sizes, state).collect()} == set("abc")
+    assert joins and max(joins) <= 2
