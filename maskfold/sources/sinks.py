@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
@@ -21,12 +21,13 @@ MANIFEST = "_manifest.json"
 def write_one(
     df: DataFrame, fmt: str, path: str, single_file: bool = False, mode: str = "overwrite"
 ) -> None:
-    """One output: ``csv`` (header), ``pipe`` (header, ``|``) or ``parquet``. ``single_file``: text is
-    written by all tasks and its parts are put together on the store; Parquet, whose parts can't be, by one
-    task after the heavy stage."""
+    """One output: ``csv`` (header), ``pipe`` (header, ``|``) or ``parquet``. ``single_file``: the file is
+    written by all tasks and its parts are put together on the store, so that no task reads the whole output."""
     if fmt == "parquet":
-        # repartition(1), not coalesce(1): the heavy stage keeps its parallelism
-        (df.repartition(1) if single_file else df).write.mode(mode).parquet(path)
+        if single_file:
+            _write_one_parquet(df, path, mode)
+        else:
+            df.write.mode(mode).parquet(path)
     elif fmt in SEPARATORS:
         writer = _write_one_text if single_file else _write_text
         writer(df, path, SEPARATORS[fmt], mode)
@@ -41,16 +42,46 @@ def _write_text(df: DataFrame, path: str, sep: str, mode: str, header: bool = Tr
 def _write_one_text(df: DataFrame, path: str, sep: str, mode: str) -> None:
     """A folder with one text file: its header, then the parts of all tasks in the order of the partitions."""
     spark = df.sparkSession
+
+    def parts(store: Store, work: str) -> tuple[list[str], str]:
+        _write_text(df, f"{work}/rows", sep, "error", header=False)
+        _write_text(spark.createDataFrame([], df.schema).coalesce(1), f"{work}/header", sep, "error")
+        return store.files(f"{work}/header", "part-") + store.files(f"{work}/rows", "part-"), ".csv"
+
+    _write_joined(spark, path, mode, parts, Store.joined)
+
+
+def _write_one_parquet(df: DataFrame, path: str, mode: str) -> None:
+    """A folder with one Parquet file: the row groups of all tasks' files, in the order of the partitions."""
+
+    def parts(store: Store, work: str) -> tuple[list[str], str]:
+        df.write.mode("error").parquet(f"{work}/rows")
+        found = store.files(f"{work}/rows", "part-")
+        return found, f".{found[0].rpartition('/')[2].partition('.')[2]}"
+
+    spark, store = df.sparkSession, Store(df.sparkSession, path)
+    if mode not in ("append", "ignore") or not store.exists(path):
+        _write_joined(spark, path, mode, parts, Store.joined_parquet)
+    elif mode == "append":
+        more = f"{path.rstrip('/')}._more-{uuid.uuid4().hex}"
+        try:
+            _write_joined(spark, more, "error", parts, Store.joined_parquet)
+            for file in store.files(more, "part-"):
+                store.rename(file, f"{path.rstrip('/')}/{file.rpartition('/')[2]}")
+        finally:
+            store.remove(more)
+
+
+def _write_joined(spark: SparkSession, path: str, mode: str, parts: Callable, joined: Callable) -> None:
+    """Puts the parts that ``parts(store, folder)`` writes together and then in the place of ``path``. It returns the
+    files and the suffix of the whole one."""
     store = Store(spark, path)
     if mode != "overwrite" and store.exists(path):
         raise FileExistsError(f"{path} is there already")
     work = f"{path.rstrip('/')}._parts-{uuid.uuid4().hex}"
     try:
-        _write_text(df, f"{work}/rows", sep, "error", header=False)
-        _write_text(spark.createDataFrame([], df.schema).coalesce(1), f"{work}/header", sep, "error")
-        parts = store.files(f"{work}/header", "part-") + store.files(f"{work}/rows", "part-")
-        whole = f"{work}/whole/part-00000-{uuid.uuid4().hex}.csv"
-        store.joined(parts, whole)
+        files, suffix = parts(store, work)
+        joined(store, files, f"{work}/whole/part-00000-{uuid.uuid4().hex}{suffix}")
         store.touch(f"{work}/whole/_SUCCESS")
         store.remove(path)
         store.rename(f"{work}/whole", path)

@@ -68,3 +68,26 @@ class Store:
                     source.close()
         finally:
             out.close()
+
+    def joined_parquet(self, parts: list[str], whole: str) -> None:
+        """One Parquet file with the row groups of several of one schema, in order. Their pages are copied as they are,
+        as a stream; only the footers are read and made anew."""
+        hadoop = self._jvm.org.apache.parquet.hadoop
+        reader = hadoop.ParquetFileReader.open(self._source(parts[0]))
+        try:
+            footer = reader.getFooter().getFileMetaData()
+        finally:
+            reader.close()
+        to = hadoop.util.HadoopOutputFile.fromPath(self._path(whole), self._conf)
+        group, padding = hadoop.ParquetWriter.DEFAULT_BLOCK_SIZE, hadoop.ParquetWriter.MAX_PADDING_SIZE_DEFAULT
+        out = hadoop.ParquetFileWriter(to, footer.getSchema(), hadoop.ParquetFileWriter.Mode.CREATE, group, padding)
+        try:
+            out.start()
+            for part in parts:
+                out.appendFile(self._source(part))
+            out.end(footer.getKeyValueMetaData())
+        finally:
+            out.close()
+
+    def _source(self, path: str):
+        return self._jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(self._path(path), self._conf)

@@ -3,6 +3,7 @@
 import glob
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +91,33 @@ def test_one_text_file_of_no_rows_has_its_header(spark, tmp_out):
     write_outputs(spark.createDataFrame([], "a int, b string"), tmp_out, single_file=True)
     (name,) = glob.glob(f"{tmp_out}/csv/part-*")
     assert open(name).read() == "a,b\n"
+
+
+def test_one_parquet_file_of_many_tasks(spark, tmp_out, monkeypatch):
+    """All tasks write row groups of the one file; none is handed all rows."""
+    df = spark.range(1000, numPartitions=5).select("id", F.concat(F.lit("n"), "id").alias("s"), (F.col("id") / 2).alias("a"))
+    monkeypatch.setattr(type(df), "repartition", lambda *a: pytest.fail("all rows go to one task"))
+    write_outputs(df, tmp_out, single_file=True)
+    (name,) = glob.glob(f"{tmp_out}/parquet/part-*")
+    assert name.endswith(".snappy.parquet") and os.path.exists(f"{tmp_out}/parquet/_SUCCESS")
+    back = spark.read.parquet(f"{tmp_out}/parquet")
+    assert back.dtypes == df.dtypes and [r.id for r in back.collect()] == list(range(1000))
+    assert back.where("id = 700").select("s", "a").collect() == [("n700", 350.0)]
+    assert pq.ParquetFile(name).num_row_groups == 5
+    assert _seen(spark, tmp_out) == {"csv": 1000, "pipe": 1000, "parquet": 1000}
+    assert _shown(tmp_out) == ["_manifest.json", "csv", "parquet", "pipe"]
+
+
+def test_one_parquet_file_by_mode(spark, tmp_out):
+    path, df = f"{tmp_out}/p", spark.range(7, numPartitions=3)
+    write = lambda rows, mode: sinks.write_one(rows, "parquet", path, single_file=True, mode=mode)
+    write(df.where("id < 0"), "error")
+    assert spark.read.parquet(path).dtypes == df.dtypes and spark.read.parquet(path).count() == 0
+    with pytest.raises(FileExistsError):
+        write(df, "error")
+    write(df, "overwrite")
+    write(df, "ignore")
+    assert len(glob.glob(f"{path}/part-*")) == 1 and spark.read.parquet(path).count() == 7
+    write(df, "append")
+    assert len(glob.glob(f"{path}/part-*")) == 2 and spark.read.parquet(path).count() == 14
+    assert _shown(tmp_out) == ["p"]
