@@ -3,15 +3,15 @@
 A document's bit string is the hash of its ``doc_id`` (60 bits of MD5). A bucket is a prefix of the bits; the empty
 prefix holds all rows. Only a bucket of more than ``limit`` bytes is split on one more bit, until every bucket fits or
 holds one row; the buckets that are not split are the shards. No task sees a bucket's rows: one aggregation by a prefix
-some bits longer than needed gives the sizes of all shorter prefixes, and only where such a fine bucket is still
-too large the next bits are aggregated for its rows alone.
+some bits longer than needed gives the sizes of all shorter prefixes, ``STEP`` bits of them at a time, and only where
+such a fine bucket is still too large the next bits are aggregated for its rows alone.
 
 Rows that are still together after all bits of the id, copies of one id that hold more than the limit, are written
 once more with a random number each, whose bits follow those of the id; as the numbers are stored, every later pass over
 the rows, and every task that is run again, sees the same ones.
 
-The directory maps fine prefixes, as integers, to shards; it is a written table whose size the planner knows, and
-is looked up by an equi-join.
+The directory maps fine prefixes, as integers, to the depth and size of their shard; it is a written table, and is looked up
+by an equi-join: a broadcast at most while it has few rows, else both sides are sorted.
 
 Rules for odd input: null text has 0 bytes; a row of more bytes than the limit is a shard of its own;
 null ids hash as the empty string; an empty table has no shards. Columns named ``shard`` or
@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from maskfold.llm.shared import written
@@ -32,6 +32,7 @@ QUERY_BYTES = 64 << 10  # of the registered query, so that tables of some megaby
 BITS = 60
 EXTRA = 3  # bits of the first aggregation beyond the least possible depth
 STEP = 8
+BROADCAST_ROWS = 1 << 17  # of the directory, of some 80 bytes each in a broadcast
 
 
 def id_bits(doc_id: Column) -> Column:
@@ -49,47 +50,66 @@ def _name(prefix: Column, depth: Column) -> Column:
     return F.when(depth == 0, "").otherwise(F.lpad(F.bin(prefix), depth, "0"))
 
 
-def _levels(fine: DataFrame, top: int, depth: int) -> DataFrame:
-    """Bytes and rows of every prefix of ``top`` to ``depth`` bits."""
-    every = fine.select(F.explode(F.sequence(F.lit(top), F.lit(depth))).alias("depth"), "prefix", "bytes", "n")
-    cut = F.call_function("shiftright", F.col("prefix"), F.lit(depth) - F.col("depth"))
-    return every.groupBy("depth", cut.alias("prefix")).agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
+def _joined(side: DataFrame) -> DataFrame:
+    """``side``, a written table, for an equi-join. The planner goes by the size of its files, which can be a tenth of what a
+    broadcast of its rows takes, so a table of more than ``BROADCAST_ROWS`` rows is sorted and merged."""
+    return side if side.count() <= BROADCAST_ROWS else side.hint("merge")
+
+
+def _hits(nodes: DataFrame, top: int, depth: int, limit: int, above: DataFrame | None) -> DataFrame:
+    """(prefix, depth, shard_bytes) for every prefix of ``depth`` bits: the shard that holds it, nulls where it is itself too
+    large. ``nodes`` has its bytes and rows; ``above`` is the same for the prefixes of ``top`` bits, which are all too
+    large where it is None, unless they are the empty one. Only the prefixes below one of ``top`` bits meet."""
+    names = [f"p{d}" for d in range(top, depth)]
+    cuts = [F.call_function("shiftright", F.col("prefix"), F.lit(depth - d)).alias(f"p{d}") for d in range(top, depth)]
+    nodes = nodes.select("prefix", "bytes", "n", *cuts).repartition(F.col(names[0]))
+    found = [] if above is None else [F.col("hit")]
+    if above is not None:
+        hit = F.when(F.col("depth").isNotNull(), F.struct("depth", "shard_bytes"))
+        nodes = nodes.join(_joined(above).select(F.col("prefix").alias(names[0]), hit.alias("hit")), names[0], "left")
+    nodes = nodes.sortWithinPartitions(*names)  # serves the windows of all depths
+    sums = [("bytes", "n", depth)]
+    for d in reversed(range(top + (top > 0), depth)):
+        own = Window.partitionBy(*names[: d - top + 1])
+        nodes = nodes.withColumns({f"b{d}": F.sum("bytes").over(own), f"n{d}": F.sum("n").over(own)})
+        sums.insert(0, (f"b{d}", f"n{d}", d))
+    for size, n, d in sums:
+        found.append(F.when((F.col(size) <= limit) | (F.col(n) == 1), F.struct(F.lit(d).alias("depth"), F.col(size).alias("shard_bytes"))))
+    return nodes.select("prefix", F.coalesce(*found).alias("hit")).select("prefix", "hit.depth", "hit.shard_bytes")
 
 
 def directory(rows: DataFrame, limit: int) -> tuple[list[tuple[int, DataFrame]], DataFrame]:
-    """For each round its depth and a table (fine, depth, prefix, shard_bytes) of the fine prefixes whose bucket is in
-    a shard found in it; and the prefixes of all ``BITS`` bits that are too large. ``rows`` has bits and bytes."""
+    """For each round its depth and a table (fine, depth, shard_bytes) of the fine prefixes whose bucket is in a shard
+    found in it, with that shard's depth; and the prefixes of all ``BITS`` bits that are too large. ``rows`` has bits and bytes."""
     total = rows.agg(F.sum("bytes").alias("b")).first()["b"] or 0
     top, depth = 0, min(BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + EXTRA)
     found: list[tuple[int, DataFrame]] = []
     while True:
-        fine = written(rows.groupBy(_prefix(F.col("bits"), F.lit(depth)).alias("prefix")).agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n")))
-        levels = _levels(fine, top, depth).withColumn("large", (F.col("bytes") > limit) & (F.col("n") > 1))
-        parents = levels.where("large").select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"))
-        whole = levels.where("not large").withColumn("parent", F.call_function("shiftright", F.col("prefix"), F.lit(1)))
-        # a shard is below a split bucket; what the round starts from is one where it is whole itself, which only the empty prefix can be
-        shards = whole.join(parents, ["depth", "parent"], "left_semi")
-        shards = shards if found else shards.unionByName(whole.where("depth = 0"))
-        keys = fine.select(F.col("prefix").alias("fine"), F.explode(F.sequence(F.lit(top), F.lit(depth))).alias("depth"))
-        keys = keys.withColumn("prefix", F.call_function("shiftright", F.col("fine"), F.lit(depth) - F.col("depth")))
-        named = shards.select("depth", "prefix", F.col("bytes").alias("shard_bytes"))
-        found.append((depth, written(keys.join(named, ["depth", "prefix"]).select("fine", "depth", "prefix", "shard_bytes"))))
-        left = written(levels.where(F.col("large") & (F.col("depth") == depth)).select(F.col("prefix").alias("open")))
+        fine = rows.groupBy(_prefix(F.col("bits"), F.lit(depth)).alias("prefix")).agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n"))
+        # the sizes of the prefixes some bits shorter each time, and then, from the shortest on, the shards among them
+        cuts, nodes = [*range(depth, top, -STEP), top], [written(fine)]
+        for longer, shorter in zip(cuts, cuts[1:-1]):
+            cut = F.call_function("shiftright", F.col("prefix"), F.lit(longer - shorter))
+            nodes.append(written(nodes[-1].groupBy(cut.alias("prefix")).agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))))
+        hits = None
+        for k in reversed(range(len(nodes))):
+            hits = written(_hits(nodes[k], cuts[k + 1], cuts[k], limit, hits))
+        found.append((depth, hits.where("depth IS NOT NULL").withColumnRenamed("prefix", "fine")))
+        left = hits.where("depth IS NULL").select(F.col("prefix").alias("open"))
         if depth == BITS or left.isEmpty():
             return found, left
-        rows = rows.join(left, _prefix(F.col("bits"), F.lit(depth)) == F.col("open"), "left_semi")
+        rows = rows.join(_joined(left), _prefix(F.col("bits"), F.lit(depth)) == F.col("open"), "left_semi")
         top, depth = depth, min(BITS, depth + STEP)
 
 
 def _looked_up(rows: DataFrame, rounds: list[tuple[int, DataFrame]]) -> DataFrame:
-    """``rows`` (row, bits) with hit, the directory's entry of each; null where none has it."""
-    hits = []
+    """``rows`` (row, bits) with hit, the shard of each and its bytes; null where the directory has none."""
     for k, (depth, table) in enumerate(rounds):
-        entry = F.struct(_name(F.col("prefix"), F.col("depth")).alias("shard"), F.col("shard_bytes"))
-        side = table.select(F.col("fine").alias(f"f{k}"), entry.alias(f"s{k}"))
-        rows = rows.join(side, _prefix(F.col("bits"), F.lit(depth)) == F.col(f"f{k}"), "left")
-        hits.append(F.col(f"s{k}"))
-    return rows.select(*[c for c in rows.columns if c[0] not in "fs"], F.coalesce(*hits).alias("hit"))
+        side = _joined(table).select(F.col("fine").alias(f"fine{k}"), F.struct("depth", "shard_bytes").alias(f"hit{k}"))
+        rows = rows.join(side, _prefix(F.col("bits"), F.lit(depth)) == F.col(f"fine{k}"), "left")
+    rows = rows.select("row", "bits", F.coalesce(*[F.col(f"hit{k}") for k in range(len(rounds))]).alias("hit"))
+    name = _name(_prefix(F.col("bits"), F.col("hit.depth")), F.col("hit.depth"))
+    return rows.select("row", F.when(F.col("hit").isNotNull(), F.struct(name.alias("shard"), "hit.shard_bytes")).alias("hit"))
 
 
 def sharded(docs: DataFrame, limit: int = SHARD_BYTES, size: Column | None = None) -> DataFrame:
@@ -104,7 +124,7 @@ def sharded(docs: DataFrame, limit: int = SHARD_BYTES, size: Column | None = Non
     if large.isEmpty():
         return out.select("row.*", F.col("hit.shard").alias("shard"), F.col("hit.shard_bytes").alias("shard_bytes"))
     out = out.where(F.col("hit").isNotNull()).select("row", F.col("hit.shard").alias("shard"), F.col("hit.shard_bytes").alias("shard_bytes"))
-    again = rows.join(large, F.col("bits") == F.col("open"), "left_semi")
+    again = rows.join(_joined(large), F.col("bits") == F.col("open"), "left_semi")
     again = written(again.select("row", "bytes", F.col("bits").alias("id_bits"), F.floor(F.rand() * F.lit(float(1 << 53))).cast("long").alias("drawn")))
     # the directory of the second bit string is made for each such id by itself, below all bits of the id
     return out.unionByName(_split_copies(again, limit)).select("row.*", "shard", "shard_bytes")
@@ -114,14 +134,14 @@ def _split_copies(rows: DataFrame, limit: int) -> DataFrame:
     """(row, shard, shard_bytes) of the rows (row, bytes, id_bits, drawn) of ids that are too large. As the drawn bits are
     uniform, a number of bits that leaves a quarter of the limit on average is taken at once for each id, and a bucket
     that is still too large is split further."""
-    size = rows.groupBy("id_bits").agg(F.sum("bytes").alias("b"))
+    size = written(rows.groupBy("id_bits").agg(F.sum("bytes").alias("b")))
     depth = F.greatest(F.lit(0), F.ceil(F.log2(F.col("b") / F.lit(limit / 4.0)))).cast("int")
-    open_, done = rows.join(size.select("id_bits", depth.alias("depth")), "id_bits"), []
+    open_, done = rows.join(_joined(size).select("id_bits", depth.alias("depth")), "id_bits"), []
     while True:
         open_ = written(open_.withColumn("prefix", F.call_function("shiftright", F.col("drawn"), F.lit(53) - F.col("depth"))))
-        buckets = open_.groupBy("id_bits", "depth", "prefix").agg(F.sum("bytes").alias("shard_bytes"), F.count("*").alias("n"))
+        buckets = written(open_.groupBy("id_bits", "depth", "prefix").agg(F.sum("bytes").alias("shard_bytes"), F.count("*").alias("n")))
         fits = (F.col("shard_bytes") <= limit) | (F.col("n") == 1) | (F.col("depth") == 53)
-        met = open_.join(buckets, ["id_bits", "depth", "prefix"])
+        met = open_.join(_joined(buckets), ["id_bits", "depth", "prefix"])
         name = F.concat(_name(F.col("id_bits"), F.lit(BITS)), _name(F.col("prefix"), F.col("depth")))
         done.append(met.where(fits).select("row", name.alias("shard"), "shard_bytes"))
         open_ = met.where(~fits).select("row", "bytes", "id_bits", "drawn", (F.col("depth") + 1).alias("depth"))

@@ -57,3 +57,37 @@ def test_copies_of_one_id_are_split_the_same_way_in_every_pass(spark):
     assert first == again and len(first) == 900 and all(s is not None and (b <= 1000) for _, s, b in first)
     hot = [s for i, s, _ in first if i == 7]
     assert len(set(hot)) >= 12 and len({s[:60] for s in hot}) == 1
+
+
+def _against_sql(docs, limit, folder):
+    docs.write.parquet(folder)
+    got = sorted(sharding.sharded(docs, limit).select("doc_id", "shard", "shard_bytes").collect())
+    sql = sharding._sql(limit).replace("FROM documents", f"FROM '{folder}/*.parquet'")
+    assert [tuple(r) for r in got] == sorted(duckdb.sql(f"SELECT doc_id, shard, shard_bytes FROM ({sql})").fetchall())
+    return got
+
+
+def test_broadcasts_hold_few_rows(spark, monkeypatch, tmp_out):
+    """No join is planned to broadcast a side whose rows were multiplied after the files that the planner goes by, nor one of
+    more rows than the bound; the shards are the same."""
+    plans, written = [], sharding.written
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df)
+
+    docs = documents(spark, [(i, "x" * (i * i % 41)) for i in range(3000)])
+    monkeypatch.setattr(sharding, "written", seen)
+    monkeypatch.setattr(sharding, "BROADCAST_ROWS", 300, raising=False)
+    got = _against_sql(docs, 150, f"{tmp_out}/docs")
+    assert len({r["shard"] for r in got}) > 300
+    assert plans and not any("Generate" in p and "BroadcastExchange" in p for p in plans)
+    assert "Broadcast" not in sharding.sharded(docs, 150)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_levels_of_several_steps(spark, monkeypatch, tmp_out):
+    """Many levels of few bits, later rounds for uneven sizes, single rows beyond the limit and rows of no bytes."""
+    monkeypatch.setattr(sharding, "STEP", 2)
+    rows = [(i, None if i % 7 == 0 else "x" * (5000 if i % 90 == 1 else i % 9)) for i in range(800)]
+    got = _against_sql(documents(spark, rows), 40, f"{tmp_out}/docs")
+    assert len({len(r["shard"]) for r in got}) >= 6
